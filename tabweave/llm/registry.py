@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from tabweave.llm.decontamination import OP10_SQL, op10_decontamination
+from tabweave.llm.mixing import op4_mixing
 from tabweave.llm.sharding import op5_sharding
 
 QUERIES = {
+    "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_decontamination": OP10_SQL,
+}
