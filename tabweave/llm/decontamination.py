@@ -35,6 +35,10 @@ def _hashed(of: Column) -> Column:
     return F.transform(of, lambda w: F.xxhash64(w))
 
 
+def _windows_of(hashes: Column, room: Column, n: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), room), lambda i: F.xxhash64(F.slice(hashes, i, n)))
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Distinct windows: __len, __hash, __window (its words, joined) and __items (ids as strings)."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("__item"), words(F.col("text")).alias("__w")).where(F.size("__w") > 0)
@@ -49,12 +53,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broad
     windows = benchmark_windows(benchmark, window)
     lengths = {r[0]: r[1] for r in windows.groupBy("__len").count().collect()}  # `window` rows at most
     parts = max(1, -(-sum(lengths.values()) // broadcast_windows))
-    of = docs.select("doc_id", text_key(F.col("text")).alias("__key"), words(F.col("text")).alias("__w")).where(F.size("__w") > 0)
+    of = docs.select("doc_id", text_key(F.col("text")).alias("__key"), words(F.col("text")).alias("__w"))
     of = of.withColumn("__h", _hashed(F.col("__w")))
     probes, start, starts = [], F.lit(0), {}
     for n in sorted(lengths):
         room = F.greatest(F.size("__h") - (n - 1), F.lit(0))
-        probes.append(F.when(room > 0, F.transform(F.sequence(F.lit(1), room), lambda i, n=n: F.xxhash64(F.slice("__h", i, n)))).otherwise(F.array().cast("array<bigint>")))
+        probes.append(F.when(room > 0, _windows_of(F.col("__h"), room, n)).otherwise(F.array().cast("array<bigint>")))
         starts[n] = start
         start = start + room
     if not probes:
