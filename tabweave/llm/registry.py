@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tabweave.llm.caps import OP7_SQL, op7_caps
 from tabweave.llm.decontamination import OP10_SQL, op10_decontamination
 from tabweave.llm.jaccard import OP6_SQL, op6_jaccard
 from tabweave.llm.mixing import op4_mixing
@@ -11,10 +12,12 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_jaccard": op6_jaccard,
+    "op7_caps": op7_caps,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op6_jaccard": OP6_SQL,
+    "op7_caps": OP7_SQL,
     "op10_decontamination": OP10_SQL,
 }
