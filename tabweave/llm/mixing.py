@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import SPACE, n_words, table
+from tabweave.llm.common import SPACE, n_words, stored, table
 
 BLOCK, MOST, CHUNKS, SPAN = 1024, 3, 4096, 4096
 
@@ -67,12 +67,13 @@ def mix(docs: DataFrame, block: int = BLOCK, most: int = MOST, seed: int = 7, ch
     """docs: __row (anything that tells rows apart), source, size. Returns (sources with targets, pieces).
 
     A piece is a run of one document's words in one block: __row, source, slot, __first, __words; the pieces in slot order are the mix."""
-    sources = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), most)
+    sources = stored(targets(stored(docs.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes"), most), "targets")
     line = sources.withColumn("__length", F.least(F.round("target").cast("long"), most * F.col("source_size"))).withColumn("__blocks", F.ceil(F.col("__length") / block).cast("long"))
     line = line.withColumn("__before", F.coalesce(F.sum("__blocks").over(Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    line = stored(line, "line")
     total = line.agg(F.sum("__blocks")).first()[0] or 0
     bits = max(0, (total - 1).bit_length()) if total else 0
-    slots = schedule(line.where(F.col("__blocks") > 0), bits, max(total, 1))
+    slots = stored(schedule(line.where(F.col("__blocks") > 0), bits, max(total, 1)), "schedule")
     key = F.xxhash64(F.lit(seed), "__row")
     placed = docs.where(F.col("size") > 0).withColumn("__key", key).withColumn("__chunk", F.pmod(F.shiftright("__key", 32), F.lit(chunks)).cast("int"))
     sums = placed.groupBy("source", "__chunk").agg(F.sum("size").alias("__n"))
@@ -92,7 +93,8 @@ def mix(docs: DataFrame, block: int = BLOCK, most: int = MOST, seed: int = 7, ch
 def numbered(docs: DataFrame) -> DataFrame:
     """__row tells rows apart: id, hash of text and source, and a number among rows alike in these, which are interchangeable."""
     alike = F.struct(F.col("doc_id"), F.xxhash64("text", "source").alias("hash"))
-    return docs.select("source", n_words(F.col("text")).alias("size"), "doc_id", alike.alias("__alike")).withColumn("__copy", F.row_number().over(Window.partitionBy("__alike").orderBy("__alike")))
+    sized = docs.select("source", n_words(F.col("text")).alias("size"), "doc_id", alike.alias("__alike"))
+    return stored(sized.withColumn("__copy", F.row_number().over(Window.partitionBy("__alike").orderBy("__alike"))), "sizes")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
