@@ -7,17 +7,20 @@ from tabweave.llm.decontamination import OP10_SQL, op10_decontamination
 from tabweave.llm.jaccard import OP6_SQL, op6_jaccard
 from tabweave.llm.mixing import op4_mixing
 from tabweave.llm.sharding import op5_sharding
+from tabweave.llm.warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_jaccard": op6_jaccard,
     "op7_caps": op7_caps,
+    "op8_warc": op8_warc,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op6_jaccard": OP6_SQL,
     "op7_caps": OP7_SQL,
+    "op8_warc": OP8_SQL,
     "op10_decontamination": OP10_SQL,
 }
