@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tabweave.llm.common import stored, table
 from tabweave.llm.components import components
 
-GRAM, SHARE, WHOLE = 4, 85, 100
+GRAM, SHARE, WHOLE = 5, 80, 100
 SLACK, GROWTH = 1.5, 1.25
 SKETCH_LONGS = 16
 FLUSH = 1 << 21
@@ -299,14 +299,15 @@ def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """docs with one document of each class: the one of the smallest id, and of rows that repeat it the first by text. Documents without words stay."""
+    """docs with one document of each class, the one of the smallest id. Documents without words stay; rows that repeat an id stay or go together."""
     classes = jaccard_classes(docs, **options).select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__class")).distinct()
     gone = classes.where(~F.col("__id").eqNullSafe(F.col("__class"))).select("__id").distinct()
     return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_classes(table(spark, sf_dir, "documents"))
+    """Sets of 4-word shingles, linked from 85 in 100."""
+    return jaccard_classes(table(spark, sf_dir, "documents"), gram=4, share=85)
 
 
 OP6_SQL = r"""

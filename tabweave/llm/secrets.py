@@ -5,7 +5,7 @@ is a candidate, whose characters and context a small convolutional network in nu
 characters, filters of several widths over the token and its surroundings, the maximum of each filter,
 and a logistic layer. It is trained on labelled findings: generated ones of common kinds of secrets and
 of harmless tokens in ordinary contexts, and those of the rules in a bounded sample of the documents.
-A temperature is fitted on held-out findings, and the threshold is the highest that keeps `recall` of them.
+A temperature is fitted on held-out findings, and the threshold is the highest up to 0.9 that keeps `recall` of them.
 
 Edge cases: null and empty texts have no spans; rows that repeat get the same result each; an empty
 table gives no rows; training needs no documents. Rule spans are never dropped.
@@ -138,7 +138,7 @@ class CharCnn:
         loss = lambda t: np.mean(np.logaddexp(0, logit / t) - y * logit / t)
         self.temperature = min(np.geomspace(0.25, 8, 40), key=loss)
         positive = np.sort(self.scores(x)[y == 1])
-        self.threshold = float(positive[int((1 - recall) * len(positive))]) if len(positive) else 0.5
+        self.threshold = min(0.9, float(positive[int((1 - recall) * len(positive))])) if len(positive) else 0.5
 
 
 def generated_findings(n: int = 3000, seed: int = 9) -> tuple[list[str], np.ndarray]:
