@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabweave.functions.values import fmt_number
+from tabweave.edit import rules, workbook
+from tabweave.functions.values import Cell
 from tabweave.operators import aggregate, joins, profile
 from tabweave.plans.query import compiled
 from tabweave.plans.spec import Query, joins as join_specs
 from tabweave.plans.table import Table
+from tabweave.sinks import workbook as sinks
+from tabweave.sources import workbook as sources
+from tabweave.text import html, outline, report, template
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -221,7 +226,109 @@ register("profile_top3", lambda s, d: profile.frequent(Table.of(read(s, d, "cust
 spec_query("sort_multi", "lineitem", {"groupBy": ["l_returnflag", "l_linenumber"], "aggregate": [{"col": "l_quantity", "fn": "sum", "as": "q"}], "orderBy": [{"col": "l_returnflag", "dir": "desc"}, {"col": "l_linenumber"}], "limit": 10}, "SELECT l_returnflag, l_linenumber, round(sum(l_quantity), 4) AS q FROM lineitem GROUP BY ALL ORDER BY l_returnflag DESC, l_linenumber LIMIT 10")
 spec_query("topk", "orders", {"groupBy": ["o_custkey"], "aggregate": [{"col": "o_totalprice", "fn": "sum", "as": "total"}], "orderBy": [{"col": "total", "dir": "desc"}, {"col": "o_custkey"}], "limit": 10}, "SELECT o_custkey, round(sum(o_totalprice), 4) AS total FROM orders GROUP BY ALL ORDER BY sum(o_totalprice) DESC, o_custkey LIMIT 10")
 spec_query("limit_cap", "orders", {"groupBy": ["o_orderkey"], "orderBy": [{"col": "o_orderkey"}], "limit": 99999}, "SELECT o_orderkey, count(*) AS rows FROM orders GROUP BY ALL ORDER BY o_orderkey LIMIT 2000")
-ORACLES["pivot_missing"] = None  # set below: the columns depend on the data
-del ORACLES["pivot_missing"]
 
-_ = (fmt_number, T)
+# Text.
+WORDS_SQL = "len(regexp_extract_all(coalesce(text, ''), '[一-鿿]|[A-Za-z0-9]+'))"
+register("text_words", lambda s, d: read(s, d, "documents").select("doc_id", outline.words(F.col("text")).alias("words")), f"SELECT doc_id, CAST({WORDS_SQL} AS BIGINT) AS words FROM documents")
+register("text_paragraphs", lambda s, d: read(s, d, "documents").select("doc_id", outline.paragraphs(F.col("text")).alias("paragraphs")), "SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '\n{2,}'), lambda x: trim(x, ' ') <> '')) AS BIGINT) AS paragraphs FROM documents")
+register("text_paging", lambda s, d: outline.paged(read(s, d, "documents"), "doc_id", "text", 1000).select("doc_id", "page_no", "start", "end", F.length("slice").alias("chars")))
+register("text_paging_lossless", lambda s, d: outline.paged(read(s, d, "documents"), "doc_id", "text", 1000).groupBy("doc_id").agg(F.sum(F.length("slice")).alias("chars"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "slice"))), lambda x: x["slice"]), "")).alias("digest")),
+         "SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, md5(text) AS digest FROM documents WHERE length(text) > 0")
+register("window_offsets", lambda s, d: outline.lines(read(s, d, "documents"), "doc_id", "text").select("doc_id", F.col("line_no").cast("long").alias("line_no"), "offset", F.length("line").cast("long").alias("chars")),
+         "WITH l AS (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents) SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\", CAST(length(line) AS BIGINT) AS chars FROM l")
+
+
+def _pages(spark: SparkSession, d: str, schema: str, of: Callable) -> DataFrame:
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [of(h) for h in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _arrow(schema))], ["page_id", "x"])
+    return read(spark, d, "pages").select("page_id", "html").mapInArrow(run, f"page_id long, x {schema}")
+
+
+def _arrow(schema: str):
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(T._parse_datatype_string(schema))
+
+
+register("html_to_md", lambda s, d: _pages(s, d, "string", html.to_markdown).select("page_id", F.col("x").alias("markdown")))
+register("html_links", lambda s, d: _pages(s, d, "array<struct<href:string,text:string>>", lambda h: [{"href": a, "text": t} for a, t in html.links(h)]).select("page_id", F.posexplode("x").alias("n", "x")).select("page_id", "n", "x.*"))
+register("html_headings", lambda s, d: _pages(s, d, "array<struct<level:int,title:string>>", lambda h: [{"level": n, "title": t} for n, t in html.headings(h)]).select("page_id", F.posexplode("x").alias("n", "x")).select("page_id", "n", "x.*"))
+register("text_outline", lambda s, d: outline.outline(QUERIES["html_to_md"](s, d), "page_id", "markdown"))
+register("template_merge", lambda s, d: template.merged(read(s, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), "Order {o_orderkey} is {o_orderstatus}: {o_orderpriority}.").select("o_orderkey", "text"),
+         "SELECT o_orderkey, 'Order ' || o_orderkey || ' is ' || o_orderstatus || ': ' || o_orderpriority || '.' AS text FROM orders")
+
+# Conditional formats and validation.
+TODAY = date(1997, 6, 18)
+
+
+def _rule(name: str, source: str, key: str, column: str, rule: Callable[[Cell], object], sql: str, label: str = "hit") -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        df = read(spark, d, source).select(key, column)
+        return rounded(df.select(key, rule(Cell(F.col(column), df.schema[column].dataType)).alias(label)))
+    register(name, run, sql)
+
+
+_rule("cf_cellis", "part", "p_partkey", "p_retailprice", lambda c: rules.cell_is(c, 1000, 1500, "between"), "SELECT p_partkey, p_retailprice BETWEEN 1000 AND 1500 AS hit FROM part")
+_rule("cf_top10", "part", "p_partkey", "p_retailprice", lambda c: rules.top(c, 10), "SELECT p_partkey, rank() OVER (ORDER BY p_retailprice DESC) <= 10 AS hit FROM part")
+_rule("cf_top_percent", "part", "p_partkey", "p_retailprice", lambda c: rules.top(c, 5, percent=True, bottom=True), "SELECT p_partkey, rank() OVER (ORDER BY p_retailprice) <= ceil(count(*) OVER () * 0.05) AS hit FROM part")
+_rule("cf_above_avg", "customer", "c_custkey", "c_acctbal", lambda c: rules.above_average(c), "SELECT c_custkey, c_acctbal > avg(c_acctbal) OVER () AS hit FROM customer")
+_rule("cf_colorscale", "part", "p_partkey", "p_size", lambda c: rules.scaled(c), "SELECT p_partkey, round((p_size - min(p_size) OVER ()) / CAST(max(p_size) OVER () - min(p_size) OVER () AS DOUBLE), 4) AS share FROM part", "share")
+_rule("cf_iconset", "part", "p_partkey", "p_size", lambda c: rules.icon(c, 3), "WITH s AS (SELECT p_partkey, 100 * (p_size - min(p_size) OVER ()) / CAST(max(p_size) OVER () - min(p_size) OVER () AS DOUBLE) AS x FROM part) SELECT p_partkey, CAST(x >= 33 AS INTEGER) + CAST(x >= 67 AS INTEGER) AS icon FROM s", "icon")
+_rule("cf_contains", "part", "p_partkey", "p_name", lambda c: rules.contains_text(c, "AR"), "SELECT p_partkey, contains(lower(p_name), 'ar') AS hit FROM part")
+_rule("cf_timeperiod", "orders", "o_orderkey", "o_orderdate", lambda c: rules.time_period(c, "lastMonth", TODAY), "SELECT o_orderkey, o_orderdate >= TIMESTAMP '1997-05-01' AND o_orderdate < TIMESTAMP '1997-06-01' AS hit FROM orders")
+_rule("dv_whole", "part", "p_partkey", "p_retailprice", lambda c: rules.valid(c, "whole", "greaterThan", 1000), "SELECT p_partkey, p_retailprice = floor(p_retailprice) AND p_retailprice > 1000 AS hit FROM part")
+_rule("dv_list", "customer", "c_custkey", "c_mktsegment", lambda c: rules.valid(c, "list", values=["BUILDING", "MACHINERY"]), "SELECT c_custkey, c_mktsegment IN ('BUILDING', 'MACHINERY') AS hit FROM customer")
+_rule("dv_length", "part", "p_partkey", "p_name", lambda c: rules.valid(c, "textLength", "lessThanOrEqual", 12), "SELECT p_partkey, length(p_name) <= 12 AS hit FROM part")
+_rule("dv_date", "orders", "o_orderkey", "o_orderdate", lambda c: rules.valid(c, "date", "between", "1996-01-01", "1996-12-31"), "SELECT o_orderkey, CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' AS hit FROM orders")
+
+# Formats as properties of rows.
+_DIST = "SELECT property, value, count(*) AS n FROM (SELECT 'lang' AS property, lang AS value FROM documents UNION ALL SELECT 'source', source FROM documents) GROUP BY ALL"
+register("fmt_distribution", lambda s, d: report.distribution(read(s, d, "documents"), ["lang", "source"]), f"SELECT property, value, n, CAST(row_number() OVER (PARTITION BY property ORDER BY n DESC, value NULLS FIRST) AS INTEGER) AS rank FROM ({_DIST}) QUALIFY rank <= 5")
+register("fmt_mainstream", lambda s, d: report.mainstream(read(s, d, "documents"), ["lang", "source"]), "SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL ORDER BY n DESC, lang NULLS FIRST, source NULLS FIRST LIMIT 1")
+register("fmt_outliers", lambda s, d: report.outliers(read(s, d, "documents").select("doc_id", "lang"), ["lang"]), "SELECT doc_id, lang FROM documents WHERE lang IS DISTINCT FROM (SELECT lang FROM documents GROUP BY lang ORDER BY count(*) DESC, lang NULLS FIRST LIMIT 1)")
+register("dominant_run", lambda s, d: report.dominant(read(s, d, "conversations"), "conv_id", "role", "text"),
+         "SELECT conv_id, arg_min(role, (-chars, role)) AS role, CAST(max(chars) AS BIGINT) AS chars FROM (SELECT conv_id, role, sum(length(text)) AS chars FROM conversations GROUP BY ALL) GROUP BY conv_id")
+
+
+# Edit scripts on the part table as a sheet: keys in column 1, names in column 2.
+def _part_book(spark: SparkSession, d: str) -> workbook.Workbook:
+    part = read(spark, d, "part").where("p_partkey <= 500")
+    cell = lambda col, value: F.struct(F.lit("Sheet1").alias("sheet"), F.col("p_partkey").alias("row"), F.lit(col).cast("long").alias("col"), value.cast("string").alias("value"), F.lit(None).cast("string").alias("formula"), F.lit(None).cast("string").alias("style"))
+    return workbook.Workbook(part.select(F.explode(F.array(cell(1, F.col("p_partkey")), cell(2, F.col("p_name")))).alias("x")).select("x.*"), ["Sheet1"])
+
+
+_CELLS = "(SELECT p_partkey AS row, CAST(1 AS BIGINT) AS col, CAST(p_partkey AS VARCHAR) AS value FROM part WHERE p_partkey <= 500 UNION ALL SELECT p_partkey, 2, p_name FROM part WHERE p_partkey <= 500)"
+for _name, _script, _sql in (
+    ("edit_insert_rows", [{"op": "insert_rows", "at": 10, "count": 3}], f"SELECT row + CASE WHEN row >= 10 THEN 3 ELSE 0 END AS row, col, value FROM {_CELLS}"),
+    ("edit_delete_rows", [{"op": "delete_rows", "at": 10, "count": 3}], f"SELECT row - CASE WHEN row >= 10 THEN 3 ELSE 0 END AS row, col, value FROM {_CELLS} WHERE row NOT BETWEEN 10 AND 12"),
+    ("edit_set_cells", [{"op": "set_cells", "start": "B2", "values": [["x", "y"], ["z", None]]}], f"SELECT * FROM {_CELLS} WHERE NOT (col = 2 AND row IN (2, 3)) UNION ALL SELECT 2, 2, 'x' UNION ALL SELECT 2, 3, 'y' UNION ALL SELECT 3, 2, 'z'"),
+    ("edit_insert_cols", [{"op": "insert_cols", "at": 2}, {"op": "delete_cols", "at": 1}], f"SELECT row, CAST(2 AS BIGINT) AS col, value FROM {_CELLS} WHERE col = 2"),
+):
+    register(_name, lambda s, d, script=_script: workbook.edited(_part_book(s, d), script).cells.select("row", "col", "value"), _sql)
+
+
+def _round_trip(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    """Written to bytes and read back by the readers of files, on executors."""
+    part = read(spark, d, "part").select("p_partkey", "p_name", "p_size").orderBy("p_partkey")
+    data = sinks.table_bytes([("Sheet1", sinks.matrix(part))], kind)
+    files = spark.createDataFrame([(f"part.{kind}", bytearray(data))], "path string, content binary")
+    table = Table.from_matrix(sources.parsed_sheets(files).select("row_no", "cells"), "Sheet1")
+    return table.named().select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_name", F.col("p_size").cast("int").alias("p_size"))
+
+
+for _kind in ("csv", "tsv", "xlsx", "ods"):
+    register(f"convert_{_kind}_roundtrip", lambda s, d, kind=_kind: _round_trip(s, d, kind), "SELECT p_partkey, p_name, p_size FROM part")
+
+
+def _sniffed(spark: SparkSession, d: str) -> DataFrame:
+    rows = [["a", "b"], [1, "x"]]
+    made = [(k, sinks.table_bytes([("S", rows)], k)) for k in ("csv", "tsv", "xlsx", "ods", "html")] + [("pdf", b"%PDF-1.4 x"), ("rtf", b"{\\rtf1 x}"), ("xls", b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1")]
+    from tabweave.sources.sniff import sniff
+    return spark.createDataFrame([(k, sniff(b, "x.xls" if k == "xls" else "x")) for k, b in made], "made string, found string")
+
+
+register("sniff_formats", _sniffed)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 import re
+from decimal import ROUND_HALF_UP, Context, Decimal
 
 # Characters ignored in numbers, and the shapes of numbers and days.
 _SPACES = "".join(map(chr, (0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
@@ -62,7 +63,11 @@ def compare(a: object, b: object) -> int | None:
 
 
 def round12(value: float) -> float:
-    return float(f"{value:.11e}")
+    """Twelve significant digits, halves away from zero."""
+    if not value or not math.isfinite(value):
+        return value
+    exact = Decimal(value)
+    return float(exact.quantize(Decimal(1).scaleb(exact.adjusted() - 11), rounding=ROUND_HALF_UP, context=Context(prec=40)))
 
 
 def fmt(value: object) -> str:

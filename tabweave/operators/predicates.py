@@ -12,7 +12,11 @@ from tabweave.functions import model
 from tabweave.functions.values import Cell, day_bounds, literal_kind
 
 _COMPARE = {"eq": lambda a, b: a == b, "ne": lambda a, b: a != b, "gt": lambda a, b: a > b, "gte": lambda a, b: a >= b, "lt": lambda a, b: a < b, "lte": lambda a, b: a <= b}
-_NEVER = F.lit(False)
+
+
+def _never() -> Column:
+    return F.lit(False)
+
 
 
 def _positive(cell: Cell, op: str, kind: str, value: object) -> Column:
@@ -22,18 +26,18 @@ def _positive(cell: Cell, op: str, kind: str, value: object) -> Column:
         if cell.kind == "number":
             whole = float(value).is_integer() and abs(value) < 2 ** 53
             return compare(cell.col, F.lit(int(value) if whole else float(value)))
-        return compare(cell.num(), F.lit(float(value))) if cell.kind == "text" else _NEVER
+        return compare(cell.num(), F.lit(float(value))) if cell.kind == "text" else _never()
     if kind == "day":
         if cell.kind == "time":
             bounds = day_bounds(value)
             if bounds:
                 start, after = (b.cast(cell.dtype) for b in bounds)
                 return {"eq": (cell.col >= start) & (cell.col < after), "gt": cell.col >= after, "gte": cell.col >= start, "lt": cell.col < start, "lte": cell.col < after}[op]
-        return compare(cell.day(), F.lit(value)) if cell.kind in ("text", "time") else _NEVER
+        return compare(cell.day(), F.lit(value)) if cell.kind in ("text", "time") else _never()
     if cell.kind == "bool":
         return compare(F.coalesce(F.lower(cell.col.cast("string")), F.lit("")), F.lit(str(value).lower()))
     if cell.kind in ("number", "time"):  # only blanks are text
-        return cell.col.isNull() if model.holds("", op, value) else _NEVER
+        return cell.col.isNull() if model.holds("", op, value) else _never()
     if op == "eq":
         return cell.blank() if value == "" else cell.col == F.lit(value)
     text = cell.num().isNull() & cell.day().isNull() & compare(F.coalesce(cell.text(), F.lit("")), F.lit(value))
@@ -57,7 +61,7 @@ def _equal(cell: Cell, values: list) -> Column:
             parts.append(cell.col.isin(plain) if cell.kind == "text" else F.lower(cell.col.cast("string")).isin([v.lower() for v in plain]))
         if "" in found:
             parts.append(cell.blank())
-    return reduce(lambda a, b: a | b, parts) if parts else _NEVER
+    return reduce(lambda a, b: a | b, parts) if parts else _never()
 
 
 def condition(cell: Cell, op: str = "eq", value: object = None) -> Column:
@@ -70,7 +74,7 @@ def condition(cell: Cell, op: str = "eq", value: object = None) -> Column:
         return ~cell.blank() if cell.kind == "text" else cell.col.isNotNull()
     if op in ("in", "notIn"):
         found = _equal(cell, list(value) if isinstance(value, list | tuple) else [value])
-        return found if op == "in" else ~F.coalesce(found, _NEVER) if cell.kind == "text" else cell.col.isNull() & ~_blank_listed(value) | ~found
+        return found if op == "in" else ~F.coalesce(found, _never()) if cell.kind == "text" else cell.col.isNull() & ~_blank_listed(value) | ~found
     if op in ("contains", "startsWith", "endsWith"):
         have, want = F.lower(F.coalesce(cell.text(), F.lit("")) if model.text(value) == "" else cell.text()), model.text(value).lower()
         return {"contains": have.contains, "startsWith": have.startswith, "endsWith": have.endswith}[op](want)
@@ -81,7 +85,7 @@ def condition(cell: Cell, op: str = "eq", value: object = None) -> Column:
         return cell.col.isNull() | (cell.col != literal)
     if cell.kind == "text" and kind == "text" and literal != "":
         return cell.col.isNull() | (cell.col != literal)
-    return ~F.coalesce(_positive(cell, "eq", kind, literal), _NEVER)
+    return ~F.coalesce(_positive(cell, "eq", kind, literal), _never())
 
 
 def _blank_listed(value: object) -> Column:

@@ -176,7 +176,12 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_sheets(spark: SparkSession, path: str) -> DataFrame:
     """All rows of all sheets of the files at a path or pattern."""
-    return spark.read.format("binaryFile").load(path).where(F.col("length") <= TABLE_BYTES).select("path", "content").mapInArrow(_rows, SCHEMA)
+    return parsed_sheets(spark.read.format("binaryFile").load(path).where(F.col("length") <= TABLE_BYTES))
+
+
+def parsed_sheets(files: DataFrame) -> DataFrame:
+    """files: path, content."""
+    return files.select("path", "content").mapInArrow(_rows, SCHEMA)
 
 
 def scan_delimited(spark: SparkSession, path: str, separator: str = ",", header: bool = True) -> Table:

@@ -71,9 +71,13 @@ class _Builder(HTMLParser):
 
 
 def tree(source: str | None) -> Node:
+    source = source or ""
+    end = source.rfind(">") + 1  # no tag ends after it
     builder = _Builder()
-    builder.feed(source or "")
+    builder.feed(source[:end])
     builder.close()
+    if source[end:]:
+        builder.handle_data(entities.unescape(source[end:]))
     return builder.root
 
 
