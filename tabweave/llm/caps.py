@@ -38,7 +38,7 @@ class Code:
 
     def __init__(self, dim: int, n: int, filters: int = FILTERS, bucket: int = BUCKET, seed: int = SEED) -> None:
         share = min(bucket / max(n, 1), 0.05)
-        self.size = 1 << max(1, (max(dim, 2) - 1).bit_length())
+        self.size = 1 << max(4, (max(dim, 2) - 1).bit_length())  # short vectors are padded: the height is that of sums over many coordinates
         self.parts = 1
         while self.parts < 4 and (filters / share) ** (1 / self.parts) > 2048 and self.size >> self.parts >= 2:
             self.parts += 1
