@@ -37,6 +37,16 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an id or two each that may be broadcast: 100 MB at most.
+BROADCAST_ROWS = 2_000_000
+
+
+def bounded(side: DataFrame, tag: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """side, stored, to be joined with a large table: broadcast if it is known to be small, dealt out with the table if not."""
+    side = stored(side, tag)
+    return F.broadcast(side) if side.count() <= rows else side.hint("merge")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case and nothing else. lower() is the fast path where the text is ASCII throughout."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -10,8 +10,9 @@ a key names band, block and the block's bits. That finds every pair above the th
 To keep passages that many documents share from filling buckets, tokens that occur very often are left
 out of the sketch as long as the others fill d + 1 blocks; which ones does not affect the result.
 
-Sets with a key in common are candidates. First each is compared with one leader per key (a star, so a
-group of n copies costs n comparisons); what the links found do not already connect is compared in full.
+Sets with a key in common are candidates. Each is compared with one leader per key (a star, so a group of
+n copies costs n comparisons), a few times over with other leaders; what the links found do not already
+connect is then compared in full.
 Candidates pass the Hamming bound of whole parity sketches, then the exact test on the sets. Equal sets
 are one node from the start. Only links between nodes already connected are left untested, so classes
 are those of the full join.
@@ -24,18 +25,22 @@ no rows. Set ids are 64-bit hashes: two unequal sets of n share one with probabi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import stored, table
+from tabweave.llm.common import bounded, stored, table
 from tabweave.llm.components import components
 
 GRAM, SHARE, WHOLE = 5, 80, 100
 SLACK, GROWTH = 1.5, 1.25
 SKETCH_LONGS = 16
+ROUNDS = 1
+#: Blocks of which each holds one token, nearly always.
+FINE = 1 << 20
 FLUSH = 1 << 21
 #: A shingle is left out of sketches if it is in so many of the documents; at most 2,000 times the mean set size of shingles are.
 COMMON_SHARE, COMMON_LEAST = 2000, 64
@@ -116,11 +121,11 @@ def _keys(tokens: np.ndarray, rare: np.ndarray, band: int, d: int) -> list[np.nd
 
     If the rare tokens of A fill d + 1 blocks, one of its first d + 1 is equal in B, and it is among B's first
     d + 1 as well if A's last lies no further than B's, else with A and B exchanged. If they fill fewer in
-    both sets, the same holds of blocks of all tokens; failing that too, all of d + 1 blocks are emitted,
-    empty ones included, of which one is equal."""
+    both sets, the same holds of much finer blocks, which hold a rare token each, then of blocks of all tokens;
+    failing all that, all of d + 1 blocks are emitted, empty ones included, of which one is equal."""
     n, out = (int(SLACK * (d + 1)) + 1 if d else 1), []
-    for mode, of in enumerate((rare, tokens)):
-        block, bits = _blocks(of, band, n) if len(of) else (of, of)
+    for mode, (of, blocks) in enumerate(((rare, n), (rare, FINE), (tokens, n))):
+        block, bits = _blocks(of, band, blocks) if len(of) else (of, of)
         take = slice(0, d + 1)
         out.append(_mix(bits[take] ^ _mix(block[take] * np.uint64(4) + np.uint64(mode) + np.uint64(band << 40))))
         if len(block) > d:
@@ -128,7 +133,7 @@ def _keys(tokens: np.ndarray, rare: np.ndarray, band: int, d: int) -> list[np.nd
     whole = np.zeros(d + 1, dtype=np.uint64)
     block, bits = _blocks(tokens, band, d + 1)
     whole[block.astype(np.int64)] = bits
-    out.append(_mix(whole ^ _mix(np.arange(d + 1, dtype=np.uint64) * np.uint64(4) + np.uint64(2) + np.uint64(band << 40))))
+    out.append(_mix(whole ^ _mix(np.arange(d + 1, dtype=np.uint64) * np.uint64(4) + np.uint64(3) + np.uint64(band << 40))))
     return out
 
 
@@ -263,11 +268,52 @@ def verified(pairs: DataFrame, sets: DataFrame, share: int = SHARE, whole: int =
     apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     near = near.where((share * F.greatest("n_a", "n_b") <= whole * F.least("n_a", "n_b")) & ((whole + share) * apart <= (whole - share) * (F.col("n_a") + F.col("n_b")))).select("a", "b")
+    near = stored(near, "near")  # its size is known then, so few pairs fetch their sets without dealing out all sets
     both = near.join(side("a", sets.select("sid", "n", "tokens")), "a").join(side("b", sets.select("sid", "n", "tokens")), "b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return both.where(whole * shared >= share * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
 
 
+def _connected(multi: DataFrame, sets: DataFrame, share: int, whole: int, rounds: int = ROUNDS) -> DataFrame:
+    """multi: key, sid, leader of sets with a key in common. Returns node, root of the components of all links among them.
+
+    Each round compares every set with one leader per key, its first at first and then one drawn anew, unless
+    both are connected already; that is one comparison a row. Keys whose sets are all connected are done. What
+    is left after the rounds is compared in full: all pairs of a key's sets that are in different components."""
+    rows = multi.join(sets.select("sid", "n"), "sid").select("key", "sid", "n", "leader", F.col("sid").alias("root"))
+    known, pairs, turn = None, multi.where("sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b")).distinct(), 0
+    while True:
+        links = stored(verified(pairs, sets, share, whole), "linked")
+        if known is not None:
+            old = known.select(F.col("node"), F.col("root").alias("at"))
+            links = links.join(old.select(F.col("node").alias("a"), F.col("at").alias("x")), "a", "left").join(old.select(F.col("node").alias("b"), F.col("at").alias("y")), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+        merged = components(links)
+        if known is None:
+            known = merged
+        else:  # roots of roots, and nodes linked for the first time
+            known = stored(known.join(merged.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root")).unionByName(merged.join(known.select("node"), "node", "left_anti").select("node", "root")), "roots")
+        if turn > rounds:
+            return known
+        turn += 1
+        rows = rows.drop("root").join(known.select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        rows = stored(rows.select("key", "sid", "n", "leader", "root"), "open")
+        still = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min(F.struct(F.xxhash64(F.lit(turn), "sid").alias("h"), F.col("sid").alias("a"), F.col("n").alias("m"), F.col("root").alias("r"))).alias("drawn")).where("x <> y").select("key", "drawn")
+        near = lambda m, n: share * F.greatest(m, n) <= whole * F.least(m, n)
+        if turn <= rounds:
+            rows = rows.join(still, "key")
+            pairs = rows.where((F.col("drawn.r") != F.col("root")) & near("drawn.m", "n")).select(F.col("drawn.a").alias("a"), F.col("sid").alias("b")).distinct()
+            rows = rows.drop("drawn")
+        else:
+            # The Hamming bound is part of the join's condition, so what cannot link is never a row.
+            bits = [f"s{i}" for i in range(SKETCH_LONGS)]
+            rows = rows.join(still.select("key"), "key", "left_semi").join(sets.select("sid", *(F.col("sketch")[i].alias(c) for i, c in enumerate(bits))), "sid")
+            a, b = rows.alias("a"), rows.alias("b")
+            differ = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in bits))
+            apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.root") < F.col("b.root")) & (F.col("a.sid") != F.col("a.leader")) & (F.col("b.sid") != F.col("b.leader")) & near("a.n", "b.n")
+            apart = apart & ((whole + share) * differ <= (whole - share) * (F.col("a.n") + F.col("b.n")))
+            pairs = a.join(b, apart).select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).distinct()
+
+
 def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole: int = WHOLE) -> DataFrame:
     """docs: doc_id, text. Returns doc_id, n_shingles, component_id for every row; documents link if whole * |A and B| >= share * |A or B|."""
     spark = docs.sparkSession
@@ -280,17 +326,9 @@ def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole
     emitted = docs.select("text").mapInArrow(_emit(gram, share, whole, common), "key long, sid long")
     multi = stored(emitted.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_runs, "key long, sid long, leader long"), "keys")
     wanted = multi.select("sid").distinct().join(by_set, "sid").select(F.col("first").alias("doc_id")).distinct()
+    wanted = bounded(wanted, "wanted")
     sets = stored(docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets(gram), "sid long, n long, sketch array<long>, tokens array<long>").dropDuplicates(["sid"]), "tokens")
-    star = multi.where("sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b")).distinct()
-    links = stored(verified(star, sets, share, whole), "linked")
-    roots = components(links)
-    rooted = stored(multi.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("key", "sid", "leader", F.coalesce("root", "sid").alias("root")), "open")
-    still = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    rooted = rooted.join(still, "key", "left_semi")
-    a, b = rooted.alias("a"), rooted.alias("b")
-    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") < F.col("b.root")) & (F.col("a.sid") != F.col("a.leader")) & (F.col("b.sid") != F.col("b.leader"))).select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).distinct()
-    more = verified(rest, sets, share, whole)
-    roots = components(links.union(more))
+    roots = _connected(multi, sets, share, whole)
     of_set = by_set.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     smallest = of_set.groupBy("root").agg(F.min("first").alias("component"))
     classes = of_set.join(smallest, "root").select("sid", "component")
@@ -301,7 +339,7 @@ def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """docs with one document of each class, the one of the smallest id. Documents without words stay; rows that repeat an id stay or go together."""
     classes = jaccard_classes(docs, **options).select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__class")).distinct()
-    gone = classes.where(~F.col("__id").eqNullSafe(F.col("__class"))).select("__id").distinct()
+    gone = bounded(classes.where(F.col("__id") != F.col("__class")).select("__id").distinct(), "gone")
     return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
 
 
