@@ -20,14 +20,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabweave.llm.common import table
 
-BUCKETS, RANK, SAMPLE, FOLDS, LIMIT = 1 << 14, 8, 12_000, 5, 0.3
+BUCKETS, RANK, SAMPLE, FOLDS, LIMIT = 1 << 14, 8, 4_000, 5, 0.3
 BINS = 12
 _WORD_END = re.compile(r"\w\W\W+(?:\s|\Z)")
 
@@ -118,11 +117,14 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Factori
             found = [features(t, n, memo) for t, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))], ["doc_id", "y", "ids", "x"])
 
-    got: pd.DataFrame = rows.select("doc_id", "text", "n_chars", "__y").mapInArrow(run, "doc_id long, y int, ids array<int>, x array<float>").toPandas()
+    got = rows.select("doc_id", "text", "n_chars", "__y").mapInArrow(run, "doc_id long, y int, ids array<int>, x array<float>").toArrow().combine_chunks()
     model = FactorisationMachine()
-    if len(got):
-        got = got.sort_values(["doc_id", "y"])
-        model.fit([(np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.float64)) for a, b in zip(got["ids"], got["x"], strict=True)], got["y"].to_numpy().astype(float))
+    model.v *= got.num_rows > 0
+    if got.num_rows:
+        order = np.lexsort((got.column(1).to_numpy(), got.column(0).to_numpy()))
+        ids, x = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (got.column(2), got.column(3)))
+        ends, ids, x = ids.offsets.to_numpy(), ids.values.to_numpy(), x.values.to_numpy()
+        model.fit([(ids[ends[i]:ends[i + 1]].astype(np.int64), x[ends[i]:ends[i + 1]].astype(np.float64)) for i in order], got.column(1).to_numpy()[order].astype(float))
     return model
 
 
