@@ -86,7 +86,7 @@ def mix(docs: DataFrame, block: int = BLOCK, most: int = MOST, seed: int = 7, ch
     pieces = copies.select("__row", "source", "__epoch", "__at", "__end", F.explode(F.sequence((F.col("__at") / block).cast("long"), ((F.col("__end") - 1) / block).cast("long"))).alias("__block"))
     pieces = pieces.select("__row", "source", "__epoch", "__block", (F.greatest(F.col("__at"), F.col("__block") * block) - F.col("__at")).alias("__first"),
                            (F.least(F.col("__end"), (F.col("__block") + 1) * block) - F.greatest(F.col("__at"), F.col("__block") * block)).alias("__words"))
-    joined = pieces.alias("p").join(slots.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")) & (F.col("p.__block") == F.col("t.__block")))
+    joined = pieces.alias("p").join(slots.alias("t").hint("merge"), F.col("p.source").eqNullSafe(F.col("t.source")) & (F.col("p.__block") == F.col("t.__block")))
     return sources, joined.select("p.__row", "p.source", "p.__epoch", "t.slot", "p.__first", "p.__words")
 
 
