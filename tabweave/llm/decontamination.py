@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import ascii_lower, split_words, table
+from tabweave.llm.common import ascii_lower, bounded, split_words, table
 
 WINDOW = 13
 #: What is neither a digit, an ASCII letter nor beyond ASCII separates words (after lower-casing, capitals are gone).
@@ -99,6 +99,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "document",
     if mode == "document":
         found = found.where(share * F.col("n_hit") >= F.col("n_words"))
     found = found.groupBy(F.col("doc_id").alias("__doc"), F.col("__key").alias("__text")).agg(F.first("__spans").alias("__spans"))
+    if mode == "document":
+        found = bounded(found.drop("__spans"), "contaminated")
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (text_key(F.col("text")) == F.col("__text"))
     if mode == "document":
         return docs.join(found, same, "left_anti")
