@@ -1,24 +1,27 @@
 """Language-model scores: cross-entropy difference of matched n-gram models.
 
-Target and background share one vocabulary, order, smoothing and table of n-grams; their counts come from
-all target texts and all other texts. A bigram's probability is its count with the word's unigram
-probability as prior (Dirichlet), the unigram's is smoothed by one. For each token the loss under the
-target model less that under the background model is taken; a document's score is the mean (lower: more
-like the target).
-
-Counts are made per task, then summed over all tasks, in two passes. The vocabulary holds every word seen
-at least as often as keeps it within `entries`; all others are one unknown word. Pairs are counted over the
-vocabulary, and the table holds those seen as often as keeps it within `entries`. Both bounds are proven by
-the corpus size (no more than N / k grams are seen k times), so what is broadcast is 24 bytes an entry.
-
-Edge cases: null, empty and blank texts have no tokens, losses of 0 and a score of 0; words outside the
-vocabulary share one probability; without target texts both models are the same smoothing; rows that
-repeat are counted and scored each; an empty table gives no rows.
+Target and background share one vocabulary, order and smoothing; their counts come from all target texts and
+all other texts. A bigram's probability is its count with the word's unigram probability as prior
+(Dirichlet), the unigram's is smoothed by one. For each token the loss under the target model less that under
+the background model is taken; a document's score is the mean (lower: more like the target).
+
+Every word and every pair counts, however rare, and no table of them is broadcast or sent to the driver. Rows
+are packed into chunks of about `CHUNK` tokens, stored as word numbers. Each chunk sends its distinct words and
+pairs with its counts to the parts of the range of hashes; a part, of about `PART` of them, sums up the counts
+and answers each chunk with the sums, from which the chunk's rows are scored. What is sent grows with the
+corpus, what a task holds does not.
+
+Edge cases: null, empty and blank texts have no tokens, losses of 0 and a score of 0; without target texts
+both models are the same smoothing; rows that repeat are counted and scored each; an empty table gives no rows.
+`ngram_models` and `scored` are for small corpora: words and pairs seen once are left out, and the table of the
+others is held by the driver and broadcast.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 
 from tabweave.llm.common import bounded, stored, table
 
-ENTRIES, PRIOR, FLUSH, UNKNOWN = 1_000_000, 50.0, 1 << 21, 0
+PRIOR, FLUSH, UNKNOWN = 50.0, 1 << 21, 0
+CHUNK, PART, START = 1 << 21, 1 << 21, 0x9E3779B97F4A7C15
 
 
 def tokens(text: str | None, memo: dict) -> np.ndarray:
@@ -49,7 +53,10 @@ def tokens(text: str | None, memo: dict) -> np.ndarray:
 def pairs(h: np.ndarray) -> np.ndarray:
     """A hash of each pair of neighbours; the first word's is with the start of the text."""
     u = h.view(np.uint64)
-    before = np.concatenate([[np.uint64(0x9E3779B97F4A7C15)], u[:-1]])
+    return joint(np.concatenate([[np.uint64(START)], u[:-1]]), u)
+
+
+def joint(before: np.ndarray, u: np.ndarray) -> np.ndarray:
     x = (before * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (u + np.uint64(0x165667B19E3779F9))
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return (x ^ (x >> np.uint64(32))).view(np.int64)
@@ -121,21 +128,19 @@ class Model:
         return -np.log((both + self.prior * unigram) / (before + self.prior))
 
 
-def ngram_models(texts: DataFrame, entries: int = ENTRIES, prior: float = PRIOR) -> Model:
-    """texts: text, target (boolean)."""
+def ngram_models(texts: DataFrame, prior: float = PRIOR) -> Model:
+    """texts: text, target (boolean); a small corpus."""
     def counted(of, tag: str) -> DataFrame:
         rows = texts.select("text", "target").mapInArrow(_counts(of), "gram long, target long, background long")
         return stored(rows.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), tag)
 
     def often(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        least = max(2, -(-total // entries))  # at most `entries` grams are seen so often
-        rows = grams.where(F.col("target") + F.col("background") >= least).toArrow()
+        rows = grams.where(F.col("target") + F.col("background") >= 2).toArrow()
         return rows.column(0).to_numpy(), np.stack([rows.column(1).to_numpy(), rows.column(2).to_numpy()])
 
     words = counted(lambda h: h, "words")
     sums = words.agg(F.sum("target"), F.sum("background")).first()
     totals = np.array([sums[0] or 0, sums[1] or 0])
-    total = int(totals.sum())
     vocabulary, counts = often(words)
     shared = texts.sparkSession.sparkContext.broadcast(np.sort(vocabulary))
     return Model(vocabulary, counts, *often(counted(lambda h: pairs(known(h, shared.value)), "pairs")), totals, prior)
@@ -162,9 +167,161 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double, n_nearer long")
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers by planes of their bytes, compressed."""
+    planes = np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), dtype=np.uint8) if n else np.zeros(0, dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).ravel()
+
+
+CHUNKS = "chunk long, ids array<long>, targets array<boolean>, lengths array<long>, n_words long, words binary, numbers binary, target long, background long"
+SENT = "chunk long, part long, n_words long, n_pairs long, words binary, word_target binary, word_background binary, pairs binary, pair_target binary, pair_background binary"
+ANSWERS = "chunk long, part long, n_words long, n_pairs long, new_words long, word_target binary, word_background binary, pair_target binary, pair_background binary"
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[t]) for i, t in enumerate(types)], list(names))
+
+
+def _chunked(size: int):
+    """Chunks of rows: the hashes of their words, in order of appearance, and the number of each token's word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        from pyspark import TaskContext
+
+        made = count(TaskContext.get().partitionId() << 32)
+        seen: defaultdict = defaultdict(count().__next__)
+        ids, targets, lengths, held = [], [], [], []
+        total = [0, 0]
+
+        def flush() -> pa.RecordBatch:
+            nonlocal seen, total
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in seen), dtype=np.int64, count=len(seen))
+            row = (next(made), ids.copy(), targets.copy(), lengths.copy(), len(seen), packed(hashes), packed(np.concatenate(held)), total[1], total[0])
+            for x in (ids, targets, lengths, held):
+                x.clear()
+            seen, total = defaultdict(count().__next__), [0, 0]
+            return _batch(CHUNKS, [row])
+
+        for batch in batches:
+            for doc, text, target in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+                held.append(np.fromiter(map(seen.__getitem__, words), dtype=np.int32, count=len(words)))
+                ids.append(doc)
+                targets.append(bool(target))
+                lengths.append(len(words))
+                total[bool(target)] += len(words)
+                if sum(total) >= size or len(ids) >= 100_000:
+                    yield flush()
+        if ids:
+            yield flush()
+    return run
+
+
+def _opened(row: dict) -> tuple[np.ndarray, ...]:
+    """Of a chunk: its lengths, words and pairs (distinct hashes, ascending), and each token's word and pair among them."""
+    lengths = np.array(row["lengths"], dtype=np.int64)
+    words, at = np.unique(unpacked(row["words"], row["n_words"]), return_inverse=True)
+    numbers = at[unpacked(row["numbers"], int(lengths.sum()))]
+    u = words.view(np.uint64)[numbers]
+    before = np.roll(u, 1)
+    before[_starts(lengths)] = START
+    grams, gram = np.unique(joint(before, u), return_inverse=True)
+    return lengths, words, numbers, grams, gram
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    """Where the texts that have tokens begin."""
+    return (np.cumsum(lengths) - lengths)[lengths > 0]
+
+
+def _sent(parts: int):
+    bounds = np.array([i * (1 << 64) // parts - (1 << 63) for i in range(1, parts)], dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (x for i in range(len(batch)) for x in batch.slice(i, 1).to_pylist()):
+                lengths, words, numbers, grams, gram = _opened(row)
+                target = np.repeat(np.array(row["targets"], dtype=bool), lengths)
+                sides = []
+                for keys, at in ((words, numbers), (grams, gram)):
+                    one = np.bincount(at[target], minlength=len(keys))
+                    sides.append((keys, one, np.bincount(at, minlength=len(keys)) - one, [0, *np.searchsorted(keys, bounds), len(keys)]))
+                for part in range(parts):
+                    cut = [slice(ends[part], ends[part + 1]) for *_, ends in sides]
+                    n = [int(c.stop - c.start) for c in cut]
+                    if any(n):
+                        data = [packed(x) for (keys, one, other, _), c in zip(sides, cut, strict=True) for x in (np.diff(keys[c], prepend=np.int64(0)), one[c], other[c])]
+                        yield _batch(SENT, [(row["chunk"], part, *n, *data)])
+    return run
+
+
+def _answered(rows: pa.Table) -> pa.Table:
+    """The sums over all chunks of what each chunk sent to a part."""
+    rows = rows.to_pylist()
+    out = [[r["chunk"], r["part"], r["n_words"], r["n_pairs"], 0] for r in rows]
+    for kind in ("word", "pair"):
+        sizes = [r[f"n_{kind}s"] for r in rows]
+        keys, at = np.unique(np.concatenate([np.cumsum(unpacked(r[f"{kind}s"], n)) for r, n in zip(rows, sizes, strict=True)]), return_inverse=True)
+        if kind == "word":
+            out[0][4] = len(keys)
+        ends = np.cumsum(sizes)[:-1]
+        sums = []
+        for side in ("target", "background"):
+            each = np.concatenate([unpacked(r[f"{kind}_{side}"], n) for r, n in zip(rows, sizes, strict=True)])
+            sums.append(np.split(np.bincount(at, weights=each, minlength=len(keys)).astype(np.int64)[at], ends))
+        for row, one, other in zip(out, *sums, strict=True):
+            row += [packed(one), packed(other)]
+    return pa.Table.from_batches([_batch(ANSWERS, [tuple(r) for r in out])])
+
+
+SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double, n_nearer long"
+
+
+def _rated(totals: np.ndarray, vocabulary: int, prior: float):
+    def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        (row,) = chunks.to_pylist()
+        lengths, _, numbers, _, gram = _opened(row)
+        parts = sorted(answers.to_pylist(), key=lambda r: r["part"])
+        starts, filled = _starts(lengths), lengths > 0
+        losses = []
+        for side, total in zip(("target", "background"), totals, strict=True):
+            words, pairs_ = (np.concatenate([np.zeros(0, dtype=np.int64), *(unpacked(r[f"{kind}_{side}"], r[f"n_{kind}s"]) for r in parts)]) for kind in ("word", "pair"))
+            c = words[numbers].astype(float)
+            before = np.roll(c, 1)
+            before[starts] = total  # at the start of a text, so many starts at most
+            losses.append(-np.log((np.minimum(pairs_[gram], before) + prior * (c + 1) / (total + vocabulary)) / (before + prior)))
+        t, b = losses
+        out = [np.zeros(len(lengths)) for _ in range(4)]
+        if len(starts):
+            for x, of in zip(out, (t, b, t - b, t < b), strict=True):
+                x[filled] = np.add.reduceat(of.astype(float), starts)
+            for x in out[:3]:
+                x[filled] /= lengths[filled]
+        return pa.table([pa.array(row["ids"], pa.int64()), pa.array(lengths), *map(pa.array, out[:3]), pa.array(out[3].astype(np.int64))], names=[x.split()[0] for x in SCORES.split(", ")])
+    return run
+
+
+def scored_corpus(docs: DataFrame, prior: float = PRIOR, chunk: int = CHUNK, part: int = PART) -> DataFrame:
+    """docs: doc_id, text, target (boolean). The columns of scored(), by the models of all their words and pairs."""
+    chunks = stored(docs.select("doc_id", "text", "target").mapInArrow(_chunked(chunk), CHUNKS), "chunks")
+    target, background = (int(x or 0) for x in chunks.agg(F.sum("target"), F.sum("background")).first())
+    parts = -(-(target + background) // part) or 1
+    sent = chunks.mapInArrow(_sent(parts), SENT)
+    answers = stored(sent.groupBy("part").applyInArrow(_answered, ANSWERS), "answers")
+    vocabulary = answers.agg(F.sum("new_words")).first()[0] or 0
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_rated(np.array([target, background], dtype=float), vocabulary, prior), SCORES)
+
+
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled of good quality and not toxic; background: all others."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     good = bounded(labels.where("quality = 1 AND toxic = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct(), "target")
-    texts = docs.join(good, F.col("doc_id") == F.col("__id"), "left").select("text", F.col("__id").isNotNull().alias("target"))
-    return scored(docs, ngram_models(texts))
+    texts = docs.join(good, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.col("__id").isNotNull().alias("target"))
+    return scored_corpus(texts)

@@ -315,6 +315,35 @@ def test_language_models(spark, empty):
     assert lm.scored(docs.limit(0), lm.ngram_models(empty.selectExpr("text", "true as target"))).count() == 0
 
 
+def test_language_models_keep_all(spark, empty):
+    """Every word and pair counts, at any size of chunks and parts."""
+    rows = [(i, " ".join(words(30) + [f"rare{i}"]), i % 3 == 0) for i in range(60)] + [(60, "rare3 rare7 once", False), (None, "A  b\na B", True), (61, None, True), (61, "", False), (62, " \t", False), (62, "b a", False), (62, "b a", False)]
+    counts, both, totals = [{}, {}], [{}, {}], [0, 0]
+    split = lambda text: (text or "").lower().split()
+    for _, text, target in rows:
+        for a, w in zip([None, *split(text)], split(text)):
+            side = 0 if target else 1
+            counts[side][w] = counts[side].get(w, 0) + 1
+            both[side][a, w] = both[side].get((a, w), 0) + 1
+            totals[side] += 1
+    size = len({*counts[0], *counts[1]})
+
+    def loss(side, a, w):
+        before = totals[side] if a is None else counts[side].get(a, 0)
+        return -np.log((both[side].get((a, w), 0) + lm.PRIOR * (counts[side].get(w, 0) + 1) / (totals[side] + size)) / (before + lm.PRIOR))
+
+    want = []
+    for i, text, _ in rows:
+        each = [[loss(side, a, w) for a, w in zip([None, *split(text)], split(text))] for side in (0, 1)]
+        t, b = (sum(x) / max(len(x), 1) for x in each)
+        want.append((-1 if i is None else i, len(each[0]), t, b, t - b, sum(x < y for x, y in zip(*each))))
+    df = spark.createDataFrame(rows, "doc_id long, text string, target boolean").repartition(3)
+    for chunk, part in ((1 << 21, 1 << 21), (100, 64)):
+        got = sorted((-1 if r.doc_id is None else r.doc_id, *r[1:]) for r in lm.scored_corpus(df, chunk=chunk, part=part).collect())
+        assert np.allclose(np.array(got), np.array(sorted(want)), rtol=0, atol=1e-9)
+    assert lm.scored_corpus(empty.selectExpr("doc_id", "text", "true as target")).count() == 0
+
+
 # Quality.
 def test_quality(spark, docs, empty):
     good = [(i, " ".join(words(60)).capitalize() + ".", "en", "s", 300) for i in range(300)]
