@@ -1,10 +1,10 @@
 """Near-duplicate vectors by spherical-cap filters.
 
 Filter directions are the products of small random codes on the blocks of a structured random rotation
-(signs and Hadamard transforms, twice). A vector is list-decoded to every direction whose cap it lies in;
-vectors are joined on filters and each pair is verified by its cosine in double precision, in the first
-filter it shares. The cap's height follows the number of vectors, so that a filter keeps about `BUCKET`
-of random ones at any size, and a vector is in about `FILTERS` of them.
+(signs and Hadamard transforms, twice). A vector is list-decoded to the `FILTERS` directions nearest to it, so
+that its caps are as high as it takes and no vector is without filters at any size; vectors are joined on
+filters and each pair is verified by its cosine in double precision, in the first filter it shares. The number
+of directions follows the number of vectors, so that a filter keeps about `BUCKET` of random ones.
 
 Large filters (groups of near copies) are cut into chunks, and pairs of chunks are compared apart, so no
 task holds more than two chunks and none of the pairs is lost. Tasks return link counts and spanning
@@ -19,7 +19,6 @@ missed if it shares no filter (measured in the tests and the README).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -30,21 +29,21 @@ from pyspark.sql import functions as F
 from tabweave.llm.common import stored, table
 from tabweave.llm.components import components
 
-THRESHOLD, BUCKET, FILTERS, CHUNK, SEED = 0.95, 256, 24, 512, 11
+THRESHOLD, BUCKET, FILTERS, CHUNK, SEED, ROWS = 0.95, 256, 24, 512, 11, 512
 
 
 class Code:
-    """The filters for vectors of one length: `parts` codes of `words` directions each and the height of the caps."""
+    """The filters for vectors of one length: `parts` codes of `words` directions each, and how many a vector is in."""
 
     def __init__(self, dim: int, n: int, filters: int = FILTERS, bucket: int = BUCKET, seed: int = SEED) -> None:
         share = min(bucket / max(n, 1), 0.05)
-        self.size = 1 << max(4, (max(dim, 2) - 1).bit_length())  # short vectors are padded: the height is that of sums over many coordinates
+        self.filters = filters
+        self.size = 1 << max(4, (max(dim, 2) - 1).bit_length())  # short vectors are padded
         self.parts = 1
         while self.parts < 4 and (filters / share) ** (1 / self.parts) > 2048 and self.size >> self.parts >= 2:
             self.parts += 1
         self.parts = max(2, self.parts)
         self.words = int(np.ceil((filters / share) ** (1 / self.parts)))
-        self.height = NormalDist().inv_cdf(1 - share) * np.sqrt(self.parts / self.size)  # of the sum over the blocks, with unit codewords
         rng = np.random.default_rng([seed, dim])
         self.signs = rng.choice([-1.0, 1.0], (2, self.size))
         codes = rng.standard_normal((self.parts, self.words, self.size // self.parts if self.parts in (2, 4) else -(-self.size // self.parts)))
@@ -64,21 +63,26 @@ class Code:
         return out
 
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
-        """For each unit vector the numbers of all filters that it exceeds, ascending."""
+        """For each unit vector the numbers of its nearest filters, ascending."""
+        return [found for i in range(0, len(x), ROWS) for found in self._nearest(x[i:i + ROWS])]
+
+    def _nearest(self, x: np.ndarray) -> np.ndarray:
+        """The best sums over the first blocks are among the best over one block less, each with the best of its own block."""
         y, width = self.rotate(x), self.codes.shape[2]
         y = np.pad(y, ((0, 0), (0, width * self.parts - self.size)))
-        scores = np.stack([y[:, p * width:(p + 1) * width] @ self.codes[p].T for p in range(self.parts)], axis=1)
-        best = scores.max(axis=2)
-        rest = np.concatenate([np.cumsum(best[:, ::-1], axis=1)[:, ::-1][:, 1:], np.zeros((len(x), 1))], axis=1)
-        out = []
-        for row, left in zip(scores, rest, strict=True):
-            number, total = np.zeros(1, dtype=np.int64), np.zeros(1)
-            for p in range(self.parts):
-                sums = total[:, None] + row[p][None, :]
-                i, j = np.nonzero(sums >= self.height - left[p])
-                number, total = number[i] * self.words + j, sums[i, j]
-            out.append(np.sort(number))
-        return out
+        number, total = np.zeros((len(x), 1), dtype=np.int64), np.zeros((len(x), 1))
+        for p in range(self.parts):
+            scores = y[:, p * width:(p + 1) * width] @ self.codes[p].T
+            own = self._best(scores)
+            sums = (total[:, :, None] + np.take_along_axis(scores, own, 1)[:, None, :]).reshape(len(x), -1)
+            numbers = (number[:, :, None] * self.words + own[:, None, :]).reshape(len(x), -1)
+            at = self._best(sums)
+            number, total = np.take_along_axis(numbers, at, 1), np.take_along_axis(sums, at, 1)
+        return np.sort(number, axis=1)
+
+    def _best(self, scores: np.ndarray) -> np.ndarray:
+        k = min(self.filters, scores.shape[1])
+        return np.argpartition(-scores, k - 1, axis=1)[:, :k]
 
 
 def _decode(n: int, filters: int, bucket: int, seed: int):

@@ -223,6 +223,21 @@ def test_caps(spark):
     assert caps.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim", (32, 64))
+@pytest.mark.parametrize("n", (2_000, 200_000, 2_000_000, 20_000_000))
+def test_caps_recall_at_size(dim, n):
+    """Pairs just over the threshold share a filter, and every vector has its filters, with the codes for tables of any size."""
+    rng = np.random.default_rng(8)
+    a, b = rng.standard_normal((2, 300, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.951 * a + np.sqrt(1 - 0.951 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    code = caps.Code(dim, n)
+    left, right = code.decode(a), code.decode(b)
+    assert all(len(set(x.tolist())) == caps.FILTERS for x in (*left, *right))
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(left, right, strict=True)]) >= 0.97
+
+
 # Archives.
 def test_arc_and_warc():
     page = b"HTTP/1.1 200 OK\r\nX-Record-Order: 7\r\n\r\n<html>\nWARC/1.1\r\n\r\nhttp://x 1.2.3.4 20200102030405 text/html 3\n"
