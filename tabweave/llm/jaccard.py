@@ -18,8 +18,8 @@ are one node from the start. Only links between nodes already connected are left
 are those of the full join.
 
 Edge cases: null, empty and blank texts have no set, n_shingles 0 and a class of their own; texts of
-fewer words than a shingle are one shingle; rows that repeat an id share its class; empty tables give
-no rows. Set ids are 64-bit hashes: two unequal sets of n share one with probability n * n / 2^65.
+fewer words than a shingle are one shingle; rows that repeat an id share its class; rows without an id
+link as others do and have the smallest id of their class, null if none has an id; empty tables give no rows. Set ids are 64-bit hashes: two unequal sets of n share one with probability n * n / 2^65.
 """
 
 from __future__ import annotations
@@ -155,7 +155,7 @@ def _describe(gram: int):
                 found = shingle_set(text, gram, memo)
                 n.append(len(found))
                 ids.append(set_id(found) if len(found) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64())], ["doc_id", "n_shingles", "sid"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(ids, pa.int64())], ["doc_id", "row", "n_shingles", "sid"])
     return run
 
 
@@ -317,17 +317,17 @@ def _connected(multi: DataFrame, sets: DataFrame, share: int, whole: int, rounds
 def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole: int = WHOLE) -> DataFrame:
     """docs: doc_id, text. Returns doc_id, n_shingles, component_id for every row; documents link if whole * |A and B| >= share * |A or B|."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    described = stored(docs.mapInArrow(_describe(gram), "doc_id long, n_shingles long, sid long"), "sets")
-    by_set = described.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first"), F.count("*").alias("__n"))
+    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))  # row: to fetch texts by, with and without an id
+    described = stored(docs.mapInArrow(_describe(gram), "doc_id long, row long, n_shingles long, sid long"), "sets")
+    by_set = described.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first"), F.min("row").alias("row"), F.count("*").alias("__n"))
     least = max(COMMON_LEAST, described.count() // COMMON_SHARE)
     often = docs.select("text").mapInArrow(_frequent(gram), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token")
     common = spark.sparkContext.broadcast(np.sort(often.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64)))
     emitted = docs.select("text").mapInArrow(_emit(gram, share, whole, common), "key long, sid long")
     multi = stored(emitted.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_runs, "key long, sid long, leader long"), "keys")
-    wanted = multi.select("sid").distinct().join(by_set, "sid").select(F.col("first").alias("doc_id")).distinct()
+    wanted = multi.select("sid").distinct().join(by_set, "sid").select("row").distinct()
     wanted = bounded(wanted, "wanted")
-    sets = stored(docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_sets(gram), "sid long, n long, sketch array<long>, tokens array<long>").dropDuplicates(["sid"]), "tokens")
+    sets = stored(docs.join(wanted, "row", "left_semi").select("text").mapInArrow(_sets(gram), "sid long, n long, sketch array<long>, tokens array<long>").dropDuplicates(["sid"]), "tokens")
     roots = _connected(multi, sets, share, whole)
     of_set = by_set.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     smallest = of_set.groupBy("root").agg(F.min("first").alias("component"))
@@ -337,7 +337,7 @@ def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """docs with one document of each class, the one of the smallest id. Documents without words stay; rows that repeat an id stay or go together."""
+    """docs with one document of each class, the one of the smallest id. Documents without words and rows without an id stay; rows that repeat an id stay or go together."""
     classes = jaccard_classes(docs, **options).select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__class")).distinct()
     gone = bounded(classes.where(F.col("__id") != F.col("__class")).select("__id").distinct(), "gone")
     return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")

@@ -175,6 +175,14 @@ def test_jaccard(spark, docs, gram, share):
     assert got == brute_classes(rows, gram, share)
 
 
+def test_jaccard_links_through_rows_without_id(spark):
+    text = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    df = spark.createDataFrame([(1, text(0, 10)), (None, text(2, 12)), (3, text(4, 14)), (4, text(20, 30)), (None, text(40, 50)), (None, text(41, 51))], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.component_id) for r in jaccard.jaccard_classes(df, 1, 60).where("doc_id IS NOT NULL OR component_id IS NOT NULL").collect())
+    assert got == [(0, 1), (1, 1), (3, 1), (4, 4)]
+    assert sorted(r.doc_id or 0 for r in jaccard.deduplicated(df, gram=1, share=60).collect()) == [0, 0, 0, 1, 4]
+
+
 def test_jaccard_keys_never_miss():
     """Pairs at the threshold share a key, whichever tokens are left out as common."""
     rng, bands = np.random.default_rng(5), jaccard.Bands(80, 100)
