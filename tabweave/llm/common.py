@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -18,32 +19,72 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's own, or a temporary one where none is set (tests)."""
+    """The folder that driver and executors share. Where none is set, a temporary one does if all runs in one process (tests); a cluster has to name one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="tabweave-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/tabweave/{tag}-{uuid.uuid4().hex}"
+    """A new path below the folder of this application in the shared folder."""
+    return f"{_own_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tabweave/{spark.sparkContext.applicationId}"
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """df as a table written to the shared folder and read back: lineage ends there and survives lost executors."""
     path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a path in whatever file system holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def released(*tables: DataFrame | None) -> None:
+    """Deletes tables of stored(): for those whose readers have been written themselves. Others stay (a result may be read again) until cleared()."""
+    for df in tables:
+        if df is not None and hasattr(df, "stored_at"):
+            removed(df.sparkSession, df.stored_at)
+
+
+def cleared(spark: SparkSession) -> None:
+    """Deletes all that this application has stored: to be called when its results have been written."""
+    removed(spark, _own_dir(spark))
+
+
+@contextlib.contextmanager
+def releasing():
+    """Collects tables of stored() that only serve what is written within the block, and deletes them at its end."""
+    held: list[DataFrame] = []
+
+    def keep(df: DataFrame, tag: str) -> DataFrame:
+        held.append(stored(df, tag))
+        return held[-1]
+
+    yield keep
+    released(*held)
 
 
 #: Rows of an id or two each that may be broadcast: 100 MB at most.
 BROADCAST_ROWS = 2_000_000
 
 
-def bounded(side: DataFrame, tag: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+def bounded(side: DataFrame, tag: str, rows: int = BROADCAST_ROWS, keep=None) -> DataFrame:
     """side, stored, to be joined with a large table: broadcast if it is known to be small, dealt out with the table if not."""
-    side = stored(side, tag)
+    side = (keep or stored)(side, tag)
     return F.broadcast(side) if side.count() <= rows else side.hint("merge")
 
 

@@ -10,7 +10,8 @@ features. Counts of all words of whole texts enter, at training and scoring.
 
 Edge cases: null and empty texts are scored by their (empty) statistics; null metadata has a bin of its
 own; without labelled rows every score is 0.5; rows that repeat get the same score each; several labels
-of one id count each; an empty table gives no rows.
+of one id count each; an empty table gives no rows; a score of exactly the limit counts as good; very long
+texts are scored whole; further columns are carried, and those named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from tabweave.llm.common import table
 
 BUCKETS, RANK, SAMPLE, FOLDS, LIMIT = 1 << 14, 8, 4_000, 5, 0.3
-BINS = 12
+BINS, SLICE = 12, 256
 _WORD_END = re.compile(r"\w\W\W+(?:\s|\Z)")
 
 
@@ -53,7 +54,7 @@ def features(text: str | None, n_chars: int | None, memo: dict) -> tuple[np.ndar
     """Numbers and values of the features of a document; its words' squares sum to one."""
     text = text or ""
     words = text.lower().split()
-    if len(memo) > 500_000:
+    if len(memo) > 200_000:
         memo.clear()
     at = np.fromiter((memo.get(w) if w in memo else memo.setdefault(w, zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS) for w in words), dtype=np.int64, count=len(words))
     ids, counts = np.unique(at, return_counts=True)
@@ -114,7 +115,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Factori
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict = {}
         for batch in batches:
-            found = [features(t, n, memo) for t, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            found = [features(t, n, memo) for i in range(0, batch.num_rows, SLICE) for t, n in zip(*(batch.column(k).slice(i, SLICE).to_pylist() for k in (1, 2)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))], ["doc_id", "y", "ids", "x"])
 
     got = rows.select("doc_id", "text", "n_chars", "__y").mapInArrow(run, "doc_id long, y int, ids array<int>, x array<float>").toArrow().combine_chunks()
@@ -128,21 +129,29 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Factori
     return model
 
 
-def classified(docs: DataFrame, model: FactorisationMachine, keep: float = LIMIT, whole: bool = False) -> DataFrame:
-    """docs with score and predicted; doc_id, score and predicted only, unless whole."""
+def classified(docs: DataFrame, model: FactorisationMachine, keep: float = LIMIT, whole: bool = False, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs with score and predicted, under these names (columns that have one, in any case, are replaced); doc_id and these only, unless whole.
+
+    Rows are scored `SLICE` at a time, so a task holds a batch of texts and the features of a slice."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns if whole else ["doc_id"]
-    at = docs.select(*(F.col(f"`{c}`") for c in columns), F.col("text").alias("__text"), F.col("n_chars").alias("__n"))
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in names))
+    lower = [c.lower() for c in docs.columns]
+    text, n_chars = lower.index("text"), lower.index("n_chars")
+    columns = docs.columns if whole else [docs.columns[lower.index("doc_id")]]
+    kept = [docs.columns.index(c) for c in columns]
+    if not whole:
+        docs, kept, text, n_chars = docs.select(columns[0], "text", "n_chars"), [0], 1, 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict = {}
         for batch in batches:
-            rows = [features(t, n, memo) for t, n in zip(batch.column(len(columns)).to_pylist(), batch.column(len(columns) + 1).to_pylist(), strict=True)]
-            score = shared.value.scores(rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(columns)], pa.array(score), pa.array((score >= keep).astype(np.int32))], [*columns, "score", "predicted"])
+            for i in range(0, batch.num_rows, SLICE):
+                part = batch.slice(i, SLICE)
+                score = shared.value.scores([features(t, n, memo) for t, n in zip(part.column(text).to_pylist(), part.column(n_chars).to_pylist(), strict=True)])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in kept), pa.array(score, pa.float64()), pa.array((score >= keep).astype(np.int32))], [*columns, *names])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*(F.col(f"`{c}`") for c in columns)).dtypes)
-    return at.mapInArrow(run, f"{schema}, score double, predicted int")
+    return docs.mapInArrow(run, f"{schema}, `{names[0]}` double, `{names[1]}` int")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

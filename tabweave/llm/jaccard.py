@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import bounded, stored, table
+from tabweave.llm.common import bounded, releasing, released, stored, table
 from tabweave.llm.components import components
 
 GRAM, SHARE, WHOLE = 5, 80, 100
@@ -42,8 +42,11 @@ ROUNDS = 1
 #: Blocks of which each holds one token, nearly always.
 FINE = 1 << 20
 FLUSH = 1 << 21
-#: A shingle is left out of sketches if it is in so many of the documents; at most 2,000 times the mean set size of shingles are.
+#: A shingle is left out of sketches if it is in so many of the documents; at most 2,000 times the mean set size of shingles are. Which are left out does not change results.
 COMMON_SHARE, COMMON_LEAST = 2000, 64
+#: As many of them at most are sent to the tasks, 16 MB: if there are more, the share is raised.
+COMMON_MOST = 2_000_000
+DESCRIBED = "doc_id long, row long, n_shingles long, sid long, token long, n long"
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
@@ -147,37 +150,33 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _describe(gram: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _Hashes()
-        for batch in batches:
-            n, ids = [], []
-            for text in batch.column(1).to_pylist():
-                found = shingle_set(text, gram, memo)
-                n.append(len(found))
-                ids.append(set_id(found) if len(found) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(ids, pa.int64())], ["doc_id", "row", "n_shingles", "sid"])
-    return run
-
+    """One pass over the texts: a row for each document, and (token, n) for shingles met twice or more among the distinct sets of a stretch of documents."""
+    names, kinds = [x.split(" ")[0] for x in DESCRIBED.split(", ")], [pa.int64()] * 6
 
-def _frequent(gram: int):
-    """(shingle, count) of those found twice or more among the distinct sets of a stretch of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, held, size, seen = _Hashes(), [], 0, set()
 
-        def flush():
+        def flush() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             often = counts > 1
-            return pa.RecordBatch.from_arrays([pa.array(_signed(values[often])), pa.array(counts[often].astype(np.int64))], ["token", "n"])
+            none = pa.nulls(int(often.sum()), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(_signed(values[often])), pa.array(counts[often].astype(np.int64))], names)
 
-        for (text,) in _rows(batches):
-            found = shingle_set(text, gram, memo)
-            if len(found) and (own := set_id(found)) not in seen:
-                seen.add(own)
-                held.append(found)
-                size += len(found)
-            if size > FLUSH:
-                yield flush()
-                held, size, seen = [], 0, set()
+        for batch in batches:
+            n, ids = [], []
+            for text in batch.column(1).to_pylist():
+                found = shingle_set(text, gram, memo)
+                n.append(len(found))
+                ids.append(set_id(found) if len(found) else None)
+                if len(found) and ids[-1] not in seen:
+                    seen.add(ids[-1])
+                    held.append(found)
+                    size += len(found)
+                if size > FLUSH:
+                    yield flush()
+                    held, size, seen = [], 0, set()
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((batch.column(0), batch.column(2), n, ids, none, none), kinds, strict=True)], names)
         if held:
             yield flush()
     return run
@@ -261,17 +260,18 @@ def _sets(gram: int):
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, share: int = SHARE, whole: int = WHOLE) -> DataFrame:
-    """Those of pairs (a, b: sids) that link: Hamming bound of the parity sketches first, then the exact test."""
+def verified(pairs: DataFrame, sets: DataFrame, tag: str, share: int = SHARE, whole: int = WHOLE) -> DataFrame:
+    """Those of pairs (a, b: sids) that link, stored: Hamming bound of the parity sketches first, then the exact test."""
     short = sets.select("sid", "n", "sketch")
     side = lambda x, of=short: of.select(*(F.col(c).alias(x if c == "sid" else f"{c}_{x}") for c in of.columns))
     apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     near = near.where((share * F.greatest("n_a", "n_b") <= whole * F.least("n_a", "n_b")) & ((whole + share) * apart <= (whole - share) * (F.col("n_a") + F.col("n_b")))).select("a", "b")
-    near = stored(near, "near")  # its size is known then, so few pairs fetch their sets without dealing out all sets
-    both = near.join(side("a", sets.select("sid", "n", "tokens")), "a").join(side("b", sets.select("sid", "n", "tokens")), "b")
-    shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    return both.where(whole * shared >= share * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
+    with releasing() as keep:
+        near = keep(near, "near")  # its size is known then, so few pairs fetch their sets without dealing out all sets
+        both = near.join(side("a", sets.select("sid", "n", "tokens")), "a").join(side("b", sets.select("sid", "n", "tokens")), "b")
+        shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
+        return stored(both.where(whole * shared >= share * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b"), tag)
 
 
 def _connected(multi: DataFrame, sets: DataFrame, share: int, whole: int, rounds: int = ROUNDS) -> DataFrame:
@@ -281,9 +281,10 @@ def _connected(multi: DataFrame, sets: DataFrame, share: int, whole: int, rounds
     both are connected already; that is one comparison a row. Keys whose sets are all connected are done. What
     is left after the rounds is compared in full: all pairs of a key's sets that are in different components."""
     rows = multi.join(sets.select("sid", "n"), "sid").select("key", "sid", "n", "leader", F.col("sid").alias("root"))
-    known, pairs, turn = None, multi.where("sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b")).distinct(), 0
+    known, opened, pairs, turn = None, None, multi.where("sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b")).distinct(), 0
     while True:
-        links = stored(verified(pairs, sets, share, whole), "linked")
+        linked = verified(pairs, sets, "linked", share, whole)
+        links = linked
         if known is not None:
             old = known.select(F.col("node"), F.col("root").alias("at"))
             links = links.join(old.select(F.col("node").alias("a"), F.col("at").alias("x")), "a", "left").join(old.select(F.col("node").alias("b"), F.col("at").alias("y")), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
@@ -291,12 +292,18 @@ def _connected(multi: DataFrame, sets: DataFrame, share: int, whole: int, rounds
         if known is None:
             known = merged
         else:  # roots of roots, and nodes linked for the first time
+            before = known
             known = stored(known.join(merged.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root")).unionByName(merged.join(known.select("node"), "node", "left_anti").select("node", "root")), "roots")
+            released(before)
+        released(linked)
         if turn > rounds:
+            released(opened)
             return known
         turn += 1
         rows = rows.drop("root").join(known.select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        rows = stored(rows.select("key", "sid", "n", "leader", "root"), "open")
+        before, opened = opened, stored(rows.select("key", "sid", "n", "leader", "root"), "open")
+        released(before)
+        rows = opened
         still = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min(F.struct(F.xxhash64(F.lit(turn), "sid").alias("h"), F.col("sid").alias("a"), F.col("n").alias("m"), F.col("root").alias("r"))).alias("drawn")).where("x <> y").select("key", "drawn")
         near = lambda m, n: share * F.greatest(m, n) <= whole * F.least(m, n)
         if turn <= rounds:
@@ -314,21 +321,30 @@ def _connected(multi: DataFrame, sets: DataFrame, share: int, whole: int, rounds
             pairs = a.join(b, apart).select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).distinct()
 
 
+def _common(facts: DataFrame, least: int) -> np.ndarray:
+    """Sorted shingles that `least` documents or more hold, of which there are COMMON_MOST at most: least is raised until then."""
+    sums = facts.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    with releasing() as keep:
+        sums = keep(sums, "common")
+        while sums.where(F.col("n") >= least).count() > COMMON_MOST:
+            least *= 2
+        return np.sort(sums.where(F.col("n") >= least).select("token").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
+
+
 def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole: int = WHOLE) -> DataFrame:
     """docs: doc_id, text. Returns doc_id, n_shingles, component_id for every row; documents link if whole * |A and B| >= share * |A or B|."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))  # row: to fetch texts by, with and without an id
-    described = stored(docs.mapInArrow(_describe(gram), "doc_id long, row long, n_shingles long, sid long"), "sets")
+    facts = stored(docs.mapInArrow(_describe(gram), DESCRIBED), "sets")
+    described = facts.where("token IS NULL").select("doc_id", "row", "n_shingles", "sid")
     by_set = described.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first"), F.min("row").alias("row"), F.count("*").alias("__n"))
-    least = max(COMMON_LEAST, described.count() // COMMON_SHARE)
-    often = docs.select("text").mapInArrow(_frequent(gram), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("token")
-    common = spark.sparkContext.broadcast(np.sort(often.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64)))
+    common = spark.sparkContext.broadcast(_common(facts, max(COMMON_LEAST, described.count() // COMMON_SHARE)))
     emitted = docs.select("text").mapInArrow(_emit(gram, share, whole, common), "key long, sid long")
-    multi = stored(emitted.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_runs, "key long, sid long, leader long"), "keys")
-    wanted = multi.select("sid").distinct().join(by_set, "sid").select("row").distinct()
-    wanted = bounded(wanted, "wanted")
-    sets = stored(docs.join(wanted, "row", "left_semi").select("text").mapInArrow(_sets(gram), "sid long, n long, sketch array<long>, tokens array<long>").dropDuplicates(["sid"]), "tokens")
-    roots = _connected(multi, sets, share, whole)
+    with releasing() as keep:
+        multi = keep(emitted.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_runs, "key long, sid long, leader long"), "keys")
+        wanted = bounded(multi.select("sid").distinct().join(by_set, "sid").select("row").distinct(), "wanted", keep=keep)
+        sets = keep(docs.join(wanted, "row", "left_semi").select("text").mapInArrow(_sets(gram), "sid long, n long, sketch array<long>, tokens array<long>").dropDuplicates(["sid"]), "tokens")
+        roots = stored(_connected(multi, sets, share, whole), "classes")
     of_set = by_set.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     smallest = of_set.groupBy("root").agg(F.min("first").alias("component"))
     classes = of_set.join(smallest, "root").select("sid", "component")
