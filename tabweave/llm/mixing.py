@@ -66,7 +66,8 @@ def schedule(blocks: DataFrame, bits: int, total: int) -> DataFrame:
 def mix(docs: DataFrame, block: int = BLOCK, most: int = MOST, seed: int = 7, chunks: int = CHUNKS) -> tuple[DataFrame, DataFrame]:
     """docs: __row (anything that tells rows apart), source, size. Returns (sources with targets, pieces).
 
-    A piece is a run of one document's words in one block: __row, source, slot, __first, __words; the pieces in slot order are the mix."""
+    A piece is a run of one document's words in one block: __row, source, __epoch, __block, __from (its place in the block), slot, __first
+    (its place in the document), __words; the pieces by slot and __from are the mix. Columns of docs beside these are not read."""
     sources = stored(targets(stored(docs.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes"), most), "targets")
     line = sources.withColumn("__length", F.least(F.round("target").cast("long"), most * F.col("source_size"))).withColumn("__blocks", F.ceil(F.col("__length") / block).cast("long"))
     line = line.withColumn("__before", F.coalesce(F.sum("__blocks").over(Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -84,38 +85,46 @@ def mix(docs: DataFrame, block: int = BLOCK, most: int = MOST, seed: int = 7, ch
     copies = put.select("__row", "source", "size", "source_size", "__length", (F.col("__start") + F.col("__in")).alias("__at"), F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("__epoch"))
     copies = copies.withColumn("__at", F.col("__at") + F.col("__epoch") * F.col("source_size")).withColumn("__end", F.least(F.col("__at") + F.col("size"), F.col("__length"))).where(F.col("__at") < F.col("__end"))
     pieces = copies.select("__row", "source", "__epoch", "__at", "__end", F.explode(F.sequence((F.col("__at") / block).cast("long"), ((F.col("__end") - 1) / block).cast("long"))).alias("__block"))
-    pieces = pieces.select("__row", "source", "__epoch", "__block", (F.greatest(F.col("__at"), F.col("__block") * block) - F.col("__at")).alias("__first"),
+    pieces = pieces.select("__row", "source", "__epoch", "__block", (F.greatest(F.col("__at"), F.col("__block") * block) - F.col("__block") * block).alias("__from"), (F.greatest(F.col("__at"), F.col("__block") * block) - F.col("__at")).alias("__first"),
                            (F.least(F.col("__end"), (F.col("__block") + 1) * block) - F.greatest(F.col("__at"), F.col("__block") * block)).alias("__words"))
     joined = pieces.alias("p").join(slots.alias("t").hint("merge"), F.col("p.source").eqNullSafe(F.col("t.source")) & (F.col("p.__block") == F.col("t.__block")))
-    return sources, joined.select("p.__row", "p.source", "p.__epoch", "t.slot", "p.__first", "p.__words")
+    return sources, joined.select("p.__row", "p.source", "p.__epoch", "p.__block", "p.__from", "t.slot", "p.__first", "p.__words")
+
+
+def _alike(docs: DataFrame) -> Column:
+    """Equal for rows that agree in all columns (but maps and variants), which are interchangeable."""
+    atomic = [F.col(f"`{n}`") for n, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    return F.struct(F.col("doc_id"), F.xxhash64(*atomic).alias("hash"))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """__row tells rows apart: id, hash of text and source, and a number among rows alike in these, which are interchangeable."""
-    alike = F.struct(F.col("doc_id"), F.xxhash64("text", "source").alias("hash"))
-    sized = docs.select("source", n_words(F.col("text")).alias("size"), "doc_id", alike.alias("__alike"))
+    """size, source and doc_id of every row, with what tells rows apart: __alike, and __copy, a number among rows alike."""
+    sized = docs.select("source", n_words(F.col("text")).alias("size"), "doc_id", _alike(docs).alias("__alike"))
     return stored(sized.withColumn("__copy", F.row_number().over(Window.partitionBy("__alike").orderBy("__alike"))), "sizes")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents, columns unchanged: one row for each epoch's copy, cut after the last word taken where the target ends inside it."""
-    columns = docs.columns
+    """The mix as documents, columns unchanged, in the order of the schedule: one row for each epoch's copy, at the slot of its first block.
+
+    A copy is cut after the last word taken where the target ends inside it. Further columns are carried, whatever their names."""
+    columns, kinds = docs.columns, dict(docs.dtypes)
     rows = numbered(docs)
     _, pieces = mix(rows.select(F.struct("__alike", "__copy").alias("__row"), "source", "size"), **options)
-    copies = pieces.groupBy(F.col("__row.__alike").alias("__alike"), F.col("__row.__copy"), "__epoch").agg(F.sum("__words").alias("__taken"))
-    copies = copies.groupBy("__alike").agg(F.collect_list("__taken").alias("__all"))  # three for each row alike, at most
-    alike = F.struct(F.col("doc_id"), F.xxhash64("text", "source").alias("hash"))
-    joined = docs.withColumn("__alike", alike).dropDuplicates(["__alike"]).join(copies, "__alike").withColumn("__taken", F.explode("__all"))
-    ends = F.split("text", f"(?<=[^{SPACE}])(?=[{SPACE}])")
-    cut = F.when(F.col("__taken") >= n_words(F.col("text")), F.col("text")).otherwise(F.array_join(F.slice(ends, 1, F.col("__taken").cast("int")), ""))
-    kinds = dict(docs.dtypes)
-    return joined.select(*(cut.alias("text") if c == "text" else F.length(cut).cast(kinds[c]).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in columns))
+    copies = pieces.groupBy(F.col("__row.__alike").alias("__key"), F.col("__row.__copy").alias("__copy"), F.col("__epoch")).agg(F.sum("__words").alias("taken"), F.min("slot").alias("slot"), F.min(F.struct("__block", "__from")).alias("at"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns))).alias("__doc"), _alike(docs).alias("__alike")).dropDuplicates(["__alike"])
+    joined = whole.join(copies, F.col("__alike") == F.col("__key"))
+    text = F.col(f"__doc.c{columns.index('text')}")
+    ends = F.split(text, f"(?<=[^{SPACE}])(?=[{SPACE}])")
+    cut = F.when(F.col("taken") >= n_words(text), text).otherwise(F.array_join(F.slice(ends, 1, F.col("taken").cast("int")), ""))
+    ordered = joined.select("slot", "at", cut.alias("__cut"), "__doc").orderBy("slot", "at")
+    return ordered.select(*(F.col("__cut").alias("text") if c == "text" else F.length("__cut").cast(kinds[c]).alias(c) if c == "n_chars" else F.col(f"__doc.c{i}").alias(c) for i, c in enumerate(columns)))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the contract's columns: first_slot (of the mix, at which the document first comes; null if it is not taken) and n_blocks (of which it is part)."""
     docs = numbered(table(spark, sf_dir, "documents"))
     docs = docs.select(F.struct("__alike", "__copy").alias("__row"), "doc_id", "source", "size")
     sources, pieces = mix(docs.select("__row", "source", "size"))
-    taken = pieces.groupBy("__row").agg(F.sum("__words").alias("taken"))
+    taken = pieces.groupBy("__row").agg(F.sum("__words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("n_blocks"))
     out = docs.join(taken, "__row", "left").alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    return out.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.col("first_slot").cast("long").alias("first_slot"), F.coalesce("n_blocks", F.lit(0)).cast("long").alias("n_blocks"))

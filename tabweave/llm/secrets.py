@@ -1,14 +1,19 @@
-"""Secret scanning: fixed rules, and a character convolutional network for what they miss.
-
-The rules find assignments, access keys and long hexadecimal runs. Every other long token with a digit
-is a candidate, whose characters and context a small convolutional network in numpy scores: embedded
-characters, filters of several widths over the token and its surroundings, the maximum of each filter,
-and a logistic layer. It is trained on labelled findings: generated ones of common kinds of secrets and
-of harmless tokens in ordinary contexts, and those of the rules in a bounded sample of the documents.
-A temperature is fitted on held-out findings, and the threshold is the highest up to 0.9 that keeps `recall` of them.
-
-Edge cases: null and empty texts have no spans; rows that repeat get the same result each; an empty
-table gives no rows; training needs no documents. Rule spans are never dropped.
+"""Secret scanning: fixed rules, and a character convolutional network over every candidate and its context.
+
+The rules find assignments, access keys and long hexadecimal runs. Candidates are their findings and all other
+runs of 16 or more printable ASCII characters without quotes, brackets, commas and semicolons. A small convolutional
+network in numpy scores each: embedded characters, filters of several widths over the token and its surroundings,
+the maximum of each filter, and a logistic layer. Tokens longer than `TOKEN` are scored window by window, whole.
+
+It is trained on labelled findings: generated ones of common kinds of secrets and of harmless tokens in ordinary
+contexts; from `DOCUMENTS` documents, chosen by a hash of their ids, what the rules find (1), what their patterns
+match but their lengths reject, and tokens of plain shapes such as words, addresses and paths (0), `SAMPLE` of
+them at most. A temperature is fitted on held-out findings, against smoothed labels. Tokens with and without a
+digit have a threshold each: of those that keep `recall` of the held-out secrets the ones of the best precision,
+and among these the middle. Rule findings stay whatever their score; those below the threshold are counted as doubtful.
+
+Edge cases: null and empty texts have no spans; rows that repeat get the same result each; an empty table gives
+no rows; training needs no documents; scores equal to a threshold count; further columns are not read.
 """
 
 from __future__ import annotations
@@ -29,18 +34,19 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]+")
 ACCESS_LEAST, HEX_LEAST, ASSIGN_LEAST = 18, 16, 12
 LONG_HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so this is HEX with the least length
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-KEYS = ("password", "passwd", "secret", "token", "api_key", "apikey")
+CANDIDATE = re.compile(r"[!#$%&*+./0-9:=?@A-Z\\^_a-z|~-]{16,}")
+#: Words with marks around them, addresses, paths and dates: labelled harmless.
+PLAIN = re.compile(r"[!#$%&*=.:?~-]*(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-_/.:+][A-Za-z]?[a-z]*)*[0-9]{0,4}[!#$%&*=.:?~-]*|[\w.+-]+@[a-z0-9-]+(?:\.[a-z]+)+\W*|https?://[a-z0-9.-]+(?:/[a-z0-9._-]{0,12})*|[0-9.:/T+-]+\W*", re.A)
+HINT = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 KINDS = ("assign", "access", "hex", "model")
-CONTEXT, TOKEN, RECALL, SAMPLE = 24, 64, 0.95, 2000
+CONTEXT, TOKEN, RECALL, SAMPLE, DOCUMENTS, ASKED = 24, 64, 0.95, 2000, 20_000, 4096
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-:\"' \n,;<>()[]{}@$%&#!?*|\\"
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind) by the rules, each kind leftmost and non-overlapping."""
     out = []
-    low = text.lower() if len(text) < 1 << 16 else text
-    if len(text) >= 1 << 16 or any(k in low for k in KEYS):
+    if HINT.search(text):
         out += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     if "AKIA" in text:
         out += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LEAST]
@@ -48,13 +54,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def failed_spans(text: str) -> list[tuple[int, int]]:
+    """What the rules' patterns match but their lengths reject."""
+    out = [m.span() for m in ASSIGN.finditer(text) if len(m[2]) < ASSIGN_LEAST] if HINT.search(text) else []
+    out += [m.span() for m in ACCESS.finditer(text) if len(m[0]) < ACCESS_LEAST] if "AKIA" in text else []
+    return out
+
+
 def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Long tokens with a digit that no rule's span overlaps."""
+    """Long tokens that no rule's span overlaps."""
     out, k = [], 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        if not any(c.isdigit() for c in m[0]):
-            continue
         while k < len(known) and known[k][1] <= start:
             k += 1
         if not any(s < end and start < e for s, e, _ in known[max(0, k - 3):k + 8]):
@@ -62,10 +73,16 @@ def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
+def pieces(start: int, end: int) -> list[tuple[int, int]]:
+    """Stretches of a token that are scored: itself, or, of a long one, overlapping ones of TOKEN characters."""
+    if end - start <= TOKEN:
+        return [(start, end)]
+    return [(s, s + TOKEN) for s in range(start, end - TOKEN, TOKEN // 2)] + [(end - TOKEN, end)]
+
+
 def window(text: str, start: int, end: int) -> str:
-    """Context before, the token (head and tail of a long one) and context after, at fixed places."""
-    token = text[start:end] if end - start <= TOKEN else text[start:start + TOKEN // 2] + text[end - TOKEN // 2:end]
-    return text[max(0, start - CONTEXT):start].rjust(CONTEXT, "\0") + token.ljust(TOKEN, "\0") + text[end:end + CONTEXT].ljust(CONTEXT, "\0")
+    """Context before, a piece of a token and context after, at fixed places."""
+    return text[max(0, start - CONTEXT):start].rjust(CONTEXT, "\0") + text[start:end].ljust(TOKEN, "\0") + text[end:end + CONTEXT].ljust(CONTEXT, "\0")
 
 
 _CODES = np.full(65536, 1, dtype=np.int64)
@@ -84,7 +101,7 @@ class CharCnn:
 
     def __init__(self, widths: tuple[int, ...] = (3, 5, 7), filters: int = 16, size: int = 12, seed: int = 3) -> None:
         rng = np.random.default_rng(seed)
-        self.widths, self.temperature, self.threshold = widths, 1.0, 0.5
+        self.widths, self.temperature, self.thresholds = widths, 1.0, np.array([0.5, 0.5])
         self.p = {"emb": rng.normal(0, 0.3, (len(ALPHABET) + 2, size)), "out": rng.normal(0, 0.1, len(widths) * filters), "bias": np.zeros(1)}
         for w in widths:
             self.p[f"w{w}"], self.p[f"b{w}"] = rng.normal(0, (w * size) ** -0.5, (w * size, filters)), np.zeros(filters)
@@ -108,7 +125,7 @@ class CharCnn:
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -40, 40)))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 3e-3, seed: int = 5) -> None:
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 10, batch: int = 64, rate: float = 3e-3, seed: int = 5) -> None:
         rng = np.random.default_rng(seed)
         m, v, t = {k: np.zeros_like(a) for k, a in self.p.items()}, {k: np.zeros_like(a) for k, a in self.p.items()}, 0
         for _ in range(epochs):
@@ -132,32 +149,76 @@ class CharCnn:
                     v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
                     self.p[k] = self.p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
 
+    def found(self, x: np.ndarray) -> np.ndarray:
+        return self.scores(x) >= self.thresholds[with_digit(x)]
+
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> None:
-        """Temperature of least loss, then the highest threshold that keeps the recall on these findings."""
+        """Temperature of least loss against smoothed labels, then a threshold for tokens with and without a digit."""
         logit = self.logits(x)
-        loss = lambda t: np.mean(np.logaddexp(0, logit / t) - y * logit / t)
-        self.temperature = min(np.geomspace(0.25, 8, 40), key=loss)
-        positive = np.sort(self.scores(x)[y == 1])
-        self.threshold = min(0.9, float(positive[int((1 - recall) * len(positive))])) if len(positive) else 0.5
-
-
-def generated_findings(n: int = 3000, seed: int = 9) -> tuple[list[str], np.ndarray]:
-    """Windows and labels: random keys of common shapes in telling contexts, and words, numbers, paths and names in ordinary ones."""
+        ones = max(y.sum(), 1)
+        smooth = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (len(y) - ones + 2))
+        loss = lambda t: np.mean(np.logaddexp(0, logit / t) - smooth * logit / t)
+        self.temperature = float(min(np.geomspace(0.05, 20, 121), key=loss))
+        for kind in (0, 1):
+            own = with_digit(x) == kind
+            self.thresholds[kind] = threshold(logit[own] / self.temperature, y[own], recall)
+
+
+def with_digit(x: np.ndarray) -> np.ndarray:
+    """1 for encoded windows whose token has a digit."""
+    own = x[:, CONTEXT:CONTEXT + TOKEN]
+    return ((own >= _CODES[ord("0")]) & (own <= _CODES[ord("9")])).any(axis=1).astype(int)
+
+
+def threshold(logit: np.ndarray, y: np.ndarray, recall: float) -> float:
+    """Of the cuts that keep the recall those of the best precision, and the middle of these."""
+    if not len(logit) or not y.any():
+        return 0.5
+    positive, negative = np.sort(logit[y == 1]), np.sort(logit[y == 0])
+    highest = positive[int((1 - recall) * len(positive))]
+    cuts = np.append(positive[positive <= highest], highest)
+    wrong = len(negative) - np.searchsorted(negative, cuts)
+    right = len(positive) - np.searchsorted(positive, cuts)
+    precision = right / (right + wrong)
+    best = cuts[precision >= precision.max() - 1e-12]
+    below = negative[negative < best.min()]
+    low = below[-1] if len(below) else best.min()
+    return float(1 / (1 + np.exp(-np.clip((low + best.max()) / 2, -40, 40))))
+
+
+def generated_findings(n: int = 6000, seed: int = 9) -> tuple[list[str], np.ndarray]:
+    """Windows and labels: random keys of common shapes in telling contexts, and words, numbers, addresses, paths and names in ordinary ones."""
     rng = np.random.default_rng(seed)
+    span = lambda a, b: int(rng.integers(a, b))
     pick = lambda chars, size: "".join(rng.choice(list(chars), size))
-    word = lambda: pick("etaoinshrdlucmfw", int(rng.integers(2, 9)))
+    syllables = ["an", "the", "ing", "ion", "er", "st", "ment", "ver", "lich", "keit", "eau", "que", "elle", "tion", "in", "de", "ra", "mo", "li", "sch", "ung", "o", "ka", "ble", "schiff", "fahrt", "haupt", "stadt", "dampf", "ght", "ough", "pre", "zw", "ux", "itz", "wor", "cha", "phy", "du", "gu", "by", "fj", "ob"]
+    word = lambda a=1, b=4: "".join(rng.choice(syllables, span(a, b)))
     prose = lambda: " ".join(word() for _ in range(6))
-    alnum, b64 = ALPHABET[:62], ALPHABET[:64]
-    secrets = [lambda: pick(b64, int(rng.integers(24, 64))) + "=" * int(rng.integers(0, 3)), lambda: "ghp_" + pick(alnum, 36), lambda: "sk_live_" + pick(alnum, 24), lambda: "xoxb-" + pick("0123456789", 12) + "-" + pick(alnum, 24), lambda: pick("0123456789ABCDEF", int(rng.integers(24, 64))), lambda: "eyJ" + pick(alnum + "-_", int(rng.integers(30, 60)))]
-    harmless = [lambda: "-".join(word() for _ in range(4)) + str(rng.integers(1, 99)), lambda: "/".join(word() for _ in range(4)) + str(rng.integers(1, 9)), lambda: pick("0123456789", int(rng.integers(16, 22))), lambda: word() + word() + word() + "_" + str(rng.integers(1900, 2100)), lambda: "-" * int(rng.integers(10, 40)) + "2024" + "=" * 8, lambda: "2024-" + "-".join(pick("0123456789", 2) for _ in range(5)), lambda: "+".join(word() for _ in range(4)) + "7"]
+    alnum, b64, letters = ALPHABET[:62], ALPHABET[:64], ALPHABET[:52]
+    secrets = [
+        lambda: pick(b64, span(24, 64)) + "=" * span(0, 3), lambda: "ghp_" + pick(alnum, 36), lambda: "sk_live_" + pick(alnum, 24), lambda: "xoxb-" + pick("0123456789", 12) + "-" + pick(alnum, 24),
+        lambda: pick("0123456789ABCDEF", span(24, 64)), lambda: "eyJ" + pick(alnum + "-_", span(16, 30)) + "." + pick(alnum + "-_", span(16, 30)), lambda: pick(alnum, span(16, 48)), lambda: pick(letters, span(20, 48)),
+        lambda: pick(alnum + "!$@%#&*", span(16, 32)), lambda: word() + "://" + word() + ":" + pick(alnum, span(14, 24)) + "@" + word() + ".example", lambda: "AKIA" + pick(alnum[26:62], 16), lambda: word() + "=" + pick(alnum, span(20, 40)),
+    ]
+    marks = lambda: rng.choice(["", "", "", ".", "!!", "***", "&&&", "$$$", "###", "%%%", ":", "..."])
+    harmless = [
+        lambda: "-".join(word(1, 3) for _ in range(5)) + str(span(1, 99)), lambda: "/".join(word(1, 4) for _ in range(5)) + str(span(1, 9)), lambda: pick("0123456789", span(16, 22)), lambda: word(5, 9) + marks(), lambda: word(5, 9).capitalize() + marks(),
+        lambda: word(6, 10).upper() + marks(), lambda: word(2, 4) + word(2, 4) + word(2, 4) + "_" + str(span(1900, 2100)), lambda: rng.choice(["-", "=", "*", "#", ".", "_"]) * span(16, 70), lambda: "2024-" + "-".join(pick("0123456789", 2) for _ in range(5)),
+        lambda: f"{word()}.{span(1, 99)}@mail{span(0, 9)}.example.com" + marks(), lambda: "https://" + word(2, 5) + ".example/" + "/".join(word() for _ in range(3)), lambda: "+".join(word() for _ in range(5)) + "7", lambda: ".".join(str(span(100, 255)) for _ in range(4)) + marks() + "..",
+        lambda: word(2, 4) + word(2, 4).capitalize() + word(2, 4).capitalize() + "()", lambda: "_".join(word(1, 4) for _ in range(5)), lambda: ".".join(word(1, 4) for _ in range(5)), lambda: "token" + rng.choice([" = ", ": ", "="]) + word(1, 3), lambda: "password:" + word(3, 5),
+    ]
     leads = ["key = ", "auth: ", "bearer ", "credential ", "export KEY=", '"private": "', "", "aws "]
     out, labels = [], []
     for i in range(n):
         secret = i % 2
-        token = (secrets[rng.integers(len(secrets))] if secret else harmless[rng.integers(len(harmless))])()
+        token = ""
+        while len(token) < 16:
+            token = (secrets[rng.integers(len(secrets))] if secret else harmless[rng.integers(len(harmless))])()
+            token += "" if len(token) >= 16 or secret else word()
         before = prose() + (" " + leads[rng.integers(len(leads))] if rng.random() < (0.6 if secret else 0.15) else " ")
         text = before + token + rng.choice([" ", "\n", ". ", '" ']) + prose()
-        out.append(window(text, len(before), len(before) + len(token)))
+        at = pieces(len(before), len(before) + len(token))
+        out.append(window(text, *at[rng.integers(len(at))]))
         labels.append(secret)
     return out, np.array(labels)
 
@@ -178,46 +239,68 @@ def trained(windows: list[str], labels: np.ndarray, recall: float = RECALL) -> C
     return model
 
 
-def labelled_findings(docs: DataFrame, limit: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """At most `limit` windows: rule spans are labelled 1, their failing matches and candidates of lower-case words and digits 0."""
+def labelled_findings(docs: DataFrame, limit: int = SAMPLE, documents: int = DOCUMENTS) -> tuple[list[str], np.ndarray]:
+    """At most `limit` windows of each label from `documents` documents: rule spans 1, failing matches and tokens of plain shapes 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, label = [], []
             for text in batch.column(0).to_pylist():
-                known = base_spans(text or "")
-                for start, end, _ in known[:4]:
-                    out.append(window(text, start, end))
-                    label.append(1)
-                for start, end in candidates(text or "", known)[:4]:
-                    if re.fullmatch(r"[a-z]+([-_/=+][a-z]*)*[0-9]{0,4}", text[start:end]):
-                        out.append(window(text, start, end))
-                        label.append(0)
+                known = base_spans(text) if text else []
+                harmless = failed_spans(text) + [(s, e) for s, e in candidates(text, known) if PLAIN.fullmatch(text, s, e)] if text else []
+                for spans, y in (([x[:2] for x in known], 1), (harmless, 0)):
+                    found = [window(text, *p) for span in spans for p in pieces(*span)]
+                    out += found
+                    label += [y] * len(found)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(label, pa.int32())], ["w", "y"])
-    rows = docs.select("text").mapInArrow(run, "w string, y int").orderBy(F.xxhash64("w"), "y").limit(limit).toArrow()
-    return rows.column(0).to_pylist(), rows.column(1).to_numpy().astype(float)
+
+    chosen = docs.select(F.col("doc_id").alias("__id")).where("__id IS NOT NULL").distinct().orderBy(F.xxhash64("__id"), "__id").limit(documents)
+    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"), "left_semi").select("text").mapInArrow(run, "w string, y int").distinct()  # at most `documents` ids
+    each = [rows.where(F.col("y") == y).orderBy(F.xxhash64("w"), "w").limit(limit) for y in (0, 1)]
+    got = each[0].unionByName(each[1]).toArrow()
+    return got.column(0).to_pylist(), got.column(1).to_numpy().astype(float)
+
+
+def _scored(model: CharCnn, asked: list[tuple[int, int, int, int]], windows: list[str], more: list[list], doubtful: list[int]) -> None:
+    """asked: row, start, end of a piece, and the rule's finding that it is of, or -1. Adds spans to more, and findings not recognised to doubtful."""
+    sure: dict[tuple[int, int], bool] = {}
+    for (i, start, end, rule), found in zip(asked, model.found(encode(windows)), strict=True):
+        if rule >= 0:
+            sure[i, rule] = sure.get((i, rule), False) or bool(found)
+        elif found and more[i] and more[i][-1][1] >= start:  # pieces of one token
+            more[i][-1] = (more[i][-1][0], end, 3)
+        elif found:
+            more[i].append((start, end, 3))
+    for (i, _), found in sure.items():
+        doubtful[i] += not found
+    asked.clear()
+    windows.clear()
 
 
 def scan(docs: DataFrame, model: CharCnn) -> DataFrame:
-    """docs: doc_id, text. Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_model."""
+    """docs: doc_id, text. Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_model (spans added), n_doubtful (rule spans that the network does not take for secrets)."""
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model", "n_doubtful"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         show = lambda spans: ",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in spans)
         for batch in batches:
-            base, asked, at = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            n = batch.num_rows
+            base, more, doubtful, asked, windows = [], [[] for _ in range(n)], [0] * n, [], []
+            for i, text in enumerate(x.as_py() for x in batch.column(1)):
                 known = base_spans(text) if text else []
                 base.append(known)
-                for start, end in candidates(text, known) if text else []:
-                    at.append((i, start, end))
-                    asked.append(window(text, start, end))
-            more: list[list] = [[] for _ in base]
+                spans = [(s, e, k) for k, (s, e, _) in enumerate(known)] + [(s, e, -1) for s, e in candidates(text, known)] if text else []
+                for start, end, rule in spans:
+                    for s, e in pieces(start, end):
+                        asked.append((i, s, e, rule))
+                        windows.append(window(text, s, e))
+                    if len(asked) >= ASKED:
+                        _scored(model, asked, windows, more, doubtful)
             if asked:
-                for (i, start, end), score in zip(at, model.scores(encode(asked)), strict=True):
-                    if score >= model.threshold:
-                        more[i].append((start, end, 3))
-            counts = [pa.array([sum(k == n for *_, k in b) for b in base], pa.int64()) for n in range(3)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array([hashlib.sha256(show(b).encode()).hexdigest() for b in base], pa.string()), pa.array([show(sorted(b + m)) for b, m in zip(base, more, strict=True)], pa.string()), pa.array([len(m) for m in more], pa.int64())],
-                                             ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_model long")
+                _scored(model, asked, windows, more, doubtful)
+            counts = [pa.array([sum(k == kind for *_, k in b) for b in base], pa.int64()) for kind in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array([hashlib.sha256(show(b).encode()).hexdigest() for b in base], pa.string()), pa.array([show(sorted(b + m)) for b, m in zip(base, more, strict=True)], pa.string()),
+                                              pa.array([len(m) for m in more], pa.int64()), pa.array(doubtful, pa.int64())], names)
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_model long, n_doubtful long")
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
