@@ -13,8 +13,8 @@ from tabweave.llm.common import stored, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted on the labels of docs, does not reject."""
-    scored = fm.classified(docs, fm.trained(docs, table(spark, sf_dir, "labels")), whole=True)
-    return scored.where("predicted = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    scored = fm.classified(docs, fm.trained(docs, table(spark, sf_dir, "labels")), whole=True, names=("__score", "__good"))
+    return scored.where("__good = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
