@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabweave.errors import EngineError
@@ -12,6 +13,8 @@ from tabweave.functions.values import Cell
 
 # Stops of icon sets by their number of icons.
 ICON_STOPS = {3: (0, 33, 67), 4: (0, 25, 50, 75), 5: (0, 20, 40, 60, 80)}
+#: Rows that a rank may sort, and ranges that values are counted by.
+SORTED, RANGES = 10_000, 1024
 COMPARISONS = {
     "greaterThan": lambda c, a, b: c > a, "greaterThanOrEqual": lambda c, a, b: c >= a, "lessThan": lambda c, a, b: c < a, "lessThanOrEqual": lambda c, a, b: c <= a,
     "equal": lambda c, a, b: c == a, "notEqual": lambda c, a, b: c != a, "between": lambda c, a, b: (c >= a) & (c <= b), "notBetween": lambda c, a, b: (c < a) | (c > b),
@@ -30,32 +33,66 @@ def cell_is(cell: Cell, a: object, b: object = None, operator: str = "greaterTha
     return F.coalesce(compare(cell.num(), operator, a, b), F.lit(False))
 
 
-def over_all() -> Window:
-    return Window.partitionBy()
+@dataclass(frozen=True)
+class Facts:
+    """Least and greatest number, mean and count of a column."""
 
+    low: float | None
+    high: float | None
+    mean: float | None
+    n: int
 
-def scaled(cell: Cell) -> Column:
+
+def facts(df: DataFrame, cell: Cell) -> Facts:
+    """One aggregate over the data; its row becomes literals in the rules, so no window spans all rows."""
+    return Facts(*df.agg(F.min(cell.num()).cast("double"), F.max(cell.num()).cast("double"), F.avg(cell.num()).cast("double"), F.count(cell.num())).first())
+
+
+def scaled(cell: Cell, of: Facts) -> Column:
     """Position between the least and the greatest value; for data bars and colour scales."""
-    low, high = F.min(cell.num()).over(over_all()), F.max(cell.num()).over(over_all())
-    return F.when(high > low, (cell.num() - low) / (high - low)).when(cell.num().isNotNull(), F.lit(0.0))
+    if of.low is None or of.high is None:
+        return F.lit(None).cast("double")
+    return F.when(cell.num().isNotNull(), (cell.num() - F.lit(of.low)) / F.lit(of.high - of.low) if of.high > of.low else F.lit(0.0))
 
 
-def icon(cell: Cell, icons: int = 3) -> Column:
+def icon(cell: Cell, of: Facts, icons: int = 3) -> Column:
     """The number of the icon, from 0."""
-    percent = scaled(cell) * 100
+    percent = scaled(cell, of) * 100
     return F.when(percent.isNotNull(), sum(((percent >= s).cast("int") for s in ICON_STOPS[icons][1:]), F.lit(0)))
 
 
-def top(cell: Cell, rank: int = 10, percent: bool = False, bottom: bool = False) -> Column:
-    order = cell.num().asc_nulls_last() if bottom else cell.num().desc_nulls_last()
-    place = F.rank().over(Window.orderBy(order))
-    most = F.ceil(F.count(cell.num()).over(over_all()) * (rank / 100)) if percent else F.lit(rank)
-    return cell.num().isNotNull() & (place <= most)
-
-
-def above_average(cell: Cell, above: bool = True) -> Column:
-    mean = F.avg(cell.num()).over(over_all())
-    return F.coalesce(cell.num() > mean if above else cell.num() < mean, F.lit(False))
+def nth(df: DataFrame, cell: Cell, rank: int = 10, percent: bool = False, bottom: bool = False, most: int = SORTED) -> float | None:
+    """The number at a rank (or percentage of all numbers) from the top or bottom; null without numbers.
+
+    Ranks up to `most` take a sort of so many rows; for others counts of value ranges narrow the numbers down first."""
+    values = df.select((cell.num() if bottom else -cell.num()).cast("double").alias("v")).where("v IS NOT NULL")
+    low, high, n = values.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    left = min(n, -(-n * rank // 100) if percent else rank)
+    if left < 1:
+        return None
+    while left > most and low < high:
+        at = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit((high - low) / RANGES)), F.lit(RANGES - 1))
+        counts = values.groupBy(at.alias("at")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("at").collect()  # RANGES rows at most
+        for r in counts:
+            if left <= r["n"]:
+                break
+            left -= r["n"]
+        low, high, values = r["low"], r["high"], values.where(F.col("v").between(r["low"], r["high"]))
+    found = values.orderBy("v").limit(left).agg(F.max("v")).first()[0] if low < high else low
+    return found if bottom else -found
+
+
+def top(cell: Cell, cut: float | None, bottom: bool = False) -> Column:
+    """Numbers up to the one at the rank, which nth() gives; with ties."""
+    if cut is None:
+        return F.lit(False)
+    return F.coalesce(cell.num() <= F.lit(cut) if bottom else cell.num() >= F.lit(cut), F.lit(False))
+
+
+def above_average(cell: Cell, of: Facts, above: bool = True) -> Column:
+    if of.mean is None:
+        return F.lit(False)
+    return F.coalesce(cell.num() > F.lit(of.mean) if above else cell.num() < F.lit(of.mean), F.lit(False))
 
 
 def contains_text(cell: Cell, text: str, operator: str = "containsText") -> Column:

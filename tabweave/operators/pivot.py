@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +49,3 @@ def pivoted(table: Table, pivot: Pivot) -> tuple[DataFrame, list[str]]:
     result = cells.groupBy("is_total", *names).agg(*(h.alias(f"head{i}") for i, h in enumerate(heads)), *out, *([F.min("first_row").alias("first_row")] if table.ordered else []))
     head = [(F.when(F.col("is_total") == 1, F.lit(TOTAL)).otherwise(F.col("head0").cast("string")) if i == 0 and pivot.totals else F.when(F.col("is_total") == 0, F.col(f"head{i}"))).alias(r) for i, r in enumerate(pivot.rows)]
     return result.select(*head, *(F.col(f"x{i}").alias(t) for i, t in enumerate(titles)), (F.col("is_total") == 1).alias("is_total"), *(["first_row"] if table.ordered else [])), titles
-
-
-def total_last(df: DataFrame, order: list) -> DataFrame:
-    return df.orderBy("is_total", *order) if order else reduce(lambda d, _: d, [], df.orderBy("is_total", *(["first_row"] if "first_row" in df.columns else [])))

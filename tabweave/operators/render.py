@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tabweave.functions.model import fmt
+from tabweave.operators import aggregate, predicates
 from tabweave.plans.query import Result
 
 
@@ -11,15 +14,33 @@ def escaped(value: object) -> str:
     return text.replace("\t", "␉").replace("\r\n", "⏎").replace("\n", "⏎").replace("\r", "⏎")
 
 
+def _facts(result: Result) -> tuple[int, int, list[str]]:
+    """Scanned rows, matched rows and notes on cells that sums and averages leave out: one job."""
+    hit = predicates.all_of([predicates.condition(result.source.find(w.col), w.op, w.value) for w in result.query.where])
+    summed = [m for m in result.query.measures if m.fn in ("sum", "avg")]
+    left_out = [aggregate.skipped(result.matched.find(m.col)).alias(f"s{i}") for i, m in enumerate(summed)]
+    found = result.matched.df.agg(F.count("*").alias("n"), *left_out).first() if hit is not None else result.source.df.agg(F.count("*").alias("n"), *left_out).first()
+    scanned = result.source.df.count() if hit is not None else found["n"]
+    return scanned, found["n"], [f"{found[f's{i}']} cells of {m.col} are no numbers and left out" for i, m in enumerate(summed) if found[f"s{i}"]]
+
+
 def rendered(result: Result) -> dict:
-    """text and meta: kind, columns, shown, scanned and matched rows, truncation."""
-    rows = result.df.collect()  # limited by the query
-    scanned = result.source.df.count()
-    matched = scanned if not result.query.where else result.matched.df.count()
+    """text and meta: kind, columns, shown and total rows, scanned and matched rows, truncation."""
+    limit = result.query.limit
+    rows = result.df.collect() if result.full is None else result.full.limit(limit + 1).collect()  # a row more than is shown tells whether there are more
+    scanned, matched, notes = _facts(result)
     if not scanned and result.kind == "profile":
         return {"text": f"{result.source.name}: no rows", "meta": {"kind": "empty", "scannedRows": 0, "matchedRows": 0}}
+    truncated = result.full is not None and len(rows) > limit
+    total = result.full.count() if truncated else len(rows)
+    rows = rows[:limit] if truncated else rows
+    if truncated:
+        notes.append(f"the first {limit} of {total} rows are shown")
+    if result.kind == "profile" and (blank := [r["column"] for r in rows if not r["non_null"]]):
+        notes.append(f"blank columns: {', '.join(blank)}")
+    notes += [f"{j.type} join with {j.path or 'itself'} on {', '.join(f'{a} = {b}' if a != b else a for a, b in j.keys)}" for j in result.query.joins]
+    notes += [*result.notes, *result.source.notes] + (["the source was cut at its limits"] if result.source.truncated else [])
     lines = ["\t".join(map(escaped, result.columns)), *("\t".join(escaped(v) for v in r) for r in rows)]
-    notes = [*result.notes, *result.source.notes] + (["the source was cut at its limits"] if result.source.truncated else [])
     head = f"{result.source.name}: {scanned} rows x {len(result.source.names)} columns" + ("" if matched == scanned else f" -> {matched} matched")
     text = "\n".join([head, *(f"> {n}" for n in dict.fromkeys(notes)), "```tsv", *lines, "```"])
-    return {"text": text, "meta": {"kind": result.kind, "columns": result.columns, "shown": len(rows), "scannedRows": scanned, "matchedRows": matched, "truncated": len(rows) >= result.query.limit}}
+    return {"text": text, "meta": {"kind": result.kind, "columns": result.columns, "shown": len(rows), "total": total, "scannedRows": scanned, "matchedRows": matched, "truncated": truncated}}

@@ -23,6 +23,7 @@ class Result:
     matched: Table
     query: Query
     notes: list[str] = field(default_factory=list)
+    full: DataFrame | None = None  # before the limit
 
 
 Loader = Callable[[Join], Table] | Mapping[str, Table]
@@ -55,10 +56,14 @@ def compiled(table: Table, spec: dict | Query, load: Loader | None = None, check
         df, _ = pivot.pivoted(rows, query.pivot)
         names = [c for c in df.columns if c not in ("is_total", "first_row")]
         by = order.sort_columns(df, names, query.order_by)
-        df = df.orderBy("is_total", *by, *(["first_row"] if "first_row" in df.columns else [])).limit(query.limit)
-        return Result(df.select(*(F.col(f"`{c}`") for c in names)), "pivot", names, whole, rows, query)
+        full = df.orderBy("is_total", *by, *(["first_row"] if "first_row" in df.columns else []))
+        return _limited(full, "pivot", names, whole, rows, query)
     df = aggregate.grouped(rows, query.group_by, query.measures, group_limit=aggregate.GROUP_LIMIT if checked else None)
     names = [c for c in df.columns if c != "first_row"]
     by = order.sort_columns(df, names, query.order_by) + ([F.col("first_row").asc()] if "first_row" in df.columns else [])
-    df = df.orderBy(*by).limit(query.limit) if by else df.limit(query.limit)
-    return Result(df.select(*(F.col(f"`{c}`") for c in names)), "aggregate", names, whole, rows, query)
+    return _limited(df.orderBy(*by) if by else df, "aggregate", names, whole, rows, query)
+
+
+def _limited(full: DataFrame, kind: str, names: list[str], whole: Table, rows: Table, query: Query) -> Result:
+    pick = lambda df: df.select(*(F.col(f"`{c}`") for c in names))
+    return Result(pick(full.limit(query.limit)), kind, names, whole, rows, query, full=pick(full))

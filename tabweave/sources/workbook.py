@@ -176,7 +176,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_sheets(spark: SparkSession, path: str) -> DataFrame:
     """All rows of all sheets of the files at a path or pattern."""
-    return parsed_sheets(spark.read.format("binaryFile").load(path).where(F.col("length") <= TABLE_BYTES))
+    return parsed_sheets(spark.read.format("binaryFile").load(path))  # a file over the limit raises TOO_LARGE
 
 
 def parsed_sheets(files: DataFrame) -> DataFrame:
@@ -201,7 +201,7 @@ def pick(sheets: DataFrame, sheet: object = None) -> DataFrame:
 
 
 def load_table(spark: SparkSession, path: str, sheet: object = None, header_row: int = 1) -> Table:
-    rows = pick(read_sheets(spark, path), sheet)
+    rows = pick(read_sheets(spark, path).persist(), sheet)  # looked at several times, parsed once
     first = rows.select("sheet", "truncated").first()
     if first is None:
         return Table.of(spark.createDataFrame([], "A string"), "empty")
