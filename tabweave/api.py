@@ -13,7 +13,7 @@ from tabweave.plans.query import Result, compiled
 from tabweave.plans.spec import Join, Query
 from tabweave.sinks import workbook as sinks
 from tabweave.sources import workbook as tables
-from tabweave.sources.package import WORD_BYTES
+from tabweave.sources.package import TABLE_BYTES, WORD_BYTES
 from tabweave.sources.sniff import checked, extension, sniff
 from tabweave.text import html, markdown, odt, outline, pdf, rtf, template
 from tabweave.text.docx import Document, Writer
@@ -79,7 +79,11 @@ def edit_docx(path: str, script: list[dict], output: str | None = None, dry_run:
     return report
 
 
-def write_xlsx(path: str, sheets: list[tuple[str, list[list] | DataFrame]]) -> None:
+def write_xlsx(path: str, sheets: list[tuple[str, list[list] | DataFrame]] | dict) -> None:
+    """sheets: (name, rows or DataFrame), or a specification with headers, styles, widths and heights."""
+    if isinstance(sheets, dict):
+        Path(path).write_bytes(sinks.built(sheets))
+        return
     made = [(n, sinks.matrix(rows) if isinstance(rows, DataFrame) else rows) for n, rows in sheets]
     Path(path).write_bytes(sinks.table_bytes(made, "xlsx"))
 
@@ -87,9 +91,16 @@ def write_xlsx(path: str, sheets: list[tuple[str, list[list] | DataFrame]]) -> N
 def edit_xlsx(spark: SparkSession, path: str, script: list[dict], output: str | None = None) -> list[str]:
     if extension(path) != "xlsx":
         raise EngineError("NEED_CONVERT", "only xlsx workbooks are edited; convert first")
-    book = workbook.edited(workbook.Workbook.of_sheets(tables.read_sheets(spark, path)), script)
-    typed = lambda rows: [[sinks._typed(v) if isinstance(v, str) and not v.startswith("=") else v for v in r] for r in rows]
-    Path(output or path).write_bytes(sinks.table_bytes([(s, typed(book.rows(s))) for s in book.sheets], "xlsx"))
+    book = workbook.edited(workbook.Workbook.of_file(tables.read_sheets(spark, path), _bytes(path, TABLE_BYTES)), script)
+    book.notes += [f"{kind} steps are kept, not drawn" for kind in ("image", "chart") if book.shown[kind]]
+
+    def cell(held: tuple | None) -> object:
+        value, look = held or (None, None)
+        value = sinks._typed(value) if isinstance(value, str) and not value.startswith("=") else value
+        return sinks.Styled(value, look) if look else value
+
+    made = [(s, [[cell(v) for v in r] for r in book.rows(s, styled=True)]) for s in book.sheets]
+    Path(output or path).write_bytes(sinks.table_bytes(made, "xlsx", shown=book.shown))
     return book.notes
 
 

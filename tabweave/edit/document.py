@@ -11,9 +11,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tabweave.errors import EngineError
-from tabweave.text.docx import Document, repacked, w
+from tabweave.text import style
+from tabweave.text.docx import W, Document, repacked, w
 
 OPS = 200
+PACKAGE = "http://schemas.openxmlformats.org/package/2006"
+SCOPES: dict[str, Callable[[bool, int | None], bool]] = {"all": lambda inside, level: True, "body": lambda inside, level: level is None, "headings": lambda inside, level: level is not None, "table": lambda inside, level: inside}
+_LEVEL = re.compile(r"(?:heading|h|标题)?([1-9])")
+# Number formats and patterns of the two presets, and the order of properties that the schema asks for.
+NUMBERINGS = {
+    "decimal": [("decimal", ".".join(f"%{k + 1}" for k in range(n + 1))) for n in range(9)],
+    "chinese": [("chineseCounting", "%1、"), ("chineseCounting", "（%2）"), ("decimal", "%3."), ("decimal", "（%4）"), *(("decimal", f"%{n + 1})") for n in range(4, 9))],
+}
+PARAGRAPH_ORDER = ("pStyle", "keepNext", "keepLines", "pageBreakBefore", "numPr", "pBdr", "shd", "tabs", "spacing", "ind", "jc", "outlineLvl", "rPr", "sectPr")
+RUN_ORDER = ("rStyle", "rFonts", "b", "bCs", "i", "iCs", "strike", "color", "sz", "szCs", "u", "shd", "vertAlign")
+TABLE_ORDER = ("tblStyle", "tblW", "jc", "tblInd", "tblBorders", "shd", "tblLayout", "tblCellMar", "tblLook")
+ROW_ORDER = ("cantSplit", "trHeight", "tblHeader", "jc")
+CELL_ORDER = ("tcW", "gridSpan", "vMerge", "tcBorders", "shd", "noWrap", "tcMar", "vAlign")
 _SPACE = "{http://www.w3.org/XML/1998/namespace}space"
 
 
@@ -37,20 +51,66 @@ def set_text(p: ET.Element, text: str) -> None:
         ET.SubElement(run, w("t"), {_SPACE: "preserve"}).text = line
 
 
+def _fragments(xml: str) -> list[ET.Element]:
+    return list(ET.fromstring(f'<x xmlns:w="{W}">{xml}</x>')) if xml else []
+
+
+def _merged(holder: ET.Element, tag: str, new: list[ET.Element], order: tuple[str, ...]) -> None:
+    """Puts properties into a holder's property element: attributes of spacing, indents and fonts are added to, other elements replaced."""
+    if not new:
+        return
+    props = holder.find(w(tag))
+    if props is None:
+        props = ET.Element(w(tag))
+        holder.insert(1 if tag == "trPr" and len(holder) and holder[0].tag == w("tblPrEx") else 0, props)
+    for e in new:
+        old = props.find(e.tag)
+        if old is not None and e.tag in (w("spacing"), w("ind"), w("rFonts")):
+            old.attrib.update(e.attrib)
+            continue
+        if old is not None:
+            props.remove(old)
+        name = e.tag.rpartition("}")[2]
+        rank = order.index(name) if name in order else len(order)
+        at = next((k for k, x in enumerate(props) if (n := x.tag.rpartition("}")[2]) in order and order.index(n) > rank), len(props))
+        props.insert(at, copy.deepcopy(e))
+
+
+def _span(cell: ET.Element) -> int:
+    found = cell.find(f"{w('tcPr')}/{w('gridSpan')}")
+    return int(found.get(w("val"), "1")) if found is not None else 1
+
+
+def _placed(row: ET.Element) -> list[tuple[int, ET.Element]]:
+    """(grid column, cell) of a row."""
+    out, at = [], 0
+    for cell in row.findall(w("tc")):
+        out.append((at, cell))
+        at += _span(cell)
+    return out
+
+
 class Editor:
     def __init__(self, data: bytes) -> None:
         self.data, self.doc, self.report = data, Document(data), []
+        self.parents: dict[ET.Element, ET.Element] = {}
+        self.added: dict[str, bytes] = {}
 
     def paragraphs(self) -> list[tuple[ET.Element, bool, int | None]]:
-        levels = [p.level for p in self.doc.paragraphs()]
-        return [(e, inside, level) for (e, inside), level in zip(self.doc.elements(), levels, strict=True)]
+        """(element, in a table, heading level); formats are not worked out."""
+        return [(e, inside, self.doc.level_of(e)) for e, inside in self.doc.elements()]
 
     def parent(self, child: ET.Element) -> ET.Element:
-        return next(p for p in self.doc.root.iter() if child in list(p))
+        """Of a map of the tree, which is made anew when the tree has changed since."""
+        if child not in self.parents or child not in set(self.parents[child]):
+            self.parents = {c: p for p in self.doc.root.iter() for c in p}
+        return self.parents[child]
 
     def located(self, op: dict) -> int:
-        """By index from 0, or by the one paragraph whose trimmed text matches."""
+        """By index from 0, by paragraph from 1, or by the one paragraph whose trimmed text matches."""
         found = self.paragraphs()
+        if op.get("index") is None and op.get("paragraph") is not None:
+            op = {**op, "index": int(op["paragraph"]) - 1}
         if op.get("index") is not None:
             if not 0 <= int(op["index"]) < len(found):
                 raise EngineError("PARAGRAPH_NOT_FOUND", f"no paragraph {op['index']}; there are {len(found)}")
@@ -129,34 +189,33 @@ class Editor:
         else:
             holder.remove(target)
 
+    def chosen(self, op: dict) -> list[tuple[ET.Element, bool, int | None]]:
+        """The paragraphs of a step: from and to (from 1, both included) and a scope, or one located paragraph."""
+        found, scope = self.paragraphs(), str(op.get("scope") or "").strip().lower().replace(" ", "")
+        level = _LEVEL.fullmatch(scope)
+        if scope and not level and scope not in SCOPES:
+            raise EngineError("INVALID_ARGS", f"unknown scope {op['scope']!r}; there are {', '.join(SCOPES)} and heading1 to heading9")
+        if not scope and op.get("from") is None and op.get("to") is None:
+            return [found[self.located(op)]] if any(op.get(k) is not None for k in ("index", "paragraph", "match")) else found
+        first, last = int(op.get("from") or 1), int(op.get("to") or len(found))
+        if not 1 <= first <= last:
+            raise EngineError("INVALID_ARGS", f"from ({first}) and to ({last}) count from 1, in this order")
+        fits = SCOPES.get(scope) or (lambda inside, own: level is None or own == int(level[1]))
+        out = [x for x in found[first - 1:last] if fits(x[1], x[2])]
+        if not out:
+            raise EngineError("PARAGRAPH_NOT_FOUND", f"no paragraph of scope {scope or 'all'!r} from {first} to {last}; there are {len(found)}, {sum(x[2] is not None for x in found)} of them headings")
+        return out
+
     def set_style(self, op: dict) -> None:
-        scope, style = op.get("scope", "all"), op.get("style") or {}
-        first, last = int(op.get("from", 0)), int(op.get("to", 1 << 60))
-        fits = {"all": lambda i, l: True, "body": lambda i, l: not i and not l, "headings": lambda i, l: l is not None, "table": lambda i, l: i}.get(scope) or (lambda i, l: l == int(scope[7:]) if re.fullmatch("heading[1-9]", scope) else False)
-        count = 0
-        for k, (p, inside, level) in enumerate(self.paragraphs()):
-            if not first <= k <= last or not fits(inside, level):
-                continue
-            count += 1
-            props = p.find(w("pPr"))
-            if props is None:
-                props = ET.Element(w("pPr"))
-                p.insert(0, props)
-            self._put(props, "jc", style.get("align"))
-            if style.get("line"):
-                self._put(props, "spacing", None, line=str(int(float(style["line"]) * 240)), lineRule="auto")
-            for r in p.iter(w("r")):
-                look = r.find(w("rPr"))
-                if look is None:
-                    look = ET.Element(w("rPr"))
-                    r.insert(0, look)
-                if style.get("font"):
-                    self._put(look, "rFonts", None, ascii=style["font"], hAnsi=style["font"], eastAsia=style["font"])
-                self._put(look, "sz", str(int(float(style["size"]) * 2)) if style.get("size") else None)
-                self._put(look, "color", str(style["color"]).lstrip("#") if style.get("color") else None)
-                for key, tag in (("bold", "b"), ("italic", "i")):
-                    self._put(look, tag, None if style.get(key) is None else "1" if style[key] else "0")
-        self.report.append({"op": "set_style", "count": count})
+        """Direct formats of paragraphs and their runs; what the style does not name stays."""
+        look = style.paragraph_style({**(op.get("style") or {}), **{k: v for k, v in op.items() if k in style.RUN or k in style.PARAGRAPH}})
+        chosen = self.chosen(op)
+        runs, whole = _fragments(style.run_xml(look)), _fragments(style.paragraph_xml(look))
+        for p, _, _ in chosen:
+            _merged(p, "pPr", whole, PARAGRAPH_ORDER)
+            for r in p.iter(w("r")) if runs else ():
+                _merged(r, "rPr", runs, RUN_ORDER)
+        self.report.append({"op": "set_style", "count": len(chosen)})
 
     @staticmethod
     def _put(holder: ET.Element, tag: str, value: str | None, **attrs: str) -> None:
@@ -173,11 +232,48 @@ class Editor:
         return table.findall(w("tr"))
 
     def set_table(self, op: dict) -> None:
-        rows = self.rows(self.table(op))
-        for i, line in enumerate(op.get("values") or []):
-            for k, value in enumerate(line):
-                if i < len(rows) and k < len(cells := rows[i].findall(w("tc"))) and value is not None:
-                    set_text(cells[k].find(w("p")), str(value))
+        """The look of a table, or of all: borders, header, widths, margins, alignment."""
+        look = style.table_style({**(op.get("style") or {}), **{k: v for k, v in op.items() if k in style.TABLE or k in ("cellMargins", "columnWidths")}})
+        chosen = self.tables() if op.get("scope") == "all" or op.get("all") else [self.table(op)]
+        for table in chosen:
+            self._look(table, look)
+        self.report.append({"op": "set_table", "count": len(chosen)})
+
+    def _look(self, table: ET.Element, look: dict) -> None:
+        rows = self.rows(table)
+        width = max((sum(_span(c) for c in r.findall(w("tc"))) for r in rows), default=1)
+        percents = look.get("percents")
+        if look.get("mode") == "auto":
+            lengths = [0] * width
+            for at, cell in (x for r in rows for x in _placed(r)):
+                if _span(cell) == 1:
+                    lengths[at] = max(lengths[at], max((len(text_of(p)) for p in cell.iter(w("p"))), default=0))
+            percents = style.column_percents(lengths)
+        if percents and len(percents) != width:
+            raise EngineError("INVALID_ARGS", f"the table has {width} columns, columnWidths {len(percents)}")
+        edge = lambda side, size: f'<w:{side} w:val="{"single" if size else "nil"}"' + (f' w:sz="{size}" w:space="0" w:color="auto"' if size else "") + "/>"
+        kind, props = look.get("borders"), ""
+        if kind:
+            heavy = {"all": (4, 4, 4, 4, 4, 4), "none": (0, 0, 0, 0, 0, 0), "outline": (4, 4, 4, 4, 0, 0), "three-line": (12, 0, 12, 0, 0, 0)}[kind]
+            props += "<w:tblBorders>" + "".join(edge(s, n) for s, n in zip(("top", "left", "bottom", "right", "insideH", "insideV"), heavy, strict=True)) + "</w:tblBorders>"
+        props += f'<w:jc w:val="{look["align"]}"/>' if "align" in look else ""
+        props += "<w:tblCellMar>" + "".join(f'<w:{k} w:w="{v}" w:type="dxa"/>' for k, v in look["margins"].items()) + "</w:tblCellMar>" if "margins" in look else ""
+        props += '<w:tblW w:w="5000" w:type="pct"/><w:tblLayout w:type="fixed"/>' if percents else ""
+        _merged(table, "tblPr", _fragments(props), TABLE_ORDER)
+        for k, row in enumerate(rows):
+            own = ('<w:tblHeader/>' if look.get("repeat") and not k else "") + ("<w:cantSplit/>" if look.get("whole") else "") + (f'<w:trHeight w:val="{look["height"]}" w:hRule="atLeast"/>' if look.get("height") else "")
+            _merged(row, "trPr", _fragments(own), ROW_ORDER)
+            for at, cell in _placed(row):
+                part = f'<w:tcW w:w="{round(50 * sum(percents[at:at + _span(cell)]))}" w:type="pct"/>' if percents else ""
+                part += f'<w:vAlign w:val="{look["vertical"]}"/>' if "vertical" in look else ""
+                if not k:
+                    part += f"<w:tcBorders>{edge('bottom', 6)}</w:tcBorders>" if kind == "three-line" else ""
+                    part += f'<w:shd w:val="clear" w:color="auto" w:fill="{look["shading"]}"/>' if look.get("shading") else ""
+                    if "shading" in look and look["shading"] is None and (old := cell.find(f"{w('tcPr')}/{w('shd')}")) is not None:
+                        cell.find(w("tcPr")).remove(old)
+                _merged(cell, "tcPr", _fragments(part), CELL_ORDER)
+                for r in cell.iter(w("r")) if not k and "bold" in look else ():
+                    _merged(r, "rPr", _fragments(style.run_xml({"bold": look["bold"]})), RUN_ORDER)
 
     def insert_table_row(self, op: dict) -> None:
         table, at = self.table(op), int(op.get("at", len(self.rows(self.table(op)))))
@@ -197,21 +293,35 @@ class Editor:
         table.remove(rows[int(op.get("at", 0))])
 
     def insert_table_column(self, op: dict) -> None:
+        """A column before the grid column `at`; a cell that spans this place grows by one."""
         for i, row in enumerate(self.rows(self.table(op))):
-            cells = row.findall(w("tc"))
-            at = min(int(op.get("at", len(cells))), len(cells))
-            new = copy.deepcopy(cells[min(at, len(cells) - 1)])
+            placed = _placed(row)
+            width = sum(_span(c) for _, c in placed)
+            at = min(int(op.get("at", width)), width)
+            over = next((c for start, c in placed if start < at < start + _span(c)), None)
+            if over is not None:
+                self._put(over.find(w("tcPr")), "gridSpan", str(_span(over) + 1))
+                continue
+            behind = next((c for start, c in placed if start == at), None)
+            new = copy.deepcopy(behind if behind is not None else placed[-1][1])
+            if (span := new.find(f"{w('tcPr')}/{w('gridSpan')}")) is not None:
+                new.find(w("tcPr")).remove(span)
             for extra in new.findall(w("p"))[1:]:
                 new.remove(extra)
             values = op.get("values") or []
             set_text(new.find(w("p")), str(values[i]) if i < len(values) else "")
-            row.insert(list(row).index(cells[at]) if at < len(cells) else len(row), new)
+            row.insert(list(row).index(behind) if behind is not None else len(row), new)
 
     def delete_table_column(self, op: dict) -> None:
+        """The grid column `at`; a cell that spans more columns shrinks by one."""
+        at = int(op.get("at", 0))
         for row in self.rows(self.table(op)):
-            cells, at = row.findall(w("tc")), int(op.get("at", 0))
-            if at < len(cells) and len(cells) > 1:
-                row.remove(cells[at])
+            placed = _placed(row)
+            cell = next((c for start, c in placed if start <= at < start + _span(c)), None)
+            if cell is not None and _span(cell) > 1:
+                self._put(cell.find(w("tcPr")), "gridSpan", str(_span(cell) - 1))
+            elif cell is not None and len(placed) > 1:
+                row.remove(cell)
 
     def _spanned(self, op: dict) -> tuple[list[ET.Element], int, int, int, int]:
         from tabweave.edit.workbook import range_ref
@@ -270,42 +380,78 @@ class Editor:
         self.report.append({"op": "delete_table", "count": len(chosen)})
 
     def set_numbering(self, op: dict) -> None:
-        """Multi-level numbers on headings, as a list of the document's own; headings that have it keep it."""
-        forms = {"decimal": [("decimal", ".".join(f"%{k + 1}" for k in range(n + 1))) for n in range(9)], "chinese": [("chineseCounting", "%1、"), ("chineseCounting", "（%2）"), ("decimal", "%3."), ("decimal", "（%4）"), *(("decimal", f"%{n + 1})") for n in range(4, 9))]}
-        preset, skip, start = op.get("preset", "decimal"), set(op.get("exclude") or []), int(op.get("startFrom", 1))
-        if preset not in forms:
-            raise EngineError("INVALID_ARGS", f"unknown numbering {preset!r}; there are {', '.join(forms)}")
-        rels = self.doc.relations
-        part = next((t for k, t in rels.values() if k == "numbering"), None)
-        if part is None:
-            raise EngineError("UNSUPPORTED_FORMAT", "the document has no numbering part")
-        root = getattr(self, "numbering", None)
-        root = self.doc.pack.xml(part) if root is None else root
-        number = str(900 + list(forms).index(preset))
-        if not any(n.get(w("numId")) == number for n in root.findall(w("num"))):
-            abstract = ET.Element(w("abstractNum"), {w("abstractNumId"): number})
-            for k, (form, text) in enumerate(forms[preset]):
-                level = ET.SubElement(abstract, w("lvl"), {w("ilvl"): str(k)})
-                for tag, value in (("start", str(start if k == 0 else 1)), ("numFmt", form), ("lvlText", text)):
-                    ET.SubElement(level, w(tag), {w("val"): value})
-            root.insert(len(root.findall(w("abstractNum"))), abstract)
-            ET.SubElement(ET.SubElement(root, w("num"), {w("numId"): number}), w("abstractNumId"), {w("val"): number})
+        """Multi-level numbers on headings, and on list items of the body one level below the heading they follow.
+
+        exclude names levels (Heading1, h2), texts or indices that take no number; startFrom is the first number.
+        The list is the document's own; a document without a numbering part gets one, and a second call replaces the first."""
+        preset, start = str(op.get("preset") or op.get("style") or "decimal"), int(op.get("startFrom") or 1)
+        if preset not in NUMBERINGS:
+            raise EngineError("INVALID_ARGS", f"unknown numbering {preset!r}; there are {', '.join(NUMBERINGS)}")
+        skip = op.get("exclude") or []
+        if not isinstance(skip, list):
+            raise EngineError("INVALID_ARGS", 'exclude is an array such as ["Heading1"]')
+        out = {int(m[1]) for x in skip if (m := _LEVEL.fullmatch(str(x).strip().lower().replace(" ", ""))) and not isinstance(x, int)}
+        levels = [n for n in range(1, 10) if n not in out]  # heading level at each level of the list
+        number = self._list(preset, start)
+        wanted = {id(e) for e, _, _ in self.chosen(op)} if any(op.get(k) is not None for k in ("scope", "from", "to", "paragraph", "match", "index")) else None
+        at, headings, items, skipped = None, 0, 0, 0
         for k, (p, inside, level) in enumerate(self.paragraphs()):
-            if level is None or inside or k in skip or text_of(p).strip() in skip:
+            if level is not None:
+                at = levels.index(level) if level in levels and not inside and k not in skip and text_of(p).strip() not in skip else None
+            if wanted is not None and id(p) not in wanted:
+                continue
+            listed = p.find(f"{w('pPr')}/{w('numPr')}") is not None
+            if level is None and not listed:
+                continue
+            if at is None:
+                skipped += level is None
                 continue
-            props = p.find(w("pPr"))
-            old = props.find(w("numPr"))
-            if old is not None:
-                props.remove(old)
-            num = ET.SubElement(props, w("numPr"))
-            ET.SubElement(num, w("ilvl"), {w("val"): str(level - 1)})
-            ET.SubElement(num, w("numId"), {w("val"): number})
+            depth = at if level is not None else min(8, at + 1)
+            headings, items = headings + (level is not None), items + (level is None)
+            _merged(p, "pPr", _fragments(f'<w:numPr><w:ilvl w:val="{depth}"/><w:numId w:val="{number}"/></w:numPr>'), PARAGRAPH_ORDER)
+        if not headings and not items:
+            raise EngineError("PARAGRAPH_NOT_FOUND", "set_numbering: no heading or list item to number")
+        self.report.append({"op": "set_numbering", "headings": headings, "items": items, "skipped": skipped})
+
+    def _list(self, preset: str, start: int) -> str:
+        """The number of the list of a preset, which is made (with the numbering part, where there is none) or updated."""
+        part = next((t for k, t in self.doc.relations.values() if k == "numbering"), None)
+        root = getattr(self, "numbering", None)
+        if root is None:
+            root = self.doc.pack.xml(part) if part and self.doc.pack.has(part) else ET.Element(w("numbering"))
+        if part is None:
+            part = "word/numbering.xml"
+            self._related(part, "numbering", "application/vnd.openxmlformats-officedocument.wordprocessingml.numbering+xml")
+        number = str(900 + list(NUMBERINGS).index(preset))
+        for old in [e for e in root if e.get(w("abstractNumId")) == number or e.get(w("numId")) == number]:
+            root.remove(old)
+        abstract = ET.Element(w("abstractNum"), {w("abstractNumId"): number})
+        ET.SubElement(abstract, w("multiLevelType"), {w("val"): "multilevel"})
+        for k, (form, pattern) in enumerate(NUMBERINGS[preset]):
+            level = ET.SubElement(abstract, w("lvl"), {w("ilvl"): str(k)})
+            for tag, value in (("start", str(start if k == 0 else 1)), ("numFmt", form), ("lvlText", pattern)):
+                ET.SubElement(level, w(tag), {w("val"): value})
+        root.insert(len(root.findall(w("abstractNum"))), abstract)
+        ET.SubElement(ET.SubElement(root, w("num"), {w("numId"): number}), w("abstractNumId"), {w("val"): number})
         self.numbering, self.numbering_part = root, part
+        return number
+
+    def _related(self, part: str, kind: str, content_type: str) -> None:
+        """Adds a part to the package's relations and content types."""
+        rels = f"{self.doc.part.rpartition('/')[0]}/_rels/{self.doc.part.rpartition('/')[2]}.rels"
+        tree = self.doc.pack.xml(rels) if self.doc.pack.has(rels) else ET.Element(f"{{{PACKAGE}/relationships}}Relationships")
+        ET.SubElement(tree, f"{{{PACKAGE}/relationships}}Relationship", {"Id": f"{kind}900", "Type": f"http://schemas.openxmlformats.org/officeDocument/2006/relationships/{kind}", "Target": part.rpartition("/")[2]})
+        types = self.doc.pack.xml("[Content_Types].xml")
+        ET.SubElement(types, f"{{{PACKAGE}/content-types}}Override", {"PartName": f"/{part}", "ContentType": content_type})
+        for name, root, space in ((rels, tree, "relationships"), ("[Content_Types].xml", types, "content-types")):
+            ET.register_namespace("", f"{PACKAGE}/{space}")
+            self.added[name] = ET.tostring(root, encoding="UTF-8", xml_declaration=True)
+        self.doc.relations[f"{kind}900"] = (kind, part)
 
     def bytes(self) -> bytes:
         ET.register_namespace("w", "http://schemas.openxmlformats.org/wordprocessingml/2006/main")
         ET.register_namespace("r", "http://schemas.openxmlformats.org/officeDocument/2006/relationships")
-        parts = {self.doc.part: ET.tostring(self.doc.root, encoding="UTF-8", xml_declaration=True)}
+        parts = self.added | {self.doc.part: ET.tostring(self.doc.root, encoding="UTF-8", xml_declaration=True)}
         if hasattr(self, "numbering"):
             parts[self.numbering_part] = ET.tostring(self.numbering, encoding="UTF-8", xml_declaration=True)
         return repacked(self.data, parts)

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from tabweave.errors import EngineError
 from tabweave.functions.model import column_index, column_letter
+from tabweave.sinks import presentation
 
 CELLS = "sheet string, row long, col long, value string, formula string, style string"
-NAME, OPS = 31, 200
+#: Cells of a range that get a style though they are blank.
+NAME, OPS, LOOKS = 31, 200, 100_000
 _REF = re.compile(r"^\$?([A-Za-z]{1,3})\$?([1-9][0-9]*)$")
 
 
@@ -65,7 +67,7 @@ def rectangles(cells: Iterable[tuple[int, int]]) -> list[tuple[int, int, int, in
 class Workbook:
     cells: DataFrame
     sheets: list[str]
-    shown: dict[str, list] = field(default_factory=lambda: {k: [] for k in ("merge", "col_width", "row_height", "freeze", "auto_filter", "image", "chart", "conditional_format", "data_validation")})
+    shown: dict[str, list] = field(default_factory=lambda: {k: [] for k in presentation.KINDS})
     notes: list[str] = field(default_factory=list)
 
     @classmethod
@@ -90,14 +92,24 @@ class Workbook:
             return wanted
         raise EngineError("UNKNOWN_SHEET", f"no sheet {wanted!r}; there are {', '.join(self.sheets)}")
 
-    def rows(self, sheet: str) -> list[list]:
+    @classmethod
+    def of_file(cls, rows: DataFrame, data: bytes) -> Workbook:
+        """From rows of read_sheets() and the bytes of the same file: with its empty sheets, styles and looks."""
+        names, shown, styled, notes = presentation.read(data)
+        book = cls.of_sheets(rows)
+        looks = rows.sparkSession.createDataFrame(styled, "sheet string, row long, col long, look string")  # of one file, which is limited in size
+        cells = book.cells.join(F.broadcast(looks) if not styled else looks, ["sheet", "row", "col"], "full")
+        return cls(cells.select("sheet", "row", "col", "value", "formula", F.coalesce("style", "look").alias("style")), names, shown, notes)
+
+    def rows(self, sheet: str, styled: bool = False) -> list[list]:
         """Values of a sheet, on the driver, for writing it."""
         out: list[list] = []
         for r in self.cells.where(F.col("sheet") == sheet).orderBy("row", "col").toLocalIterator():
             out.extend([] for _ in range(r["row"] - len(out)))
             line = out[r["row"] - 1]
             line.extend([None] * (r["col"] - len(line)))
-            line[r["col"] - 1] = r["formula"] or r["value"]
+            value = r["formula"] or r["value"]
+            line[r["col"] - 1] = (value, r["style"]) if styled else value
         return out
 
 
@@ -113,8 +125,15 @@ def _inside(name: str, ref: str) -> Column:
 def upserted(book: Workbook, patch: list[tuple]) -> DataFrame:
     """Cells with those of the patch in their place; blanks of the patch clear cells. The patch is the script's own values."""
     new = book.spark.createDataFrame([(s, r, c, None if v is None else str(v), f, st) for s, r, c, v, f, st in patch], CELLS)
-    kept = book.cells.join(F.broadcast(new.select("sheet", "row", "col")), ["sheet", "row", "col"], "left_anti")
-    return kept.unionByName(new.where("coalesce(value, '') <> '' OR formula IS NOT NULL"))
+    places = F.broadcast(new.select("sheet", "row", "col"))
+    kept = book.cells.join(places, ["sheet", "row", "col"], "left_anti")
+    looks = book.cells.where("style IS NOT NULL").join(places, ["sheet", "row", "col"], "left_semi").select("sheet", "row", "col", F.col("style").alias("look"))  # a new value keeps its cell's style
+    put = new.join(looks, ["sheet", "row", "col"], "left").select("sheet", "row", "col", "value", "formula", F.coalesce("style", "look").alias("style"))
+    return kept.unionByName(put.where("coalesce(value, '') <> '' OR formula IS NOT NULL OR style IS NOT NULL"))
+
+
+def _style(op: dict) -> str | None:
+    return presentation.laid_over(None, presentation.cell_style(op["style"])) if op.get("style") else None
 
 
 def _set_cells(book: Workbook, op: dict) -> None:
@@ -125,22 +144,37 @@ def _set_cells(book: Workbook, op: dict) -> None:
     for i, line in enumerate(op["values"]):
         for k, v in enumerate(line):
             formula = v if isinstance(v, str) and v.startswith("=") and len(v) > 1 else None
-            patch.append((name, row + i, col + k, None if formula else v, formula, op.get("style")))
+            patch.append((name, row + i, col + k, None if formula else v, formula, _style(op)))
     book.cells = upserted(book, patch)
 
 
 def _set_value(book: Workbook, op: dict) -> None:
     row, col = cell_ref(op.get("cell", ""))
-    book.cells = upserted(book, [(book.sheet(op), row, col, op.get("value"), None, op.get("style"))])
+    book.cells = upserted(book, [(book.sheet(op), row, col, op.get("value"), None, _style(op))])
 
 
 def _set_formula(book: Workbook, op: dict) -> None:
     row, col = cell_ref(op.get("cell", ""))
-    book.cells = upserted(book, [(book.sheet(op), row, col, None, "=" + str(op.get("formula", "")).lstrip("="), op.get("style"))])
+    book.cells = upserted(book, [(book.sheet(op), row, col, None, "=" + str(op.get("formula", "")).lstrip("="), _style(op))])
 
 
 def _style_range(book: Workbook, op: dict) -> None:
-    book.cells = book.cells.withColumn("style", F.when(_inside(book.sheet(op), op.get("range", "")), F.lit(str(op.get("style")))).otherwise(F.col("style")))
+    """A style over those that cells have; blank cells of the range get it too, up to LOOKS of them."""
+    name, ref = book.sheet(op), str(op.get("range") or op.get("ref") or "")
+    _, r1, c1, r2, c2 = range_ref(ref)
+    new = presentation.cell_style(op.get("style") or {})
+    held = [r[0] for r in book.cells.where(_inside(name, ref) & F.col("style").isNotNull()).select("style").distinct().collect()]  # styles, not cells: a workbook has few
+    made = F.lit(presentation.laid_over(None, new))
+    for old in held:
+        made = F.when(F.col("style") == old, F.lit(presentation.laid_over(old, new))).otherwise(made)
+    cells = book.cells.withColumn("style", F.when(_inside(name, ref), made).otherwise(F.col("style")))
+    if (r2 - r1 + 1) * (c2 - c1 + 1) <= LOOKS:
+        grid = book.spark.range(r1, r2 + 1).select(F.lit(name).alias("sheet"), F.col("id").alias("row"), F.explode(F.sequence(F.lit(c1).cast("long"), F.lit(c2).cast("long"))).alias("col"))
+        blank = grid.join(book.cells.where(_inside(name, ref)).select("row", "col"), ["row", "col"], "left_anti")
+        cells = cells.unionByName(blank.select("sheet", "row", "col", F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("formula"), F.lit(presentation.laid_over(None, new)).alias("style")))
+    else:
+        book.notes.append(f"{ref}: only cells with contents are styled")
+    book.cells = cells
 
 
 def moved(axis: str, insert: bool) -> Callable[[Workbook, dict], None]:
@@ -154,6 +188,7 @@ def moved(axis: str, insert: bool) -> Callable[[Workbook, dict], None]:
             book.cells = book.cells.where(~(_on(name) & c.between(at, at + n - 1)))
         by = n if insert else -n
         book.cells = book.cells.withColumn(axis, c + F.when(_on(name) & (c >= at), F.lit(by)).otherwise(0))
+        presentation.moved(book.shown, name, axis, at, n, insert)
         if insert and op.get("values"):
             first = at
             _set_cells(book, {"sheet": name, "start": f"A{first}" if axis == "row" else f"{column_letter(first - 1)}1", "values": op["values"]})
@@ -174,6 +209,9 @@ def _rename_sheet(book: Workbook, op: dict) -> None:
     if not new or new in book.sheets and new != old:
         raise EngineError("INVALID_ARGS", f"a sheet needs a name of its own, not {new!r}")
     book.sheets[book.sheets.index(old)] = new
+    for ops in book.shown.values():
+        for kept in ops:
+            kept["sheet"] = new if kept["sheet"] == old else kept["sheet"]
     book.cells = book.cells.withColumn("sheet", F.when(_on(old), F.lit(new)).otherwise(F.col("sheet")))
 
 
@@ -182,9 +220,21 @@ def _delete_sheet(book: Workbook, op: dict) -> None:
         raise EngineError("INVALID_ARGS", "the last sheet stays")
     name = book.sheet(op)
     book.sheets.remove(name)
+    for ops in book.shown.values():
+        ops[:] = [kept for kept in ops if kept["sheet"] != name]
     book.cells = book.cells.where(~_on(name))
 
 
+def _ruled(kind: str) -> Callable[[Workbook, dict], None]:
+    """Checks a conditional format or validation by writing it once."""
+    def run(book: Workbook, op: dict) -> None:
+        op = {**op, "range": str(op.get("range") or op.get("ref") or "").replace("$", ""), "sheet": book.sheet(op)}
+        presentation.all_ranges([op])
+        presentation.look_of({k: [op] if k == kind else [] for k in presentation.KINDS}, op["sheet"], presentation.Styles())
+        book.shown[kind].append(op)
+    return run
+
+
 def _keep(kind: str, check: Callable[[dict], object] = lambda op: None) -> Callable[[Workbook, dict], None]:
     def run(book: Workbook, op: dict) -> None:
         check(op)
@@ -201,7 +251,7 @@ OPERATIONS: dict[str, Callable[[Workbook, dict], None]] = {
     "set_cells": _set_cells, "set_value": _set_value, "set_formula": _set_formula, "style_range": _style_range, "merge": _keep("merge", lambda op: range_ref(op.get("range", ""))), "unmerge": _unmerge,
     "insert_rows": moved("row", True), "delete_rows": moved("row", False), "insert_cols": moved("col", True), "delete_cols": moved("col", False), "add_sheet": _add_sheet, "rename_sheet": _rename_sheet, "delete_sheet": _delete_sheet,
     "set_col_width": _keep("col_width"), "set_row_height": _keep("row_height"), "freeze": _keep("freeze"), "auto_filter": _keep("auto_filter"), "add_image": _keep("image"), "add_chart": _keep("chart"),
-    "conditional_format": _keep("conditional_format", lambda op: range_ref(op.get("range", ""))), "data_validation": _keep("data_validation", lambda op: range_ref(op.get("range", ""))),
+    "conditional_format": _ruled("conditional_format"), "data_validation": _ruled("data_validation"),
 }
 
 

@@ -6,6 +6,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterable
+from dataclasses import dataclass
 from xml.sax.saxutils import escape, quoteattr
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from tabweave.errors import EngineError
 from tabweave.functions import model
 from tabweave.functions.model import column_letter, fmt
+from tabweave.sinks.presentation import KINDS, Look, Styles, cell_style, laid_over, look_of
 
 SHEET_NAME = 31
 
@@ -43,37 +45,54 @@ def _serial(day: str) -> int:
     return (date.fromisoformat(day) - date(1899, 12, 30)).days
 
 
-def _cell(at: str, value: object, typed: bool) -> str:
-    kind, v = coerced(value, typed)
+@dataclass(frozen=True)
+class Styled:
+    """A value with the style of its cell, as stored in the long form of cells."""
+
+    value: object
+    style: str | None
+
+
+def _cell(at: str, value: object, typed: bool, styles: Styles) -> str:
+    style = value.style if isinstance(value, Styled) else None
+    kind, v = coerced(value.value if isinstance(value, Styled) else value, typed)
+    number = styles.number(style, {"percent": 2, "date": 1}.get(kind, 0))
+    head = f'<c r="{at}"' + (f' s="{number}"' if number else "")
     if kind == "blank":
-        return ""
+        return f"{head}/>" if number else ""
     if kind in ("number", "percent"):
-        return f'<c r="{at}"{" s=\"2\"" if kind == "percent" else ""}><v>{v!r}</v></c>'
+        return f"{head}><v>{v!r}</v></c>"
     if kind == "date":
-        return f'<c r="{at}" s="1"><v>{_serial(v)}</v></c>'
+        return f"{head}><v>{_serial(v)}</v></c>"
     if kind == "bool":
-        return f'<c r="{at}" t="b"><v>{int(v)}</v></c>'
+        return f'{head} t="b"><v>{int(v)}</v></c>'
     if kind == "formula":
-        return f'<c r="{at}"><f>{escape(v)}</f></c>'
-    return f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(_safe(v))}</t></is></c>'
+        return f"{head}><f>{escape(v)}</f></c>"
+    return f'{head} t="inlineStr"><is><t xml:space="preserve">{escape(_safe(v))}</t></is></c>'
 
 
 def _safe(text: str) -> str:
     return "".join(c for c in text if c >= " " or c in "\t\n\r")
 
 
-def xlsx(sheets: Iterable[tuple[str, Iterable[list]]], typed: bool = True) -> bytes:
-    """sheets: (name, rows). A sheet is written as its rows come."""
+def xlsx(sheets: Iterable[tuple[str, Iterable[list]]], typed: bool = True, shown: dict[str, list] | None = None) -> bytes:
+    """sheets: (name, rows). A sheet is written as its rows come. shown: what sheets look like, by kind of step."""
+    styles = Styles()
     main, rel, pack = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships", "http://schemas.openxmlformats.org/package/2006"
     out, names = io.BytesIO(), []
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for name, rows in sheets:
             names.append((name or f"Sheet{len(names) + 1}")[:SHEET_NAME])
             with z.open(f"xl/worksheets/sheet{len(names)}.xml", "w") as f:
-                f.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{main}"><sheetData>'.encode())
-                for i, row in enumerate(rows, 1):
-                    f.write(f'<row r="{i}">{"".join(_cell(f"{column_letter(k)}{i}", v, typed) for k, v in enumerate(row))}</row>'.encode())
-                f.write(b"</sheetData></worksheet>")
+                look = look_of(shown, name, styles) if shown else Look()
+                f.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{main}">{look.before}<sheetData>'.encode())
+                last = 0
+                for last, row in enumerate(rows, 1):
+                    height = f' ht="{look.heights[last]}" customHeight="1"' if last in look.heights else ""
+                    f.write(f'<row r="{last}"{height}>{"".join(_cell(f"{column_letter(k)}{last}", v, typed, styles) for k, v in enumerate(row))}</row>'.encode())
+                for i in sorted(k for k in look.heights if k > last):
+                    f.write(f'<row r="{i}" ht="{look.heights[i]}" customHeight="1"/>'.encode())
+                f.write(f"</sheetData>{look.after}</worksheet>".encode())
         if not names:
             raise EngineError("INVALID_ARGS", "a workbook needs a sheet")
         z.writestr("[Content_Types].xml", f'<?xml version="1.0" encoding="UTF-8"?><Types xmlns="{pack}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>'
@@ -81,10 +100,41 @@ def xlsx(sheets: Iterable[tuple[str, Iterable[list]]], typed: bool = True) -> by
         z.writestr("_rels/.rels", f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{pack}/relationships"><Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
         z.writestr("xl/workbook.xml", f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>")
         z.writestr("xl/_rels/workbook.xml.rels", f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{pack}/relationships">' + "".join(f'<Relationship Id="rId{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1)) + f'<Relationship Id="rId{len(names) + 1}" Type="{rel}/styles" Target="styles.xml"/></Relationships>')
-        z.writestr("xl/styles.xml", f'<?xml version="1.0" encoding="UTF-8"?><styleSheet xmlns="{main}"><fonts count="1"><font/></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="3"><xf numFmtId="0"/><xf numFmtId="14" applyNumberFormat="1"/><xf numFmtId="10" applyNumberFormat="1"/></cellXfs></styleSheet>')
+        z.writestr("xl/styles.xml", styles.xml())
     return out.getvalue()
 
 
+# Fixed value: the look of header rows where a specification asks for one and names none.
+HEADER = {"bold": True, "fill": "D9E2F3", "align": "center"}
+
+
+def built(spec: dict) -> bytes:
+    """A new workbook: {"sheets": [{"name", "rows", "header", "headerStyle", "columnWidths", "rowHeights"}]}. Cells may be {"value", "style"}."""
+    if not isinstance(spec.get("sheets"), list) or not spec["sheets"]:
+        raise EngineError("INVALID_ARGS", "a workbook needs sheets")
+    sheets, shown = [], {k: [] for k in KINDS}
+    for i, of in enumerate(spec["sheets"], 1):
+        name, rows = str(of.get("name") or f"Sheet{i}")[:SHEET_NAME], of.get("rows") or []
+        if not all(isinstance(r, list) for r in rows):
+            raise EngineError("INVALID_ARGS", f"rows of {name} are an array of arrays")
+        head = cell_style(of.get("headerStyle") or HEADER) if of.get("header") and of.get("headerStyle") is not False else None
+
+        def cell(v: object, first: bool, head: dict | None = head) -> object:
+            own = cell_style(v["style"]) if isinstance(v, dict) and v.get("style") else {}
+            value = v.get("value") if isinstance(v, dict) else v
+            look = laid_over(laid_over(None, head) if first and head else None, own) if own or first and head else None
+            return Styled(value, look) if look else value
+
+        sheets.append((name, [[cell(v, k == 0) for v in r] for k, r in enumerate(rows)]))
+        widths = of.get("columnWidths")
+        if not isinstance(widths, list):  # wide enough for what they hold, within 10 and 50
+            width = max((len(r) for r in rows), default=0)
+            widths = [max(10, min(50, max((len(str(r[k].get("value") if isinstance(r[k], dict) else r[k] if r[k] is not None else "")) + 2 for r in rows if k < len(r)), default=8))) for k in range(width)]
+        shown["col_width"] += [{"sheet": name, "col": k, "width": x} for k, x in enumerate(widths, 1) if isinstance(x, int | float) and 0 < x <= 255]
+        shown["row_height"] += [{"sheet": name, "row": k, "height": x} for k, x in enumerate(of.get("rowHeights") or [], 1) if isinstance(x, int | float) and x > 0]
+    return packed(xlsx(sheets, shown=shown), "xlsx")
+
+
 def ods(sheets: Iterable[tuple[str, Iterable[list]]], typed: bool = True) -> bytes:
     names = {"office": "urn:oasis:names:tc:opendocument:xmlns:office:1.0", "table": "urn:oasis:names:tc:opendocument:xmlns:table:1.0", "text": "urn:oasis:names:tc:opendocument:xmlns:text:1.0"}
     body = []
@@ -134,9 +184,9 @@ def packed(data: bytes, kind: str) -> bytes:
     return data
 
 
-def table_bytes(sheets: list[tuple[str, Iterable[list]]], kind: str, typed: bool = True) -> bytes:
+def table_bytes(sheets: list[tuple[str, Iterable[list]]], kind: str, typed: bool = True, shown: dict[str, list] | None = None) -> bytes:
     if kind == "xlsx":
-        return packed(xlsx(sheets, typed), kind)
+        return packed(xlsx(sheets, typed, shown), kind)
     if kind == "ods":
         return packed(ods(sheets, typed), kind)
     if kind in ("csv", "tsv"):

@@ -119,6 +119,7 @@ class Document:
     def _read_styles(self, root: ET.Element | None) -> None:
         self.styles: dict[str, tuple[str, str | None, Format, int | None, ET.Element | None]] = {}
         self.defaults, self.normal = Format(), None
+        self.levels: dict[str | None, int | None] = {}
         if root is None:
             return
         for kind, name in ((run_format, "rPrDefault"), (paragraph_format, "pPrDefault")):
@@ -183,12 +184,20 @@ class Document:
             walk(self.body, False)
         return out
 
+    def level_of(self, p: ET.Element) -> int | None:
+        """Heading level of a paragraph, by its style and what that is based on."""
+        mark = p.find(f"{w('pPr')}/{w('pStyle')}")
+        style = mark.get(w("val")) if mark is not None else None
+        if style not in self.levels:
+            self.levels[style] = next((self.styles[s][3] for s in self.chain(style) if self.styles[s][3]), None)
+        return self.levels[style]
+
     def paragraphs(self) -> list[Paragraph]:
         counters, out = Counters(), []
         for index, (p, inside) in enumerate(self.elements()):
             props = p.find(w("pPr"))
             style = _value(props.find(w("pStyle"))) if props is not None else None
-            level = next((self.styles[s][3] for s in self.chain(style) if self.styles[s][3]), None)
+            level = self.level_of(p)
             base = self.styled(style).under(paragraph_format(props))
             runs = []
             for r in p.iter(w("r")):
@@ -250,12 +259,12 @@ class Document:
 
 def repacked(data: bytes, parts: dict[str, bytes]) -> bytes:
     """The archive with some parts replaced (or added)."""
-    out, left = io.BytesIO(), dict(parts)
+    out, left = io.BytesIO(), {name.lower(): (name, body) for name, body in parts.items()}
     with zipfile.ZipFile(io.BytesIO(data)) as src, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as dst:
         for i in src.infolist():
             name = i.filename.replace("\\", "/")
-            dst.writestr(name, left.pop(name.lower(), None) or src.read(i))
-        for name, body in left.items():
+            dst.writestr(name, left.pop(name.lower())[1] if name.lower() in left else src.read(i))
+        for name, body in left.values():
             dst.writestr(name, body)
     return out.getvalue()
 

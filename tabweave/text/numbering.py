@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 # Digits and words of counters.
 CHINESE, UNITS = "零一二三四五六七八九", ("", "十", "百", "千")
+GROUPS = ("", "万", "亿", "兆")
 ROMAN = ((1000, "M"), (900, "CM"), (500, "D"), (400, "CD"), (100, "C"), (90, "XC"), (50, "L"), (40, "XL"), (10, "X"), (9, "IX"), (5, "V"), (4, "IV"), (1, "I"))
 SMALL = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
 TENS = "zero ten twenty thirty forty fifty sixty seventy eighty ninety".split()
@@ -20,22 +23,28 @@ def roman(n: int) -> str:
 
 
 def letters(n: int) -> str:
-    """A .. Z, AA, BB ..: the letter repeats."""
-    return chr(65 + (n - 1) % 26) * ((n - 1) // 26 + 1)
+    """A .. Z, AA, AB ..: numbers of base 26 without a zero."""
+    out = ""
+    while n:
+        n, digit = divmod(n - 1, 26)
+        out = chr(65 + digit) + out
+    return out
 
 
 def chinese(n: int) -> str:
-    if n >= 10_000:
-        return chinese(n // 10_000) + "万" + (("零" if n % 10_000 < 1000 else "") + chinese(n % 10_000) if n % 10_000 else "")
-    out, zero = "", False
-    digits = str(n)
-    for i, d in enumerate(digits):
-        if d == "0":
-            zero = True
-            continue
-        out += ("零" if zero and out else "") + CHINESE[int(d)] + UNITS[len(digits) - 1 - i]
-        zero = False
-    return (out.removeprefix("一") if out.startswith("一十") else out) or CHINESE[0]
+    """Groups of four digits, each written by itself: 一万零五, 十二, 二千零三十."""
+    def group(number: int) -> str:
+        digits = f"{number:04d}"
+        signs = "".join(CHINESE[int(d)] + (unit if d != "0" else "") for d, unit in zip(digits, reversed(UNITS), strict=True))
+        return re.sub("零+", "零", signs).rstrip("零")
+
+    whole, groups = n, []
+    while whole:
+        whole, low = divmod(whole, 10_000)
+        groups.append(low)
+    out = "".join(group(g) + (GROUPS[k] if g else "零") for k, g in reversed(list(enumerate(groups))))
+    out = re.sub("零+", "零", out).strip("零")
+    return (out[1:] if out.startswith("一十") else out) or CHINESE[0]
 
 
 def cardinal(n: int) -> str:
