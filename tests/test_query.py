@@ -9,8 +9,8 @@ from tabweave.plans.spec import Query
 from tabweave.plans.spec import joins as join_specs
 from tabweave.plans.table import Table, unique_names
 
-HEAD = ["地区", "产品", "金额", "日期", "备注"]
-ROWS = [["华东", "A", "1,200.50", "2025/1/3", ""], ["华东", "B", "800", "2025/2/1", "加急"], ["华南", "A", "¥2,000", "2024/12/31", ""], ["华南", "B", "12.5%", "2025/3/5", "加急"], ["华北", "A", "", "2025/1/3", ""]]
+HEAD = ["harbour", "cargo", "tons", "docked", "remark"]
+ROWS = [["Oslo", "ore", "¥3,400.25", "2023/6/9", "late"], ["Oslo", "salt", "600", "2023/7/14", ""], ["Riga", "ore", "5,000", "2022/11/30", ""], ["Riga", "salt", "50%", "2023/8/2", "late"], ["Turku", "ore", "", "2023/6/9", ""]]
 
 
 def matrix(spark, rows, header_row=1):
@@ -28,31 +28,42 @@ def rows(result):
 
 
 def test_group_and_measures(orders):
-    r = compiled(orders, {"groupBy": ["地区"], "aggregate": [{"col": "金额", "fn": "sum", "as": "销售额"}, {"col": "金额", "fn": "avg"}, {"col": "产品", "fn": "countDistinct", "as": "产品数"}]})
-    assert r.columns == ["地区", "销售额", "avg(金额)", "产品数"]
-    assert rows(r) == [("华东", 2000.5, 1000.25, 2), ("华南", 2000.125, 1000.0625, 2), ("华北", None, None, 1)]
+    r = compiled(orders, {"groupBy": ["harbour"], "aggregate": [{"col": "tons", "fn": "sum", "as": "total"}, {"col": "tons", "fn": "avg"}, {"col": "cargo", "fn": "countDistinct", "as": "kinds"}]})
+    assert r.columns == ["harbour", "total", "avg(tons)", "kinds"]
+    assert rows(r) == [("Oslo", 4000.25, 2000.125, 2), ("Riga", 5000.5, 2500.25, 2), ("Turku", None, None, 1)]
 
 
 def test_global_and_extremes(orders):
-    r = compiled(orders, {"aggregate": [{"col": "金额", "fn": "sum"}, {"col": "金额", "fn": "count"}, {"col": "金额", "fn": "min"}, {"col": "金额", "fn": "max"}, {"col": "日期", "fn": "min"}, {"col": "日期", "fn": "max"}]})
-    assert rows(r) == [(4000.625, 4, "0.125", "2000", "2024-12-31", "2025-03-05")]
+    r = compiled(orders, {"aggregate": [{"col": "tons", "fn": "sum"}, {"col": "tons", "fn": "count"}, {"col": "tons", "fn": "min"}, {"col": "tons", "fn": "max"}, {"col": "docked", "fn": "min"}, {"col": "docked", "fn": "max"}]})
+    assert rows(r) == [(9000.75, 4, "0.5", "5000", "2022-11-30", "2023-08-02")]
 
 
 def test_rows_per_group_filter_order_limit(orders):
-    assert rows(compiled(orders, {"groupBy": ["产品"]})) == [("A", 3), ("B", 2)]
-    r = compiled(orders, {"where": [{"col": "地区", "op": "in", "value": ["华东", "华南"]}, {"col": "金额", "op": "gt", "value": 1000}], "groupBy": ["地区"]})
-    assert rows(r) == [("华东", 1), ("华南", 1)]
-    by = compiled(orders, {"groupBy": ["地区"], "aggregate": [{"col": "金额", "fn": "sum", "as": "s"}], "orderBy": [{"col": "s", "dir": "desc"}], "limit": 2})
-    assert [x[0] for x in rows(by)] == ["华东", "华南"]
-    assert [x[0] for x in rows(compiled(orders, {"groupBy": ["日期"], "orderBy": [{"col": "日期"}]}))] == ["2024/12/31", "2025/1/3", "2025/2/1", "2025/3/5"]
+    assert rows(compiled(orders, {"groupBy": ["cargo"]})) == [("ore", 3), ("salt", 2)]
+    r = compiled(orders, {"where": [{"col": "harbour", "op": "in", "value": ["Oslo", "Riga"]}, {"col": "tons", "op": "gt", "value": 1000}], "groupBy": ["harbour"]})
+    assert rows(r) == [("Oslo", 1), ("Riga", 1)]
+    by = compiled(orders, {"groupBy": ["harbour"], "aggregate": [{"col": "tons", "fn": "sum", "as": "s"}], "orderBy": [{"col": "s", "dir": "desc"}], "limit": 2})
+    assert [x[0] for x in rows(by)] == ["Riga", "Oslo"]
+    assert [x[0] for x in rows(compiled(orders, {"groupBy": ["docked"], "orderBy": [{"col": "docked"}]}))] == ["2022/11/30", "2023/6/9", "2023/7/14", "2023/8/2"]
 
 
 def test_profile(orders):
     got = {r["column"]: r for r in compiled(orders, {}).df.collect()}
     assert [got[c]["type"] for c in HEAD] == ["文本", "文本", "数字", "日期", "文本"]
-    m = got["金额"]
-    assert (m["non_null"], m["nulls"], m["sum"], m["avg"], m["min"], m["max"]) == (4, 1, 4000.625, 1000.15625, "0.125", "2000")
-    assert got["备注"]["nulls"] == 3 and got["产品"]["top"] == "A(3) B(2)" and got["地区"]["top"] == "华东(2) 华南(2) 华北(1)"
+    m = got["tons"]
+    assert (m["non_null"], m["nulls"], m["sum"], m["avg"], m["min"], m["max"]) == (4, 1, 9000.75, 2250.1875, "0.5", "5000")
+    assert got["remark"]["nulls"] == 3 and got["cargo"]["top"] == "ore(3) salt(2)" and got["harbour"]["top"] == "Oslo(2) Riga(2) Turku(1)" and got["docked"]["distinct"] == 4
+
+
+def test_rendered_notes(spark, orders):
+    out = rendered(compiled(orders, {"groupBy": ["harbour"], "aggregate": [{"col": "remark", "fn": "sum", "as": "s"}], "limit": 3}))
+    assert not out["meta"]["truncated"] and out["meta"]["total"] == 3 and "2 cells of remark are no numbers" in out["text"]
+    out = rendered(compiled(orders, {"where": [{"col": "cargo", "op": "eq", "value": "ore"}], "groupBy": ["harbour"], "limit": 2}))
+    assert out["meta"]["truncated"] and (out["meta"]["shown"], out["meta"]["total"], out["meta"]["matchedRows"]) == (2, 3, 3) and "first 2 of 3 rows" in out["text"] and "-> 3 matched" in out["text"]
+    blank = rendered(compiled(matrix(spark, [["a", "b"], ["1", ""]]), {}))
+    assert "blank columns: b" in blank["text"]
+    joined = compiled(orders, {"join": {"on": "harbour"}, "groupBy": ["cargo"]})
+    assert "inner join with itself on harbour" in rendered(joined)["text"]
 
 
 def test_mixed_and_missing_numbers(spark):
@@ -63,20 +74,20 @@ def test_mixed_and_missing_numbers(spark):
 
 
 def test_pivot(spark):
-    t = matrix(spark, [["地区", "产品", "金额"], ["华东", "甲", "10"], ["华东", "乙", "20"], ["华东", "乙", "5"], ["华南", "甲", "7"], ["华南", "乙", "3"]])
-    r = compiled(t, {"pivot": {"rows": "地区", "columns": "产品", "values": [{"col": "金额", "fn": "sum"}], "totals": True}})
-    assert r.columns == ["地区", "甲", "乙", "合计"]
-    assert rows(r) == [("华东", 10.0, 25.0, 35.0), ("华南", 7.0, 3.0, 10.0), ("合计", 17.0, 28.0, 45.0)]
-    m = compiled(t, {"where": [{"col": "金额", "op": "ne", "value": 7}], "pivot": {"rows": ["地区"], "columns": "产品", "values": [{"col": "金额", "fn": "sum"}, {"col": "金额", "fn": "count"}]}, "orderBy": [{"col": "sum(金额)·乙", "dir": "desc"}]})
-    assert m.columns == ["地区", "sum(金额)·甲", "count(金额)·甲", "sum(金额)·乙", "count(金额)·乙"]
-    assert rows(m) == [("华东", 10.0, 1, 25.0, 2), ("华南", None, None, 3.0, 1)]
+    t = matrix(spark, [["team", "month", "hours"], ["north", "May", "12"], ["north", "June", "30"], ["north", "June", "8"], ["south", "May", "9"], ["south", "June", "4"]])
+    r = compiled(t, {"pivot": {"rows": "team", "columns": "month", "values": [{"col": "hours", "fn": "sum"}], "totals": True}})
+    assert r.columns == ["team", "May", "June", "合计"]
+    assert rows(r) == [("north", 12.0, 38.0, 50.0), ("south", 9.0, 4.0, 13.0), ("合计", 21.0, 42.0, 63.0)]
+    m = compiled(t, {"where": [{"col": "hours", "op": "ne", "value": 9}], "pivot": {"rows": ["team"], "columns": "month", "values": [{"col": "hours", "fn": "sum"}, {"col": "hours", "fn": "count"}]}, "orderBy": [{"col": "sum(hours)·June", "dir": "desc"}]})
+    assert m.columns == ["team", "sum(hours)·May", "count(hours)·May", "sum(hours)·June", "count(hours)·June"]
+    assert rows(m) == [("north", 12.0, 1, 38.0, 2), ("south", None, None, 4.0, 1)]
     wide = matrix(spark, [["a", "b", "c"], *[["x", f"v{i}", "1"] for i in range(61)]])
     with pytest.raises(EngineError, match="column dimension"):
         compiled(wide, {"pivot": {"rows": "a", "columns": "b", "values": [{"col": "c", "fn": "sum"}]}})
 
 
 def test_names():
-    assert unique_names(["金额", "金额", "", "x"]) == ["金额", "金额_2", "C", "x"]
+    assert unique_names(["tide", "tide", " ", "z", "tide"]) == ["tide", "tide_2", "C", "z", "tide_3"]
 
 
 def test_headers(spark):
@@ -89,23 +100,25 @@ def test_headers(spark):
     assert e.value.code == "UNKNOWN_COLUMN" and ragged.index("B") == 1
 
 
-@pytest.mark.parametrize(("kind", "want"), [("inner", {("A", "10", "甲"), ("B", "20", "乙")}), ("left", {("A", "10", "甲"), ("B", "20", "乙"), ("D", "40", None)}), ("right", {("A", "10", "甲"), ("B", "20", "乙"), ("C", None, "丙")}), ("full", {("A", "10", "甲"), ("B", "20", "乙"), ("D", "40", None), ("C", None, "丙")})])
+BOTH = {("p", "7", "pine"), ("q", "8", "oak")}
+
+
+@pytest.mark.parametrize(("kind", "want"), [("inner", BOTH), ("left", BOTH | {("s", "5", None)}), ("right", BOTH | {("r", None, "elm")}), ("full", BOTH | {("s", "5", None), ("r", None, "elm")})])
 def test_joins(spark, kind, want):
-    left, right = matrix(spark, [["编号", "金额"], ["A", "10"], ["B", "20"], ["D", "40"]]), matrix(spark, [["编号", "名称"], ["A", "甲"], ["B", "乙"], ["C", "丙"]])
-    out = joins.joined(left, right, join_specs({"on": "编号", "type": kind, "path": "r"})[0])
-    assert out.names == ("编号", "金额", "名称") and {tuple(r) for r in out.named().collect()} == want
-    stats = joins.match_statistics(left, right, join_specs({"on": "编号", "type": kind, "path": "r"})[0]).first()
+    left, right = matrix(spark, [["plot", "trees"], ["p", "7"], ["q", "8"], ["s", "5"]]), matrix(spark, [["plot", "kind"], ["p", "pine"], ["q", "oak"], ["r", "elm"]])
+    out = joins.joined(left, right, join_specs({"on": "plot", "type": kind, "path": "r"})[0])
+    assert out.names == ("plot", "trees", "kind") and {tuple(r) for r in out.named().collect()} == want
+    stats = joins.match_statistics(left, right, join_specs({"on": "plot", "type": kind, "path": "r"})[0]).first()
     assert tuple(stats) == (2, 1, 1 if kind in ("right", "full") else None)
 
 
 def test_join_keys_and_names(spark):
-    a, b = matrix(spark, [["年", "月", "值"], ["2026", "1", "x"], ["2026", "2", "y"], ["", "3", "z"]]), matrix(spark, [["年", "月", "值"], ["2026", "1", "p"], ["2026", "2", "q"], ["", "3", "r"]])
-    out = joins.joined(a, b, join_specs({"on": ["年", "月"], "path": "r"})[0])
-    assert out.names == ("年", "月", "值", "值_2") and out.df.count() == 2
-    many = joins.joined(matrix(spark, [["编号", "金额"], ["1", "10"], ["001", "20"]]), matrix(spark, [["编号", "名称"], ["1", "甲"], ["1.0", "乙"]]), join_specs({"on": "编号", "path": "r"})[0])
-    assert many.df.count() == 4
+    a, b = (matrix(spark, [["row", "seat", "note"], ["4", "a", x], ["4", "b", y], ["", "c", z]]) for x, y, z in (("f", "g", "h"), ("k", "l", "m")))
+    out = joins.joined(a, b, join_specs({"on": ["row", "seat"], "path": "r"})[0])
+    assert out.names == ("row", "seat", "note", "note_2") and out.df.count() == 2  # blank keys match nothing
+    many = joins.joined(matrix(spark, [["no", "x"], ["7", "a"], ["007", "b"]]), matrix(spark, [["no", "y"], ["7", "c"], ["7.0", "d"]]), join_specs({"on": "no", "path": "r"})[0])
     with pytest.raises(EngineError) as e:
-        joins.joined(many, many, join_specs({"on": "编号", "path": "r"})[0], rows_limit=3)
+        joins.joined(many, many, join_specs({"on": "no", "path": "r"})[0], rows_limit=3)
     assert e.value.code == "TOO_MANY_ROWS"
 
 
