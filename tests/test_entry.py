@@ -34,16 +34,17 @@ def _norm(df: pd.DataFrame) -> list:
     return sorted(tuple(one(v) for v in r) for r in df[sorted(df.columns)].astype(object).itertuples(index=False))
 
 
-SAMPLE = ("filter_ne", "filter_percent_text", "join_full", "join_norm_key", "agg_mixed_skip", "agg_null_group", "pivot_totals", "profile_orders", "profile_top3", "topk", "window_offsets", "text_paging_lossless", "cf_iconset", "dv_date", "fmt_outliers", "edit_set_cells", "convert_xlsx_roundtrip")
-
-
 @needs_data
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_catalogue(spark, name):
     con = duckdb.connect()
     for file in os.listdir(DATA):
         con.sql(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{DATA}/{file}'")
-    got, want = catalog.QUERIES[name](spark, DATA).toPandas(), con.sql(catalog.ORACLES[name]).df()
+    got = catalog.QUERIES[name](spark, DATA).toPandas()
+    if name not in catalog.ORACLES:
+        assert len(got)
+        return
+    want = con.sql(catalog.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert _norm(got) == _norm(want)
 
