@@ -205,6 +205,11 @@ def _books(spark: SparkSession, d: str) -> DataFrame:
     return each(rows, "path string, content binary", lambda row: [(f"n{row[0]}.xlsx", sinks.table_bytes([("Suppliers", [["key", "twice"], *([k, f"=A{i}*2"] for i, k in enumerate(row[1], 2))]), ("Name", [["nation"], [f"N{row[0]}"]])], "xlsx"))])
 
 
+def _first_book(spark: SparkSession, d: str) -> DataFrame:
+    first = read(spark, d, "supplier").agg(F.min("s_nationkey")).first()[0]
+    return sources.parsed_sheets(_books(spark, d).where(F.col("path") == f"n{first}.xlsx"))
+
+
 def _cells(mode: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
         sheets = sources.parsed_sheets(_books(spark, d)).where("sheet = 'Suppliers' AND row_no > 1")
@@ -220,8 +225,8 @@ register("xlsx_summary", lambda s, d: sources.parsed_sheets(_books(s, d)).groupB
          "SELECT 'n' || s_nationkey || '.xlsx' AS path, 'Suppliers' AS sheet, count(*) + 1 AS rows, CAST(2 AS BIGINT) AS cols FROM supplier GROUP BY ALL UNION ALL SELECT 'n' || s_nationkey || '.xlsx', 'Name', 2, 1 FROM supplier GROUP BY ALL")
 register("xlsx_sheet_picked", lambda s, d: sources.pick(sources.parsed_sheets(_books(s, d)), "Name").where("row_no = 2").select("path", F.col("cells")[0].alias("name")).unionByName(sources.pick(sources.parsed_sheets(_books(s, d)), 2).where("row_no = 1").select("path", F.col("cells")[0].alias("name"))),
          "SELECT 'n' || s_nationkey || '.xlsx' AS path, 'N' || s_nationkey AS name FROM supplier GROUP BY ALL UNION ALL SELECT 'n' || s_nationkey || '.xlsx', 'nation' FROM supplier GROUP BY ALL")
-register("sheet_window", lambda s, d: sources.window(sources.parsed_sheets(_books(s, d)).where("path = 'n1.xlsx'"), 2, 4, max_rows=2, mode="both").select("sheet", "row", "line"),
-         f"SELECT 'Suppliers' AS sheet, CAST(r AS BIGINT) AS row, s_suppkey || '␉'[0:0] || chr(9) || '=A' || r || '*2' AS line FROM {_ROWS} WHERE s_nationkey = 1 AND r BETWEEN 2 AND 3 UNION ALL SELECT 'Name', 2, 'N1' WHERE (SELECT count(*) FROM supplier WHERE s_nationkey = 1) < 2")
+register("sheet_window", lambda s, d: sources.window(_first_book(s, d), 2, 4, max_rows=2, mode="both").select("sheet", "row", "line"),
+         "SELECT sheet, row, line FROM (SELECT 1 AS no, 'Suppliers' AS sheet, CAST(r AS BIGINT) AS row, s_suppkey || chr(9) || '=A' || r || '*2' AS line FROM " + _ROWS + " WHERE s_nationkey = (SELECT min(s_nationkey) FROM supplier) AND r BETWEEN 2 AND 4 UNION ALL SELECT 2, 'Name', 2, 'N' || min(s_nationkey) FROM supplier) ORDER BY no, row LIMIT 2")
 
 
 def _dressed(row: tuple) -> list[tuple]:
