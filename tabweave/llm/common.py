@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,17 +49,36 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, tag: str, key: str) -> DataFrame:
+    """df, which is hash-partitioned by key, as a table in as many buckets: joins on the key read it in place. The table's files are in the shared folder."""
+    spark, path, name = df.sparkSession, scratch(df.sparkSession, tag), f"tabweave_{tag}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(n, key).sortBy(key).saveAsTable(name)
+    out = spark.table(name)
+    out.stored_at, out.table_name = path, name
+    return out
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Deletes a path in whatever file system holds it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, upon which Spark deletes the shuffles that nothing refers to any more."""
+    spark._jvm.System.gc()
+
+
 def released(*tables: DataFrame | None) -> None:
     """Deletes tables of stored(): for those whose readers have been written themselves. Others stay (a result may be read again) until cleared()."""
-    for df in tables:
-        if df is not None and hasattr(df, "stored_at"):
-            removed(df.sparkSession, df.stored_at)
+    gone = [df for df in tables if df is not None and hasattr(df, "stored_at")]
+    for df in gone:
+        if hasattr(df, "table_name"):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.table_name}")
+        removed(df.sparkSession, df.stored_at)
+    if gone:
+        swept(gone[0].sparkSession)
 
 
 def cleared(spark: SparkSession) -> None:
@@ -88,6 +109,34 @@ def bounded(side: DataFrame, tag: str, rows: int = BROADCAST_ROWS, keep=None) ->
     return F.broadcast(side) if side.count() <= rows else side.hint("merge")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Texts go to Python by batches of `rows` in what is run within the block: a tenth of the usual memory on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def trimmed(run):
+    """A function over Arrow batches that gives freed memory back to the system at the end of a task: workers stay, idle, beside the JVM."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries do so by themselves, or not at all
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+    return wrapped
+
+
+def sliced(batch, *columns: int, rows: int = 256):
+    """Python values of these columns of an Arrow batch, row by row, of which few are held at a time."""
+    for i in range(0, batch.num_rows, rows):
+        yield from zip(*(batch.column(c).slice(i, rows).to_pylist() for c in columns), strict=True)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case and nothing else. lower() is the fast path where the text is ASCII throughout."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

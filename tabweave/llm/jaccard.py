@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import bounded, releasing, released, stored, table
+from tabweave.llm.common import bounded, bucketed, released, releasing, sliced, small_batches, stored, swept, table, trimmed
 from tabweave.llm.components import components
 
 GRAM, SHARE, WHOLE = 5, 80, 100
@@ -42,6 +42,8 @@ ROUNDS = 1
 #: Blocks of which each holds one token, nearly always.
 FINE = 1 << 20
 FLUSH = 1 << 21
+#: Hashes of words that a task keeps, about 20 MB.
+MEMO = 100_000
 #: A shingle is left out of sketches if it is in so many of the documents; at most 2,000 times the mean set size of shingles are. Which are left out does not change results.
 COMMON_SHARE, COMMON_LEAST = 2000, 64
 #: As many of them at most are sent to the tasks, 16 MB: if there are more, the share is raised.
@@ -60,7 +62,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > MEMO:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -140,11 +142,6 @@ def _keys(tokens: np.ndarray, rare: np.ndarray, band: int, d: int) -> list[np.nd
     return out
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -157,14 +154,18 @@ def _describe(gram: int):
         memo, held, size, seen = _Hashes(), [], 0, set()
 
         def flush() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            every = np.concatenate(held)
+            held.clear()
+            every.sort()
+            starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+            counts = np.diff(np.append(starts, len(every)))
             often = counts > 1
             none = pa.nulls(int(often.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(_signed(values[often])), pa.array(counts[often].astype(np.int64))], names)
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(_signed(every[starts[often]])), pa.array(counts[often])], names)
 
         for batch in batches:
             n, ids = [], []
-            for text in batch.column(1).to_pylist():
+            for (text,) in sliced(batch, 1):
                 found = shingle_set(text, gram, memo)
                 n.append(len(found))
                 ids.append(set_id(found) if len(found) else None)
@@ -174,7 +175,7 @@ def _describe(gram: int):
                     size += len(found)
                 if size > FLUSH:
                     yield flush()
-                    held, size, seen = [], 0, set()
+                    size, seen = 0, set()
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((batch.column(0), batch.column(2), n, ids, none, none), kinds, strict=True)], names)
         if held:
@@ -189,7 +190,7 @@ def _emit(gram: int, share: int, whole: int, common):
         def out():
             return pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(keys))), pa.array(np.concatenate(ids))], ["key", "sid"])
 
-        for (text,) in _rows(batches):
+        for (text,) in (row for batch in batches for row in sliced(batch, 0)):
             found = shingle_set(text, gram, memo)
             if not len(found) or (own := set_id(found)) in seen:  # copies met before need not be sent again
                 continue
@@ -246,16 +247,23 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _Hashes()
+        memo, seen = _Hashes(), set()
         for batch in batches:
             ids, n, sketches, sets = [], [], [], []
-            for text in batch.column(0).to_pylist():
+            for text, repeated in sliced(batch, 0, 1):
                 found = shingle_set(text, gram, memo)
-                ids.append(set_id(found))
+                own = set_id(found)
+                if repeated:
+                    if own in seen:
+                        continue
+                    seen.add(own)
+                ids.append(own)
                 n.append(len(found))
                 flips = np.bincount((found & np.uint64(64 * SKETCH_LONGS - 1)).astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
                 sketches.append(np.packbits(flips.astype(np.uint8)).view(np.int64))
                 sets.append(_signed(found))
+            if len(seen) > 200_000:
+                seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))], ["sid", "n", "sketch", "tokens"])
     return run
 
@@ -335,16 +343,22 @@ def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole
     """docs: doc_id, text. Returns doc_id, n_shingles, component_id for every row; documents link if whole * |A and B| >= share * |A or B|."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))  # row: to fetch texts by, with and without an id
-    facts = stored(docs.mapInArrow(_describe(gram), DESCRIBED), "sets")
+    with small_batches(spark):
+        facts = stored(docs.mapInArrow(trimmed(_describe(gram)), DESCRIBED), "sets")
     described = facts.where("token IS NULL").select("doc_id", "row", "n_shingles", "sid")
     by_set = described.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first"), F.min("row").alias("row"), F.count("*").alias("__n"))
     common = spark.sparkContext.broadcast(_common(facts, max(COMMON_LEAST, described.count() // COMMON_SHARE)))
-    emitted = docs.select("text").mapInArrow(_emit(gram, share, whole, common), "key long, sid long")
+    emitted = docs.select("text").mapInArrow(trimmed(_emit(gram, share, whole, common)), "key long, sid long")
     with releasing() as keep:
-        multi = keep(emitted.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_runs, "key long, sid long, leader long"), "keys")
-        wanted = bounded(multi.select("sid").distinct().join(by_set, "sid").select("row").distinct(), "wanted", keep=keep)
-        sets = keep(docs.join(wanted, "row", "left_semi").select("text").mapInArrow(_sets(gram), "sid long, n long, sketch array<long>, tokens array<long>").dropDuplicates(["sid"]), "tokens")
+        with small_batches(spark):
+            multi = keep(emitted.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(trimmed(_runs), "key long, sid long, leader long"), "keys")
+        rows = described.where("sid IS NOT NULL").groupBy("row").agg((F.count("*") > 1).alias("repeated"))
+        wanted = bounded(multi.select("sid").distinct().join(by_set, "sid").select("row").distinct().join(rows, "row"), "wanted", keep=keep)
+        with small_batches(spark):  # in buckets, as each round of tests joins the sets twice
+            sets = bucketed(docs.join(wanted, "row").select("text", "repeated").mapInArrow(trimmed(_sets(gram)), "sid long, n long, sketch array<long>, tokens array<long>").dropDuplicates(["sid"]), "tokens", "sid")
+        swept(spark)
         roots = stored(_connected(multi, sets, share, whole), "classes")
+        released(sets)
     of_set = by_set.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root"))
     smallest = of_set.groupBy("root").agg(F.min("first").alias("component"))
     classes = of_set.join(smallest, "root").select("sid", "component")
