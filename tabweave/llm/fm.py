@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import table
+from tabweave.llm.common import table, trimmed
 
 BUCKETS, RANK, SAMPLE, FOLDS, LIMIT = 1 << 14, 8, 4_000, 5, 0.3
 BINS, SLICE = 12, 256
@@ -54,7 +54,7 @@ def features(text: str | None, n_chars: int | None, memo: dict) -> tuple[np.ndar
     """Numbers and values of the features of a document; its words' squares sum to one."""
     text = text or ""
     words = text.lower().split()
-    if len(memo) > 200_000:
+    if len(memo) > 100_000:
         memo.clear()
     at = np.fromiter((memo.get(w) if w in memo else memo.setdefault(w, zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS) for w in words), dtype=np.int64, count=len(words))
     ids, counts = np.unique(at, return_counts=True)
@@ -118,7 +118,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Factori
             found = [features(t, n, memo) for i in range(0, batch.num_rows, SLICE) for t, n in zip(*(batch.column(k).slice(i, SLICE).to_pylist() for k in (1, 2)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))], ["doc_id", "y", "ids", "x"])
 
-    got = rows.select("doc_id", "text", "n_chars", "__y").mapInArrow(run, "doc_id long, y int, ids array<int>, x array<float>").toArrow().combine_chunks()
+    got = rows.select("doc_id", "text", "n_chars", "__y").mapInArrow(trimmed(run), "doc_id long, y int, ids array<int>, x array<float>").toArrow().combine_chunks()
     model = FactorisationMachine()
     model.v *= got.num_rows > 0
     if got.num_rows:
@@ -151,7 +151,7 @@ def classified(docs: DataFrame, model: FactorisationMachine, keep: float = LIMIT
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in kept), pa.array(score, pa.float64()), pa.array((score >= keep).astype(np.int32))], [*columns, *names])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*(F.col(f"`{c}`") for c in columns)).dtypes)
-    return docs.mapInArrow(run, f"{schema}, `{names[0]}` double, `{names[1]}` int")
+    return docs.mapInArrow(trimmed(run), f"{schema}, `{names[0]}` double, `{names[1]}` int")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
