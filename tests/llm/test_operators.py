@@ -340,6 +340,39 @@ def test_rotation(spark):
     assert chat.rotated(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("step", "part_chars"), [(512, 1 << 20), (3, 200)])
+def test_rotation_against_brute_force(spark, step, part_chars):
+    """A conversation of many turns, ties, turns without number, role, text or conversation, very long texts, other columns of like names."""
+    said = [(1, i // 2, str(RNG.choice(["ann", "bob", "system", "eve"])), " ".join(words(i % 9))) for i in range(120)] + [(1, None, [None, "ann", "bob"][i % 3], [None, "", "ab", "abc <|x", "b"][i % 5]) for i in range(20)]
+    said += [(1, -5, "bob", "early")] * 3 + [(2, 10 ** 12, "ann", "x" * 70_000), (2, 0, "système", "é" * 50), (None, 1, "ann", "q"), (None, None, None, None), (None, 1, "bob", "q"), (3, 0, "system", "alone")]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(5).withColumns({"speaker": F.lit("x"), "part": F.lit(1), "__stretch": F.lit(0), "head": F.lit(2), "n": F.lit(3)})
+    want = {}
+    for conv in (1, 2, None, 3):
+        rows = sorted((r[1:] for r in said if r[0] == conv), key=lambda r: [(x is not None, x.encode() if isinstance(x, str) else x or 0) for x in r])
+        for speaker in {r[1] or "" for r in rows} - {"system"}:
+            at, starts = 0, {}
+            for _, role, text in rows:
+                role, mine = role or "", (role or "") == speaker
+                head = "<|im_start|>" + ("assistant" if mine else role if role == "system" else f"user name={role}") + "\n"
+                body = head + (text or "").replace("<|", "< |") + "<|im_end|>\n"
+                part = want.setdefault((conv, speaker, at // part_chars), ["", []])
+                start = at - starts.setdefault(at // part_chars, at)
+                part[0] += body
+                part[1] += [f"{start + len(head)}:{start + len(body) - 1}"] if mine else []
+                at += len(body)
+    got = {(r.conv_id, r.speaker, r.part): [r.dialogue, r.spans.split(",") if r.spans else []] for r in chat.rotated(df, part_chars=part_chars, step=step).collect()}
+    assert got == want
+
+
+def test_rotation_deals_out_long_conversations(spark):
+    """Turns go by stretches: no exchange or window over texts is by conversation alone."""
+    df = spark.range(4000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.concat(F.lit("r"), F.col("id") % 2).alias("role"), F.lit("hi").alias("text"))
+    spread = chat.perspectives(df, step=64).groupBy("speaker").agg(F.count("*").alias("n"), F.max("position").alias("p"), F.count_if("trained").alias("t")).collect()
+    assert {tuple(r) for r in spread} == {("r0", 4000, 3999, 2000), ("r1", 4000, 3999, 2000)}
+    said = df.select(F.struct("conv_id", F.floor(F.col("turn") / 64).alias("nth")).alias("__stretch"), "conv_id", "turn", "role", "text")
+    assert chat._before(said, ("system",)).groupBy("speaker").count().where("count = 63").count() == 2
+
+
 # Secrets.
 def test_rules():
     assert secrets.base_spans("token=secret=abcdefghijklmnop") == [(0, 29, 0)]
