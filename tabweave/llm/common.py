@@ -137,6 +137,12 @@ def sliced(batch, *columns: int, rows: int = 256):
         yield from zip(*(batch.column(c).slice(i, rows).to_pylist() for c in columns), strict=True)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """These names, each lengthened until no column has it, in any case."""
+    taken = {c.lower() for c in columns}
+    return [next(n for k in range(len(taken) + 1) if (n := name + "_" * k).lower() not in taken) for name in names]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case and nothing else. lower() is the fast path where the text is ASCII throughout."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

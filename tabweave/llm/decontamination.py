@@ -6,7 +6,8 @@ documents or the hit spans are removed. Only DataFrame functions run on the data
 
 Edge cases: null and empty texts have no words and no hits; items of fewer than 13 words are one
 window; repeated items and repeated windows count once per item id; null item ids are listed as the
-empty string; repeated rows each get their own result; empty tables give empty or clean results.
+empty string; repeated rows each get their own result; empty tables give empty or clean results; very long
+texts are read whole; further columns are carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import ascii_lower, bounded, split_words, table
+from tabweave.llm.common import ascii_lower, bounded, fresh, split_words, table
 
 WINDOW = 13
 #: What is neither a digit, an ASCII letter nor beyond ASCII separates words (after lower-casing, capitals are gone).
@@ -95,19 +96,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "document",
 
     A word goes with the separators before it."""
     columns = docs.columns
+    doc, key, spans = fresh(columns, "__doc", "__text", "__spans")
     found = contamination(docs, benchmark, window).where(F.col("n_hit") > 0)
     if mode == "document":
         found = found.where(share * F.col("n_hit") >= F.col("n_words"))
-    found = found.groupBy(F.col("doc_id").alias("__doc"), F.col("__key").alias("__text")).agg(F.first("__spans").alias("__spans"))
+    found = found.groupBy(F.col("doc_id").alias(doc), F.col("__key").alias(key)).agg(F.first("__spans").alias(spans))
     if mode == "document":
-        found = bounded(found.drop("__spans"), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (text_key(F.col("text")) == F.col("__text"))
+        found = bounded(found.drop(spans), "contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (text_key(F.col("text")) == F.col(key))
     if mode == "document":
         return docs.join(found, same, "left_anti")
     pieces = F.split(F.col("text"), f"(?<=[^{OUTSIDE}])(?=[{OUTSIDE}])")  # each word with what stands before it
-    kept = F.array_join(F.filter(pieces, lambda p, i: ~F.exists("__spans", lambda s: (s["first"] <= i) & (i < s["end"]))), "")
+    kept = F.array_join(F.filter(pieces, lambda p, i: ~F.exists(spans, lambda s: (s["first"] <= i) & (i < s["end"]))), "")
     joined = docs.join(found, same, "left")
-    return joined.select(*(F.when(F.col("__spans").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in columns))
+    return joined.select(*(F.when(F.col(spans).isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in columns))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import bounded, bucketed, released, releasing, sliced, small_batches, stored, swept, table, trimmed
+from tabweave.llm.common import bounded, bucketed, fresh, released, releasing, sliced, small_batches, stored, swept, table, trimmed
 from tabweave.llm.components import components
 
 GRAM, SHARE, WHOLE = 5, 80, 100
@@ -368,9 +368,10 @@ def jaccard_classes(docs: DataFrame, gram: int = GRAM, share: int = SHARE, whole
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """docs with one document of each class, the one of the smallest id. Documents without words and rows without an id stay; rows that repeat an id stay or go together."""
-    classes = jaccard_classes(docs, **options).select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__class")).distinct()
-    gone = bounded(classes.where(F.col("__id") != F.col("__class")).select("__id").distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    [gone_id] = fresh(docs.columns, "__id")
+    classes = jaccard_classes(docs, **options).select(F.col("doc_id").alias(gone_id), F.col("component_id").alias("__class")).distinct()
+    gone = bounded(classes.where(F.col(gone_id) != F.col("__class")).select(gone_id).distinct(), "gone")
+    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

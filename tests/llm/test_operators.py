@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -67,6 +68,20 @@ def test_sharding(spark, docs, empty):
     assert sharding.shuffle_to_shards(clash, [F.col("doc_id")]).columns[-2:] == ["shard", "slot"]
 
 
+def test_sharding_query_against_the_contract(spark, docs, tmp_path):
+    docs.withColumns({"shard": F.lit(9), "size": F.lit("x")}).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sharding.op5_sharding(spark, str(tmp_path)).collect()
+    facts = lambda t: (len((t or "").encode()) + 8, zlib.crc32((t or "").encode()))
+    assert sorted((r.doc_id or -1, r["size"], r.text_crc32) for r in got) == sorted((r.doc_id or -1, *facts(r.text)) for r in docs.collect())
+    slots = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+    n = len(got)
+    assert {s: len(v) for s, v in slots.items()} == {s: n // 24 + (s < n % 24) for s in range(24) if n // 24 + (s < n % 24)}
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and {(r.law, r.grown_shard) for r in got} == {("rows", None)}
+    assert sorted(map(str, got)) == sorted(map(str, sharding.op5_sharding(spark, str(tmp_path)).collect()))
+
+
 def test_sharding_is_uniform(spark):
     seen = sharding.shuffle_to_shards(spark.range(4800), [F.col("id")], 24, cells=64, buckets=4).groupBy("shard").agg(F.avg("id").alias("m")).collect()
     assert all(abs(r.m - 2400) < 5 * 1386 / 200 ** .5 for r in seen)
@@ -193,6 +208,10 @@ def test_decontamination(spark, docs, empty):
     for r in cut.collect():
         c = brute_contamination(texts[r.doc_id], items)
         assert len(plain(r.text)) == c[0] - c[1]
+    clash = docs.withColumns({"__doc": F.lit(1), "__TEXT": F.lit("x"), "__spans": F.lit(2), "n_hit": F.lit(3), "__w": F.lit(4)})
+    for mode, left in (("document", kept), ("span", set(texts))):
+        out = decontamination.decontaminate(clash, bench, mode=mode)
+        assert out.columns == clash.columns and {(r.doc_id, r["__doc"], r["__spans"], r["__w"]) for r in out.collect()} == {(d, 1, 2, 4) for d in left}
     assert decontamination.contamination(empty, bench).count() == 0 and decontamination.contamination(docs, empty.selectExpr("doc_id as item_id", "text")).where("n_hit > 0").count() == 0
 
 
@@ -253,6 +272,8 @@ def test_jaccard_keys_never_miss():
 def test_deduplicated(spark, docs, empty):
     kept = jaccard.deduplicated(docs)
     assert kept.columns == docs.columns and {40, 41, 42, 43, 50}.isdisjoint({r.doc_id for r in kept.collect()} - {10}) and {1, 2, 3, None} <= {r.doc_id for r in kept.collect()}
+    clash = docs.withColumns({"__id": F.lit(1), "__class": F.lit(2), "component_id": F.lit(3), "key": F.lit(4)})
+    assert jaccard.deduplicated(clash).columns == clash.columns and {r.doc_id for r in jaccard.deduplicated(clash).collect()} == {r.doc_id for r in kept.collect()}
     assert jaccard.jaccard_classes(empty).count() == 0
 
 
@@ -488,6 +509,29 @@ def test_quality(spark, docs, empty):
     assert {r.score for r in fm.classified(docs, fm.trained(empty, labels.limit(0))).collect()} == {0.5} and fm.classified(empty, model).count() == 0
 
 
+def test_quality_query_against_all_pairs(spark, docs, tmp_path):
+    """Every row's score by the pairs themselves; held-out labels, lang and source have no say in it."""
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in docs.collect()] + [(1000 + i, " ".join(words(30)).upper() if i % 2 else " ".join(words(30)) + ".", "en", "s", 150) for i in range(200)]
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 0
+    given = [(d, int(d % 2 == 0)) for d, *_ in rows if d is not None and d >= 1000]
+
+    def scores(at, rows, labels):
+        spark.createDataFrame(rows, DOCS).repartition(3).write.parquet(str(tmp_path / at / "documents.parquet"))
+        spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(str(tmp_path / at / "labels.parquet"))
+        return sorted((r.doc_id or -1, round(r.score, 12), r.predicted, r.held_out) for r in fm.op3_quality(spark, str(tmp_path / at)).collect())
+
+    got = scores("a", rows, given)
+    model = fm.trained(spark.read.parquet(str(tmp_path / "a" / "documents.parquet")), spark.read.parquet(str(tmp_path / "a" / "labels.parquet")))
+    want = []
+    for d, text, _, _, n in rows:
+        ids, x = fm.features(text, n, {})
+        pairs = (model.v[ids] @ model.v[ids].T) * np.outer(x, x)
+        score = 1 / (1 + np.exp(-(model.w0 + model.w[ids] @ x + np.triu(pairs, 1).sum())))
+        want.append((d or -1, score, int(score >= 0.3), held(d)))
+    assert [(g[0], g[2], g[3]) for g in got] == [(t[0], t[2], t[3]) for t in sorted(want)] and np.allclose([g[1] for g in got], [t[1] for t in sorted(want)], atol=1e-9)
+    assert scores("b", [(d, t, "xx", None, n) for d, t, _, _, n in rows], [(d, 1 - q if held(d) else q) for d, q in given]) == got
+
+
 def test_machine_matches_all_pairs():
     m = fm.FactorisationMachine(50, 4, seed=3)
     m.w, m.w0 = np.random.default_rng(1).normal(size=50), 0.3
