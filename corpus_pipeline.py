@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabweave.llm import decontamination, fm, jaccard, mixing, sharding
-from tabweave.llm.common import stored, table
+from tabweave.llm.common import fresh, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted on the labels of docs, does not reject."""
-    scored = fm.classified(docs, fm.trained(docs, table(spark, sf_dir, "labels")), whole=True, names=("__score", "__good"))
-    return scored.where("__good = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    score, good = fresh(docs.columns, "__score", "__good")
+    scored = fm.classified(docs, fm.trained(docs, table(spark, sf_dir, "labels")), whole=True, names=(score, good))
+    return scored.where(F.col(good) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
