@@ -17,13 +17,13 @@ from tabweave.functions import model
 
 
 def number_of_text(c: Column) -> Column:
-    """Plain numbers take the short way, everything else is cleaned first."""
-    clean = F.regexp_replace(c, model.IGNORED, "")
-    percent = clean.endswith("%")
-    bare = F.when(percent, F.substring(clean, F.lit(1), F.length(clean) - 1)).otherwise(clean)
-    grouped = F.when(~bare.contains(","), bare).when(bare.rlike(rf"^{model.GROUPED}\z"), F.replace(bare, F.lit(","), F.lit("")))
-    value = F.when(grouped.rlike(rf"^{model.PLAIN}\z"), grouped.try_cast("double"))
-    return F.when(c.rlike(rf"^{model.PLAIN}\z"), c.try_cast("double")).when(c.rlike("[0-9]"), F.when(percent, value * F.lit(0.01)).otherwise(value))
+    """Plain numbers take the short way; others are checked without what is ignored, and read without their commas and percent sign too.
+
+    The expression refers to c six times, as c may be costly itself."""
+    ignored = model.IGNORED
+    fits = F.regexp_replace(c, ignored, "").rlike(rf"^(?:{model.PLAIN}|{model.GROUPED})%?\z")
+    value = F.regexp_replace(c, f"{ignored[:-1]},%]", "").try_cast("double")
+    return F.when(c.rlike(rf"^{model.PLAIN}\z"), c.try_cast("double")).when(c.rlike("[0-9]") & fits, value * F.when(c.contains("%"), F.lit(0.01)).otherwise(F.lit(1.0)))
 
 
 def day_of_text(c: Column) -> Column:
@@ -39,11 +39,13 @@ def round12(c: Column) -> Column:
 
 def fmt_number(c: Column) -> Column:
     """A number as shown: no trailing zeros, exponents only beyond 1e21 and below 1e-6."""
-    n = round12(c.cast("double"))
+    c = c.cast("double")
+    whole = F.when((F.abs(c) < 1e12) & (c == F.rint(c)), c.cast("bigint").cast("string"))  # of twelve digits at most: nothing to round
+    n = round12(c)
     plain = F.regexp_replace(n.cast("decimal(38,16)").cast("string"), r"\.?0+$", "")
     plain = F.when(F.abs(n) >= 1e15, n.cast("decimal(38,0)").cast("string")).when(n == 0, "0").otherwise(plain)
     odd = F.regexp_replace(F.regexp_replace(n.cast("string"), r"\.0E", "E"), r"E(\d)", "e+$1")
-    return F.when((n != 0) & ((F.abs(n) >= 1e21) | (F.abs(n) < 1e-6)), F.regexp_replace(odd, "E-", "e-")).otherwise(plain)
+    return F.coalesce(whole, F.when((n != 0) & ((F.abs(n) >= 1e21) | (F.abs(n) < 1e-6)), F.regexp_replace(odd, "E-", "e-")).otherwise(plain))
 
 
 def kind_of(dtype: T.DataType) -> str:
