@@ -81,9 +81,7 @@ def fmt(value: object) -> str:
         if n == 0:
             return "0"
         if 1e-6 <= abs(n) < 1e21:
-            shown = f"{n:.20f}" if abs(n) < 1 else f"{n:.12f}"
-            digits = repr(n)
-            shown = digits if "e" not in digits and "E" not in digits else shown
+            shown = format(Decimal(repr(n)), "f")
             return shown.rstrip("0").rstrip(".") if "." in shown else shown
         mantissa, exponent = repr(n).split("e") if "e" in repr(n) else (repr(n), "0")
         return f"{mantissa.removesuffix('.0')}e{'+' if int(exponent) > 0 else ''}{int(exponent)}"

@@ -38,14 +38,15 @@ def round12(c: Column) -> Column:
 
 
 def fmt_number(c: Column) -> Column:
-    """A number as shown: no trailing zeros, exponents only beyond 1e21 and below 1e-6."""
+    """A number as shown: no trailing zeros, exponents only beyond 1e21 and below 1e-6.
+
+    Whole numbers of up to twelve digits need no rounding, and numbers far from the limits are rounded once; the rest is looked at rounded."""
     c = c.cast("double")
-    whole = F.when((F.abs(c) < 1e12) & (c == F.rint(c)), c.cast("bigint").cast("string"))  # of twelve digits at most: nothing to round
-    n = round12(c)
-    plain = F.regexp_replace(n.cast("decimal(38,16)").cast("string"), r"\.?0+$", "")
-    plain = F.when(F.abs(n) >= 1e15, n.cast("decimal(38,0)").cast("string")).when(n == 0, "0").otherwise(plain)
-    odd = F.regexp_replace(F.regexp_replace(n.cast("string"), r"\.0E", "E"), r"E(\d)", "e+$1")
-    return F.coalesce(whole, F.when((n != 0) & ((F.abs(n) >= 1e21) | (F.abs(n) < 1e-6)), F.regexp_replace(odd, "E-", "e-")).otherwise(plain))
+    n, size, digits = round12(c), F.abs(c), F.format_string("%.11e", c)
+    plain = F.regexp_replace(digits.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    odd = F.regexp_replace(F.regexp_replace(F.regexp_replace(n.cast("string"), r"\.0E", "E"), r"E(\d)", "e+$1"), "E-", "e-")
+    rare = F.when((F.abs(n) >= 1e21) | (F.abs(n) < 1e-6), odd).when(F.abs(n) >= 1e15, digits.try_cast("decimal(38,0)").cast("string")).otherwise(plain)
+    return F.when((size < 1e12) & (c == F.rint(c)), c.cast("bigint").cast("string")).when((size > 1e-5) & (size < 1e14), plain).otherwise(rare)
 
 
 def kind_of(dtype: T.DataType) -> str:

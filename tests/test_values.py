@@ -47,6 +47,9 @@ def test_formats(spark):
     got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", fmt_number(F.col("x")).alias("s"), round12(F.col("x")).alias("r")).collect()
     assert [r.s for r in got] == [model.fmt(x) for x in xs] == ["0.3", "0.333333333333", "2000", "10000000", "1000000000000000", "123456789013", "0", "1e+21", "1.5e-7", "0.000001", "12345678901200000"]
     assert got[0].r == 0.3
+    edge = [7.4125185620149035e-06, 9.159448117309811e20, -5.409738856290388e20, 1e-5, 9.9999999999995e-7, 9.99999999999999e20, 999999999999.6, 1e12, 1e14, 123456.789012345, -2.50, 99999999999999.9]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in edge], "x double").select(fmt_number(F.col("x"))).collect()]
+    assert got == [model.fmt(x) for x in edge] == ["0.00000741251856201", "915944811731000000000", "-540973885629000000000", "0.00001", "0.000001", "1e+21", "1000000000000", "1000000000000", "100000000000000", "123456.789012", "-2.5", "100000000000000"]
 
 
 def test_hostile_cells_take_no_time(spark):
