@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from tabweave.llm.aliases import OP12_SQL, op12_aliases
+from tabweave.llm.alignment import op11_alignment
 from tabweave.llm.caps import OP7_SQL, op7_caps
+from tabweave.llm.centroids import OP13_SQL, op13_yinyang
 from tabweave.llm.chat import OP9_SQL, op9_rotation
 from tabweave.llm.decontamination import OP10_SQL, op10_decontamination
 from tabweave.llm.fm import op3_quality
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_rotation": op9_rotation,
     "op10_decontamination": op10_decontamination,
+    "op11_alignment": op11_alignment,
+    "op12_aliases": op12_aliases,
+    "op13_yinyang": op13_yinyang,
 }
 
 ORACLES: dict[str, str] = {
@@ -32,4 +38,6 @@ ORACLES: dict[str, str] = {
     "op8_warc": OP8_SQL,
     "op9_rotation": OP9_SQL,
     "op10_decontamination": OP10_SQL,
+    "op12_aliases": OP12_SQL,
+    "op13_yinyang": OP13_SQL,
 }
