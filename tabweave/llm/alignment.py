@@ -3,11 +3,11 @@
 A text is cut before each run of white space where neither tokenizer can join what lies on both sides: every
 entry of both vocabularies is looked through, and a white-space character at which some entry has it behind something else is
 no place to cut (`Pair.cuts`). What the two make of a segment is then what they make of it within any text. Texts are
-dealt out as chunks of about `CHUNK` characters; each chunk names its distinct segments, the distinct segments of all
-chunks are tokenized and aligned once, and their alignments are joined back to the chunks, where documents are put
-together from them. Links are counted the same way: a chunk sums up in how many of its documents each pair of
-ids is linked, the sums are added over chunks, each distinct segment adds up the counts of its links, and documents
-add up their segments. What is exchanged is texts once, and distinct segments and pairs of chunks; a task holds a chunk.
+packed into chunks of about `CHUNK` characters, as numbers of segments; the distinct segments of all chunks are
+tokenized and aligned once, and their alignments are joined back to the chunks, where documents are put together
+from them. Links are counted likewise: a chunk sums up in how many of its documents each pair of ids is linked, the
+sums are added over chunks and joined back, and documents add up what their segments count. What is exchanged is the
+numbers, and the distinct segments and pairs of each chunk; a task holds one chunk.
 
 A group is what lies between two byte offsets at which tokens of both end; links are all pairs of tokens within a group.
 
@@ -20,19 +20,22 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cached_property
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tabweave.llm.common import removed, stored, table, trimmed
+from tabweave.llm.common import released, sliced, stored, table, trimmed
+from tabweave.llm.lm import packed, unpacked
 
 TOKENIZERS = "/opt/tokenizers"
-CHUNK, ROWS = 4 << 20, 4096
+CHUNK, ROWS, LARGE = 8 << 20, 4096, 4096
 SPACES = " \t\n\r\x0b\x0c"
 #: What the byte-level alphabet of the first kind of tokenizer shows as itself; other bytes have code points from 256 on.
 SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -100,166 +103,218 @@ class Pair:
         one = self.first.encode_batch(segments, add_special_tokens=False)
         return [(a.ids, b[skip:]) for a, b in zip(one, self.second.encode([self.seal + s for s in segments], num_threads=1), strict=True)]
 
-    def groups(self, segment: str, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]] | None:
-        """Ids of both by group; None where bytes are not given back."""
-        one, two = ([side[i] for i in ids] for side, ids in zip(self.entries, (a, b), strict=True))
-        data = segment.encode("utf-8", "surrogatepass")
-        if b"".join(one) != data or b"".join(two) != data:
-            return None
-        ends_a, ends_b = (np.cumsum([len(e) for e in x]) for x in (one, two))
-        shared = np.intersect1d(ends_a, ends_b)
-        at_a, at_b = ([0, *np.searchsorted(e, shared, side="right").tolist()] for e in (ends_a, ends_b))
-        return [(a[i:j], b[k:m]) for i, j, k, m in zip(at_a, at_a[1:], at_b, at_b[1:], strict=False)]
+    @cached_property
+    def sizes(self) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.array([len(e) for e in side], dtype=np.int64) for side in self.entries)
+
+    def sound(self, segments: list[str], encoded: list[tuple[list[int], list[int]]]) -> list[bool]:
+        """Whether both sides give back the bytes of each segment."""
+        one, two = self.entries
+        return [b"".join(map(one.__getitem__, a)) == data and b"".join(map(two.__getitem__, b)) == data
+                for data, (a, b) in zip((s.encode("utf-8", "surrogatepass") for s in segments), encoded, strict=True)]
+
+    def groups(self, encoded: list[tuple[list[int], list[int]]]) -> list[list[np.ndarray]]:
+        """For each sound segment: ids of both sides, and how many of either each group has."""
+        ids = [np.fromiter(chain.from_iterable(e[k] for e in encoded), dtype=np.int64) for k in range(2)]
+        ends = [np.cumsum(size[i]) for size, i in zip(self.sizes, ids, strict=True)]
+        shared = np.intersect1d(*ends, assume_unique=True)
+        sizes = [np.bincount(np.searchsorted(shared, e), minlength=len(shared)) for e in ends]
+        tokens = [np.cumsum([0, *(len(e[k]) for e in encoded)]) for k in range(2)]
+        cuts = np.concatenate([[0], np.searchsorted(shared, ends[0][tokens[0][1:] - 1], side="right")]) if len(encoded) else [0]
+        return [[ids[0][tokens[0][i]:tokens[0][i + 1]], ids[1][tokens[1][i]:tokens[1][i + 1]], sizes[0][cuts[i]:cuts[i + 1]], sizes[1][cuts[i]:cuts[i + 1]]] for i in range(len(encoded))]
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each stretch, one stretch after the other."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+
+
+def folded(parts: list[np.ndarray]) -> bytes:
+    """An aligned segment as bytes: their width, then how many tokens of both and groups there are, ids and sizes of groups."""
+    values = np.concatenate([[len(parts[0]), len(parts[1]), len(parts[2])], *parts])
+    wide = values.max() > 0xFFFF
+    return (b"\4" if wide else b"\2") + values.astype("<u4" if wide else "<u2").tobytes()
+
 
+def unfolded(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All values of all segments in turn, and where each segment begins."""
+    if all(d[0] == 2 for d in data):
+        values = np.frombuffer(b"".join(d[1:] for d in data), dtype="<u2").astype(np.int64)
+        sizes = np.array([len(d) // 2 for d in data], dtype=np.int64)
+    else:
+        each = [np.frombuffer(d, dtype=f"<u{d[0]}", offset=1).astype(np.int64) for d in data]
+        values, sizes = np.concatenate(each), np.array([len(e) for e in each], dtype=np.int64)
+    return values, np.cumsum(sizes) - sizes
 
-def _chunked(size: int):
-    """Rows with the number of their chunk."""
+
+def _batch(schema: str, rows: list[tuple], doc_id: pa.DataType) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<id>": pa.list_(doc_id), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
+    names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[t]) for i, t in enumerate(types)], list(names))
+
+
+#: Rows of a chunk: how many segments each has, all their numbers in turn (packed), and the segments by number.
+CHUNKS = "chunk long, ids array<id>, lengths array<long>, numbers binary, segments array<string>"
+
+
+def _chunked(pair: Pair, size: int, doc_id: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         made, held = count(TaskContext.get().partitionId() << 32), 0
-        now = next(made)
-        for batch in batches:
-            chunks = []
-            for n in batch.column(1).cast(pa.large_string()).to_pandas().str.len().fillna(0).astype(int):
-                if held and held + n > size:
-                    now, held = next(made), 0
-                held += n + 64
-                chunks.append(now)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(chunks, pa.int64())], ["doc_id", "text", "chunk"])
-    return run
+        seen, ids, numbers = defaultdict(count().__next__), [], []
 
+        def flush() -> pa.RecordBatch:
+            nonlocal seen, held
+            row = (next(made), ids.copy(), [len(n) for n in numbers], packed(np.concatenate(numbers)), list(seen))
+            ids.clear()
+            numbers.clear()
+            seen, held = defaultdict(count().__next__), 0
+            return _batch(CHUNKS, [row], doc_id)
 
-def _named(pair: Pair):
-    """The distinct segments of each chunk."""
-    def flushed(chunk: int, held: set[str]) -> Iterator[pa.RecordBatch]:
-        names = list(held)
-        for i in range(0, len(names), ROWS):
-            part = names[i:i + ROWS]
-            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(part), pa.int64()), pa.array(part)], ["chunk", "segment"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, set()
         for batch in batches:
-            for text, chunk in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if chunk != now:
-                    yield from flushed(now, held)
-                    now, held = chunk, set()
-                held.update(pair.segments(text))
-        yield from flushed(now, held)
+            for doc, text in sliced(batch, 0, 1):
+                segments = pair.segments(text)
+                ids.append(doc)
+                numbers.append(np.fromiter(map(seen.__getitem__, segments), dtype=np.int64, count=len(segments)))
+                held += len(text or "") + 64
+                if held >= size:
+                    yield flush()
+        if ids:
+            yield flush()
     return trimmed(run)
 
 
-ALIGNED = "segment string, sound boolean, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"
-
-
 def _aligned(pair: Pair):
-    def of(segment: str, a: list[int], b: list[int]) -> tuple:
-        groups = pair.groups(segment, a, b)
-        if groups is None:
-            return segment, False, 0, 0, 0, 0, "", [], []
-        links: dict[int, int] = {}
-        for x, y in groups:
-            for i in x:
-                for j in y:
-                    key = i << 32 | j
-                    links[key] = links.get(key, 0) + 1
-        shown = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        return segment, True, len(a), len(b), len(groups), sum(links.values()), shown, list(links), list(links.values())
-
-    kinds = [pa.string(), pa.bool_(), *[pa.int64()] * 4, pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    names = [x.split()[0] for x in ALIGNED.split(", ")]
-
+    """Each segment folded; null where bytes are not given back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 segments = batch.column(0).slice(i, ROWS).to_pylist()
-                rows = [of(s, a, b) for s, (a, b) in zip(segments, pair.encoded(segments), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                encoded = pair.encoded(segments)
+                sound = pair.sound(segments, encoded)
+                groups = iter(pair.groups([e for e, ok in zip(encoded, sound, strict=True) if ok]))
+                data = [folded(next(groups)) if ok else None for ok in sound]
+                yield pa.RecordBatch.from_arrays([pa.array(segments), pa.array(data, pa.binary())], ["segment", "aligned"])
     return trimmed(run)
 
 
-DOCUMENT = "chunk long, doc_id {id}, n_a long, n_b long, n_groups long, n_links long, {groups} string, segments binary, pairs array<long>, documents array<long>"
-
-
-def _composed(pair: Pair, digest: bool):
-    """A chunk's documents from the alignments of its segments, and a row (with pairs) of how many of them hold each pair."""
-    def run(texts: pa.Table, aligned: pa.Table) -> pa.Table:
-        names = aligned.column("segment").to_pylist()
-        order = sorted(range(len(names)), key=names.__getitem__)
-        number = {names[i]: k for k, i in enumerate(order)}
-        aligned = aligned.take(pa.array(order, pa.int64())).combine_chunks()
-        sound = aligned.column("sound").to_numpy()
-        sizes = np.stack([aligned.column(c).to_numpy() for c in ("n_a", "n_b", "n_groups", "n_links")], axis=1).reshape(-1, 4)
-        shown = aligned.column("groups").to_pylist()
-        lists = aligned.column("pairs")
-        every, pair_of = np.unique(lists.combine_chunks().flatten().to_numpy() if len(order) else np.zeros(0, dtype=np.int64), return_inverse=True)
-        ends = np.concatenate([[0], np.cumsum(lists.combine_chunks().value_lengths().to_numpy() if len(order) else np.zeros(0))]).astype(np.int64)
-        documents = np.zeros(len(every), dtype=np.int64)
-        rows = []
-        for text in texts.column("text").to_pylist():
-            at = np.fromiter(map(number.__getitem__, pair.segments(text)), dtype=np.int64)
-            if not len(at) or not sound[at].all():
-                rows.append((0, 0, 0, 0, "", b""))
-                continue
-            held, times = np.unique(at, return_counts=True)
-            starts, lengths = ends[held], ends[held + 1] - ends[held]
-            spots = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
-            documents[np.unique(pair_of[spots])] += 1
-            joined = ";".join(map(shown.__getitem__, at.tolist()))
-            rows.append((*(sizes[held] * times[:, None]).sum(axis=0).tolist(), hashlib.sha256(joined.encode()).hexdigest() if digest else joined, np.stack([held, times]).astype(np.uint32).tobytes()))
-        chunk, n = texts.column("chunk")[0].as_py(), len(rows)
-        parts = list(zip(*rows, strict=True))
-        none = pa.nulls(n, pa.list_(pa.int64()))
-        ids = texts.column("doc_id").combine_chunks()
-        table_ = pa.table([pa.array([chunk] * n, pa.int64()), ids, *(pa.array(p, pa.int64()) for p in parts[:4]), pa.array(parts[4], pa.string()), pa.array(parts[5], pa.binary()), none, none], names=FIELDS(digest))
-        lists_ = [pa.array([x], pa.list_(pa.int64())) for x in (every, documents)]
-        sums = pa.table([pa.array([chunk], pa.int64()), pa.nulls(1, ids.type), *[pa.array([0], pa.int64())] * 4, pa.array([""]), pa.array([b""], pa.binary()), *lists_], names=FIELDS(digest))
-        return pa.concat_tables([table_, sums])
-    return run
+class Links:
+    """The aligned segments of a chunk, in the order of their numbers: sizes, groups as text, and the pairs of ids they link, each with how often."""
+
+    def __init__(self, data: list[bytes | None]) -> None:
+        self.sound = np.array([d is not None for d in data], dtype=bool)
+        values, at = unfolded([d if d is not None else b"\2" + bytes(6) for d in data])
+        n_a, n_b, n_groups = (values[at + i] for i in range(3))
+        sizes_at = at + 3 + n_a + n_b
+        x, y = values[ragged(sizes_at, n_groups)], values[ragged(sizes_at + n_groups, n_groups)]
+        of = np.repeat(np.arange(len(data)), n_groups)
+        a, b = values[ragged(at + 3, n_a)], values[ragged(at + 3 + n_a, n_b)]
+        starts = np.cumsum(x) - x, np.cumsum(y) - y
+        self.shown = self._texts(a.tolist(), b.tolist(), x.tolist(), y.tolist(), n_groups.tolist())
+        self.sizes = np.stack([n_a, n_b, n_groups, np.bincount(of, weights=x * y, minlength=len(data)).astype(np.int64)], axis=1)
+        small = x * y <= LARGE
+        i, j, times, owner = self._products(starts[0][small], starts[1][small], x[small], y[small], of[small])
+        keys = [a[i] << 32 | b[j]]
+        for g in np.flatnonzero(~small):  # ids that repeat within a large group count once, with how often
+            (one, n), (two, m) = (np.unique(side[s[g]:s[g] + z[g]], return_counts=True) for side, s, z in zip((a, b), starts, (x, y), strict=True))
+            keys.append((one[:, None] << 32 | two[None, :]).ravel())
+            times = np.concatenate([times, (n[:, None] * m[None, :]).ravel()])
+            owner = np.concatenate([owner, np.full(len(one) * len(two), of[g])])
+        order = np.argsort(owner, kind="stable")
+        self.pairs, self.pair_of = np.unique(np.concatenate(keys)[order], return_inverse=True)
+        self.times = times[order]
+        self.lengths = np.bincount(owner, minlength=len(data)).astype(np.int64)
+
+    @staticmethod
+    def _products(at_a: np.ndarray, at_b: np.ndarray, x: np.ndarray, y: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
+        n = x * y
+        k, wide = ragged(np.zeros(len(n), dtype=np.int64), n), np.repeat(np.maximum(y, 1), n)
+        return np.repeat(at_a, n) + k // wide, np.repeat(at_b, n) + k % wide, np.ones(int(n.sum()), dtype=np.int64), np.repeat(of, n)
+
+    @staticmethod
+    def _texts(a: list[int], b: list[int], x: list[int], y: list[int], n_groups: list[int]) -> list[str]:
+        i = j = 0
+        groups = []
+        for m, n in zip(x, y, strict=True):
+            groups.append(f"{a[i]}|{b[j]}" if m == n == 1 else f"{','.join(map(str, a[i:i + m]))}|{','.join(map(str, b[j:j + n]))}")
+            i, j = i + m, j + n
+        out, at = [], 0
+        for n in n_groups:
+            out.append(";".join(groups[at:at + n]))
+            at += n
+        return out
 
 
-def FIELDS(digest: bool) -> list[str]:
-    return [x.split()[0] for x in DOCUMENT.format(id="", groups="groups_sha256" if digest else "groups").split(", ")]
+#: A chunk put together: its rows' sizes and groups, in how many of them each pair is linked, and what the second pass takes: the pairs of each segment, how often, and the numbers of rows' segments.
+COMPOSED = "chunk long, ids array<id>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups array<string>, pairs array<long>, documents array<long>, lengths array<long>, numbers binary, links array<long>, link binary, times binary"
 
 
-def _totalled(documents: pa.Table, segments: pa.Table) -> pa.Table:
-    """A chunk's documents with the sums of what their segments count."""
-    names = segments.column("segment").to_pylist()
-    order = np.array(sorted(range(len(names)), key=names.__getitem__), dtype=np.int64)
-    best, counted = (segments.column(c).to_numpy()[order] if len(order) else np.zeros(0, dtype=np.int64) for c in ("n_best", "count_sum"))
-    sums = []
-    for data in documents.column("segments").to_pylist():
-        held, times = np.frombuffer(data, dtype=np.uint32).reshape(2, -1).astype(np.int64)
-        sums.append((int((best[held] * times).sum()), int((counted[held] * times).sum())))
-    out = documents.drop_columns(["segments", "chunk"])
-    for i, name in enumerate(("n_best", "count_sum")):
-        out = out.append_column(name, pa.array([s[i] for s in sums], pa.int64()))
-    return out
+def _composed(doc_id: pa.DataType, digest: bool):
+    def run(chunks: pa.Table, aligned: pa.Table) -> pa.Table:
+        row = {c: chunks.column(c)[0].as_py() for c in ("chunk", "ids", "lengths", "numbers")}
+        order = np.argsort(aligned.column("number").to_numpy())
+        data = aligned.column("aligned").to_pylist()
+        links = Links([data[i] for i in order])
+        ends = np.cumsum(links.lengths)
+        documents = np.zeros(len(links.pairs), dtype=np.int64)
+        numbers, rows = unpacked(row["numbers"], sum(row["lengths"])), []
+        for at in np.split(numbers, np.cumsum(row["lengths"])[:-1]):
+            if not len(at) or not links.sound[at].all():
+                rows.append((0, 0, 0, 0, ""))
+                continue
+            held = np.unique(at)
+            documents[np.unique(links.pair_of[ragged((ends - links.lengths)[held], links.lengths[held])])] += 1
+            joined = ";".join(map(links.shown.__getitem__, at.tolist()))
+            rows.append((*links.sizes[at].sum(axis=0).tolist(), hashlib.sha256(joined.encode()).hexdigest() if digest else joined))
+        gone = np.repeat([not r[0] for r in rows], row["lengths"])
+        lengths = [n if r[0] else 0 for n, r in zip(row["lengths"], rows, strict=True)]
+        out = (row["chunk"], row["ids"], *map(list, zip(*rows, strict=True)), links.pairs, documents, lengths, packed(numbers[~gone]), links.lengths, packed(links.pair_of), packed(links.times))
+        return pa.Table.from_batches([_batch(COMPOSED, [out], doc_id)])
+    return run
+
+
+def _totalled(groups: str):
+    """The rows of a chunk with the sums of what their links count."""
+    def run(chunks: pa.Table, counted: pa.Table) -> pa.Table:
+        row = {c: chunks.column(c)[0].as_py() for c in ("lengths", "numbers", "links", "link", "times")}
+        order = np.argsort(counted.column("pair").to_numpy())
+        documents, best = counted.column("documents").to_numpy()[order], counted.column("best").to_numpy()[order]
+        links = np.array(row["links"], dtype=np.int64)
+        link, times = (unpacked(row[c], int(links.sum())) for c in ("link", "times"))
+        numbers, ends, starts = unpacked(row["numbers"], sum(row["lengths"])), np.cumsum(row["lengths"], dtype=np.int64), np.cumsum(links) - links
+        sums = []
+        for each in (best[link] * times, documents[link] * times) if len(link) else ():
+            total = np.concatenate([[0], np.cumsum(each)])
+            segment = total[starts + links] - total[starts]
+            total = np.concatenate([[0], np.cumsum(segment[numbers])])
+            sums.append(total[ends] - total[ends - row["lengths"]])
+        sums = sums or [np.zeros(len(ends), dtype=np.int64)] * 2
+        lists = [chunks.column(c).combine_chunks().flatten() for c in ("ids", "n_a", "n_b", "n_groups", "n_links", "groups")]
+        return pa.table([*lists, *map(pa.array, sums)], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", groups, "n_best", "count_sum"])
+    return run
 
 
 def alignments(docs: DataFrame, pair: Pair, chunk: int = CHUNK, digest: bool = False) -> DataFrame:
     """docs: doc_id, text. Returns per row doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups: ids of both, groups apart by ';', sides by '|', ids by ',' (with digest: groups_sha256, its hash)."""
-    kind, groups = dict(docs.dtypes)["doc_id"], "groups_sha256" if digest else "groups"
     if not pair.cuts:
         raise ValueError("the vocabularies can join across any white space")
-    rows = stored(docs.select("doc_id", "text").mapInArrow(_chunked(chunk), f"doc_id {kind}, text string, chunk long"), "chunks")
-    named = stored(rows.select("text", "chunk").mapInArrow(_named(pair), "chunk long, segment string").distinct(), "segments")
-    aligned = stored(named.select("segment").distinct().mapInArrow(_aligned(pair), ALIGNED), "aligned")
-    known = named.join(aligned.select("segment", "sound", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs"), "segment")
-    schema = DOCUMENT.format(id=kind, groups=groups)
-    composed = stored(rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_composed(pair, digest), schema), "composed")
-    removed(docs.sparkSession, rows.stored_at)
-    pairs = composed.where("pairs IS NOT NULL").select(F.explode(F.arrays_zip("pairs", "documents")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.documents").alias("documents"))
-    pairs = stored(pairs.withColumn("a", F.shiftright("pair", 32)), "pairs")
-    most = pairs.groupBy("a").agg(F.max("documents").alias("most"))  # as many rows as the first vocabulary has entries
-    pairs = pairs.join(F.broadcast(most), "a").select("pair", "documents", (F.col("documents") == F.col("most")).alias("best"))
-    links = aligned.select("segment", F.explode(F.arrays_zip("pairs", "times")).alias("p")).select("segment", F.col("p.pairs").alias("pair"), F.col("p.times").alias("times"))
-    counted = links.join(pairs, "pair").groupBy("segment").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("documents")).alias("count_sum"))
-    counted = named.join(counted, "segment", "left").select("chunk", "segment", F.coalesce("n_best", F.lit(0)).alias("n_best"), F.coalesce("count_sum", F.lit(0)).alias("count_sum"))
-    per_row = composed.where("pairs IS NULL").drop("pairs", "documents")
+    kind, groups = dict(docs.dtypes)["doc_id"], "groups_sha256" if digest else "groups"
+    doc_id = to_arrow_type(docs.schema["doc_id"].dataType)
+    chunks = stored(docs.select("doc_id", "text").mapInArrow(_chunked(pair, chunk, doc_id), CHUNKS.replace("<id>", f"<{kind}>")), "chunks")
+    named = chunks.select("chunk", F.posexplode("segments").alias("number", "segment"))
+    aligned = named.select("segment").distinct().mapInArrow(_aligned(pair), "segment string, aligned binary")
+    known = named.join(aligned, "segment").select(F.col("chunk").alias("of"), "number", "aligned")
+    composed = chunks.drop("segments").groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(_composed(doc_id, digest), COMPOSED.replace("<id>", f"<{kind}>"))
+    composed = stored(composed, "composed")
+    released(chunks)
+    counts = composed.select(F.explode(F.arrays_zip("pairs", "documents")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.documents").alias("documents"))
+    counts = stored(counts.withColumn("a", F.shiftright("pair", 32)), "pairs")
+    most = counts.groupBy("a").agg(F.max("documents").alias("most"))  # no more rows than the first vocabulary has entries
+    counts = counts.join(F.broadcast(most), "a").select("pair", "documents", (F.col("documents") == F.col("most")).cast("long").alias("best"))
+    counted = composed.select(F.col("chunk").alias("of"), F.explode("pairs").alias("pair")).join(counts, "pair")
     out = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, {groups} string, n_best long, count_sum long"
-    return per_row.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(_totalled, out)
+    return composed.drop("pairs", "documents").groupBy("chunk").cogroup(counted.groupBy("of")).applyInArrow(_totalled(groups), out)
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
