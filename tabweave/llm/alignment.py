@@ -3,9 +3,9 @@
 A text is cut before each run of white space where neither tokenizer can join what lies on both sides: every
 entry of both vocabularies is looked through, and a white-space character at which some entry has it behind something else is
 no place to cut (`Pair.cuts`). What the two make of a segment is then what they make of it within any text. Texts are
-packed into chunks of about `CHUNK` characters, as numbers of segments; the distinct segments of all chunks are
-tokenized and aligned once, and their alignments are joined back to the chunks, where documents are put together
-from them. Links are counted likewise: a chunk sums up in how many of its documents each pair of ids is linked, the
+packed into chunks of about `CHUNK` characters, as numbers of segments; the segments of all chunks meet by one exchange,
+in which each is tokenized and aligned once, and their alignments go back to the chunks, where documents are put
+together from them. Links are counted likewise: a chunk sums up in how many of its documents each pair of ids is linked, the
 sums are added over chunks and joined back, and documents add up what their segments count. What is exchanged is the
 numbers, and the distinct segments and pairs of each chunk; a task holds one chunk.
 
@@ -18,8 +18,11 @@ table gives no rows. Only `doc_id` and `text` are read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import os
 import re
+import time
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cached_property
@@ -27,15 +30,16 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tabweave.llm.common import released, sliced, stored, table, trimmed
+from tabweave.llm.common import sliced, stored, swept, table, trimmed
 from tabweave.llm.lm import packed, unpacked
 
 TOKENIZERS = "/opt/tokenizers"
-CHUNK, ROWS, LARGE = 8 << 20, 4096, 4096
+CHUNK, ROWS, LARGE, HELD = 6 << 20, 1024, 4096, 1 << 17
 SPACES = " \t\n\r\x0b\x0c"
 #: What the byte-level alphabet of the first kind of tokenizer shows as itself; other bytes have code points from 256 on.
 SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -52,6 +56,7 @@ class Pair:
 
     @cached_property
     def first(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism; threads of their own would hold memory each
         from tokenizers import Tokenizer
 
         out = Tokenizer.from_file(self.paths[0])
@@ -129,22 +134,37 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
 
 
-def folded(parts: list[np.ndarray]) -> bytes:
-    """An aligned segment as bytes: their width, then how many tokens of both and groups there are, ids and sizes of groups."""
+def folded(parts: list[np.ndarray]) -> tuple[bytes, bool]:
+    """An aligned segment as bytes: how many tokens of both and groups there are, ids and sizes of groups; and whether it takes four bytes a value, not two."""
     values = np.concatenate([[len(parts[0]), len(parts[1]), len(parts[2])], *parts])
-    wide = values.max() > 0xFFFF
-    return (b"\4" if wide else b"\2") + values.astype("<u4" if wide else "<u2").tobytes()
+    wide = bool(values.max() > 0xFFFF)
+    return values.astype("<u4" if wide else "<u2").tobytes(), wide
 
 
-def unfolded(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All values of all segments in turn, and where each segment begins."""
-    if all(d[0] == 2 for d in data):
-        values = np.frombuffer(b"".join(d[1:] for d in data), dtype="<u2").astype(np.int64)
-        sizes = np.array([len(d) // 2 for d in data], dtype=np.int64)
-    else:
-        each = [np.frombuffer(d, dtype=f"<u{d[0]}", offset=1).astype(np.int64) for d in data]
-        values, sizes = np.concatenate(each), np.array([len(e) for e in each], dtype=np.int64)
-    return values, np.cumsum(sizes) - sizes
+def unfolded(data: np.ndarray, numbers: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All values of all segments in the order of their numbers, where each segment begins, and which are sound. Lengths are in bytes, negative for wide ones, 0 for segments without tokens."""
+    size, wide = np.abs(lengths), lengths < 0
+    starts = (np.cumsum(size) - size) // 2
+    values, counts = data.view("<u2").astype(np.int64), size // np.where(wide, 4, 2)
+    more = [data[2 * starts[i]:2 * starts[i] + size[i]].copy().view("<u4").astype(np.int64) for i in np.flatnonzero(wide)]
+    starts[wide] = len(values) + np.cumsum([0, *map(len, more)])[:-1]
+    none = counts == 0
+    starts[none], counts[none] = len(values) + sum(map(len, more)), 3
+    values = np.concatenate([values, *more, np.zeros(3, dtype=np.int64)])
+    order = np.argsort(numbers)
+    counts = counts[order]
+    return values[ragged(starts[order], counts)], np.cumsum(counts) - counts, ~none[order]
+
+
+def joined(parts: pa.Array, lengths: np.ndarray, by: str) -> pa.Array:
+    """Texts of so many parts each."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), parts), by)
+
+
+def ranged(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums over stretches of so many."""
+    total, ends = np.concatenate([[0], np.cumsum(sums)]), np.cumsum(lengths, dtype=np.int64)
+    return total[ends] - total[ends - lengths]
 
 
 def _batch(schema: str, rows: list[tuple], doc_id: pa.DataType) -> pa.RecordBatch:
@@ -185,34 +205,69 @@ def _chunked(pair: Pair, size: int, doc_id: pa.DataType):
     return trimmed(run)
 
 
-def _aligned(pair: Pair):
-    """Each segment folded; null where bytes are not given back."""
+#: Aligned segments of a chunk: their numbers, the lengths of what each is folded to (0 where bytes are not given back, negative where wide), and that, compressed.
+ANSWERS = "of long, n long, numbers binary, lengths binary, size long, aligned binary"
+
+
+def _answered(pair: Pair):
+    """Rows in order of their segments: each segment is tokenized and aligned once, what goes back to the same chunk is packed."""
+    def encoded(segments: list[str]) -> list[tuple[bytes, bool]]:
+        out = []
+        for i in range(0, len(segments), ROWS):
+            part = segments[i:i + ROWS]
+            ids = pair.encoded(part)
+            sound = pair.sound(part, ids)
+            groups = iter(pair.groups([e for e, ok in zip(ids, sound, strict=True) if ok]))
+            out += [folded(next(groups)) if ok else (b"", False) for ok in sound]
+        return out
+
+    def packs(held: list[tuple]) -> pa.RecordBatch:
+        chunks, numbers, wide = (np.concatenate([h[i] for h in held]) for i in range(3))
+        order = np.lexsort((numbers, chunks))
+        data = pa.concat_arrays([h[3] for h in held]).take(pa.array(order))
+        _, ends, values = data.buffers()
+        ends = np.frombuffer(ends, dtype=np.int32)[: len(data) + 1]
+        chunks, numbers, lengths = chunks[order], numbers[order], np.diff(ends) * np.where(wide[order], -1, 1)
+        cuts, rows = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)], []
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            size = int(ends[j] - ends[i])
+            rows.append((int(chunks[i]), j - i, packed(np.diff(numbers[i:j], prepend=0)), packed(lengths[i:j]), size, pa.compress(values.slice(int(ends[i]), size), codec="zstd", asbytes=True)))
+        return _batch(ANSWERS, rows, pa.null())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, last, before = [], 0, None, None
         for batch in batches:
-            for i in range(0, batch.num_rows, ROWS):
-                segments = batch.column(0).slice(i, ROWS).to_pylist()
-                encoded = pair.encoded(segments)
-                sound = pair.sound(segments, encoded)
-                groups = iter(pair.groups([e for e, ok in zip(encoded, sound, strict=True) if ok]))
-                data = [folded(next(groups)) if ok else None for ok in sound]
-                yield pa.RecordBatch.from_arrays([pa.array(segments), pa.array(data, pa.binary())], ["segment", "aligned"])
+            if not batch.num_rows:
+                continue
+            column = batch.column(0).dictionary_encode()
+            names, at = column.dictionary.to_pylist(), column.indices
+            known = names[0] == last
+            data = [before] * known + encoded(names[known:])
+            last, before = names[-1], data[-1]
+            held.append((batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64), np.array([w for _, w in data])[at.to_numpy()], pa.array([d for d, _ in data], pa.binary()).take(at)))
+            rows += batch.num_rows
+            if rows >= HELD:
+                yield packs(held)
+                held, rows = [], 0
+        if rows:
+            yield packs(held)
     return trimmed(run)
 
 
 class Links:
     """The aligned segments of a chunk, in the order of their numbers: sizes, groups as text, and the pairs of ids they link, each with how often."""
 
-    def __init__(self, data: list[bytes | None]) -> None:
-        self.sound = np.array([d is not None for d in data], dtype=bool)
-        values, at = unfolded([d if d is not None else b"\2" + bytes(6) for d in data])
+    def __init__(self, values: np.ndarray, at: np.ndarray, sound: np.ndarray) -> None:
+        self.sound, n = sound, len(at)
         n_a, n_b, n_groups = (values[at + i] for i in range(3))
         sizes_at = at + 3 + n_a + n_b
         x, y = values[ragged(sizes_at, n_groups)], values[ragged(sizes_at + n_groups, n_groups)]
-        of = np.repeat(np.arange(len(data)), n_groups)
+        of = np.repeat(np.arange(n), n_groups)
         a, b = values[ragged(at + 3, n_a)], values[ragged(at + 3 + n_a, n_b)]
         starts = np.cumsum(x) - x, np.cumsum(y) - y
-        self.shown = self._texts(a.tolist(), b.tolist(), x.tolist(), y.tolist(), n_groups.tolist())
-        self.sizes = np.stack([n_a, n_b, n_groups, np.bincount(of, weights=x * y, minlength=len(data)).astype(np.int64)], axis=1)
+        sides = [joined(pa.array(ids, pa.int64()).cast(pa.string()), size, ",") for ids, size in ((a, x), (b, y))]
+        self.shown = joined(pc.binary_join_element_wise(*sides, "|"), n_groups, ";")
+        self.sizes = np.stack([n_a, n_b, n_groups, np.bincount(of, weights=x * y, minlength=n).astype(np.int64)], axis=1)
         small = x * y <= LARGE
         i, j, times, owner = self._products(starts[0][small], starts[1][small], x[small], y[small], of[small])
         keys = [a[i] << 32 | b[j]]
@@ -224,7 +279,7 @@ class Links:
         order = np.argsort(owner, kind="stable")
         self.pairs, self.pair_of = np.unique(np.concatenate(keys)[order], return_inverse=True)
         self.times = times[order]
-        self.lengths = np.bincount(owner, minlength=len(data)).astype(np.int64)
+        self.lengths = np.bincount(owner, minlength=n).astype(np.int64)
 
     @staticmethod
     def _products(at_a: np.ndarray, at_b: np.ndarray, x: np.ndarray, y: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -232,66 +287,53 @@ class Links:
         k, wide = ragged(np.zeros(len(n), dtype=np.int64), n), np.repeat(np.maximum(y, 1), n)
         return np.repeat(at_a, n) + k // wide, np.repeat(at_b, n) + k % wide, np.ones(int(n.sum()), dtype=np.int64), np.repeat(of, n)
 
-    @staticmethod
-    def _texts(a: list[int], b: list[int], x: list[int], y: list[int], n_groups: list[int]) -> list[str]:
-        i = j = 0
-        groups = []
-        for m, n in zip(x, y, strict=True):
-            groups.append(f"{a[i]}|{b[j]}" if m == n == 1 else f"{','.join(map(str, a[i:i + m]))}|{','.join(map(str, b[j:j + n]))}")
-            i, j = i + m, j + n
-        out, at = [], 0
-        for n in n_groups:
-            out.append(";".join(groups[at:at + n]))
-            at += n
-        return out
 
+#: A chunk put together: its rows' sizes and groups, in how many of them each pair is linked, and what the second pass takes: how many links each segment has, their pairs and how often.
+COMPOSED = "of long, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups array<string>, pairs array<long>, documents array<long>, links binary, link binary, times binary, n_segments long, n_all long"
 
-#: A chunk put together: its rows' sizes and groups, in how many of them each pair is linked, and what the second pass takes: the pairs of each segment, how often, and the numbers of rows' segments.
-COMPOSED = "chunk long, ids array<id>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups array<string>, pairs array<long>, documents array<long>, lengths array<long>, numbers binary, links array<long>, link binary, times binary"
 
+def _freeing(of):
+    """A function of two tables that gives freed memory back after each group."""
+    def run(one: pa.Table, other: pa.Table) -> pa.Table:
+        (out,) = trimmed(lambda _: iter([of(one, other)]))(())
+        return out
+    return run
 
-def _composed(doc_id: pa.DataType, digest: bool):
-    def run(chunks: pa.Table, aligned: pa.Table) -> pa.Table:
-        row = {c: chunks.column(c)[0].as_py() for c in ("chunk", "ids", "lengths", "numbers")}
-        order = np.argsort(aligned.column("number").to_numpy())
-        data = aligned.column("aligned").to_pylist()
-        links = Links([data[i] for i in order])
-        ends = np.cumsum(links.lengths)
-        documents = np.zeros(len(links.pairs), dtype=np.int64)
-        numbers, rows = unpacked(row["numbers"], sum(row["lengths"])), []
-        for at in np.split(numbers, np.cumsum(row["lengths"])[:-1]):
-            if not len(at) or not links.sound[at].all():
-                rows.append((0, 0, 0, 0, ""))
-                continue
-            held = np.unique(at)
-            documents[np.unique(links.pair_of[ragged((ends - links.lengths)[held], links.lengths[held])])] += 1
-            joined = ";".join(map(links.shown.__getitem__, at.tolist()))
-            rows.append((*links.sizes[at].sum(axis=0).tolist(), hashlib.sha256(joined.encode()).hexdigest() if digest else joined))
-        gone = np.repeat([not r[0] for r in rows], row["lengths"])
-        lengths = [n if r[0] else 0 for n, r in zip(row["lengths"], rows, strict=True)]
-        out = (row["chunk"], row["ids"], *map(list, zip(*rows, strict=True)), links.pairs, documents, lengths, packed(numbers[~gone]), links.lengths, packed(links.pair_of), packed(links.times))
-        return pa.Table.from_batches([_batch(COMPOSED, [out], doc_id)])
+
+def _composed(digest: bool):
+    def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        lengths = np.array(chunks.column("lengths")[0].as_py(), dtype=np.int64)
+        at = unpacked(chunks.column("numbers")[0].as_py(), int(lengths.sum()))
+        none = np.zeros(0, dtype=np.int64)
+        packs = answers.to_pylist()
+        data = b"".join(pa.decompress(r["aligned"], decompressed_size=r["size"], codec="zstd", asbytes=True) for r in packs if r["size"])
+        links = Links(*unfolded(np.frombuffer(data, dtype=np.uint8), np.concatenate([none, *(np.cumsum(unpacked(r["numbers"], r["n"])) for r in packs)]), np.concatenate([none, *(unpacked(r["lengths"], r["n"]) for r in packs)])))
+        sound = (ranged(~links.sound[at], lengths) == 0) & (lengths > 0)
+        sizes = np.stack([ranged(links.sizes[at, i], lengths) for i in range(4)], axis=1) * sound[:, None]
+        documents, first, starts = np.zeros(len(links.pairs), dtype=np.int64), np.zeros(len(links.pairs), dtype=np.int64), np.cumsum(links.lengths) - links.lengths
+        for mine in (x for x, ok in zip(np.split(at, np.cumsum(lengths)[:-1]), sound, strict=True) if ok):
+            pairs = links.pair_of[ragged(starts[mine], links.lengths[mine])]
+            first[pairs] = np.arange(len(pairs))  # one of the places of each
+            documents[pairs[first[pairs] == np.arange(len(pairs))]] += 1
+        texts = joined(links.shown.take(pa.array(at)), lengths, ";")
+        shown = [(hashlib.sha256(t).hexdigest() if digest else t.decode()) if ok else "" for t, ok in zip(texts.cast(pa.binary()).to_pylist(), sound, strict=True)]
+        row = (chunks.column("chunk")[0].as_py(), *(sizes[:, i] for i in range(4)), shown, links.pairs, documents, packed(links.lengths), packed(links.pair_of), packed(links.times), len(links.lengths), len(links.pair_of))
+        return pa.Table.from_batches([_batch(COMPOSED, [row], pa.null())])
     return run
 
 
 def _totalled(groups: str):
     """The rows of a chunk with the sums of what their links count."""
     def run(chunks: pa.Table, counted: pa.Table) -> pa.Table:
-        row = {c: chunks.column(c)[0].as_py() for c in ("lengths", "numbers", "links", "link", "times")}
+        row = {c: chunks.column(c)[0].as_py() for c in ("lengths", "numbers", "links", "link", "times", "n_segments", "n_all")}
         order = np.argsort(counted.column("pair").to_numpy())
-        documents, best = counted.column("documents").to_numpy()[order], counted.column("best").to_numpy()[order]
-        links = np.array(row["links"], dtype=np.int64)
-        link, times = (unpacked(row[c], int(links.sum())) for c in ("link", "times"))
-        numbers, ends, starts = unpacked(row["numbers"], sum(row["lengths"])), np.cumsum(row["lengths"], dtype=np.int64), np.cumsum(links) - links
-        sums = []
-        for each in (best[link] * times, documents[link] * times) if len(link) else ():
-            total = np.concatenate([[0], np.cumsum(each)])
-            segment = total[starts + links] - total[starts]
-            total = np.concatenate([[0], np.cumsum(segment[numbers])])
-            sums.append(total[ends] - total[ends - row["lengths"]])
-        sums = sums or [np.zeros(len(ends), dtype=np.int64)] * 2
-        lists = [chunks.column(c).combine_chunks().flatten() for c in ("ids", "n_a", "n_b", "n_groups", "n_links", "groups")]
-        return pa.table([*lists, *map(pa.array, sums)], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", groups, "n_best", "count_sum"])
+        links, lengths = unpacked(row["links"], row["n_segments"]), np.array(row["lengths"], dtype=np.int64)
+        link, times = (unpacked(row[c], row["n_all"]) for c in ("link", "times"))
+        at = unpacked(row["numbers"], int(lengths.sum()))
+        lists = {c: chunks.column(c).combine_chunks().flatten() for c in ("ids", "n_a", "n_b", "n_groups", "n_links", "groups")}
+        sound = lists["n_a"].to_numpy() > 0
+        sums = [ranged(ranged(counted.column(c).to_numpy()[order][link] * times, links)[at], lengths) * sound for c in ("best", "documents")]
+        return pa.table([*lists.values(), *map(pa.array, sums)], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", groups, "n_best", "count_sum"])
     return run
 
 
@@ -301,20 +343,23 @@ def alignments(docs: DataFrame, pair: Pair, chunk: int = CHUNK, digest: bool = F
         raise ValueError("the vocabularies can join across any white space")
     kind, groups = dict(docs.dtypes)["doc_id"], "groups_sha256" if digest else "groups"
     doc_id = to_arrow_type(docs.schema["doc_id"].dataType)
-    chunks = stored(docs.select("doc_id", "text").mapInArrow(_chunked(pair, chunk, doc_id), CHUNKS.replace("<id>", f"<{kind}>")), "chunks")
+    chunks = stored(docs.select("doc_id", "text").mapInArrow(_chunked(pair, chunk, doc_id), CHUNKS.replace("<id>", f"<{kind}>")), "chunks", "zstd")
     named = chunks.select("chunk", F.posexplode("segments").alias("number", "segment"))
-    aligned = named.select("segment").distinct().mapInArrow(_aligned(pair), "segment string, aligned binary")
-    known = named.join(aligned, "segment").select(F.col("chunk").alias("of"), "number", "aligned")
-    composed = chunks.drop("segments").groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(_composed(doc_id, digest), COMPOSED.replace("<id>", f"<{kind}>"))
-    composed = stored(composed, "composed")
-    released(chunks)
+    known = named.select("segment", "chunk", "number").repartition("segment").sortWithinPartitions("segment").mapInArrow(_answered(pair), ANSWERS)
+    composed = stored(chunks.drop("segments", "ids").groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(_freeing(_composed(digest)), COMPOSED), "composed")
+    del known, named
+    gc.collect()  # plans that Python still holds in cycles keep their shuffles
+    swept(docs.sparkSession)
+    time.sleep(0.5)  # Python's references are given up in the background
+    swept(docs.sparkSession)
     counts = composed.select(F.explode(F.arrays_zip("pairs", "documents")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.documents").alias("documents"))
     counts = stored(counts.withColumn("a", F.shiftright("pair", 32)), "pairs")
     most = counts.groupBy("a").agg(F.max("documents").alias("most"))  # no more rows than the first vocabulary has entries
     counts = counts.join(F.broadcast(most), "a").select("pair", "documents", (F.col("documents") == F.col("most")).cast("long").alias("best"))
-    counted = composed.select(F.col("chunk").alias("of"), F.explode("pairs").alias("pair")).join(counts, "pair")
+    counted = composed.select("of", F.explode("pairs").alias("pair")).join(counts, "pair")
+    rows = chunks.drop("segments").join(composed.drop("pairs", "documents").withColumnRenamed("of", "chunk").hint("merge"), "chunk")
     out = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, {groups} string, n_best long, count_sum long"
-    return composed.drop("pairs", "documents").groupBy("chunk").cogroup(counted.groupBy("of")).applyInArrow(_totalled(groups), out)
+    return rows.groupBy("chunk").cogroup(counted.groupBy("of")).applyInArrow(_freeing(_totalled(groups)), out)
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:

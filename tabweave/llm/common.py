@@ -40,10 +40,10 @@ def _own_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tabweave/{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, codec: str | None = None) -> DataFrame:
     """df as a table written to the shared folder and read back: lineage ends there and survives lost executors."""
     path = scratch(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
