@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -18,6 +20,7 @@ from tabweave.plans.query import compiled
 from tabweave.plans.spec import Query, joins as join_specs
 from tabweave.plans.table import Table
 from tabweave.sinks import workbook as sinks
+from tabweave.sources import datasource
 from tabweave.sources import workbook as sources
 from tabweave.text import html, outline, report, template
 
@@ -339,6 +342,27 @@ for _kind in ("csv", "tsv", "xlsx", "ods"):
     register(f"convert_{_kind}_roundtrip", lambda s, d, kind=_kind: _round_trip(s, d, kind), "SELECT p_partkey, p_name, p_size FROM part")
 
 
+def _shared(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:  # one process, as in tests
+        found = tempfile.mkdtemp(prefix="tabweave-")
+        spark.sparkContext.setCheckpointDir(found)
+    return f"{found}/tabweave-books/{uuid.uuid4().hex}"
+
+
+def _saved(spark: SparkSession, d: str) -> DataFrame:
+    """All line items, written as workbooks by the data source and read back by their columns' letters."""
+    datasource.register(spark)
+    path = _shared(spark)
+    read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.to_date("l_shipdate").alias("l_shipdate"), "l_returnflag").write.format(datasource.NAME).mode("append").save(path)
+    book = spark.read.format(datasource.NAME).schema("physical_row long, A string, B string, C string, D string, E string").load(path)
+    return book.where("physical_row > 1").selectExpr("CAST(A AS BIGINT) AS l_orderkey", "CAST(B AS INT) AS l_linenumber", "CAST(C AS DOUBLE) AS l_quantity", "CAST(D AS DATE) AS l_shipdate", "E AS l_returnflag")
+
+
+register("book_lineitem", _saved, "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_shipdate AS DATE) AS l_shipdate, l_returnflag FROM lineitem")
+
+
 def _sniffed(spark: SparkSession, d: str) -> DataFrame:
     rows = [["a", "b"], [1, "x"]]
     made = [(k, sinks.table_bytes([("S", rows)], k)) for k in ("csv", "tsv", "xlsx", "ods", "html")] + [("pdf", b"%PDF-1.4 x"), ("rtf", b"{\\rtf1 x}"), ("xls", b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1")]

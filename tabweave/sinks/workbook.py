@@ -7,6 +7,7 @@ import io
 import zipfile
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 from xml.sax.saxutils import escape, quoteattr
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,8 @@ from tabweave.functions.model import column_letter, fmt
 from tabweave.sinks.presentation import KINDS, Look, Styles, cell_style, laid_over, look_of
 
 SHEET_NAME = 31
+# The largest sheet that the format allows.
+MOST_ROWS, MOST_COLUMNS = 1_048_576, 16_384
 
 
 def coerced(value: object, typed: bool = True) -> tuple[str, object]:
@@ -27,6 +30,8 @@ def coerced(value: object, typed: bool = True) -> tuple[str, object]:
         return "bool", value
     if isinstance(value, int | float):
         return "number", value
+    if isinstance(value, date):
+        return "date", value.isoformat()
     text = str(value)
     if not typed:
         return "text", text
@@ -41,7 +46,6 @@ def coerced(value: object, typed: bool = True) -> tuple[str, object]:
 
 
 def _serial(day: str) -> int:
-    from datetime import date
     return (date.fromisoformat(day) - date(1899, 12, 30)).days
 
 
@@ -88,6 +92,8 @@ def xlsx(sheets: Iterable[tuple[str, Iterable[list]]], typed: bool = True, shown
                 f.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{main}">{look.before}<sheetData>'.encode())
                 last = 0
                 for last, row in enumerate(rows, 1):
+                    if last > MOST_ROWS or len(row) > MOST_COLUMNS:
+                        raise EngineError("TOO_LARGE", f"{name}: a sheet of this format has at most {MOST_ROWS} rows and {MOST_COLUMNS} columns")
                     height = f' ht="{look.heights[last]}" customHeight="1"' if last in look.heights else ""
                     f.write(f'<row r="{last}"{height}>{"".join(_cell(f"{column_letter(k)}{last}", v, typed, styles) for k, v in enumerate(row))}</row>'.encode())
                 for i in sorted(k for k in look.heights if k > last):

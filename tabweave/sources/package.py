@@ -16,9 +16,10 @@ TABLE_BYTES, WORD_BYTES = 60 << 20, 40 << 20
 class Package:
     """Parts by lower-case name with forward slashes, whatever the archive spells."""
 
-    def __init__(self, data: bytes) -> None:
+    def __init__(self, data: bytes | io.IOBase) -> None:
+        """data: the bytes, or a file that can seek, of which only what is asked for is read."""
         try:
-            self.zip = zipfile.ZipFile(io.BytesIO(data))
+            self.zip = zipfile.ZipFile(io.BytesIO(data) if isinstance(data, bytes) else data)
         except (zipfile.BadZipFile, ValueError, OSError) as e:
             raise EngineError("BAD_ZIP", f"not a zip archive: {e}") from e
         infos = self.zip.infolist()
@@ -33,6 +34,13 @@ class Package:
             raise EngineError("BAD_CONTAINER", f"no part {name!r}")
         return self.zip.read(info)
 
+    def open(self, name: str) -> io.IOBase:
+        """A part as a stream."""
+        return self.zip.open(self.names[normal_name(name)])
+
+    def size(self, name: str) -> int:
+        return self.names[normal_name(name)].file_size
+
     def xml(self, name: str) -> ET.Element:
         return parse_xml(self.read(name))
 

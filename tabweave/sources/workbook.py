@@ -1,7 +1,8 @@
 """Workbooks and delimited files as sheets: one row per non-blank row, with cells and formulas as text.
 
-Files are read whole by one task each (there are limits on their size); large delimited data go through
-scan_delimited(), which splits files. Both make tables for queries."""
+Files are read whole by one task each here (there are limits on their size); books of any size are split by the data
+source of sources/datasource.py, large delimited data by scan_delimited(). Queries see at most `ROWS` rows and `COLUMNS` columns of a
+sheet, and are told; whatever is converted, edited or scanned is whole."""
 
 from __future__ import annotations
 
@@ -21,7 +22,7 @@ from tabweave.plans.table import ROW, Table
 from tabweave.sources.package import TABLE_BYTES, Package, local
 from tabweave.sources.sniff import checked, sniff
 
-ROWS, COLUMNS = 200_000, 200
+ROWS, COLUMNS, WIDEST = 200_000, 200, 16_384
 SCHEMA = "path string, sheet string, sheet_no int, row_no long, physical_row long, cells array<string>, formulas array<string>, truncated boolean"
 # Built-in number formats that show dates.
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
@@ -32,19 +33,21 @@ def _clean(value: str | None) -> str:
 
 
 class Sheet:
-    def __init__(self, name: str) -> None:
-        self.name, self.rows, self.truncated, self.last_column = name, [], False, 0
+    """Rows of a sheet; if it is capped, what lies beyond the limits of queries is cut and told."""
+
+    def __init__(self, name: str, capped: bool = False) -> None:
+        self.name, self.rows, self.truncated, self.capped = name, [], False, capped
 
     def add(self, number: int, cells: list[str], formulas: list[str]) -> None:
-        """Blank rows are left out; what lies beyond the limits is cut and told."""
-        if len(cells) > COLUMNS:
+        """Blank rows are left out."""
+        if self.capped and len(cells) > COLUMNS:
             self.truncated = self.truncated or any(cells[COLUMNS:])
             cells, formulas = cells[:COLUMNS], formulas[:COLUMNS]
         while cells and not cells[-1] and not formulas[len(cells) - 1]:
             cells.pop()
         if not any(cells) and not any(formulas):
             return
-        if len(self.rows) >= ROWS:
+        if self.capped and len(self.rows) >= ROWS:
             self.truncated = True
             return
         self.rows.append((number, cells, formulas[:len(cells)]))
@@ -54,76 +57,94 @@ def excel_day(serial: float, epoch_1904: bool = False) -> str:
     return (datetime(1904, 1, 1) if epoch_1904 else datetime(1899, 12, 30)).__add__(timedelta(days=int(serial))).strftime("%Y-%m-%d")
 
 
-def parse_xlsx(data: bytes) -> list[Sheet]:
-    pack = Package(data)
+class Cells:
+    """What the cells of a book mean: shared texts, formats that show dates, the first day, and where shared formulas begin."""
+
+    def __init__(self, pack: Package, main: str) -> None:
+        self.epoch_1904 = any(local(e.tag) == "workbookPr" and e.get("date1904") in ("1", "true") for e in pack.xml(main))
+        self.shared: list[str] = []
+        self.dates: list[bool] = []
+        for kind, target in pack.relations(main).values():
+            if kind == "sharedStrings" and pack.has(target):
+                self.shared = ["".join(t.text or "" for t in item.iter() if local(t.tag) == "t") for item in pack.xml(target) if local(item.tag) == "si"]
+            if kind == "styles" and pack.has(target):
+                styles = pack.xml(target)
+                own = {f.get("numFmtId"): f.get("formatCode", "") for f in styles.iter() if local(f.tag) == "numFmt"}
+                for xfs in (x for x in styles if local(x.tag) == "cellXfs"):
+                    for xf in xfs:
+                        code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", own.get(xf.get("numFmtId"), ""))
+                        self.dates.append(int(xf.get("numFmtId") or 0) in DATE_FORMATS or bool(re.search("[ymdhs]", code, re.I)) and "General" not in code)
+
+    def of(self, row: object, base: dict[str, str], wanted: frozenset[int] | None = None) -> tuple[list[str], list[str]]:
+        """Values and formulas of a row. base: first cells of the sheet's shared formulas so far. wanted: the columns that are looked at, all if None."""
+        cells: list[str] = []
+        formulas: list[str] = []
+        for c in row:
+            if local(c.tag) != "c":
+                continue
+            at = column_index(re.match("[A-Za-z]+", c.get("r"))[0]) if c.get("r") else len(cells)
+            cells.extend([""] * (at + 1 - len(cells)))
+            formulas.extend([""] * (at + 1 - len(formulas)))
+            if wanted is not None and at not in wanted:
+                continue
+            parts = {local(x.tag): x for x in c}
+            shown = self._shown(c, parts)
+            if "f" in parts:
+                f = parts["f"]
+                if f.get("t") == "shared" and f.text:
+                    base[f.get("si", "")] = c.get("r") or ""
+                text = f.text or (f"shared with {base[f.get('si', '')]}" if f.get("si", "") in base else "")
+                formulas[at] = f"={text}"
+                shown = shown or formulas[at]
+            cells[at] = _clean(shown)
+        return cells, formulas
+
+    def _shown(self, c: object, parts: dict) -> str:
+        kind, value = c.get("t", "n"), parts["v"].text if "v" in parts else None
+        if kind == "s":
+            return self.shared[int(value)] if value else ""
+        if kind == "inlineStr":
+            return "".join(t.text or "" for t in c.iter() if local(t.tag) == "t")
+        if kind == "b":
+            return "TRUE" if value == "1" else "FALSE" if value == "0" else ""
+        if kind in ("str", "e", "d"):
+            return (value or "")[:10] if kind == "d" else value or ""
+        if value is None:
+            return ""
+        style = int(c.get("s") or 0)
+        return excel_day(float(value), self.epoch_1904) if style < len(self.dates) and self.dates[style] else fmt(float(value))
+
+
+def xlsx_sheets(pack: Package) -> tuple[str, list[tuple[str, str]]]:
+    """The main part, and (name, part) of the sheets in order."""
     family, main = pack.main_part()
     if family != "xlsx":
         raise EngineError("BAD_XLSX", "not a workbook")
-    book, rels = pack.xml(main), pack.relations(main)
-    old = any(local(e.tag) == "workbookPr" and e.get("date1904") in ("1", "true") for e in book)
-    shared: list[str] = []
-    dates: list[bool] = []
-    for kind, target in rels.values():
-        if kind == "sharedStrings" and pack.has(target):
-            shared = ["".join(t.text or "" for t in item.iter() if local(t.tag) == "t") for item in pack.xml(target) if local(item.tag) == "si"]
-        if kind == "styles" and pack.has(target):
-            styles = pack.xml(target)
-            own = {f.get("numFmtId"): f.get("formatCode", "") for f in styles.iter() if local(f.tag) == "numFmt"}
-            for xfs in (x for x in styles if local(x.tag) == "cellXfs"):
-                for xf in xfs:
-                    code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", own.get(xf.get("numFmtId"), ""))
-                    dates.append(int(xf.get("numFmtId") or 0) in DATE_FORMATS or bool(re.search("[ymdhs]", code, re.I)) and "General" not in code)
-    out = []
-    for entry in (s for e in book if local(e.tag) == "sheets" for s in e):
-        sheet = Sheet(entry.get("name", ""))
-        target = rels[next(v for k, v in entry.attrib.items() if local(k) == "id")][1]
-        number = 0
-        base: dict[str, tuple[str, str]] = {}
+    rels = pack.relations(main)
+    entries = (s for e in pack.xml(main) if local(e.tag) == "sheets" for s in e)
+    return main, [(e.get("name", ""), rels[next(v for k, v in e.attrib.items() if local(k) == "id")][1]) for e in entries]
+
+
+def parse_xlsx(data: bytes, capped: bool = False) -> list[Sheet]:
+    pack = Package(data)
+    main, sheets = xlsx_sheets(pack)
+    meaning, out = Cells(pack, main), []
+    for name, target in sheets:
+        sheet, number, base = Sheet(name, capped), 0, {}
         for row in pack.xml(target).iter():
-            if local(row.tag) != "row":
-                continue
-            number = int(row.get("r") or number + 1)
-            cells, formulas = [], []
-            for c in row:
-                if local(c.tag) != "c":
-                    continue
-                at = column_index(re.match("[A-Za-z]+", c.get("r"))[0]) if c.get("r") else len(cells)
-                cells.extend([""] * (at + 1 - len(cells)))
-                formulas.extend([""] * (at + 1 - len(formulas)))
-                parts = {local(x.tag): x for x in c}
-                kind, value = c.get("t", "n"), parts["v"].text if "v" in parts else None
-                if kind == "s":
-                    shown = shared[int(value)] if value else ""
-                elif kind == "inlineStr":
-                    shown = "".join(t.text or "" for t in c.iter() if local(t.tag) == "t")
-                elif kind == "b":
-                    shown = "TRUE" if value == "1" else "FALSE" if value == "0" else ""
-                elif kind in ("str", "e", "d"):
-                    shown = (value or "")[:10] if kind == "d" else value or ""
-                elif value is None:
-                    shown = ""
-                else:
-                    style = int(c.get("s") or 0)
-                    shown = excel_day(float(value), old) if style < len(dates) and dates[style] else fmt(float(value))
-                if "f" in parts:
-                    f = parts["f"]
-                    if f.get("t") == "shared" and f.text:
-                        base[f.get("si", "")] = (c.get("r") or "", f.text)
-                    text = f.text or (f"shared with {base[f.get('si', '')][0]}" if f.get("si", "") in base else "")
-                    formulas[at] = f"={text}"
-                    shown = shown or formulas[at]
-                cells[at] = _clean(shown)
-            sheet.add(number, cells, formulas)
+            if local(row.tag) == "row":
+                number = int(row.get("r") or number + 1)
+                sheet.add(number, *meaning.of(row, base))
         out.append(sheet)
     return out
 
 
-def parse_ods(data: bytes) -> list[Sheet]:
+def parse_ods(data: bytes, capped: bool = False) -> list[Sheet]:
     pack = Package(data)
     out = []
     for t in (e for e in pack.xml("content.xml").iter() if local(e.tag) == "table"):
         attr = lambda e, name: next((v for k, v in e.attrib.items() if local(k) == name), None)
-        sheet, number = Sheet(attr(t, "name") or ""), 0
+        sheet, number = Sheet(attr(t, "name") or "", capped), 0
         for row in (e for e in t.iter() if local(e.tag) == "table-row"):
             cells, formulas = [], []
             for c in row:
@@ -133,7 +154,7 @@ def parse_ods(data: bytes) -> list[Sheet]:
                 text = "\n".join("".join(p.itertext()) for p in c if local(p.tag) == "p")
                 shown = {"float": lambda c=c: fmt(float(attr(c, "value"))), "currency": lambda c=c: fmt(float(attr(c, "value"))), "percentage": lambda c=c: fmt(float(attr(c, "value"))),
                          "date": lambda c=c: (attr(c, "date-value") or "")[:10], "boolean": lambda c=c: (attr(c, "boolean-value") or "").upper()}.get(kind, lambda text=text: text)()
-                repeat = min(int(attr(c, "number-columns-repeated") or 1), COLUMNS + 60)
+                repeat = min(int(attr(c, "number-columns-repeated") or 1), WIDEST)
                 formula = re.sub(r"^(?:of|oooc):", "", attr(c, "formula") or "")
                 cells += [_clean(shown)] * repeat
                 formulas += [formula] * repeat
@@ -145,43 +166,45 @@ def parse_ods(data: bytes) -> list[Sheet]:
     return out
 
 
-def parse_delimited(data: bytes, separator: str) -> list[Sheet]:
-    sheet = Sheet("Sheet1")
+def parse_delimited(data: bytes, separator: str, capped: bool = False) -> list[Sheet]:
+    sheet = Sheet("Sheet1", capped)
     csv.field_size_limit(1 << 26)
     for i, row in enumerate(csv.reader(io.StringIO(data.decode("utf-8-sig", "replace"), newline=""), delimiter=separator)):
         sheet.add(i + 1, [_clean(x) for x in row], [""] * len(row))
     return [sheet]
 
 
-def parse(data: bytes, path: str = "") -> list[Sheet]:
+def parse(data: bytes, path: str = "", capped: bool = False) -> list[Sheet]:
     checked(data, TABLE_BYTES)
     kind = sniff(data, path)
     if kind in ("csv", "tsv", "txt"):
-        return parse_delimited(data, "\t" if kind == "tsv" else ",")
+        return parse_delimited(data, "\t" if kind == "tsv" else ",", capped)
     if kind in ("xlsx", "ods"):
-        return parse_xlsx(data) if kind == "xlsx" else parse_ods(data)
+        return parse_xlsx(data, capped) if kind == "xlsx" else parse_ods(data, capped)
     raise EngineError("UNSUPPORTED_FORMAT", f"{path or 'the file'} is {kind}; tables are read from xlsx, ods, csv, tsv and txt (old binary workbooks need an external parser)")
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for k, sheet in enumerate(parse(content, path)):
-                for i in range(0, max(1, len(sheet.rows)), 2000):
-                    rows = sheet.rows[i:i + 2000]
-                    n = len(rows)
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array([sheet.name] * n, pa.string()), pa.array([k + 1] * n, pa.int32()), pa.array(range(i + 1, i + 1 + n), pa.int64()), pa.array([r[0] for r in rows], pa.int64()),
-                                                     pa.array([r[1] for r in rows], pa.list_(pa.string())), pa.array([r[2] for r in rows], pa.list_(pa.string())), pa.array([sheet.truncated] * n, pa.bool_())], ["path", "sheet", "sheet_no", "row_no", "physical_row", "cells", "formulas", "truncated"])
+def _rows(capped: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for k, sheet in enumerate(parse(content, path, capped)):
+                    for i in range(0, max(1, len(sheet.rows)), 2000):
+                        rows = sheet.rows[i:i + 2000]
+                        n = len(rows)
+                        yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array([sheet.name] * n, pa.string()), pa.array([k + 1] * n, pa.int32()), pa.array(range(i + 1, i + 1 + n), pa.int64()), pa.array([r[0] for r in rows], pa.int64()),
+                                                         pa.array([r[1] for r in rows], pa.list_(pa.string())), pa.array([r[2] for r in rows], pa.list_(pa.string())), pa.array([sheet.truncated] * n, pa.bool_())], ["path", "sheet", "sheet_no", "row_no", "physical_row", "cells", "formulas", "truncated"])
+    return run
 
 
-def read_sheets(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of all sheets of the files at a path or pattern."""
-    return parsed_sheets(spark.read.format("binaryFile").load(path))  # a file over the limit raises TOO_LARGE
+def read_sheets(spark: SparkSession, path: str, capped: bool = False) -> DataFrame:
+    """All rows of all sheets of the files at a path or pattern; capped: up to the limits of queries."""
+    return parsed_sheets(spark.read.format("binaryFile").load(path), capped)  # a file over the limit raises TOO_LARGE
 
 
-def parsed_sheets(files: DataFrame) -> DataFrame:
+def parsed_sheets(files: DataFrame, capped: bool = False) -> DataFrame:
     """files: path, content."""
-    return files.select("path", "content").mapInArrow(_rows, SCHEMA)
+    return files.select("path", "content").mapInArrow(_rows(capped), SCHEMA)
 
 
 def scan_delimited(spark: SparkSession, path: str, separator: str = ",", header: bool = True) -> Table:
@@ -201,7 +224,7 @@ def pick(sheets: DataFrame, sheet: object = None) -> DataFrame:
 
 
 def load_table(spark: SparkSession, path: str, sheet: object = None, header_row: int = 1) -> Table:
-    rows = pick(read_sheets(spark, path).persist(), sheet)  # looked at several times, parsed once
+    rows = pick(read_sheets(spark, path, capped=True).persist(), sheet)  # looked at several times, parsed once
     first = rows.select("sheet", "truncated").first()
     if first is None:
         return Table.of(spark.createDataFrame([], "A string"), "empty")
