@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tabweave.edit import rules, workbook
 from tabweave.functions.values import Cell
-from tabweave.operators import aggregate, joins, profile
+from tabweave.operators import aggregate, counters, islands, joins, profile
 from tabweave.plans.query import compiled
 from tabweave.plans.spec import Query, joins as join_specs
 from tabweave.plans.table import Table
@@ -299,6 +299,42 @@ _rule("dv_list", "customer", "c_custkey", "c_mktsegment", lambda c, _: rules.val
 _rule("dv_length", "part", "p_partkey", "p_name", lambda c, _: rules.valid(c, "textLength", "lessThanOrEqual", 12), "SELECT p_partkey, length(p_name) <= 12 AS hit FROM part")
 _rule("dv_date", "orders", "o_orderkey", "o_orderdate", lambda c, _: rules.valid(c, "date", "between", "1996-01-01", "1996-12-31"), "SELECT o_orderkey, CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' AS hit FROM orders")
 
+register("dv_source_range", lambda s, d: rules.valid_in(read(s, d, "orders").select("o_orderkey", "o_custkey"), _cell(s, d, "orders", "o_custkey"), read(s, d, "customer").where("c_acctbal > 0"), _cell(s, d, "customer", "c_custkey")).select("o_orderkey", "hit"),
+         "SELECT o_orderkey, o_custkey IS NULL OR EXISTS (SELECT 1 FROM customer WHERE c_acctbal > 0 AND c_custkey = o_custkey) AS hit FROM orders")
+
+
+def _cell(spark: SparkSession, d: str, name: str, column: str) -> Cell:
+    return Cell(F.col(column), read(spark, d, name).schema[column].dataType)
+
+
+# Rectangles of cells and numbers of lists.
+def _blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Cells by two columns of each part, as a sheet for each brand."""
+    first = F.lit(1) + F.col("p_size") % 3
+    cells = read(spark, d, "part").select(F.col("p_brand").alias("sheet"), F.col("p_partkey").alias("row"), F.explode(F.sequence(first, first + F.floor(F.col("p_size") / 25).cast("int")).cast("array<long>")).alias("col"))
+    return islands.rectangles(cells.unionByName(read(spark, d, "part").select(F.lit("all").alias("sheet"), F.col("p_partkey").alias("row"), F.explode(F.sequence(F.lit(1), F.lit(1) + (F.col("p_partkey") / 100).cast("int") % 2).cast("array<long>")).alias("col"))))
+
+
+register("sheet_rectangles", _blocks, """WITH b AS (SELECT p_brand AS sheet, p_partkey AS row, unnest(range(1 + p_size % 3, 2 + p_size % 3 + p_size // 25)) AS col FROM part UNION ALL SELECT 'all', p_partkey, unnest(range(1, 2 + (p_partkey // 100) % 2)) FROM part),
+c AS (SELECT DISTINCT sheet, row, CAST(col AS BIGINT) AS col FROM b), i AS (SELECT *, col - row_number() OVER (PARTITION BY sheet, row ORDER BY col) AS g FROM c),
+r AS (SELECT sheet, row, min(col) AS first_col, max(col) AS last_col FROM i GROUP BY sheet, row, g), j AS (SELECT *, row - row_number() OVER (PARTITION BY sheet, first_col, last_col ORDER BY row) AS g FROM r)
+SELECT sheet, min(row) AS first_row, first_col, max(row) AS last_row, last_col FROM j GROUP BY sheet, first_col, last_col, g""")
+
+
+def _lists(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of all documents as paragraphs of two lists each, their levels by their lengths."""
+    lines = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    paragraphs = lines.select("doc_id", (F.col("place") % 2).alias("list"), "place", F.when(F.col("line") != "", F.length("line") % 4).alias("level"))
+    return counters.numbered(paragraphs, ("doc_id", "list"))
+
+
+_L = "(PARTITION BY doc_id, list ORDER BY place)"
+register("list_numbers", _lists, f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM documents),
+p AS (SELECT doc_id, CAST(place % 2 AS INTEGER) AS list, CAST(place AS INTEGER) AS place, CAST(CASE WHEN line <> '' THEN length(line) % 4 END AS INTEGER) AS level FROM l),
+c AS (SELECT *, {', '.join(f'count(*) FILTER (level = {k}) OVER {_L} AS c{k}' for k in range(4))} FROM p),
+b AS (SELECT *, {', '.join(f'c{k} - coalesce(max(CASE WHEN level < {k} THEN c{k} END) OVER {_L}, 0) AS n{k}' for k in range(4))} FROM c)
+SELECT doc_id, list, place, level, CASE WHEN level IS NOT NULL THEN array_to_string(list_slice([greatest(n0, 1), greatest(n1, 1), greatest(n2, 1), greatest(n3, 1)], 1, level + 1), '.') END AS number FROM b""")
+
 # Formats as properties of rows.
 _DIST = "SELECT property, value, count(*) AS n FROM (SELECT 'lang' AS property, lang AS value FROM documents UNION ALL SELECT 'source', source FROM documents) GROUP BY ALL"
 register("fmt_distribution", lambda s, d: report.distribution(read(s, d, "documents"), ["lang", "source"]), f"SELECT property, value, n, CAST(row_number() OVER (PARTITION BY property ORDER BY n DESC, value NULLS FIRST) AS INTEGER) AS rank FROM ({_DIST}) QUALIFY rank <= 5")

@@ -137,3 +137,12 @@ def valid(cell: Cell, kind: str, operator: str = "between", a: object = None, b:
     else:
         raise EngineError("INVALID_ARGS", f"unknown validation {kind!r}; formulas are stored, not evaluated")
     return F.when(cell.blank(), F.lit(allow_blank)).otherwise(F.coalesce(ok, F.lit(False)))
+
+
+def valid_in(df: DataFrame, cell: Cell, source: DataFrame, among: Cell, name: str = "hit", allow_blank: bool = True) -> DataFrame:
+    """df with the column `name`: whether a cell is one of those of a source range, compared as the values they mean. Blank cells are valid if
+    allowed; blank cells of the range match nothing. The range is joined as a set of keys, so it may be of any length."""
+    keys = source.select(among.joined_key().alias("__key")).where("__key IS NOT NULL").distinct()
+    marked = df.withColumn("__own", cell.joined_key())
+    found = marked.where("__own IS NOT NULL").join(keys.withColumn("__there", F.lit(True)), F.col("__own") == F.col("__key"), "left").withColumn(name, F.col("__there").isNotNull()).drop("__own", "__key", "__there")
+    return found.unionByName(marked.where("__own IS NULL").withColumn(name, F.lit(allow_blank)).drop("__own"))

@@ -54,10 +54,22 @@ def _sides(left: Table, right: Table, join: Join) -> tuple[DataFrame, DataFrame,
     return l, r, reduce(lambda a, b: a & b, on), pairs
 
 
+def _matched(l: DataFrame, r: DataFrame, on: Column, kind: str, keys: int) -> DataFrame:
+    """The join. In outer joins rows with a blank key, which match nothing, are not exchanged (all to one place) but put beside the result."""
+    if kind == "inner":
+        return l.join(r, on)
+    whole = {side: reduce(lambda a, b: a & b, (F.col(f"{side}_key{k}").isNotNull() for k in range(keys))) for side in ("left", "right")}
+    out = l.where(whole["left"]).join(r.where(whole["right"]), on, kind)
+    for side, df, kinds in (("left", l, ("left", "full")), ("right", r, ("right", "full"))):
+        if kind in kinds:
+            out = out.unionByName(df.where(~whole[side]), allowMissingColumns=True)
+    return out
+
+
 def joined(left: Table, right: Table, join: Join, rows_limit: int | None = None) -> Table:
     """rows_limit: raise TOO_MANY_ROWS beyond it (costs a bounded job)."""
     l, r, on, pairs = _sides(left, right, join)
-    out = l.join(r, on, join.type)
+    out = _matched(l, r, on, join.type, len(pairs))
     same = {i: j for i, j, s in pairs if s}
     names = renamed(list(left.names), list(right.names), set(same.values()), join)
 

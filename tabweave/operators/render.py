@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabweave.errors import EngineError
 from tabweave.functions.model import fmt
-from tabweave.operators import aggregate, predicates
-from tabweave.plans.query import Result
+from tabweave.operators import aggregate, joins, predicates
+from tabweave.plans.query import Result, measured
 
 
 def escaped(value: object) -> str:
@@ -24,15 +25,30 @@ def _facts(result: Result) -> tuple[int, int, list[str]]:
     return scanned, found["n"], [f"{found[f's{i}']} cells of {m.col} are no numbers and left out" for i, m in enumerate(summed) if found[f"s{i}"]]
 
 
-def rendered(result: Result) -> dict:
-    """text and meta: kind, columns, shown and total rows, scanned and matched rows, truncation."""
+def _told(result: Result, checked: bool) -> tuple[list, int, int, int, list[str]]:
+    """Rows (one more than is shown, if there are more), how many there are, scanned and matched rows, and notes on cells left out."""
     limit = result.query.limit
-    rows = result.df.collect() if result.full is None else result.full.limit(limit + 1).collect()  # a row more than is shown tells whether there are more
-    scanned, matched, notes = _facts(result)
+    if result.kind == "aggregate":  # one job tells all
+        run = measured(result)
+        rows = run.df.collect()
+        scanned, found, total = run.scanned.get["n"], run.matched.get, run.groups.get["n"]
+        if checked and total > aggregate.GROUP_LIMIT:
+            raise EngineError("TOO_MANY_GROUPS", f"more than {aggregate.GROUP_LIMIT} groups; filter first, or group by another column")
+        if checked and result.query.joins and scanned > joins.ROWS_LIMIT:
+            raise EngineError("TOO_MANY_ROWS", f"the join makes more than {joins.ROWS_LIMIT} rows")
+        summed = [m for m in result.query.measures if m.fn in ("sum", "avg")]
+        return rows, total, scanned, found["n"], [f"{found[f's{i}']} cells of {m.col} are no numbers and left out" for i, m in enumerate(summed) if found[f"s{i}"]]
+    rows = result.df.collect() if result.full is None else result.full.limit(limit + 1).collect()
+    return rows, result.full.count() if result.full is not None and len(rows) > limit else len(rows), *_facts(result)
+
+
+def rendered(result: Result, checked: bool = False) -> dict:
+    """text and meta: kind, columns, shown and total rows, scanned and matched rows, truncation. checked: limits on groups and joined rows are enforced by what the same job counts."""
+    limit = result.query.limit
+    rows, total, scanned, matched, notes = _told(result, checked)
     if not scanned and result.kind == "profile":
         return {"text": f"{result.source.name}: no rows", "meta": {"kind": "empty", "scannedRows": 0, "matchedRows": 0}}
     truncated = result.full is not None and len(rows) > limit
-    total = result.full.count() if truncated else len(rows)
     rows = rows[:limit] if truncated else rows
     if truncated:
         notes.append(f"the first {limit} of {total} rows are shown")

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tabweave.errors import EngineError
 from tabweave.operators import aggregate, joins, order, pivot, predicates, profile
 from tabweave.plans.spec import Join, Query
-from tabweave.plans.table import Table
+from tabweave.plans.table import ROW, Table
 
 
 @dataclass
@@ -64,6 +64,32 @@ def compiled(table: Table, spec: dict | Query, load: Loader | None = None, check
     return _limited(df.orderBy(*by) if by else df, "aggregate", names, whole, rows, query)
 
 
+@dataclass
+class Measured:
+    """A grouping to be run once: the rows to show and one more, and what the same run tells besides."""
+    df: DataFrame
+    scanned: Observation
+    matched: Observation
+    groups: Observation
+
+
+def measured(result: Result) -> Measured:
+    """The plan of a grouping with its facts observed on the way, so that the one job that gives its rows counts those scanned and matched, the
+    cells that sums leave out, and the groups. Result.source is read once; only columns that the query names are."""
+    query, whole = result.query, result.source
+    used = sorted({whole.index(n) for n in (*(w.col for w in query.where), *query.group_by, *(m.col for m in query.measures))})
+    scanned, matched, groups = (Observation() for _ in range(3))
+    narrow = replace(whole, df=whole.df.select(*(f"c{i}" for i in used), *([ROW] if whole.ordered else [])).observe(scanned, F.count(F.lit(1)).alias("n")))
+    kept = filtered(narrow, query)
+    left_out = [aggregate.skipped(kept.find(m.col)).alias(f"s{i}") for i, m in enumerate(m for m in query.measures if m.fn in ("sum", "avg"))]
+    kept = replace(kept, df=kept.df.observe(matched, F.count(F.lit(1)).alias("n"), *left_out))
+    full = aggregate.grouped(kept, query.group_by, query.measures).observe(groups, F.count(F.lit(1)).alias("n"))
+    names = [c for c in full.columns if c != "first_row"]
+    by = order.sort_columns(full, names, query.order_by) + ([F.col("first_row").asc()] if "first_row" in full.columns else [])
+    rows = full.orderBy(*(by or [F.col(f"`{n}`") for n in names])).limit(query.limit + 1)  # in some order, so that all groups are made
+    return Measured(rows.select(*(F.col(f"`{c}`") for c in names)), scanned, matched, groups)
+
+
 def _limited(full: DataFrame, kind: str, names: list[str], whole: Table, rows: Table, query: Query) -> Result:
     pick = lambda df: df.select(*(F.col(f"`{c}`") for c in names))
     return Result(pick(full.limit(query.limit)), kind, names, whole, rows, query, full=pick(full))

@@ -74,7 +74,7 @@ def counter(n: int, form: str = "decimal") -> str:
 
 
 class Counters:
-    """Counters of nine levels: a level counts on, deeper ones start again."""
+    """Counters of nine levels: a level counts on, deeper ones start again; a higher one that has not come yet is shown as its start."""
 
     def __init__(self) -> None:
         self.values: dict[tuple[str, int], int] = {}
@@ -83,10 +83,7 @@ class Counters:
         """The number of the next paragraph of a list at a level; %1 .. %9 in the pattern stand for the levels' counters."""
         for deeper in range(level + 1, 9):
             self.values.pop((list_id, deeper), None)
-        for k in range(level + 1):
-            if (list_id, k) not in self.values:
-                self.values[list_id, k] = starts.get(k, 1) - (k == level)
-        self.values[list_id, level] += 1
+        self.values[list_id, level] = self.values.get((list_id, level), starts.get(level, 1) - 1) + 1
         out = pattern
         for k in range(9):
             out = out.replace(f"%{k + 1}", counter(self.values.get((list_id, k), starts.get(k, 1)), forms.get(k, "decimal")))
