@@ -361,6 +361,21 @@ for _name, _script, _sql in (
     register(_name, lambda s, d, script=_script: workbook.edited(_part_book(s, d), script).cells.select("row", "col", "value"), _sql)
 
 
+#: 200 steps over a sheet: rows go in and out at changing places.
+STEPS = [{"op": "delete_rows" if i % 2 else "insert_rows", "at": 5 + (i * 7919) % 200_000, "count": 1 + i % 5} for i in range(200)]
+
+
+def _long_script(spark: SparkSession, d: str) -> DataFrame:
+    """All line items as a sheet, a row for each, with rows between orders left blank."""
+    cells = read(spark, d, "lineitem").select(F.lit("Sheet1").alias("sheet"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row"), F.lit(1).cast("long").alias("col"), F.col("l_partkey").cast("string").alias("value"), F.lit(None).cast("string").alias("formula"), F.lit(None).cast("string").alias("style"))
+    return workbook.edited(workbook.Workbook(cells, ["Sheet1"]), STEPS).cells.select("row", "value")
+
+
+register("edit_long_script", _long_script, """WITH RECURSIVE r AS (SELECT 0 AS i, CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS row, CAST(l_partkey AS VARCHAR) AS value FROM lineitem
+UNION ALL SELECT i + 1, CASE WHEN row < 5 + (i * 7919) % 200000 THEN row WHEN i % 2 = 0 THEN row + 1 + i % 5 ELSE row - 1 - i % 5 END, value FROM r WHERE i < 200 AND NOT (i % 2 = 1 AND row BETWEEN 5 + (i * 7919) % 200000 AND 5 + (i * 7919) % 200000 + i % 5))
+SELECT row, value FROM r WHERE i = 200""")
+
+
 def _round_trip(spark: SparkSession, d: str, kind: str) -> DataFrame:
     """Written by tasks as files of up to FILE_ROWS rows, and read back by the readers of files."""
     def written(batches):

@@ -1,4 +1,4 @@
-"""Workbook edit scripts, as DataFrame to DataFrame steps over cells in long form.
+"""Workbook edit scripts over cells in long form. Steps that move or write cells are composed (see script.py) and applied together.
 
 Cells: sheet, row, col (from 1), value, formula, style. Presentation (merges, widths, panes, filters, images,
 charts, conditional formats, validations) is kept beside them as small lists."""
@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabweave.edit.script import Script
 from tabweave.errors import EngineError
 from tabweave.functions.model import column_index, column_letter
 from tabweave.sinks import presentation
@@ -65,11 +66,28 @@ def rectangles(cells: Iterable[tuple[int, int]]) -> list[tuple[int, int, int, in
 
 @dataclass
 class Workbook:
-    cells: DataFrame
+    """base: cells before the steps that script holds."""
+    base: DataFrame
     sheets: list[str]
     shown: dict[str, list] = field(default_factory=lambda: {k: [] for k in presentation.KINDS})
     notes: list[str] = field(default_factory=list)
 
+    def __post_init__(self) -> None:
+        self.script = Script(self.sheets)
+
+    @property
+    def cells(self) -> DataFrame:
+        """Cells after all steps so far."""
+        if self.script.changes:
+            patch = self.script.patches()
+            mapped = self.script.mapped(self.base)
+            self.cells = upserted(mapped, patch) if patch else mapped
+        return self.base
+
+    @cells.setter
+    def cells(self, cells: DataFrame) -> None:
+        self.base, self.script = cells, Script(self.sheets)
+
     @classmethod
     def of_sheets(cls, rows: DataFrame) -> Workbook:
         """From rows of read_sheets()."""
@@ -79,7 +97,7 @@ class Workbook:
 
     @property
     def spark(self) -> SparkSession:
-        return self.cells.sparkSession
+        return self.base.sparkSession
 
     def sheet(self, op: dict) -> str:
         wanted = op.get("sheet")
@@ -122,12 +140,12 @@ def _inside(name: str, ref: str) -> Column:
     return _on(name) & F.col("row").between(r1, r2) & F.col("col").between(c1, c2)
 
 
-def upserted(book: Workbook, patch: list[tuple]) -> DataFrame:
+def upserted(cells: DataFrame, patch: list[tuple]) -> DataFrame:
     """Cells with those of the patch in their place; blanks of the patch clear cells. The patch is the script's own values."""
-    new = book.spark.createDataFrame([(s, r, c, None if v is None else str(v), f, st) for s, r, c, v, f, st in patch], CELLS)
+    new = cells.sparkSession.createDataFrame([(s, r, c, None if v is None else str(v), f, st) for s, r, c, v, f, st in patch], CELLS)
     places = F.broadcast(new.select("sheet", "row", "col"))
-    kept = book.cells.join(places, ["sheet", "row", "col"], "left_anti")
-    looks = book.cells.where("style IS NOT NULL").join(places, ["sheet", "row", "col"], "left_semi").select("sheet", "row", "col", F.col("style").alias("look"))  # a new value keeps its cell's style
+    kept = cells.join(places, ["sheet", "row", "col"], "left_anti")
+    looks = cells.where("style IS NOT NULL").join(places, ["sheet", "row", "col"], "left_semi").select("sheet", "row", "col", F.col("style").alias("look"))  # a new value keeps its cell's style
     put = new.join(looks, ["sheet", "row", "col"], "left").select("sheet", "row", "col", "value", "formula", F.coalesce("style", "look").alias("style"))
     return kept.unionByName(put.where("coalesce(value, '') <> '' OR formula IS NOT NULL OR style IS NOT NULL"))
 
@@ -140,22 +158,20 @@ def _set_cells(book: Workbook, op: dict) -> None:
     name, (row, col) = book.sheet(op), cell_ref(op.get("start", "A1"))
     if not isinstance(op.get("values"), list) or not all(isinstance(v, list) for v in op["values"]):
         raise EngineError("INVALID_ARGS", "set_cells needs values, an array of arrays")
-    patch = []
     for i, line in enumerate(op["values"]):
         for k, v in enumerate(line):
             formula = v if isinstance(v, str) and v.startswith("=") and len(v) > 1 else None
-            patch.append((name, row + i, col + k, None if formula else v, formula, _style(op)))
-    book.cells = upserted(book, patch)
+            book.script.sheets[name].put(row + i, col + k, None if formula else v, formula, _style(op))
 
 
 def _set_value(book: Workbook, op: dict) -> None:
     row, col = cell_ref(op.get("cell", ""))
-    book.cells = upserted(book, [(book.sheet(op), row, col, op.get("value"), None, _style(op))])
+    book.script.sheets[book.sheet(op)].put(row, col, op.get("value"), None, _style(op))
 
 
 def _set_formula(book: Workbook, op: dict) -> None:
     row, col = cell_ref(op.get("cell", ""))
-    book.cells = upserted(book, [(book.sheet(op), row, col, None, "=" + str(op.get("formula", "")).lstrip("="), _style(op))])
+    book.script.sheets[book.sheet(op)].put(row, col, None, "=" + str(op.get("formula", "")).lstrip("="), _style(op))
 
 
 def _style_range(book: Workbook, op: dict) -> None:
@@ -183,11 +199,7 @@ def moved(axis: str, insert: bool) -> Callable[[Workbook, dict], None]:
         name, at, n = book.sheet(op), int(op.get("at", op.get("start", 1))), int(op.get("count", 1))
         if at < 1 or n < 1:
             raise EngineError("INVALID_ARGS", "at and count are whole numbers from 1")
-        c = F.col(axis)
-        if not insert:
-            book.cells = book.cells.where(~(_on(name) & c.between(at, at + n - 1)))
-        by = n if insert else -n
-        book.cells = book.cells.withColumn(axis, c + F.when(_on(name) & (c >= at), F.lit(by)).otherwise(0))
+        book.script.sheets[name].move(axis, at, n, insert)
         presentation.moved(book.shown, name, axis, at, n, insert)
         if insert and op.get("values"):
             first = at
@@ -200,6 +212,7 @@ def _add_sheet(book: Workbook, op: dict) -> None:
     if not name or name.lower() in (s.lower() for s in book.sheets):
         raise EngineError("INVALID_ARGS", f"a new sheet needs a name of its own, not {name!r}")
     book.sheets.append(name)
+    book.script.add(name)
     if op.get("values"):
         _set_cells(book, {"sheet": name, "values": op["values"]})
 
@@ -212,7 +225,7 @@ def _rename_sheet(book: Workbook, op: dict) -> None:
     for ops in book.shown.values():
         for kept in ops:
             kept["sheet"] = new if kept["sheet"] == old else kept["sheet"]
-    book.cells = book.cells.withColumn("sheet", F.when(_on(old), F.lit(new)).otherwise(F.col("sheet")))
+    book.script.rename(old, new)
 
 
 def _delete_sheet(book: Workbook, op: dict) -> None:
@@ -222,7 +235,7 @@ def _delete_sheet(book: Workbook, op: dict) -> None:
     book.sheets.remove(name)
     for ops in book.shown.values():
         ops[:] = [kept for kept in ops if kept["sheet"] != name]
-    book.cells = book.cells.where(~_on(name))
+    book.script.delete(name)
 
 
 def _ruled(kind: str) -> Callable[[Workbook, dict], None]:
