@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tabweave.edit import rules, workbook
 from tabweave.functions.values import Cell
-from tabweave.operators import aggregate, counters, islands, joins, profile
+from tabweave.operators import aggregate, counters, inheritance, islands, joins, profile, sequence, sketches
 from tabweave.plans.query import compiled
 from tabweave.plans.spec import Query, joins as join_specs
 from tabweave.plans.table import Table
@@ -335,6 +335,59 @@ c AS (SELECT *, {', '.join(f'count(*) FILTER (level = {k}) OVER {_L} AS c{k}' fo
 b AS (SELECT *, {', '.join(f'c{k} - coalesce(max(CASE WHEN level < {k} THEN c{k} END) OVER {_L}, 0) AS n{k}' for k in range(4))} FROM c)
 SELECT doc_id, list, place, level, CASE WHEN level IS NOT NULL THEN array_to_string(list_slice([greatest(n0, 1), greatest(n1, 1), greatest(n2, 1), greatest(n3, 1)], 1, level + 1), '.') END AS number FROM b""")
 
+# Inherited formats, dominant formats, lines put in and taken out, distinct counts from sketches.
+def _styles(spark: SparkSession, d: str) -> DataFrame:
+    """Each part as a style based on the one before; every fiftieth on one that follows, which makes cycles."""
+    parts = read(spark, d, "part")
+    bases = parts.select(F.col("p_partkey").alias("style"), F.when(F.col("p_partkey") % 50 == 0, F.col("p_partkey") + 49).otherwise(F.col("p_partkey") - 1).alias("based_on"))
+    values = parts.where("p_partkey % 7 = 0").select(F.col("p_partkey").alias("style"), F.lit("size").alias("property"), F.col("p_size").cast("string").alias("value"))
+    return inheritance.inherited(bases, values.unionByName(parts.where("p_partkey % 17 = 0").select(F.col("p_partkey").alias("style"), F.lit("font").alias("property"), F.col("p_brand").alias("value"))))
+
+
+register("styles_inherited", _styles, """WITH RECURSIVE b AS (SELECT p_partkey AS style, CASE WHEN p_partkey % 50 = 0 THEN p_partkey + 49 ELSE p_partkey - 1 END AS based_on FROM part),
+v AS (SELECT p_partkey AS style, 'size' AS property, CAST(p_size AS VARCHAR) AS value FROM part WHERE p_partkey % 7 = 0 UNION ALL SELECT p_partkey, 'font', p_brand FROM part WHERE p_partkey % 17 = 0),
+c AS (SELECT style, style AS at, 0 AS distance FROM b UNION ALL SELECT c.style, b.based_on, c.distance + 1 FROM c JOIN b ON b.style = c.at WHERE c.distance < 11)
+SELECT c.style, v.property, v.value, CAST(c.distance AS INTEGER) AS distance FROM c JOIN v ON v.style = c.at QUALIFY row_number() OVER (PARTITION BY c.style, v.property ORDER BY c.distance) = 1""")
+register("dominant_run", lambda s, d: inheritance.dominant(read(s, d, "conversations"), ("conv_id",), "role", "text"),
+         "SELECT conv_id, CASE WHEN chars > 0 THEN role END AS role, chars FROM (SELECT conv_id, role, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS chars FROM conversations GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY chars DESC, role NULLS LAST) = 1")
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    """All lines of all documents: blank ones go, a rule follows every line whose length is a multiple of five, each document gets a head and an end."""
+    lines = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    after = lines.where("length(line) % 5 = 0").select("doc_id", F.col("place").alias("anchor"), F.lit("after").alias("side"), F.lit(1).alias("seq"), F.lit("--").alias("line"))
+    whole = read(spark, d, "documents").where("text IS NOT NULL")
+    head = whole.select("doc_id", F.lit(0).alias("anchor"), F.lit("before").alias("side"), F.lit(1).alias("seq"), F.col("source").alias("line"))
+    end = whole.select("doc_id", F.lit(None).cast("int").alias("anchor"), F.lit("after").alias("side"), F.lit(1).alias("seq"), F.lit("end").alias("line"))
+    out = sequence.edited(lines, after.unionByName(head).unionByName(end), lines.where("line = ''"), ("doc_id",), ("line",))
+    return out.select("doc_id", "place", F.md5("line").alias("digest"))
+
+
+register("lines_edited", _lines, """WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM documents),
+e AS (SELECT doc_id, place, 0 AS side, line FROM l WHERE line <> '' UNION ALL SELECT doc_id, place, 1, '--' FROM l WHERE length(line) % 5 = 0 UNION ALL SELECT doc_id, 0, -1, source FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id, 1000000000, 1, 'end' FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY place, side) - 1 AS place, md5(line) AS digest FROM e""")
+
+
+def _monthly(spark: SparkSession, d: str) -> DataFrame:
+    """Customers of each year: counted exactly, and from sketches of months united."""
+    orders = read(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_custkey")
+    months = sketches.sketched(orders, ["year", "month"], Cell(F.col("o_custkey"), orders.schema["o_custkey"].dataType))
+    years = sketches.counted(sketches.united(months, ["year"]), "estimate")
+    exact = orders.groupBy("year").agg(F.count_distinct("o_custkey").alias("customers"))
+    return exact.join(years, "year").select("year", "customers", (F.abs(F.col("estimate") - F.col("customers")) <= 0.08 * F.col("customers")).alias("near"))
+
+
+register("sketch_union", _monthly, "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(DISTINCT o_custkey) AS customers, true AS near FROM orders GROUP BY 1")
+
+
+def _three_colours(spark: SparkSession, d: str) -> DataFrame:
+    df = read(spark, d, "orders")
+    cell = _cell(spark, d, "orders", "o_totalprice")
+    return df.select("o_orderkey", F.round(rules.scaled_by(cell, rules.facts(df, cell), rules.percentile(df, cell, 50)), DIGITS).alias("position"))
+
+
+register("cf_colorscale_percentile", _three_colours, "WITH f AS (SELECT min(o_totalprice) AS a, quantile_cont(o_totalprice, 0.5) AS m, max(o_totalprice) AS b FROM orders) SELECT o_orderkey, round(CASE WHEN o_totalprice <= m THEN (o_totalprice - a) / (2 * (m - a)) WHEN o_totalprice IS NOT NULL THEN 0.5 + (o_totalprice - m) / (2 * (b - m)) END, 4) AS position FROM orders, f")
+
 # Formats as properties of rows.
 _DIST = "SELECT property, value, count(*) AS n FROM (SELECT 'lang' AS property, lang AS value FROM documents UNION ALL SELECT 'source', source FROM documents) GROUP BY ALL"
 register("fmt_distribution", lambda s, d: report.distribution(read(s, d, "documents"), ["lang", "source"]), f"SELECT property, value, n, CAST(row_number() OVER (PARTITION BY property ORDER BY n DESC, value NULLS FIRST) AS INTEGER) AS rank FROM ({_DIST}) QUALIFY rank <= 5")

@@ -11,13 +11,14 @@ from collections.abc import Callable, Iterator
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tabweave.catalog import read, register
 from tabweave.edit import document, workbook
+from tabweave.operators import aggregate
 from tabweave.operators.render import rendered
 from tabweave.plans.query import compiled
 from tabweave.plans.table import Table
@@ -317,17 +318,11 @@ def _ordered(spark: SparkSession, d: str) -> Table:
     return Table.of(read(spark, d, "nation").select((24 - F.col("n_nationkey")).cast("string").alias("k"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("region"), F.lit("1").alias("one"), "n_nationkey"), "t", order=F.col("n_nationkey"))
 
 
-register("groups_first_seen", lambda s, d: _numbered_rows(compiled(_ordered(s, d), {"groupBy": ["region"]}).df), "SELECT region, n AS rows, CAST(row_number() OVER (ORDER BY f) - 1 AS BIGINT) AS place FROM (SELECT 'r' || n_regionkey AS region, count(*) AS n, min(n_nationkey) AS f FROM nation GROUP BY 1)")
+register("groups_first_seen", lambda s, d: aggregate.grouped(_ordered(s, d), ("region",), ()).select("region", "rows", (F.row_number().over(Window.orderBy("first_row")) - 1).cast("long").alias("place")), "SELECT region, n AS rows, CAST(row_number() OVER (ORDER BY f) - 1 AS BIGINT) AS place FROM (SELECT 'r' || n_regionkey AS region, count(*) AS n, min(n_nationkey) AS f FROM nation GROUP BY 1)")
 register("pivot_first_seen", lambda s, d: s.createDataFrame([(i, c) for i, c in enumerate(compiled(_ordered(s, d), {"pivot": {"rows": ["one"], "columns": "region", "values": [{"col": "k", "fn": "count"}]}}).columns)], "place long, name string"),
          "SELECT CAST(0 AS BIGINT) AS place, 'one' AS name UNION ALL SELECT row_number() OVER (ORDER BY min(n_nationkey)), 'r' || n_regionkey FROM nation GROUP BY n_regionkey")
 
 
-def _numbered_rows(df: DataFrame) -> DataFrame:
-    """The rows of a limited result with their places."""
-    rows = df.collect()
-    return df.sparkSession.createDataFrame([(*r, i) for i, r in enumerate(rows)], T.StructType([*df.schema.fields, T.StructField("place", T.LongType())]))
-
-
 def _shown(spark: SparkSession, d: str) -> DataFrame:
     out = rendered(compiled(Table.of(read(spark, d, "region"), "region"), {"where": [{"col": "r_regionkey", "op": "lt", "value": 4}], "groupBy": ["r_name"], "aggregate": [{"col": "r_regionkey", "fn": "max", "as": "key"}], "orderBy": [{"col": "key"}], "limit": 3}))
     return spark.createDataFrame([(out["text"], out["meta"]["total"], out["meta"]["truncated"], out["meta"]["matchedRows"])], "text string, total long, truncated boolean, matched long")

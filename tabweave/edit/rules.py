@@ -55,6 +55,24 @@ def scaled(cell: Cell, of: Facts) -> Column:
     return F.when(cell.num().isNotNull(), (cell.num() - F.lit(of.low)) / F.lit(of.high - of.low) if of.high > of.low else F.lit(0.0))
 
 
+def percentile(df: DataFrame, cell: Cell, percent: float = 50) -> float | None:
+    """The number below which so many of 100 lie, between the two nearest ones in proportion; null without numbers."""
+    n = df.agg(F.count(cell.num())).first()[0]
+    if not n:
+        return None
+    at = (n - 1) * percent / 100
+    low = nth(df, cell, int(at) + 1, bottom=True)
+    return low if at == int(at) else low + (nth(df, cell, int(at) + 2, bottom=True) - low) * (at - int(at))
+
+
+def scaled_by(cell: Cell, of: Facts, middle: float | None) -> Column:
+    """Position on a scale of three colours: 0 at the least number, 0.5 at the middle stop, 1 at the greatest."""
+    if of.low is None or middle is None:
+        return F.lit(None).cast("double")
+    part = lambda a, b: (cell.num() - F.lit(a)) / F.lit(2 * (b - a)) if b > a else F.lit(0.0)
+    return F.when(cell.num() <= F.lit(middle), part(of.low, middle)).when(cell.num().isNotNull(), F.lit(0.5) + part(middle, of.high))
+
+
 def icon(cell: Cell, of: Facts, icons: int = 3) -> Column:
     """The number of the icon, from 0."""
     percent = scaled(cell, of) * 100
