@@ -95,8 +95,10 @@ def releasing():
         held.append(stored(df, tag))
         return held[-1]
 
-    yield keep
-    released(*held)
+    try:
+        yield keep
+    finally:
+        released(*held)
 
 
 #: Rows of an id or two each that may be broadcast: 100 MB at most.

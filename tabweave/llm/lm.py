@@ -7,14 +7,12 @@ the background model is taken; a document's score is the mean (lower: more like
 
 Every word and every pair counts, however rare, and no table of them is broadcast or sent to the driver. Rows
 are packed into chunks of about `CHUNK` tokens, stored as word numbers. Each chunk sends its distinct words and
-pairs with its counts to the parts of the range of hashes; a part, of about `PART` of them, sums up the counts
-and answers each chunk with the sums, from which the chunk's rows are scored. What is sent grows with the
-corpus, what a task holds does not.
+pairs with its counts, a row each, to where they are sorted by hash; rows of the same hash are summed up as they pass, and
+the sums go back to their chunks, packed, from which the chunk's rows are scored. What is sent grows in proportion to the
+corpus, what a task holds does not grow.
 
 Edge cases: null, empty and blank texts have no tokens, losses of 0 and a score of 0; without target texts
 both models are the same smoothing; rows that repeat are counted and scored each; an empty table gives no rows.
-`ngram_models` and `scored` are for small corpora: words and pairs seen once are left out, and the table of the
-others is held by the driver and broadcast.
 """
 
 from __future__ import annotations
@@ -28,32 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import bounded, stored, table
+from tabweave.llm.common import bounded, stored, table, trimmed
 
-PRIOR, FLUSH, UNKNOWN = 50.0, 1 << 21, 0
-CHUNK, PART, START = 1 << 21, 1 << 21, 0x9E3779B97F4A7C15
-
-
-def tokens(text: str | None, memo: dict) -> np.ndarray:
-    """Hashes of the words (runs of non-space, ASCII lower case)."""
-    import xxhash
-
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if len(memo) > 500_000:
-        memo.clear()
-    out = np.empty(len(words), dtype=np.int64)
-    for i, w in enumerate(words):
-        h = memo.get(w)
-        if h is None:
-            h = memo[w] = xxhash.xxh3_64_intdigest(w) - (1 << 63)
-        out[i] = h
-    return out
-
-
-def pairs(h: np.ndarray) -> np.ndarray:
-    """A hash of each pair of neighbours; the first word's is with the start of the text."""
-    u = h.view(np.uint64)
-    return joint(np.concatenate([[np.uint64(START)], u[:-1]]), u)
+PRIOR = 50.0
+CHUNK, HELD, SENT_ROWS, START = 1 << 21, 1 << 18, 1 << 16, 0x9E3779B97F4A7C15
 
 
 def joint(before: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -62,111 +38,6 @@ def joint(before: np.ndarray, u: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
-def known(h: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Word hashes, with UNKNOWN for those outside the (sorted) vocabulary."""
-    if not len(vocabulary):
-        return np.full(len(h), UNKNOWN, dtype=np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == h, h, UNKNOWN)
-
-
-def _counts(of):
-    """(gram, target, background) of stretches of text; of: what to count of a text's word hashes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict = {}
-        held: tuple[list, list] = ([], [])
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            parts = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in held]
-            grams, at = np.unique(np.concatenate(parts), return_inverse=True)
-            back, target = (np.bincount(x, minlength=len(grams)) for x in np.split(at, [len(parts[0])]))
-            for i in range(0, len(grams), 100_000):
-                part = slice(i, i + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(grams[part]), pa.array(target[part]), pa.array(back[part])], ["gram", "target", "background"])
-            for x in held:
-                x.clear()
-
-        for batch in batches:
-            for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = tokens(text, memo)
-                if len(h):
-                    held[bool(target)].append(of(h))
-                    size += len(h)
-                if size > FLUSH:
-                    yield from flush()
-                    size = 0
-        if size:
-            yield from flush()
-    return run
-
-
-class Model:
-    """Sorted words (UNKNOWN among them) and pairs with their counts in target and background, and how to score with them."""
-
-    def __init__(self, words: np.ndarray, word_counts: np.ndarray, grams: np.ndarray, gram_counts: np.ndarray, totals: np.ndarray, prior: float = PRIOR) -> None:
-        words, word_counts = np.append(words, UNKNOWN), np.column_stack([word_counts, totals - word_counts.sum(axis=1)])
-        order, other = np.argsort(words), np.argsort(grams)
-        self.words, self.word_counts = words[order], word_counts[:, order]
-        self.grams, self.gram_counts = grams[other], gram_counts[:, other]
-        self.totals, self.prior = totals.astype(float), prior
-
-    @staticmethod
-    def _found(keys: np.ndarray, counts: np.ndarray, asked: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros((2, len(asked)))
-        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-        return np.where(keys[at] == asked, counts[:, at], 0).astype(float)
-
-    def losses(self, h: np.ndarray) -> np.ndarray:
-        """Negative log probabilities, target then background, of each token."""
-        h = known(h, self.words)
-        c = self._found(self.words, self.word_counts, h)
-        unigram = (c + 1) / (self.totals[:, None] + len(self.words))
-        before = np.concatenate([self.totals[:, None], c[:, :-1]], axis=1)  # at the start of a text, so many starts at most
-        both = np.minimum(self._found(self.grams, self.gram_counts, pairs(h)), before)
-        return -np.log((both + self.prior * unigram) / (before + self.prior))
-
-
-def ngram_models(texts: DataFrame, prior: float = PRIOR) -> Model:
-    """texts: text, target (boolean); a small corpus."""
-    def counted(of, tag: str) -> DataFrame:
-        rows = texts.select("text", "target").mapInArrow(_counts(of), "gram long, target long, background long")
-        return stored(rows.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), tag)
-
-    def often(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        rows = grams.where(F.col("target") + F.col("background") >= 2).toArrow()
-        return rows.column(0).to_numpy(), np.stack([rows.column(1).to_numpy(), rows.column(2).to_numpy()])
-
-    words = counted(lambda h: h, "words")
-    sums = words.agg(F.sum("target"), F.sum("background")).first()
-    totals = np.array([sums[0] or 0, sums[1] or 0])
-    vocabulary, counts = often(words)
-    shared = texts.sparkSession.sparkContext.broadcast(np.sort(vocabulary))
-    return Model(vocabulary, counts, *often(counted(lambda h: pairs(known(h, shared.value)), "pairs")), totals, prior)
-
-
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs: doc_id, text. Per row: doc_id, n_tokens, target_loss, background_loss (means), score (their difference), n_nearer (tokens likelier in the target)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict = {}
-        for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                h = tokens(text, memo)
-                if len(h):
-                    t, b = shared.value.losses(h)
-                    out.append((len(h), t.mean(), b.mean(), (t - b).mean(), int((t < b).sum())))
-                else:
-                    out.append((0, 0.0, 0.0, 0.0, 0))
-            n, t, b, s, m = zip(*out, strict=True) if out else ([],) * 5
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(t, pa.float64()), pa.array(b, pa.float64()), pa.array(s, pa.float64()), pa.array(m, pa.int64())], ["doc_id", "n_tokens", "target_loss", "background_loss", "score", "n_nearer"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double, n_nearer long")
-
-
 def packed(x: np.ndarray) -> bytes:
     """Whole numbers by planes of their bytes, compressed."""
     planes = np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
@@ -179,8 +50,10 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
 
 
 CHUNKS = "chunk long, ids array<long>, targets array<boolean>, lengths array<long>, n_words long, words binary, numbers binary, target long, background long"
-SENT = "chunk long, part long, n_words long, n_pairs long, words binary, word_target binary, word_background binary, pairs binary, pair_target binary, pair_background binary"
-ANSWERS = "chunk long, part long, n_words long, n_pairs long, new_words long, word_target binary, word_background binary, pair_target binary, pair_background binary"
+#: A word (at: its number in the chunk) or pair (at: -1 less its number) of a chunk, by its hash; counts: those in target texts, times 2 to the 32, and in others.
+ENTRIES = "key long, chunk long, at int, counts long"
+#: What goes back to a chunk: the sums over all chunks for some of its words and pairs. new_words: how many words were summed up in it.
+ANSWERS = "of long, n long, new_words long, at binary, target binary, background binary"
 
 
 def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -241,44 +114,54 @@ def _starts(lengths: np.ndarray) -> np.ndarray:
     return (np.cumsum(lengths) - lengths)[lengths > 0]
 
 
-def _sent(parts: int):
-    bounds = np.array([i * (1 << 64) // parts - (1 << 63) for i in range(1, parts)], dtype=np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (x for i in range(len(batch)) for x in batch.slice(i, 1).to_pylist()):
-                lengths, words, numbers, grams, gram = _opened(row)
-                target = np.repeat(np.array(row["targets"], dtype=bool), lengths)
-                sides = []
-                for keys, at in ((words, numbers), (grams, gram)):
-                    one = np.bincount(at[target], minlength=len(keys))
-                    sides.append((keys, one, np.bincount(at, minlength=len(keys)) - one, [0, *np.searchsorted(keys, bounds), len(keys)]))
-                for part in range(parts):
-                    cut = [slice(ends[part], ends[part + 1]) for *_, ends in sides]
-                    n = [int(c.stop - c.start) for c in cut]
-                    if any(n):
-                        data = [packed(x) for (keys, one, other, _), c in zip(sides, cut, strict=True) for x in (np.diff(keys[c], prepend=np.int64(0)), one[c], other[c])]
-                        yield _batch(SENT, [(row["chunk"], part, *n, *data)])
-    return run
-
-
-def _answered(rows: pa.Table) -> pa.Table:
-    """The sums over all chunks of what each chunk sent to a part."""
-    rows = rows.to_pylist()
-    out = [[r["chunk"], r["part"], r["n_words"], r["n_pairs"], 0] for r in rows]
-    for kind in ("word", "pair"):
-        sizes = [r[f"n_{kind}s"] for r in rows]
-        keys, at = np.unique(np.concatenate([np.cumsum(unpacked(r[f"{kind}s"], n)) for r, n in zip(rows, sizes, strict=True)]), return_inverse=True)
-        if kind == "word":
-            out[0][4] = len(keys)
-        ends = np.cumsum(sizes)[:-1]
-        sums = []
-        for side in ("target", "background"):
-            each = np.concatenate([unpacked(r[f"{kind}_{side}"], n) for r, n in zip(rows, sizes, strict=True)])
-            sums.append(np.split(np.bincount(at, weights=each, minlength=len(keys)).astype(np.int64)[at], ends))
-        for row, one, other in zip(out, *sums, strict=True):
-            row += [packed(one), packed(other)]
-    return pa.Table.from_batches([_batch(ANSWERS, [tuple(r) for r in out])])
+def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ENTRIES of each chunk."""
+    for batch in batches:
+        for row in (x for i in range(len(batch)) for x in batch.slice(i, 1).to_pylist()):
+            lengths, words, numbers, grams, gram = _opened(row)
+            target = np.repeat(np.array(row["targets"], dtype=bool), lengths)
+            for keys, of, sign in ((words, numbers, 1), (grams, gram, -1)):
+                one, every = np.bincount(of[target], minlength=len(keys)), np.bincount(of, minlength=len(keys))
+                at = np.arange(len(keys), dtype=np.int32)
+                columns = keys, np.full(len(keys), row["chunk"]), at if sign > 0 else -1 - at, one << 32 | (every - one)
+                for i in range(0, len(keys), SENT_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i:i + SENT_ROWS]) for c in columns], ["key", "chunk", "at", "counts"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries in order of their hashes: each takes the sums over all of the same hash and kind, and goes back to its chunk, packed with others."""
+    def summed(keys: np.ndarray, chunks: np.ndarray, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort((at < 0, keys))  # a word and a pair of the same hash stay apart
+        keys, chunks, at, counts = keys[order], chunks[order], at[order], counts[order]
+        new = np.concatenate([[True], (np.diff(keys) != 0) | (np.diff((at < 0).astype(np.int8)) != 0)])
+        run, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+        return chunks, at, np.add.reduceat(counts >> 32, starts)[run], np.add.reduceat(counts & 0xFFFFFFFF, starts)[run], new & (at >= 0)
+
+    def packs(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        chunks, at, target, background, words = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((at, chunks))
+        rows = []
+        for mine in np.split(order, np.flatnonzero(np.diff(chunks[order])) + 1):
+            rows.append((int(chunks[mine[0]]), len(mine), int(words[mine].sum()), packed(np.diff(at[mine].astype(np.int64), prepend=0)), packed(target[mine]), packed(background[mine])))
+        return _batch(ANSWERS, rows)
+
+    held, n, left = [], 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy() for c in batch.columns]
+        if left:
+            columns = [np.concatenate(x) for x in zip(left, columns, strict=True)]
+        cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last hash may go on
+        left = [c[cut:] for c in columns]
+        if cut:
+            held.append(summed(*(c[:cut] for c in columns)))
+            n += cut
+        if n >= HELD:
+            yield packs(held)
+            held, n = [], 0
+    if left:
+        yield packs([*held, summed(*left)])
 
 
 SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double, n_nearer long"
@@ -287,16 +170,20 @@ SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double
 def _rated(totals: np.ndarray, vocabulary: int, prior: float):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         (row,) = chunks.to_pylist()
-        lengths, _, numbers, _, gram = _opened(row)
-        parts = sorted(answers.to_pylist(), key=lambda r: r["part"])
+        lengths, words, numbers, grams, gram = _opened(row)
+        counts = [[np.zeros(len(words), dtype=np.int64), np.zeros(len(grams), dtype=np.int64)] for _ in totals]
+        for r in answers.to_pylist():
+            at = np.cumsum(unpacked(r["at"], r["n"]))
+            for (of_words, of_pairs), side in zip(counts, ("target", "background"), strict=True):
+                sums = unpacked(r[side], r["n"])
+                of_words[at[at >= 0]], of_pairs[-1 - at[at < 0]] = sums[at >= 0], sums[at < 0]
         starts, filled = _starts(lengths), lengths > 0
         losses = []
-        for side, total in zip(("target", "background"), totals, strict=True):
-            words, pairs_ = (np.concatenate([np.zeros(0, dtype=np.int64), *(unpacked(r[f"{kind}_{side}"], r[f"n_{kind}s"]) for r in parts)]) for kind in ("word", "pair"))
-            c = words[numbers].astype(float)
+        for (of_words, of_pairs), total in zip(counts, totals, strict=True):
+            c = of_words[numbers].astype(float)
             before = np.roll(c, 1)
             before[starts] = total  # at the start of a text, so many starts at most
-            losses.append(-np.log((np.minimum(pairs_[gram], before) + prior * (c + 1) / (total + vocabulary)) / (before + prior)))
+            losses.append(-np.log((np.minimum(of_pairs[gram], before) + prior * (c + 1) / (total + vocabulary)) / (before + prior)))
         t, b = losses
         out = [np.zeros(len(lengths)) for _ in range(4)]
         if len(starts):
@@ -308,20 +195,23 @@ def _rated(totals: np.ndarray, vocabulary: int, prior: float):
     return run
 
 
-def scored_corpus(docs: DataFrame, prior: float = PRIOR, chunk: int = CHUNK, part: int = PART) -> DataFrame:
-    """docs: doc_id, text, target (boolean). The columns of scored(), by the models of all their words and pairs."""
+def entries(chunks: DataFrame) -> DataFrame:
+    """What chunks send: a row for each distinct word and pair of each."""
+    return chunks.mapInArrow(_sent, ENTRIES)
+
+
+def scored_corpus(docs: DataFrame, prior: float = PRIOR, chunk: int = CHUNK) -> DataFrame:
+    """docs: doc_id, text, target (boolean). Per row: doc_id, n_tokens, target_loss, background_loss (means), score (their difference), n_nearer (tokens likelier in the target), by the models of all words and pairs."""
     chunks = stored(docs.select("doc_id", "text", "target").mapInArrow(_chunked(chunk), CHUNKS), "chunks")
     target, background = (int(x or 0) for x in chunks.agg(F.sum("target"), F.sum("background")).first())
-    parts = -(-(target + background) // part) or 1
-    sent = chunks.mapInArrow(_sent(parts), SENT)
-    answers = stored(sent.groupBy("part").applyInArrow(_answered, ANSWERS), "answers")
+    answers = stored(entries(chunks).repartition("key").sortWithinPartitions("key").mapInArrow(trimmed(_summed), ANSWERS), "answers")
     vocabulary = answers.agg(F.sum("new_words")).first()[0] or 0
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_rated(np.array([target, background], dtype=float), vocabulary, prior), SCORES)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(_rated(np.array([target, background], dtype=float), vocabulary, prior), SCORES)
 
 
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled of good quality and not toxic; background: all others."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     good = bounded(labels.where("quality = 1 AND toxic = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct(), "target")
-    texts = docs.join(good, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.col("__id").isNotNull().alias("target"))
+    texts = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.col("__id").isNotNull().alias("target"))
     return scored_corpus(texts)

@@ -444,31 +444,8 @@ def test_secret_query(spark, docs, tmp_path):
 
 
 # Language models.
-def test_language_models(spark, empty):
-    rows = [(f"{a} {b} {a}", True) for a, b in zip(words(60), words(60), strict=True)] + [(" ".join(words(5)), False) for _ in range(50)] + [(None, True), ("", False)]
-    model = lm.ngram_models(spark.createDataFrame(rows, "text string, target boolean").repartition(4))
-    counts = [{}, {}]
-    for text, target in rows:
-        for w in (text or "").split():
-            counts[not target][w] = counts[not target].get(w, 0) + 1
-    vocabulary = {w for w in {*counts[0], *counts[1]} if counts[0].get(w, 0) + counts[1].get(w, 0) >= 2}
-    assert len(model.words) == len(vocabulary) + 1 and model.totals.tolist() == [sum(c.values()) for c in counts]
-    memo = {}
-    for w in sorted(vocabulary)[:5]:
-        loss = model.losses(lm.tokens(w, memo))[:, 0]
-        pair = model._found(model.grams, model.gram_counts, lm.pairs(lm.tokens(w, memo)))[:, 0]  # with the start of a text
-        for side in (0, 1):
-            unigram = (counts[side].get(w, 0) + 1) / (model.totals[side] + len(vocabulary) + 1)
-            assert loss[side] == pytest.approx(-np.log((pair[side] + model.prior * unigram) / (model.totals[side] + model.prior)))
-    docs = spark.createDataFrame([(1, rows[0][0]), (2, None), (3, " "), (4, rows[70][0])], "doc_id long, text string")
-    got = {r.doc_id: r for r in lm.scored(docs, model).collect()}
-    assert got[1].score < got[4].score and got[2].n_tokens == got[3].n_tokens == 0 and got[2].score == 0
-    assert lm.scored(docs.limit(0), lm.ngram_models(empty.selectExpr("text", "true as target"))).count() == 0
-
-
-def test_language_models_keep_all(spark, empty):
-    """Every word and pair counts, at any size of chunks and parts."""
-    rows = [(i, " ".join(words(30) + [f"rare{i}"]), i % 3 == 0) for i in range(60)] + [(60, "rare3 rare7 once", False), (None, "A  b\na B", True), (61, None, True), (61, "", False), (62, " \t", False), (62, "b a", False), (62, "b a", False)]
+def brute_scores(rows):
+    """(doc_id, text, target) to (doc_id, tokens, losses, score, nearer), with -1 for a missing id."""
     counts, both, totals = [{}, {}], [{}, {}], [0, 0]
     split = lambda text: (text or "").lower().split()
     for _, text, target in rows:
@@ -488,13 +465,43 @@ def test_language_models_keep_all(spark, empty):
         each = [[loss(side, a, w) for a, w in zip([None, *split(text)], split(text))] for side in (0, 1)]
         t, b = (sum(x) / max(len(x), 1) for x in each)
         want.append((-1 if i is None else i, len(each[0]), t, b, t - b, sum(x < y for x, y in zip(*each))))
+    return np.array(sorted(want))
+
+
+def scores_of(df):
+    return np.array(sorted((-1 if r.doc_id is None else r.doc_id, *r[1:]) for r in df.collect()))
+
+
+def test_language_models_keep_all(spark, empty, monkeypatch):
+    """Every word and pair counts, at any size of chunks and packs."""
+    rows = [(i, " ".join(words(30) + [f"rare{i}"]), i % 3 == 0) for i in range(60)] + [(60, "rare3 rare7 once", False), (None, "A  b\na B", True), (61, None, True), (61, "", False), (62, " \t", False), (62, "b a", False)]
     df = spark.createDataFrame(rows, "doc_id long, text string, target boolean").repartition(3)
-    for chunk, part in ((1 << 21, 1 << 21), (100, 64)):
-        got = sorted((-1 if r.doc_id is None else r.doc_id, *r[1:]) for r in lm.scored_corpus(df, chunk=chunk, part=part).collect())
-        assert np.allclose(np.array(got), np.array(sorted(want)), rtol=0, atol=1e-9)
+    for chunk, held in ((1 << 21, 1 << 18), (100, 16)):
+        monkeypatch.setattr(lm, "HELD", held)
+        assert np.allclose(scores_of(lm.scored_corpus(df, chunk=chunk)), brute_scores(rows), rtol=0, atol=1e-9)
     assert lm.scored_corpus(empty.selectExpr("doc_id", "text", "true as target")).count() == 0
 
 
+def test_language_model_query(spark, tmp_path):
+    """The target: documents with a label of good quality that is not toxic, however often ids and labels repeat; a missing id is none."""
+    rows = [(i, " ".join(words(12))) for i in range(40)] + [(3, "again three"), (None, "nobody knows"), (41, None), (42, "")]
+    labels = [(i, int(i % 2 == 0), int(i % 8 == 0)) for i in range(43)] + [(3, 1, 0), (3, 1, 0), (None, 1, 0), (99, 1, 0), (5, None, 0), (7, 1, None)]
+    spark.createDataFrame([(*r, "en", "s", 1, "x", "y") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, target string, __id string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    good = {d for d, q, t in labels if q == 1 and t == 0 and d is not None}
+    assert np.allclose(scores_of(lm.op2_lm(spark, str(tmp_path))), brute_scores([(i, t, i in good) for i, t in rows]), rtol=0, atol=1e-9)
+
+
+def test_language_models_send_in_proportion(spark):
+    """Twice the texts, the chunks as they are: twice the rows."""
+    def sent(n):
+        rng = np.random.default_rng(n)
+        df = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.zipf(1.4, 50) % 5000), False) for i in range(n)], "doc_id long, text string, target boolean").coalesce(1)
+        return lm.entries(df.mapInArrow(lm._chunked(1000), lm.CHUNKS)).count()
+    one, two = sent(400), sent(800)
+    assert 1.8 * one < two < 2.2 * one
+
+
 # Quality.
 def test_quality(spark, docs, empty):
     good = [(i, " ".join(words(60)).capitalize() + ".", "en", "s", 300) for i in range(300)]
