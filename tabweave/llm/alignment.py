@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tabweave.llm.common import sliced, stored, swept, table, trimmed
+from tabweave.llm.common import freeing, sliced, stored, swept, table, trimmed
 from tabweave.llm.lm import packed, unpacked
 
 TOKENIZERS = "/opt/tokenizers"
@@ -292,14 +292,6 @@ class Links:
 COMPOSED = "of long, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups array<string>, pairs array<long>, documents array<long>, links binary, link binary, times binary, n_segments long, n_all long"
 
 
-def _freeing(of):
-    """A function of two tables that gives freed memory back after each group."""
-    def run(one: pa.Table, other: pa.Table) -> pa.Table:
-        (out,) = trimmed(lambda _: iter([of(one, other)]))(())
-        return out
-    return run
-
-
 def _composed(digest: bool):
     def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         lengths = np.array(chunks.column("lengths")[0].as_py(), dtype=np.int64)
@@ -346,7 +338,7 @@ def alignments(docs: DataFrame, pair: Pair, chunk: int = CHUNK, digest: bool = F
     chunks = stored(docs.select("doc_id", "text").mapInArrow(_chunked(pair, chunk, doc_id), CHUNKS.replace("<id>", f"<{kind}>")), "chunks", "zstd")
     named = chunks.select("chunk", F.posexplode("segments").alias("number", "segment"))
     known = named.select("segment", "chunk", "number").repartition("segment").sortWithinPartitions("segment").mapInArrow(_answered(pair), ANSWERS)
-    composed = stored(chunks.drop("segments", "ids").groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(_freeing(_composed(digest)), COMPOSED), "composed")
+    composed = stored(chunks.drop("segments", "ids").groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(freeing(_composed(digest)), COMPOSED), "composed")
     del known, named
     gc.collect()  # plans that Python still holds in cycles keep their shuffles
     swept(docs.sparkSession)
@@ -359,7 +351,7 @@ def alignments(docs: DataFrame, pair: Pair, chunk: int = CHUNK, digest: bool = F
     counted = composed.select("of", F.explode("pairs").alias("pair")).join(counts, "pair")
     rows = chunks.drop("segments").join(composed.drop("pairs", "documents").withColumnRenamed("of", "chunk").hint("merge"), "chunk")
     out = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, {groups} string, n_best long, count_sum long"
-    return rows.groupBy("chunk").cogroup(counted.groupBy("of")).applyInArrow(_freeing(_totalled(groups)), out)
+    return rows.groupBy("chunk").cogroup(counted.groupBy("of")).applyInArrow(freeing(_totalled(groups)), out)
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:

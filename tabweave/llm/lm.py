@@ -7,9 +7,10 @@ the background model is taken; a document's score is the mean (lower: more like
 
 Every word and every pair counts, however rare, and no table of them is broadcast or sent to the driver. Rows
 are packed into chunks of about `CHUNK` tokens, stored as word numbers. Each chunk sends its distinct words and
-pairs with its counts, a row each, to where they are sorted by hash; rows of the same hash are summed up as they pass, and
+pairs with its counts, packed by ranges of hashes; there are `RANGES` for each partition of an exchange, however large the
+corpus. Where they arrive they are sorted by hash (Spark's sort, which spills), those of the same hash are summed up as they pass, and
 the sums go back to their chunks, packed, from which the chunk's rows are scored. What is sent grows in proportion to the
-corpus, what a task holds does not grow.
+corpus, what a task holds does not grow; larger corpora want more shuffle partitions, as in any exchange.
 
 Edge cases: null, empty and blank texts have no tokens, losses of 0 and a score of 0; without target texts
 both models are the same smoothing; rows that repeat are counted and scored each; an empty table gives no rows.
@@ -26,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import bounded, stored, table, trimmed
+from tabweave.llm.common import bounded, freeing, small_batches, stored, swept, table, trimmed
 
 PRIOR = 50.0
-CHUNK, HELD, SENT_ROWS, START = 1 << 21, 1 << 18, 1 << 16, 0x9E3779B97F4A7C15
+CHUNK, HELD, SENT_ROWS, RANGES, START = 1 << 20, 1 << 17, 16, 4, 0x9E3779B97F4A7C15
 
 
 def joint(before: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -52,12 +53,14 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
 CHUNKS = "chunk long, ids array<long>, targets array<boolean>, lengths array<long>, n_words long, words binary, numbers binary, target long, background long"
 #: A word (at: its number in the chunk) or pair (at: -1 less its number) of a chunk, by its hash; counts: those in target texts, times 2 to the 32, and in others.
 ENTRIES = "key long, chunk long, at int, counts long"
+#: A chunk's words or pairs of a range of hashes: the number of the first and how many, their hashes in order (differences) and counts.
+SENT = "chunk long, part long, pairs boolean, first long, n long, hashes binary, counts binary"
 #: What goes back to a chunk: the sums over all chunks for some of its words and pairs. new_words: how many words were summed up in it.
 ANSWERS = "of long, n long, new_words long, at binary, target binary, background binary"
 
 
 def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_()), "boolean": pa.bool_()}
     names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[t]) for i, t in enumerate(types)], list(names))
 
@@ -114,18 +117,33 @@ def _starts(lengths: np.ndarray) -> np.ndarray:
     return (np.cumsum(lengths) - lengths)[lengths > 0]
 
 
-def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """ENTRIES of each chunk."""
+def _sent(parts: int):
+    """What each chunk has in each range of hashes."""
+    bounds = np.array([i * (1 << 64) // parts - (1 << 63) for i in range(1, parts)], dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (x for i in range(len(batch)) for x in batch.slice(i, 1).to_pylist()):
+                lengths, words, numbers, grams, gram = _opened(row)
+                target = np.repeat(np.array(row["targets"], dtype=bool), lengths)
+                for kind, (keys, of) in enumerate(((words, numbers), (grams, gram))):
+                    counts = np.bincount(of[target], minlength=len(keys)) << 32
+                    counts += np.bincount(of, minlength=len(keys)) - (counts >> 32)
+                    ends = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
+                    some = [p for p in range(parts) if ends[p + 1] > ends[p]]
+                    for i in range(0, len(some), SENT_ROWS):
+                        cuts = [(p, slice(ends[p], ends[p + 1])) for p in some[i:i + SENT_ROWS]]
+                        yield _batch(SENT, [(row["chunk"], p, kind == 1, c.start, c.stop - c.start, packed(np.diff(keys[c], prepend=np.int64(0))), packed(counts[c])) for p, c in cuts])
+    return run
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ENTRIES of what was sent, for sorting."""
     for batch in batches:
-        for row in (x for i in range(len(batch)) for x in batch.slice(i, 1).to_pylist()):
-            lengths, words, numbers, grams, gram = _opened(row)
-            target = np.repeat(np.array(row["targets"], dtype=bool), lengths)
-            for keys, of, sign in ((words, numbers, 1), (grams, gram, -1)):
-                one, every = np.bincount(of[target], minlength=len(keys)), np.bincount(of, minlength=len(keys))
-                at = np.arange(len(keys), dtype=np.int32)
-                columns = keys, np.full(len(keys), row["chunk"]), at if sign > 0 else -1 - at, one << 32 | (every - one)
-                for i in range(0, len(keys), SENT_ROWS):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[i:i + SENT_ROWS]) for c in columns], ["key", "chunk", "at", "counts"])
+        for r in (x for i in range(len(batch)) for x in batch.slice(i, 1).to_pylist()):
+            at = np.arange(r["first"], r["first"] + r["n"], dtype=np.int32)
+            columns = np.cumsum(unpacked(r["hashes"], r["n"])), np.full(r["n"], r["chunk"]), -1 - at if r["pairs"] else at, unpacked(r["counts"], r["n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "chunk", "at", "counts"])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,18 +213,22 @@ def _rated(totals: np.ndarray, vocabulary: int, prior: float):
     return run
 
 
-def entries(chunks: DataFrame) -> DataFrame:
-    """What chunks send: a row for each distinct word and pair of each."""
-    return chunks.mapInArrow(_sent, ENTRIES)
+def sent(chunks: DataFrame) -> DataFrame:
+    """What chunks send: a row for each range of hashes, of which there are a few for each partition of an exchange."""
+    return chunks.mapInArrow(trimmed(_sent(RANGES * int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))), SENT)
 
 
 def scored_corpus(docs: DataFrame, prior: float = PRIOR, chunk: int = CHUNK) -> DataFrame:
     """docs: doc_id, text, target (boolean). Per row: doc_id, n_tokens, target_loss, background_loss (means), score (their difference), n_nearer (tokens likelier in the target), by the models of all words and pairs."""
-    chunks = stored(docs.select("doc_id", "text", "target").mapInArrow(_chunked(chunk), CHUNKS), "chunks")
+    spark = docs.sparkSession
+    with small_batches(spark):
+        chunks = stored(docs.select("doc_id", "text", "target").mapInArrow(trimmed(_chunked(chunk)), CHUNKS), "chunks")
     target, background = (int(x or 0) for x in chunks.agg(F.sum("target"), F.sum("background")).first())
-    answers = stored(entries(chunks).repartition("key").sortWithinPartitions("key").mapInArrow(trimmed(_summed), ANSWERS), "answers")
+    with small_batches(spark, 20_000, 1 << 20):  # packs are large rows, entries small ones
+        answers = stored(sent(chunks).repartition("part").mapInArrow(trimmed(_entries), ENTRIES).sortWithinPartitions("key").mapInArrow(trimmed(_summed), ANSWERS), "answers")
+    swept(spark)
     vocabulary = answers.agg(F.sum("new_words")).first()[0] or 0
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(_rated(np.array([target, background], dtype=float), vocabulary, prior), SCORES)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(freeing(_rated(np.array([target, background], dtype=float), vocabulary, prior)), SCORES)
 
 
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -497,7 +497,7 @@ def test_language_models_send_in_proportion(spark):
     def sent(n):
         rng = np.random.default_rng(n)
         df = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.zipf(1.4, 50) % 5000), False) for i in range(n)], "doc_id long, text string, target boolean").coalesce(1)
-        return lm.entries(df.mapInArrow(lm._chunked(1000), lm.CHUNKS)).count()
+        return lm.sent(df.mapInArrow(lm._chunked(1000), lm.CHUNKS)).count()
     one, two = sent(400), sent(800)
     assert 1.8 * one < two < 2.2 * one
 
