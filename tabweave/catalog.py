@@ -461,10 +461,10 @@ def _saved(spark: SparkSession, d: str) -> DataFrame:
     path = _shared(spark)
     read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.to_date("l_shipdate").alias("l_shipdate"), "l_returnflag").write.format(datasource.NAME).mode("append").save(path)
     book = spark.read.format(datasource.NAME).schema("physical_row long, A string, B string, C string, D string, E string").load(path)
-    return book.where("physical_row > 1").selectExpr("CAST(A AS BIGINT) AS l_orderkey", "CAST(B AS INT) AS l_linenumber", "CAST(C AS DOUBLE) AS l_quantity", "CAST(D AS DATE) AS l_shipdate", "E AS l_returnflag")
+    return book.where("physical_row > 1").selectExpr("CAST(A AS BIGINT) AS l_orderkey", "CAST(B AS INT) AS l_linenumber", "CAST(C AS DOUBLE) AS l_quantity", "D AS l_shipdate", "E AS l_returnflag")
 
 
-register("book_lineitem", _saved, "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_shipdate AS DATE) AS l_shipdate, l_returnflag FROM lineitem")
+register("book_lineitem", _saved, "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_returnflag FROM lineitem")
 
 
 def _sniffed(spark: SparkSession, d: str) -> DataFrame:

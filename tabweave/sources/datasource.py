@@ -226,6 +226,8 @@ class Writer(DataSourceArrowWriter):
     def __init__(self, path: str, schema: StructType, overwrite: bool, rows_per_file: int, sheet: str) -> None:
         self.path, self.names, self.overwrite, self.rows, self.sheet = path.rstrip("/"), schema.names, overwrite, rows_per_file, sheet
         self.staging = f"{self.path}/_staging-{uuid.uuid4().hex}"
+        system, at = filesystem(self.staging)
+        system.create_dir(at, recursive=True)  # here, once: a task that outlives an abort finds no folder to write to
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         """A task's files; if it fails, they are gone."""
@@ -260,7 +262,6 @@ class Writer(DataSourceArrowWriter):
 
         path = f"{self.staging}/part-{uuid.uuid4().hex}.xlsx"
         system, at = filesystem(path)
-        system.create_dir(posixpath.dirname(at), recursive=True)
         with system.open_output_stream(at) as out:
             out.write(packed(xlsx([(self.sheet, rows())], typed=False), "xlsx"))
         return path, n, len(self.names)
