@@ -35,6 +35,7 @@ ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]+")
 ACCESS_LEAST, HEX_LEAST, ASSIGN_LEAST = 18, 16, 12
 LONG_HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so this is HEX with the least length
 CANDIDATE = re.compile(r"[!#$%&*+./0-9:=?@A-Z\\^_a-z|~-]{16,}")
+LEAST, MARKS = 16, frozenset("!#$%&*=.:?~-/")
 #: Words with marks around them, addresses, paths and dates: labelled harmless.
 PLAIN = re.compile(r"[!#$%&*=.:?~-]*(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-_/.:+][A-Za-z]?[a-z]*)*[0-9]{0,4}[!#$%&*=.:?~-]*|[\w.+-]+@[a-z0-9-]+(?:\.[a-z]+)+\W*|https?://[a-z0-9.-]+(?:/[a-z0-9._-]{0,12})*|[0-9.:/T+-]+\W*", re.A)
 HINT = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
@@ -62,17 +63,31 @@ def failed_spans(text: str) -> list[tuple[int, int]]:
 
 
 def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Long tokens that no rule's span overlaps."""
+    """Long tokens; of those that rules' spans overlap, what is left before, between and after the spans, without the marks at its ends, if it is long enough."""
     out, k = [], 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
         while k < len(known) and known[k][1] <= start:
             k += 1
-        if not any(s < end and start < e for s, e, _ in known[max(0, k - 3):k + 8]):
-            out.append((start, end))
+        at, touched = start, False
+        for s, e, _ in known[max(0, k - 3):]:
+            if s >= end:
+                break
+            if e > at:
+                out += _remainder(text, at, s)
+                at, touched = e, True
+        out += _remainder(text, at, end) if touched else [(start, end)]
     return out
 
 
+def _remainder(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    while start < end and text[start] in MARKS:
+        start += 1
+    while start < end and text[end - 1] in MARKS:
+        end -= 1
+    return [(start, end)] if end - start >= LEAST else []
+
+
 def pieces(start: int, end: int) -> list[tuple[int, int]]:
     """Stretches of a token that are scored: itself, or, of a long one, overlapping ones of TOKEN characters."""
     if end - start <= TOKEN:

@@ -443,6 +443,16 @@ def test_secret_query(spark, docs, tmp_path):
     assert sum(r.n_model for d, r in got.items() if d not in planted) <= 4
 
 
+def test_tokens_that_rules_touch_are_looked_at_beyond_them():
+    key = "Zk3QxV9wLr7TbN1mZk3QxV9wLr7TbN1mQpW0rT"
+    text = f"see https://h.example/?token=abcdefabcdefabcdef&sig={key} and {key}:AKIA{'Q' * 16}:{key} or AKIA{'Z' * 20}"
+    known = secrets.base_spans(text)
+    found = [text[s:e] for s, e in secrets.candidates(text, known)]
+    assert found == ["https://h.example", f"sig={key}", key, key]
+    assert all(e <= s2 or e2 <= s for s, e in secrets.candidates(text, known) for s2, e2, _ in known)
+    assert secrets.candidates("x" * 10, []) == [] and secrets.candidates("", []) == []
+
+
 # Language models.
 def brute_scores(rows):
     """(doc_id, text, target) to (doc_id, tokens, losses, score, nearer), with -1 for a missing id."""
