@@ -142,7 +142,9 @@ register("docx_tables", lambda s, d: each(customers(s, d), "c_custkey long, styl
 def _numbered(row: tuple) -> list[tuple]:
     once, _ = document.edited(letter_file(row), [{"op": "set_numbering", "startFrom": 1 + row[0] % 3}])
     again, _ = document.edited(once, [{"op": "set_numbering", "startFrom": 1 + row[0] % 3}])
-    return [(row[0], p.index, p.number, html.to_markdown(Document(again).to_html()).count(f"{p.number} ") > 0) for p in Document(again).paragraphs() if p.number]
+    doc = Document(again)
+    shown = html.to_markdown(doc.to_html())
+    return [(row[0], p.index, p.number, shown.count(f"{p.number} ") > 0) for p in doc.paragraphs() if p.number]
 
 
 register("docx_numbering", lambda s, d: each(customers(s, d), "c_custkey long, index int, number string, expanded boolean", _numbered),
