@@ -25,7 +25,7 @@ from tabweave.plans.table import Table
 from tabweave.sinks import presentation
 from tabweave.sinks import workbook as sinks
 from tabweave.sources import workbook as sources
-from tabweave.sources.package import normal_name
+from tabweave.sources.package import normal_name, xml_bytes
 from tabweave.sources.sniff import extension, image_size
 from tabweave.text import html, markdown, numbering, odt, outline, pdf, rtf, style, template
 from tabweave.text.docx import Document, Writer
@@ -131,8 +131,8 @@ def _tables(row: tuple) -> list[tuple]:
     none, _ = document.edited(data, [{"op": "delete_table", "all": True}])
     table = document.Editor(data).tables()[0]
     grid = [len(r.findall(document.w("tc"))) for r in table.findall(document.w("tr"))]
-    xml = document.ET.tostring(table, encoding="unicode")
-    return [(row[0], report[0]["count"], len(grid), max(grid), "EEEEEE" in xml, "1250" in xml and "3750" in xml, xml.count("vMerge"), document.ET.tostring(document.Editor(undone).tables()[0], encoding="unicode").count("vMerge"), len(document.Editor(none).tables()))]
+    xml = xml_bytes(table).decode()
+    return [(row[0], report[0]["count"], len(grid), max(grid), "EEEEEE" in xml, "1250" in xml and "3750" in xml, xml.count("vMerge"), xml_bytes(document.Editor(undone).tables()[0]).count(b"vMerge"), len(document.Editor(none).tables()))]
 
 
 register("docx_tables", lambda s, d: each(customers(s, d), "c_custkey long, styled int, rows int, cols int, shaded boolean, widths boolean, merged int, undone int, left int", _tables),
