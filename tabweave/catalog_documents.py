@@ -31,8 +31,12 @@ from tabweave.text import html, markdown, numbering, odt, outline, pdf, rtf, sty
 from tabweave.text.docx import Document, Writer
 
 
+#: Rows of a task, which take milliseconds each.
+TASK_ROWS = 10_000
+
+
 def each(df: DataFrame, schema: str, of: Callable[[tuple], list[tuple]], slice_rows: int = 256) -> DataFrame:
-    """of: the result rows of a row, in tasks. A row takes milliseconds there, so rows are dealt out however few files they come from."""
+    """of: the result rows of a row, in tasks. A row takes milliseconds there, so rows are dealt out however few files they come from, and to more tasks as there are more rows."""
     kinds = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,7 +44,8 @@ def each(df: DataFrame, schema: str, of: Callable[[tuple], list[tuple]], slice_r
             for i in range(0, batch.num_rows, slice_rows):
                 rows = [out for row in zip(*(c.slice(i, slice_rows).to_pylist() for c in batch.columns), strict=True) for out in of(row)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(kinds)], kinds.names)
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, schema)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+    return df.repartition(tasks).mapInArrow(run, schema)
 
 
 def customers(spark: SparkSession, d: str) -> DataFrame:

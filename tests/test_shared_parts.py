@@ -82,3 +82,9 @@ def test_plain_tags_build_the_tree_of_the_parser():
             fast += 1
             assert one.root == other.root, source
     assert fast > 400
+
+
+def test_rows_are_dealt_to_more_tasks_as_there_are_more(spark, monkeypatch):
+    monkeypatch.setattr(documents, "TASK_ROWS", 10)
+    made = documents.each(spark.range(1000).selectExpr("id"), "id long", lambda row: [row])
+    assert made.rdd.getNumPartitions() == 100 and made.distinct().count() == 1000
