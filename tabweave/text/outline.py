@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,13 +58,19 @@ def page_spans(text: str, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def paged(docs: DataFrame, key: str, text: str, most: int) -> DataFrame:
-    """key, page_no (from 1), start, end, slice."""
-    most = min(most, MOST)
+def page_pattern(most: int) -> str:
+    """A page as page_spans() cuts it: what is left if it fits, else up to the last break that keeps enough, else `most` characters."""
+    least = max(1, math.ceil(SHARE * most))
+    breaks = "".join(f"\\x{{{ord(b):x}}}" for b in BREAKS)
+    return rf"(?s)\G(?:.{{1,{most}}}\z|.{{{least - 1},{most - 1}}}[{breaks}]|.{{{most}}})"
 
-    @F.pandas_udf("array<struct<start:int,end:int>>")
-    def spans(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: [{"start": a, "end": b} for a, b in page_spans(t or "", most)])
 
-    long = docs.select(key, F.col(text).alias("__t"), F.posexplode(spans(F.col(text))).alias("page", "span"))
-    return long.select(key, (F.col("page") + 1).alias("page_no"), "span.start", "span.end", F.substring(F.col("__t"), F.col("span.start") + 1, F.col("span.end") - F.col("span.start")).alias("slice"))
+def paged(docs: DataFrame, key: str, text: str, most: int) -> DataFrame:
+    """key, page_no (from 1), start, end, slice. Spark's own expressions: no text goes to Python, and a text is held once."""
+    most = min(most, MOST)
+    if most < 1:
+        raise EngineError("INVALID_ARGS", "a page holds a character at least")
+    slices = F.regexp_extract_all(F.col(text), F.lit(page_pattern(most)), F.lit(0))
+    ends = F.aggregate(F.col("__s"), F.array(F.lit(0)), lambda a, s: F.concat(a, F.array(F.element_at(a, -1) + F.length(s))))
+    long = docs.select(key, slices.alias("__s")).select(key, ends.alias("__e"), F.posexplode("__s").alias("page", "slice"))
+    return long.select(key, (F.col("page") + 1).alias("page_no"), F.col("__e")[F.col("page")].alias("start"), F.col("__e")[F.col("page") + 1].alias("end"), "slice")

@@ -12,7 +12,7 @@ import pytest
 
 from tabweave import catalog_documents as documents
 from tabweave.sources.package import Package, archive, xml_bytes
-from tabweave.text import html
+from tabweave.text import html, outline
 from tabweave.text.docx import Document, repacked
 
 
@@ -100,3 +100,13 @@ def test_headings_resolve_what_their_sql_does(spark, tmp_path):
     want = duckdb.sql(catalog.ORACLES["html_headings"]).fetchall()
     assert sorted(map(tuple, catalog.QUERIES["html_headings"](spark, str(tmp_path)).collect())) == sorted(want)
     assert html.headings("<h2>say &quot;x&quot; &amp</h2>") == [(2, 'say "x" &')]
+
+
+@pytest.mark.parametrize("most", [1, 2, 5, 7, 33, 1000])
+def test_pages_are_cut_without_python(spark, most):
+    pick = random.Random(2)
+    texts = [None, ""] + ["".join(pick.choices("ab\U0001f600。\n!\r  ;", k=pick.randint(0, 90))) for _ in range(60)]
+    pages = outline.paged(spark.createDataFrame(list(enumerate(texts)), "id long, t string"), "id", "t", most)
+    want = sorted((i, k, a, b, t[a:b]) for i, t in enumerate(texts) for k, (a, b) in enumerate(outline.page_spans(t or "", most), 1))
+    assert sorted(map(tuple, pages.collect())) == want
+    assert "Python" not in pages._jdf.queryExecution().toString()
