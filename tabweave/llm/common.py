@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -66,7 +67,8 @@ def removed(spark: SparkSession, path: str) -> None:
 
 
 def swept(spark: SparkSession) -> None:
-    """Has the driver collect its garbage, upon which Spark deletes the shuffles that nothing refers to any more."""
+    """Has the driver collect its garbage, Python's first as it holds on to plans, upon which Spark deletes the shuffles that nothing refers to any more."""
+    gc.collect()
     spark._jvm.System.gc()
 
 

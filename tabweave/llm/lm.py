@@ -218,6 +218,11 @@ def sent(chunks: DataFrame) -> DataFrame:
     return chunks.mapInArrow(trimmed(_sent(RANGES * int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))), SENT)
 
 
+def dealt(packs: DataFrame) -> DataFrame:
+    """What chunks send, `RANGES` neighbouring ranges to each partition: by a hash of the range some partitions would get several times what others do."""
+    return packs.repartitionById(int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.floor(F.col("part") / RANGES).cast("int"))
+
+
 def scored_corpus(docs: DataFrame, prior: float = PRIOR, chunk: int = CHUNK) -> DataFrame:
     """docs: doc_id, text, target (boolean). Per row: doc_id, n_tokens, target_loss, background_loss (means), score (their difference), n_nearer (tokens likelier in the target), by the models of all words and pairs."""
     spark = docs.sparkSession
@@ -225,7 +230,7 @@ def scored_corpus(docs: DataFrame, prior: float = PRIOR, chunk: int = CHUNK) ->
         chunks = stored(docs.select("doc_id", "text", "target").mapInArrow(trimmed(_chunked(chunk)), CHUNKS), "chunks")
     target, background = (int(x or 0) for x in chunks.agg(F.sum("target"), F.sum("background")).first())
     with small_batches(spark, 20_000, 1 << 20):  # packs are large rows, entries small ones
-        answers = stored(sent(chunks).repartition("part").mapInArrow(trimmed(_entries), ENTRIES).sortWithinPartitions("key").mapInArrow(trimmed(_summed), ANSWERS), "answers")
+        answers = stored(dealt(sent(chunks)).mapInArrow(trimmed(_entries), ENTRIES).sortWithinPartitions("key").mapInArrow(trimmed(_summed), ANSWERS), "answers")
     swept(spark)
     vocabulary = answers.agg(F.sum("new_words")).first()[0] or 0
     return chunks.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(freeing(_rated(np.array([target, background], dtype=float), vocabulary, prior)), SCORES)

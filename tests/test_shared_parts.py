@@ -110,3 +110,12 @@ def test_pages_are_cut_without_python(spark, most):
     want = sorted((i, k, a, b, t[a:b]) for i, t in enumerate(texts) for k, (a, b) in enumerate(outline.page_spans(t or "", most), 1))
     assert sorted(map(tuple, pages.collect())) == want
     assert "Python" not in pages._jdf.queryExecution().toString()
+
+
+def test_ranges_are_dealt_evenly(spark):
+    from pyspark.sql import functions as F
+
+    from tabweave.llm import lm
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = lm.dealt(spark.range(n * lm.RANGES * 3).select((F.col("id") % (n * lm.RANGES)).alias("part"))).groupBy(F.spark_partition_id().alias("at")).agg(F.countDistinct("part").alias("ranges"), F.min("part").alias("first")).collect()
+    assert sorted((r["at"], r["ranges"], r["first"]) for r in found) == [(i, lm.RANGES, i * lm.RANGES) for i in range(n)]
