@@ -111,13 +111,31 @@ class Bounds:
         return all(getattr(piece, k) in v for k, v in self.only.items()) and (self.last is None or self.last >= self.first)
 
 
+#: How many of the last bytes are looked at for the last row of a run: a few first, all if it is not there.
+TAILS = (1 << 12, 1 << 16, 1 << 62)
+
+
+def _rows_in(run: bytes, tail: int) -> list[tuple[int, bytes | None]]:
+    """(place, number if it has one) of the rows that begin in the last bytes of a run."""
+    return [(m.start(), m[1]) for m in _ROW.finditer(run, max(0, len(run) - tail))]
+
+
+def _number_after(run: bytes, number: int) -> int:
+    """The number of the last row of a run that is passed over; number: of the last row before it."""
+    for tail in TAILS:
+        found = _rows_in(run, tail)
+        for after, (_, own) in enumerate(reversed(found)):
+            if own:
+                return int(own) + after
+    return number + len(found)
+
+
 def row_runs(stream) -> Iterator[tuple[int, bytes]]:
     """A part in runs that begin where a row begins (the first: where the part does), each with its place."""
     held, at = b"", 0
     while block := stream.read(BLOCK):
         held += block
-        starts = [m.start() for m in _ROW.finditer(held)]
-        cut = starts[-1] if starts else 0
+        cut = next((found[-1][0] for tail in TAILS if (found := _rows_in(held, tail))), 0)
         if cut:
             yield at, held[:cut]
             held, at = held[cut:], at + cut
@@ -132,6 +150,11 @@ def rows_of(stream, start: int, end: int, base: dict[str, str]) -> Iterator[tupl
             parser = ET.XMLPullParser(["start", "end"])
             parser.feed(root[0].rstrip(b"/>") + b">")
             top = next(e for _, e in parser.read_events())
+        if at + len(run) <= start:  # passed over: only its last row's number and shared formulas matter
+            number = _number_after(run, number)
+            if b'"shared"' in run:
+                base.update({m[2].decode(): m[1].decode() for m in _SHARED.finditer(run)})
+            continue
         first = last = None
         for m in _ROW.finditer(run):
             if at + m.start() < start:

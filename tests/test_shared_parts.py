@@ -11,6 +11,7 @@ import zlib
 import pytest
 
 from tabweave import catalog_documents as documents
+from tabweave.sources import datasource
 from tabweave.sources.package import Package, archive, xml_bytes
 from tabweave.text import html, outline
 from tabweave.text.docx import Document, repacked
@@ -102,6 +103,19 @@ def test_headings_resolve_what_their_sql_does(spark, tmp_path):
     assert html.headings("<h2>say &quot;x&quot; &amp</h2>") == [(2, 'say "x" &')]
 
 
+@pytest.mark.parametrize("numbered", [lambda k: True, lambda k: False, lambda k: k % 3000 == 1, lambda k: k < 40])
+def test_rows_passed_over_are_counted(numbered, monkeypatch):
+    rows = [f'<row{f" r=\"{k + 5}\"" if numbered(k) else ""}><c><v>{k}</v></c></row>' for k in range(1, 4001)]
+    body = f'<worksheet><sheetData>{"".join(rows)}</sheetData></worksheet>'.encode()
+    monkeypatch.setattr(datasource, "BLOCK", 9000)
+    scans = []
+    monkeypatch.setattr(datasource, "_rows_in", lambda run, tail, f=datasource._rows_in: scans.append(min(tail, len(run))) or f(run, tail))
+    whole = [(n, e[0][0].text) for n, e in datasource.rows_of(io.BytesIO(body), 0, len(body), {})]
+    cuts = [0, 30_000, 30_001, 90_000, len(body)]
+    assert [x for a, b in zip(cuts, cuts[1:], strict=False) for x in [(n, e[0][0].text) for n, e in datasource.rows_of(io.BytesIO(body), a, b, {})]] == whole and len(whole) == 4000
+    assert scans
+
+
 @pytest.mark.parametrize("most", [1, 2, 5, 7, 33, 1000])
 def test_pages_are_cut_without_python(spark, most):
     pick = random.Random(2)
