@@ -11,7 +11,10 @@ import zlib
 import pytest
 
 from tabweave import catalog_documents as documents
+from tabweave.sinks import presentation
+from tabweave.sinks import workbook as sinks
 from tabweave.sources import datasource
+from tabweave.sources import workbook as sources
 from tabweave.sources.package import Package, archive, xml_bytes
 from tabweave.text import html, outline
 from tabweave.text.docx import Document, repacked
@@ -133,3 +136,26 @@ def test_ranges_are_dealt_evenly(spark):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = lm.dealt(spark.range(n * lm.RANGES * 3).select((F.col("id") % (n * lm.RANGES)).alias("part"))).groupBy(F.spark_partition_id().alias("at")).agg(F.countDistinct("part").alias("ranges"), F.min("part").alias("first")).collect()
     assert sorted((r["at"], r["ranges"], r["first"]) for r in found) == [(i, lm.RANGES, i * lm.RANGES) for i in range(n)]
+
+
+def test_shared_parts_of_workbooks_are_parsed_once(monkeypatch):
+    calls = []
+    monkeypatch.setattr(ET, "fromstring", lambda x, f=ET.fromstring: calls.append(1) or f(x))
+    assert [x for k in range(1, 31) for x in documents._dressed((k, "part", k % 50))] == [(k, "S", str(k % 50), 5.0 + k % 20, 25.0, 3, True) for k in range(1, 31)]
+    assert len(calls) <= 30 + 10  # the sheet; before, the book, its styles and the sheet by each reader
+
+
+def test_small_and_large_sheets_of_a_book():
+    small, large = [["a", 1], ["b", True]], [[f"row {k}", k] for k in range(3000)]
+    data = sinks.table_bytes([("First", small), ("Large", large), ("Last", small)], "xlsx")
+    assert zipfile.ZipFile(io.BytesIO(data)).testzip() is None
+    first, middle, last = sources.parse(data)
+    assert [r[1] for r in first.rows] == [r[1] for r in last.rows] == [["a", "1"], ["b", "TRUE"]]
+    assert [r[1] for r in middle.rows] == [[a, str(b)] for a, b in large] and [s.name for s in (first, middle, last)] == ["First", "Large", "Last"]
+
+
+def test_a_book_is_read_the_same_again():
+    shown = {k: [] for k in presentation.KINDS} | {"data_validation": [{"sheet": "S", "range": "B2:B9", "type": "whole", "operator": "greaterThan", "value": 1}]}
+    data = sinks.table_bytes([("S", [["a", 1]])], "xlsx", shown=shown)
+    assert presentation.read(data)[1]["data_validation"][0]["range"] == "B2:B9" and presentation.read(data) == presentation.read(data)
+    assert sinks.built({"sheets": [{"name": "S", "header": True, "headerStyle": {"x": 1}, "rows": [["a"]]}]}) and presentation.read(sinks.built({"sheets": [{"name": "S", "rows": [["a"]]}]}))[2] == []
