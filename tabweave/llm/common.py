@@ -114,17 +114,26 @@ def bounded(side: DataFrame, tag: str, rows: int = BROADCAST_ROWS, keep=None) ->
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000, size: int | None = None):
-    """Texts go to Python by batches of `rows` (and `size` bytes, if given) in what is run within the block: a tenth of the usual memory on both sides."""
-    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows} | ({"spark.sql.execution.arrow.maxBytesPerBatch": size} if size else {})
-    before = {name: spark.conf.get(name) for name in wanted}
+def configured(spark: SparkSession, wanted: dict[str, int | str]):
+    """Settings that hold for what is run within the block."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
     try:
         for name, value in wanted.items():
             spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: int | None = None):
+    """Texts go to Python by batches of `rows` (and `size` bytes, if given) in what is run within the block: a tenth of the usual memory on both sides."""
+    return configured(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": rows} | ({"spark.sql.execution.arrow.maxBytesPerBatch": size} if size else {}))
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Spark deletes the shuffles of what is run within the block as soon as it has run. swept() may come too early for that: py4j tells the JVM up to a second later which plans Python has let go of."""
+    return configured(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 def trimmed(run):

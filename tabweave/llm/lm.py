@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import bounded, freeing, small_batches, stored, swept, table, trimmed
+from tabweave.llm.common import bounded, freeing, shuffles_dropped, small_batches, stored, swept, table, trimmed
 
 PRIOR = 50.0
 CHUNK, HELD, SENT_ROWS, RANGES, START = 1 << 20, 1 << 17, 16, 4, 0x9E3779B97F4A7C15
@@ -229,7 +229,7 @@ def scored_corpus(docs: DataFrame, prior: float = PRIOR, chunk: int = CHUNK) ->
     with small_batches(spark):
         chunks = stored(docs.select("doc_id", "text", "target").mapInArrow(trimmed(_chunked(chunk)), CHUNKS), "chunks")
     target, background = (int(x or 0) for x in chunks.agg(F.sum("target"), F.sum("background")).first())
-    with small_batches(spark, 20_000, 1 << 20):  # packs are large rows, entries small ones
+    with small_batches(spark, 20_000, 1 << 20), shuffles_dropped(spark):  # packs are large rows, entries small ones
         answers = stored(dealt(sent(chunks)).mapInArrow(trimmed(_entries), ENTRIES).sortWithinPartitions("key").mapInArrow(trimmed(_summed), ANSWERS), "answers")
     swept(spark)
     vocabulary = answers.agg(F.sum("new_words")).first()[0] or 0

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -512,6 +513,31 @@ def test_language_models_send_in_proportion(spark):
     assert 1.8 * one < two < 2.2 * one
 
 
+def test_lm_packs_are_deleted_once_answered(spark, monkeypatch):
+    """What chunks send is off the disks when the answers are stored, before anything else is shuffled."""
+    disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {x for x in disks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    left = {}
+
+    def stored(df, tag, f=lm.stored):
+        before = held()
+        out = f(df, tag)
+        for _ in range(50):  # Spark deletes them in the background
+            if not held() - before:
+                break
+            time.sleep(0.1)
+        left[tag] = held() - before
+        return out
+
+    monkeypatch.setattr(lm, "stored", stored)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_before = spark.conf.get(cleanup, None)
+    docs = spark.range(300).selectExpr("id as doc_id", "concat('some words of text ', id) as text", "id % 3 = 0 as target")
+    assert lm.scored_corpus(docs, chunk=100).count() == 300
+    assert set(left) == {"chunks", "answers"} and not left["answers"]
+    assert spark.conf.get(cleanup, None) == set_before
+
+
 # Quality.
 def test_quality(spark, docs, empty):
     good = [(i, " ".join(words(60)).capitalize() + ".", "en", "s", 300) for i in range(300)]
