@@ -26,13 +26,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabweave.llm.common import bounded, bucketed, fresh, released, releasing, sliced, small_batches, stored, swept, table, trimmed
+from tabweave.llm.common import bounded, bucketed, fresh, released, releasing, small_batches, stored, swept, table, trimmed
 from tabweave.llm.components import components
 
 GRAM, SHARE, WHOLE = 5, 80, 100
@@ -42,14 +44,18 @@ ROUNDS = 1
 #: Blocks of which each holds one token, nearly always.
 FINE = 1 << 20
 FLUSH = 1 << 21
-#: Hashes of words that a task keeps, about 20 MB.
-MEMO = 100_000
+#: Bytes of texts that are taken at once; a longer text is taken by itself.
+STRETCH = 1 << 19
+#: Words of more bytes are hashed one at a time.
+LONG_WORD = 64
 #: A shingle is left out of sketches if it is in so many of the documents; at most 2,000 times the mean set size of shingles are. Which are left out does not change results.
 COMMON_SHARE, COMMON_LEAST = 2000, 64
 #: As many of them at most are sent to the tasks, 16 MB: if there are more, the share is raised.
 COMMON_MOST = 2_000_000
 DESCRIBED = "doc_id long, row long, n_shingles long, sid long, token long, n long"
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
+#: Masks of the first bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,29 +64,77 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
+def _words(raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each of the words raw[start:end], by eight bytes at a time; of long words by xxhash. Seven bytes at least follow the last word."""
+    import xxhash
 
-def shingle_set(text: str | None, gram: int = GRAM, memo: _Hashes | None = None) -> np.ndarray:
-    """Sorted distinct shingle hashes. bytes.lower() and bytes.split() know ASCII only, as the contract does."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    memo = _Hashes() if memo is None else memo
-    h = np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
-    if not len(h):
-        return h
-    size = min(gram, len(h))
-    factors = np.resize(_FACTORS, size) + np.arange(size, dtype=np.uint64) * np.uint64(2) + np.uint64(0 if size == gram else 2 * size * 1_000_003)
-    total = np.zeros(len(h) - size + 1, dtype=np.uint64)
-    for k in range(size):
-        total += h[k:len(h) - size + 1 + k] * factors[k]
-    return np.unique(_mix(total))
+    length = end - start
+    eight = np.ndarray(len(raw) - 7, dtype="<u8", buffer=raw, strides=(1,))
+    h = _mix(_mix(length.astype(np.uint64)) ^ (eight[start] & _FIRST[np.minimum(length, 8)]))
+    for k in range(8, LONG_WORD, 8):
+        more = np.flatnonzero((length > k) & (length <= LONG_WORD))
+        if not len(more):
+            break
+        h[more] = _mix(h[more] ^ (eight[start[more] + k] & _FIRST[np.minimum(length[more] - k, 8)]))
+    for i in np.flatnonzero(length > LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(raw[start[i]:end[i]])
+    return h
+
+
+def _shingled(raw: bytes, bounds: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of the texts raw[bounds[i]:bounds[i + 1]], see shingle_sets(). bytes.lower() knows ASCII only, as the contract does."""
+    raw = raw.lower() + bytes(8)
+    byte = np.frombuffer(raw, dtype=np.uint8, count=len(raw) - 8)
+    inside = (byte != 32) & ((byte - np.uint8(9)) > 4)
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    filled = bounds[1:] > bounds[:-1]
+    for flags, edge in ((first, bounds[:-1][filled]), (last, bounds[1:][filled] - 1)):  # words end with their text
+        flags[edge] = inside[edge]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    words = np.searchsorted(start, bounds)
+    n, h = np.diff(words), _words(raw, start, end)
+    counts = np.where(n >= gram, n - gram + 1, n > 0)
+    at = np.concatenate([[0], np.cumsum(counts)])
+    total = np.zeros(len(h), dtype=np.uint64)
+    for k, factor in enumerate(_factors(gram, gram)[:len(h)]):
+        total[:len(h) - k] += h[k:] * factor
+    found = total[np.arange(at[-1]) + np.repeat(words[:-1] - at[:-1], counts)]
+    for size in np.unique(n[(n > 0) & (n < gram)]).tolist():
+        short = np.flatnonzero(n == size)
+        found[at[short]] = (h[words[short][:, None] + np.arange(size)] * _factors(size, gram)).sum(axis=1, dtype=np.uint64)
+    found = _mix(found)
+    for a, b in pairwise(at.tolist()):
+        if b - a > 1:
+            found[a:b].sort()
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = found[1:] != found[:-1]
+    new[at[:-1][counts > 0]] = True
+    return found[new], np.concatenate([[0], np.cumsum(new)])[at]
+
+
+def _factors(size: int, gram: int) -> np.ndarray:
+    return np.resize(_FACTORS, size) + np.arange(size, dtype=np.uint64) * np.uint64(2) + np.uint64(0 if size == gram else 2 * size * 1_000_003)
+
+
+def shingle_sets(texts: pa.Array, gram: int = GRAM, size: int = STRETCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted distinct shingle hashes of each text, for texts of about `size` bytes at a time: (sets, at), of which sets[at[i]:at[i + 1]] is that of the i-th text."""
+    if not len(texts):
+        return
+    texts = pc.fill_null(texts, "") if texts.null_count else texts
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    low = 0
+    while low < len(texts):
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + size, side="right")) - 1)
+        length = int(bounds[high] - bounds[low])
+        yield _shingled(data.slice(int(bounds[low]), length).to_pybytes() if length else b"", bounds[low:high + 1] - bounds[low], gram)
+        low = high
+
+
+def _each(sets: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+    return (sets[a:b] for a, b in pairwise(at.tolist()))
 
 
 def set_id(found: np.ndarray) -> int:
@@ -94,9 +148,12 @@ class Bands:
 
     def __init__(self, share: int = SHARE, whole: int = WHOLE) -> None:
         self.share, self.whole, self.edges = share, whole, [1, 2]
+        self.known: dict[int, list[tuple[int, int]]] = {}
 
     def of(self, size: int) -> list[tuple[int, int]]:
         """(band, d): the set's own, and those below that hold a smaller set it may be similar to."""
+        if size in self.known:
+            return self.known[size]
         edges = self.edges
         while edges[-1] <= size:
             edges.append(max(edges[-1] + 1, int(edges[-1] * GROWTH)))
@@ -108,9 +165,15 @@ class Bands:
                 break
             out.append((band, (self.whole - self.share) * most // self.share))
             band -= 1
+        if len(self.known) < 100_000:
+            self.known[size] = out
         return out
 
 
+def _n_blocks(d):
+    return (SLACK * (d + 1)).astype(np.int64) + (d > 0)
+
+
 def _blocks(tokens: np.ndarray, band: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the blocks that hold bits, and their bits' fingerprints: the XOR of a hash of every set position (of 2^20 a block)."""
     block = ((tokens >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)  # tokens are sorted, so blocks are
@@ -128,7 +191,7 @@ def _keys(tokens: np.ndarray, rare: np.ndarray, band: int, d: int) -> list[np.nd
     d + 1 as well if A's last lies no further than B's, else with A and B exchanged. If they fill fewer in
     both sets, the same holds of much finer blocks, which hold a rare token each, then of blocks of all tokens;
     failing all that, all of d + 1 blocks are emitted, empty ones included, of which one is equal."""
-    n, out = (int(SLACK * (d + 1)) + 1 if d else 1), []
+    n, out = int(_n_blocks(np.array(d))), []
     for mode, (of, blocks) in enumerate(((rare, n), (rare, FINE), (tokens, n))):
         block, bits = _blocks(of, band, blocks) if len(of) else (of, of)
         take = slice(0, d + 1)
@@ -142,6 +205,43 @@ def _keys(tokens: np.ndarray, rare: np.ndarray, band: int, d: int) -> list[np.nd
     return out
 
 
+def _keys_of(sets: np.ndarray, at: np.ndarray, chosen: np.ndarray, often: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Keys as by _keys() of the chosen ones of a stretch of sets (see shingle_sets), and of which set each is. `often`: sorted common tokens.
+
+    All sets and bands at once. Those whose rare tokens do not fill d + 1 blocks, and very large sets, are left to _keys()."""
+    if len(often):
+        rarely = often[np.minimum(np.searchsorted(often, sets), len(often) - 1)] != sets
+        rare, rare_at = sets[rarely], np.concatenate([[0], np.cumsum(rarely)])[at]
+    else:
+        rare, rare_at = sets, at
+    pairs = [(i, band, d) for i, size in zip(chosen.tolist(), np.diff(at)[chosen].tolist(), strict=True) for band, d in bands.of(size)]
+    of, band, d = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True))
+    large = np.diff(at)[of] > STRETCH
+    lengths = np.where(large, 0, np.diff(rare_at)[of])
+    starts = np.cumsum(lengths) - lengths
+    tokens = rare[np.arange(int(lengths.sum())) + np.repeat(rare_at[of] - starts, lengths)]
+    block = ((tokens >> np.uint64(32)) * np.repeat(_n_blocks(d).astype(np.uint64), lengths)) >> np.uint64(32)
+    bits = _mix(((block << np.uint64(20)) | (tokens & np.uint64(0xFFFFF))) + np.repeat((band + 1).astype(np.uint64) << np.uint64(54), lengths))
+    new = np.ones(len(block), dtype=bool)
+    new[1:] = block[1:] != block[:-1]
+    new[starts[lengths > 0]] = True
+    heads = np.flatnonzero(new)
+    bits = np.bitwise_xor.reduceat(bits, heads) if len(heads) else bits
+    pair = np.searchsorted(starts, heads, side="right") - 1  # of pairs without tokens that begin where another does, the last has them
+    heads, bits, pair = (x[bits != 0] for x in (heads, bits, pair))
+    filled = np.bincount(pair, minlength=len(of))
+    enough = (filled > d) & ~large
+    take = (np.arange(len(pair)) - (np.cumsum(filled) - filled)[pair] <= d[pair]) & enough[pair]
+    heads, bits, pair = heads[take], bits[take], pair[take]
+    keys = [_mix(bits ^ _mix(block[heads] * np.uint64(4) + (band[pair].astype(np.uint64) << np.uint64(40))))]
+    whose = [of[pair]]
+    for i, b, most in (pairs[k] for k in np.flatnonzero(~enough).tolist()):
+        for part in _keys(sets[at[i]:at[i + 1]], rare[rare_at[i]:rare_at[i + 1]], b, most):
+            keys.append(part)
+            whose.append(np.full(len(part), i, dtype=np.int64))
+    return np.concatenate(keys), np.concatenate(whose)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -151,7 +251,7 @@ def _describe(gram: int):
     names, kinds = [x.split(" ")[0] for x in DESCRIBED.split(", ")], [pa.int64()] * 6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, held, size, seen = _Hashes(), [], 0, set()
+        held, size, seen = [], 0, set()
 
         def flush() -> pa.RecordBatch:
             every = np.concatenate(held)
@@ -165,13 +265,12 @@ def _describe(gram: int):
 
         for batch in batches:
             n, ids = [], []
-            for (text,) in sliced(batch, 1):
-                found = shingle_set(text, gram, memo)
+            for found in (x for stretch in shingle_sets(batch.column(1), gram) for x in _each(*stretch)):
                 n.append(len(found))
                 ids.append(set_id(found) if len(found) else None)
                 if len(found) and ids[-1] not in seen:
                     seen.add(ids[-1])
-                    held.append(found)
+                    held.append(found.copy())  # not a part of its stretch
                     size += len(found)
                 if size > FLUSH:
                     yield flush()
@@ -185,26 +284,24 @@ def _describe(gram: int):
 
 def _emit(gram: int, share: int, whole: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, bands, often, seen, keys, ids, size = _Hashes(), Bands(share, whole), common.value, set(), [], [], 0
+        bands, often, seen, keys, ids, size = Bands(share, whole), common.value, set(), [], [], 0
 
         def out():
             return pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(keys))), pa.array(np.concatenate(ids))], ["key", "sid"])
 
-        for (text,) in (row for batch in batches for row in sliced(batch, 0)):
-            found = shingle_set(text, gram, memo)
-            if not len(found) or (own := set_id(found)) in seen:  # copies met before need not be sent again
-                continue
-            seen.add(own)
-            if len(often):
-                at = np.minimum(np.searchsorted(often, found), len(often) - 1)
-                rare = found[often[at] != found]
-            else:
-                rare = found
-            for band, d in bands.of(len(found)):
-                for part in _keys(found, rare, band, d):
-                    keys.append(part)
-                    ids.append(np.full(len(part), own, dtype=np.int64))
-                    size += len(part)
+        for sets, at in (stretch for batch in batches for stretch in shingle_sets(batch.column(0), gram)):
+            own, chosen = np.zeros(len(at) - 1, dtype=np.int64), []
+            for i, found in enumerate(_each(sets, at)):
+                if not len(found) or (sid := set_id(found)) in seen:  # copies met before need not be sent again
+                    continue
+                seen.add(sid)
+                own[i] = sid
+                chosen.append(i)
+            if chosen:
+                part, whose = _keys_of(sets, at, np.array(chosen), often, bands)
+                keys.append(part)
+                ids.append(own[whose])
+                size += len(part)
             if size > 200_000:
                 yield out()
                 keys, ids, size = [], [], 0
@@ -247,11 +344,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, seen = _Hashes(), set()
+        seen = set()
         for batch in batches:
             ids, n, sketches, sets = [], [], [], []
-            for text, repeated in sliced(batch, 0, 1):
-                found = shingle_set(text, gram, memo)
+            every = (x for stretch in shingle_sets(batch.column(0), gram) for x in _each(*stretch))
+            for found, repeated in zip(every, batch.column(1).to_pylist(), strict=True):
                 own = set_id(found)
                 if repeated:
                     if own in seen:
