@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from decimal import Decimal
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
@@ -35,10 +36,11 @@ from pyspark.sql.types import ArrayType, StructType
 
 from tabweave.errors import EngineError
 from tabweave.functions.model import column_index
+from tabweave.sources import plain
 from tabweave.sources.package import Package, local
 from tabweave.sources.workbook import Cells, xlsx_sheets
 
-NAME, SPLIT, BLOCK, BATCH, FILE_ROWS = "tabweave", 8 << 20, 1 << 20, 2000, 500_000
+NAME, SPLIT, BLOCK, BATCH, FILE_ROWS, TOGETHER = "tabweave", 8 << 20, 1 << 20, 2000, 500_000, 1 << 16
 SCHEMA = "path string, sheet string, sheet_no int, physical_row long, cells array<string>, formulas array<string>"
 #: Days before this one have no number that all programs agree on.
 FIRST_DAY = date(1900, 3, 1)
@@ -142,43 +144,60 @@ def row_runs(stream) -> Iterator[tuple[int, bytes]]:
     yield at, held
 
 
-def rows_of(stream, start: int, end: int, base: dict[str, str]) -> Iterator[tuple[int, ET.Element]]:
-    """(number, element) of the rows that begin from start to before end. base takes up where shared formulas began before."""
-    parser, number = None, 0
+def stretches(stream, start: int, end: int, base: dict[str, str]) -> Iterator[tuple[bytes, int, bytes]]:
+    """(root's tag, number of the row before, whole rows) of the rows that begin from start to before end. base takes up where shared formulas began before."""
+    number, root = 0, None
     for at, run in row_runs(stream):
-        if parser is None and (root := _ROOT.search(run)):
-            parser = ET.XMLPullParser(["start", "end"])
-            parser.feed(root[0].rstrip(b"/>") + b">")
-            top = next(e for _, e in parser.read_events())
+        if root is None and (found := _ROOT.search(run)):
+            root = found[0].rstrip(b"/>") + b">"
         if at + len(run) <= start:  # passed over: only its last row's number and shared formulas matter
             number = _number_after(run, number)
             if b'"shared"' in run:
                 base.update({m[2].decode(): m[1].decode() for m in _SHARED.finditer(run)})
             continue
         first = last = None
-        for m in _ROW.finditer(run):
-            if at + m.start() < start:
-                number = int(m[1] or number + 1)
-            elif at + m.start() < end:
-                first, last = m.start() if first is None else first, len(run)
-            else:
-                last = m.start()
-                break
+        if at >= start and at + len(run) <= end and (m := _ROW.search(run)):
+            first, last = m.start(), len(run)
+        else:
+            for m in _ROW.finditer(run):
+                if at + m.start() < start:
+                    number = int(m[1] or number + 1)
+                elif at + m.start() < end:
+                    first, last = m.start() if first is None else first, len(run)
+                else:
+                    last = m.start()
+                    break
         if b'"shared"' in run and (first is None or first > 0):
             base.update({m[2].decode(): m[1].decode() for m in _SHARED.finditer(run[:first])})
         if first is not None:
-            closed = _END.search(run, first, last)
-            parser.feed(run[first:closed.start() if closed else last])
-            for event, e in parser.read_events():
-                if event == "end" and local(e.tag) == "row":
-                    number = int(e.get("r") or number + 1)
-                    yield number, e
-                    e.clear()
-                    top.clear()
+            closed = _END.search(run, first, last) if b"sheetData>" in run else None
+            rows = run[first:closed.start() if closed else last]
+            yield root, number, rows
+            number = _number_after(rows, number)
         if at + len(run) >= end:
             return
 
 
+def elements(root: bytes, number: int, rows: bytes) -> Iterator[tuple[int, ET.Element]]:
+    """(number, element) of whole rows."""
+    parser = ET.XMLPullParser(["start", "end"])
+    parser.feed(root)
+    top = next(e for _, e in parser.read_events())
+    parser.feed(rows)
+    for event, e in parser.read_events():
+        if event == "end" and local(e.tag) == "row":
+            number = int(e.get("r") or number + 1)
+            yield number, e
+            e.clear()
+            top.clear()
+
+
+def rows_of(stream, start: int, end: int, base: dict[str, str]) -> Iterator[tuple[int, ET.Element]]:
+    """(number, element) of the rows that begin from start to before end. base takes up where shared formulas began before."""
+    for found in stretches(stream, start, end, base):
+        yield from elements(*found)
+
+
 class Reader(DataSourceReader):
     def __init__(self, path: str, schema: StructType, split: int) -> None:
         self.path, self.names, self.split, self.bounds = path, schema.names, split, Bounds()
@@ -210,29 +229,50 @@ class Reader(DataSourceReader):
             return
         letters = {n: column_index(n) for n in self.names if n not in FIXED}
         wanted = None if {"cells", "formulas"} & set(self.names) else frozenset(letters.values())
+        by_columns = wanted is not None and all(pa.types.is_string(schema.field(n).type) for n in ("path", "sheet", *letters) if n in self.names) and all(pa.types.is_integer(schema.field(n).type) for n in ("sheet_no", "physical_row") if n in self.names)
         system, at = filesystem(piece.path)
         with system.open_input_file(at) as f:
             pack = Package(f)
-            meaning, base, held = Cells(pack, xlsx_sheets(pack)[0]), {}, []
+            meaning, base = Cells(pack, xlsx_sheets(pack)[0]), {}
             with pack.open(piece.part) as stream:
-                for number, row in rows_of(stream, piece.start, piece.end, base):
-                    if bounds.last is not None and number > bounds.last:
+                for found in stretches(stream, piece.start, piece.end, base):
+                    table = plain.columns(found[2], meaning, letters) if by_columns else None
+                    if table is None:
+                        yield from self._parsed(piece, found, meaning, base, letters, wanted, schema)
+                    else:
+                        yield from self._taken(piece, *table, schema)
+                    if bounds.last is not None and _number_after(found[2], found[1]) > bounds.last:
                         break
-                    if number < bounds.first:
-                        continue
-                    cells, formulas = meaning.of(row, base, wanted)
-                    while cells and not cells[-1] and not formulas[-1]:
-                        cells.pop()
-                        formulas.pop()
-                    if not cells and not (wanted is not None and len(row)):
-                        continue
-                    values = {"path": piece.path, "sheet": piece.sheet, "sheet_no": piece.sheet_no, "physical_row": number, "cells": cells, "formulas": formulas}
-                    held.append([values[n] if n in FIXED else (cells[letters[n]] if letters[n] < len(cells) else "") or None for n in self.names])
-                    if len(held) >= BATCH:
-                        yield _batch(held, schema)
-                        held = []
-            if held:
+
+    def _taken(self, piece: Piece, number: np.ndarray, cells: dict[str, pa.Array], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """Rows within the bounds, by columns."""
+        inside = (number >= self.bounds.first) & (self.bounds.last is None or number <= self.bounds.last)
+        if inside.any():
+            n, every = int(inside.sum()), inside.all()
+            fixed = {"path": piece.path, "sheet": piece.sheet, "sheet_no": piece.sheet_no}
+            yield pa.RecordBatch.from_arrays([pa.array(number[inside], f.type) if f.name == "physical_row" else pa.repeat(pa.scalar(fixed[f.name], f.type), n) if f.name in fixed else cells[f.name] if every else cells[f.name].filter(pa.array(inside)) for f in schema], schema=schema)
+
+    def _parsed(self, piece: Piece, found: tuple[bytes, int, bytes], meaning: Cells, base: dict[str, str], letters: dict[str, int], wanted: frozenset[int] | None, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """Rows within the bounds, element by element."""
+        held, bounds = [], self.bounds
+        for number, row in elements(*found):
+            if bounds.last is not None and number > bounds.last:
+                break
+            if number < bounds.first:
+                continue
+            cells, formulas = meaning.of(row, base, wanted)
+            while cells and not cells[-1] and not formulas[-1]:
+                cells.pop()
+                formulas.pop()
+            if not cells and not (wanted is not None and len(row)):
+                continue
+            values = {"path": piece.path, "sheet": piece.sheet, "sheet_no": piece.sheet_no, "physical_row": number, "cells": cells, "formulas": formulas}
+            held.append([values[n] if n in FIXED else (cells[letters[n]] if letters[n] < len(cells) else "") or None for n in self.names])
+            if len(held) >= BATCH:
                 yield _batch(held, schema)
+                held = []
+        if held:
+            yield _batch(held, schema)
 
 
 def _batch(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
@@ -275,18 +315,12 @@ class Writer(DataSourceArrowWriter):
         return Written(files)
 
     def _file(self, batches: list[pa.RecordBatch], n: int) -> tuple[str, int, int]:
-        from tabweave.sinks.workbook import packed, xlsx
-
-        def rows() -> Iterator[list]:
-            yield list(self.names)
-            for batch in batches:
-                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    yield [_value(v) for v in row]
+        from tabweave.sinks.workbook import Columns, packed, xlsx
 
         path = f"{self.staging}/part-{uuid.uuid4().hex}.xlsx"
         system, at = filesystem(path)
         with system.open_output_stream(at) as out:
-            out.write(packed(xlsx([(self.sheet, rows())], typed=False), "xlsx"))
+            out.write(packed(xlsx([(self.sheet, [list(self.names), *(Columns(b, _value) for b in pa.Table.from_batches(batches).combine_chunks().to_batches(TOGETHER))])], typed=False), "xlsx"))
         return path, n, len(self.names)
 
     def commit(self, messages: list[Written | None]) -> None:
