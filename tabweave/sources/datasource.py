@@ -132,9 +132,9 @@ def _number_after(run: bytes, number: int) -> int:
     return number + len(found)
 
 
-def row_runs(stream) -> Iterator[tuple[int, bytes]]:
-    """A part in runs that begin where a row begins (the first: where the part does), each with its place."""
-    held, at = b"", 0
+def row_runs(stream, at: int = 0) -> Iterator[tuple[int, bytes]]:
+    """A part in runs that begin where a row begins (the first: where the stream does, at this place), each with its place."""
+    held = b""
     while block := stream.read(BLOCK):
         held += block
         cut = next((found[-1][0] for tail in TAILS if (found := _rows_in(held, tail))), 0)
@@ -144,12 +144,17 @@ def row_runs(stream) -> Iterator[tuple[int, bytes]]:
     yield at, held
 
 
-def stretches(stream, start: int, end: int, base: dict[str, str]) -> Iterator[tuple[bytes, int, bytes]]:
-    """(root's tag, number of the row before, whole rows) of the rows that begin from start to before end. base takes up where shared formulas began before."""
-    number, root = 0, None
-    for at, run in row_runs(stream):
-        if root is None and (found := _ROOT.search(run)):
-            root = found[0].rstrip(b"/>") + b">"
+def root_of(run: bytes) -> bytes | None:
+    """The tag that opens a sheet, to be followed by rows."""
+    return found[0].rstrip(b"/>") + b">" if (found := _ROOT.search(run)) else None
+
+
+def stretches(stream, start: int, end: int, base: dict[str, str], at: int = 0, root: bytes | None = None) -> Iterator[tuple[bytes, int, bytes]]:
+    """(root's tag, number of the row before, whole rows) of the rows that begin from start to before end. base takes up where shared formulas began before.
+    at, root: where a stream begins that is not the whole part; its rows are numbered, and no formulas are shared before it."""
+    number = 0
+    for at, run in row_runs(stream, at):
+        root = root or root_of(run)
         if at + len(run) <= start:  # passed over: only its last row's number and shared formulas matter
             number = _number_after(run, number)
             if b'"shared"' in run:
@@ -234,8 +239,11 @@ class Reader(DataSourceReader):
         with system.open_input_file(at) as f:
             pack = Package(f)
             meaning, base = Cells(pack, xlsx_sheets(pack)[0]), {}
-            with pack.open(piece.part) as stream:
-                for found in stretches(stream, piece.start, piece.end, base):
+            with pack.open(piece.part) as head:
+                root = root_of(head.read(1 << 12)) if piece.start else None
+            stream, place = pack.open_from(piece.part, piece.start if root else 0)
+            with stream:
+                for found in stretches(stream, piece.start, piece.end, base, place, root):
                     table = plain.columns(found[2], meaning, letters) if by_columns else None
                     if table is None:
                         yield from self._parsed(piece, found, meaning, base, letters, wanted, schema)

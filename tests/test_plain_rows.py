@@ -12,7 +12,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tabweave.sinks import workbook as sinks
 from tabweave.sinks.presentation import Styles
-from tabweave.sources import datasource, plain
+from tabweave.sources import datasource, package, plain
+
+row_runs = datasource.row_runs
 
 HEAD = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:x="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
 
@@ -60,6 +62,38 @@ def test_a_value_is_looked_at_once(monkeypatch, tmp_path):
     assert len(trees) <= 6  # heads and ends of three files
 
 
+def test_a_piece_is_unpacked_from_its_point(monkeypatch, tmp_path):
+    """Only what a piece needs is unpacked; a sheet that was packed anew is read from its beginning."""
+    monkeypatch.setattr(package, "POINT", 1 << 16)
+    monkeypatch.setattr(sinks, "STRETCH", 256)
+    monkeypatch.setattr(datasource, "BLOCK", 1 << 14)
+    schema = StructType([StructField("id", LongType()), StructField("text", StringType())])
+    writer = datasource.Writer(str(tmp_path / "a"), schema, False, 50_000, "Sheet1")
+    r = random.Random(2)
+    writer.commit([writer.write(iter([pa.RecordBatch.from_pydict({"id": pa.array(range(30_000)), "text": pa.array([f"{r.random()}" for _ in range(30_000)])})]))])
+    [path] = (tmp_path / "a").glob("*.xlsx")
+    assert zipfile.ZipFile(path).testzip() is None
+    (tmp_path / "b").mkdir()
+    with zipfile.ZipFile(path) as a, zipfile.ZipFile(tmp_path / "b" / "b.xlsx", "w", zipfile.ZIP_DEFLATED) as b:
+        for info in a.infolist():  # keeps the field of the index that tells the points, which hold no longer
+            b.writestr(info, a.read(info))
+    got, unpacked = {}, {}
+    for k in "ab":
+        size = []
+        monkeypatch.setattr(datasource, "row_runs", lambda *a, size=size, f=row_runs: (size.append(len(x[1])) or x for x in f(*a)))
+        reader = datasource.Reader(str(tmp_path / k), letters("A", "B"), 100_000)
+        pieces = reader.partitions()
+        got[k] = [x for p in pieces for b in reader.read(p) for x in b.to_pylist()]
+        unpacked[k] = sum(size) / sum(p.end - p.start for p in pieces)
+    assert len(pieces) > 20 and got["a"] == got["b"] and [x["A"] for x in got["a"][1:]] == [str(i) for i in range(30_000)]
+    assert unpacked["a"] < 2.5 and unpacked["b"] > 8
+    big = package.Package(path.read_bytes())
+    for start in (0, 70_000, 200_000, 1 << 30):
+        stream, at = big.open_from("xl/worksheets/sheet1.xml", start)
+        whole, rest = big.read("xl/worksheets/sheet1.xml"), stream.read()
+        assert at <= start and min(start, len(whole)) - at < 120_000 and whole[at:] == rest and rest
+
+
 def book(rows):
     out = io.BytesIO()
     with zipfile.ZipFile(io.BytesIO(sinks.table_bytes([("S", [[datetime.date(2020, 1, 1)]])], "xlsx"))) as a, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as b:
